@@ -1,6 +1,6 @@
 """End-to-end jobs and the registered queries."""
 
-_MODULES = ["q_turns"]
+_MODULES = ["q_turns", "q_sentiment"]
 
 
 def load_all() -> None:

@@ -93,11 +93,22 @@ FX_PHRASES = {
 }
 
 
+_REGISTERED: dict[str, str] = {}
+_BASE_TABLES = ("orders", "conversations", "documents")
+
+
 def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
-    """Register the driver tables and the SQL fixture views in ``spark``."""
-    register_tables(spark, sf_dir)
+    """Register the base tables and the SQL fixture views in ``spark``.
+
+    Memoised per session and directory: re-registering re-lists files.
+    """
+    key = spark.sparkContext.applicationId
+    if _REGISTERED.get(key) == sf_dir and spark.catalog.tableExists("fx_split"):
+        return
+    register_tables(spark, sf_dir, _BASE_TABLES)
     for name in ("fx_calls0", "fx_calls", "fx_preds", "fx_turns", "fx_split"):
         spark.sql(FX_SQL[name]).createOrReplaceTempView(name)
+    _REGISTERED[key] = sf_dir
 
 
 def fx(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
