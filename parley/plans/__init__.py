@@ -1,6 +1,6 @@
 """End-to-end jobs and the registered queries."""
 
-_MODULES = ["q_turns", "q_sentiment", "q_features", "q_portfolio"]
+_MODULES = ["q_turns", "q_sentiment", "q_features", "q_portfolio", "q_metrics"]
 
 
 def load_all() -> None:
