@@ -1,6 +1,6 @@
 """End-to-end jobs and the registered queries."""
 
-_MODULES = ["q_turns", "q_sentiment", "q_features", "q_portfolio", "q_metrics"]
+_MODULES = ["q_turns", "q_sentiment", "q_features", "q_portfolio", "q_metrics", "q_phrases"]
 
 
 def load_all() -> None:
