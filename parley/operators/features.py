@@ -9,7 +9,7 @@
   aggregation collapses rows map-side);
 * the per-call result is joined 1:1 to ``calls``;
 * the per-intent duration means are a tiny aggregate (one row per issue
-  type) broadcast after a bounded count check.
+  type); AQE measures it at run time and broadcasts it when small.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from ..functions import constants as K
 from ..functions import rules as R
 from ..functions.text import contains_any, word_count
 from .parse import with_turn_counts
-from .sentiment import _bounded_broadcast, score_texts
+from .sentiment import score_texts
 from .structure import _agent_aggs, _structure_aggs
 
 MAX_BROADCAST_GROUPS = 1_000_000
@@ -54,7 +54,9 @@ def intent_duration_means(calls: DataFrame, split: DataFrame | None = None,
 
 def with_duration_deviation(calls: DataFrame, means: DataFrame) -> DataFrame:
     """M6: ordinal minus the train mean of its intent (missing -> 0)."""
-    m = _bounded_broadcast(means, MAX_BROADCAST_GROUPS)
+    # One row per issue type, derived from data: AQE broadcasts it at run time
+    # when the measured size is small, else keeps the shuffle join.
+    m = means
     return (calls.withColumn("issue_key", R.norm_key("issue_type"))
                  .join(m, "issue_key", "left")
                  .withColumn("duration_deviation",

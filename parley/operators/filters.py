@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_any
-from .sentiment import _bounded_broadcast
+from ..functions.broadcast import local_table, sized_broadcast
 
 MAX_BROADCAST_PHRASES = 100_000
 
@@ -51,15 +51,15 @@ def calls_with_phrase(calls: DataFrame, turns: DataFrame, phrases, speaker: str
 def phrase_table(spark: SparkSession, phrases: dict) -> DataFrame:
     """``(kind, phrase)`` rows from a mapping kind -> list of phrases."""
     rows = [(k, p.lower()) for k, ps in phrases.items() for p in ps]
-    return spark.createDataFrame(rows, "kind string, phrase string")
+    return local_table(spark, rows, "kind string, phrase string")
 
 
 def phrase_hits(turns: DataFrame, table: DataFrame) -> DataFrame:
     """J7 theta join: every (turn, phrase) with ``contains(lower(text), phrase)``.
 
-    The phrase table is broadcast after a bounded count (a nested-loop join
-    against a small dictionary); beyond the bound Spark plans it itself.
+    A phrase table with a known bound is broadcast (nested-loop join against a
+    small dictionary); any other is planned by Spark/AQE from measured sizes.
     """
     t = turns.select("call_id", "pos", F.lower(F.col("text")).alias("_lt"))
-    p = _bounded_broadcast(table, MAX_BROADCAST_PHRASES)
+    p = sized_broadcast(table, MAX_BROADCAST_PHRASES)
     return t.join(p, F.col("_lt").contains(F.col("phrase"))).select("call_id", "pos", "kind", "phrase")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import rules as R
+from ..functions.broadcast import local_table, sized_broadcast
 
 METRIC_COLUMNS = ["mae", "rmse", "pearson_r", "f1_binary"]
 
@@ -109,7 +110,7 @@ def confidence_interval(wide: DataFrame, weights=K.DEFAULT_WEIGHTS,
 def weight_table(spark: SparkSession, candidates=K.ENSEMBLE_CANDIDATES) -> DataFrame:
     models = list(candidates[0])
     rows = [(i, *[float(c[m]) for m in models]) for i, c in enumerate(candidates)]
-    return spark.createDataFrame(rows, "config_idx int, " + ", ".join(f"w_{m} double" for m in models))
+    return local_table(spark, rows, "config_idx int, " + ", ".join(f"w_{m} double" for m in models))
 
 
 def ensemble_search(spark: SparkSession, val: DataFrame, candidates=K.ENSEMBLE_CANDIDATES,
@@ -124,7 +125,7 @@ def ensemble_search(spark: SparkSession, val: DataFrame, candidates=K.ENSEMBLE_C
     for m in models:
         t = F.col(f"w_{m}") * R.clip(m)
         s = t if s is None else s + t
-    j = val.crossJoin(F.broadcast(w)).withColumn("pred", R.clip(s))
+    j = val.crossJoin(sized_broadcast(w)).withColumn("pred", R.clip(s))
     return j.groupBy("config_idx", *[f"w_{m}" for m in models]).agg(*metric_aggs(y, "pred"))
 
 

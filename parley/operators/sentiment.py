@@ -2,9 +2,9 @@
 
 Scoring (N1) is relational: texts are tokenised in-row, exploded, and
 inner-joined to the rule table (lexicon valences + negators + boosters).
-The rule table is a dictionary whose size does not grow with the data; it
-is broadcast only after a bounded row-count check, else a shuffle join is
-used.  Only tokens that hit the table survive the join, so the window that
+The rule table is a dictionary whose size does not grow with the data; a
+rule table built from local rows has a known row count and is broadcast when
+within the bound; any other is left to AQE's run-time size check.  Only tokens that hit the table survive the join, so the window that
 applies the negation scope (3 preceding token positions, a RANGE frame on the
 original token index) and the booster scope (previous token) sees a small
 fraction of the tokens.  The window and the per-text sum share one exchange
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..functions.broadcast import carry_bound, local_table, sized_broadcast
 from ..functions.text import strip_ws, tokens
 from .parse import pipe_turns, with_turn_counts
 
@@ -31,22 +32,16 @@ def sentiment_rules(spark: SparkSession, lexicon, negators=(), boosters=()) -> D
     """
     extra = [(t.lower(), 0.0, 1, 0) for t in negators] + [(t.lower(), 0.0, 0, 1) for t in boosters]
     if isinstance(lexicon, DataFrame):
+        # A user table: no size is assumed; AQE decides the join at run time.
         lex = lexicon.select(F.lower("token").alias("token"), F.col("valence").cast("double"),
                              F.lit(0).alias("is_neg"), F.lit(0).alias("is_boost"))
         if extra:
             lex = lex.unionByName(spark.createDataFrame(extra, RULE_SCHEMA))
     else:
-        lex = spark.createDataFrame([(t.lower(), float(v), 0, 0) for t, v in lexicon] + extra,
-                                    RULE_SCHEMA)
-    return lex.groupBy("token").agg(F.sum("valence").alias("valence"),
-                                    F.max("is_neg").alias("is_neg"),
-                                    F.max("is_boost").alias("is_boost"))
-
-
-def _bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_RULES) -> DataFrame:
-    """Broadcast ``df`` only when a bounded count proves it small."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+        lex = local_table(spark, [(t.lower(), float(v), 0, 0) for t, v in lexicon] + extra, RULE_SCHEMA)
+    return carry_bound(lex, lex.groupBy("token").agg(F.sum("valence").alias("valence"),
+                                                     F.max("is_neg").alias("is_neg"),
+                                                     F.max("is_boost").alias("is_boost")))
 
 
 def score_texts(df: DataFrame, keys, text_col: str, rules: DataFrame,
@@ -60,7 +55,7 @@ def score_texts(df: DataFrame, keys, text_col: str, rules: DataFrame,
     """
     keys = list(keys)
     toks = df.select(*keys, F.posexplode(tokens(F.col(text_col))).alias("tpos", "token"))
-    hits = toks.join(_bounded_broadcast(rules), "token")
+    hits = toks.join(sized_broadcast(rules, MAX_BROADCAST_RULES), "token")
     w = Window.partitionBy(*keys).orderBy("tpos")
     negated = F.max("is_neg").over(w.rangeBetween(-K.NEGATION_WINDOW, -1))
     boosted = F.max("is_boost").over(w.rangeBetween(-1, -1))

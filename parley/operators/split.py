@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from .sentiment import _bounded_broadcast
 
 MAX_BROADCAST_BUCKETS = 2_000_000
 
@@ -40,7 +39,10 @@ def stratified_split(df: DataFrame, strata=("csat_range", "issue_type"), key: st
         F.sum("_c").over(Window.partitionBy("_stratum")).alias("_total"))
     wl = Window.partitionBy("_stratum", "_bucket").orderBy("_h", key)
     ranked = base.withColumn("_rn", F.row_number().over(wl))
-    j = ranked.join(_bounded_broadcast(offsets, MAX_BROADCAST_BUCKETS), ["_stratum", "_bucket"])
+    # offsets has <= strata x 16**hex_digits rows; AQE broadcasts it when the
+    # measured size is small, else this is a shuffle join on the same keys
+    # the ranking window already partitioned ``ranked`` by.
+    j = ranked.join(offsets, ["_stratum", "_bucket"])
     r = (F.col("_before") + F.col("_rn")) / F.col("_total").cast("double")
     lo, hi = fractions
     split = F.when(r <= lo, "train").when(r <= hi, "val").otherwise("test")

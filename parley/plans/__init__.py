@@ -1,6 +1,6 @@
 """End-to-end jobs and the registered queries."""
 
-_MODULES = ["q_turns", "q_sentiment", "q_features", "q_portfolio", "q_metrics", "q_phrases", "q_models", "q_io"]
+_MODULES = ["q_turns", "q_sentiment", "q_features", "q_portfolio", "q_metrics", "q_phrases", "q_models", "q_io", "q_scale"]
 
 
 def load_all() -> None:

@@ -33,9 +33,9 @@ def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            cols.append((F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name))
         elif isinstance(f.dataType, T.DecimalType):
-            cols.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
+            cols.append((F.round(F.col(f.name).cast("double"), digits) + F.lit(0.0)).alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             cols.append(F.col(f.name).cast("bigint").alias(f.name))
         else:
@@ -45,7 +45,8 @@ def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 def wrap_oracle(sql: str, columns: list[str], doubles: list[str], digits: int = DIGITS) -> str:
     """Project ``columns`` of ``sql``, rounding ``doubles`` (DuckDB side)."""
-    sel = ", ".join(f"round(CAST({c} AS DOUBLE), {digits}) AS {c}" if c in doubles else c
+    # ``+ 0.0`` turns a rounded negative zero into 0.0 on both engines.
+    sel = ", ".join(f"round(CAST({c} AS DOUBLE), {digits}) + 0.0 AS {c}" if c in doubles else c
                     for c in columns)
     return f"SELECT {sel} FROM (\n{sql}\n) oracle_q"
 
