@@ -72,13 +72,14 @@ def resolution_from_status(c) -> Column:
     return F.coalesce(norm_key(c) == "resolved", F.lit(False)).cast("double")
 
 
+def alias_map(aliases=K.ISSUE_ALIASES) -> Column:
+    """The alias table as a literal map column."""
+    return F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
+
+
 def intent_of(issue, aliases=K.ISSUE_ALIASES) -> Column:
     """Map an issue type through the alias table to an intent (else null)."""
-    k = norm_key(issue)
-    expr = F.lit(None).cast("string")
-    for alias, intent in aliases.items():
-        expr = F.when(k == alias, intent).otherwise(expr)
-    return expr
+    return F.try_element_at(alias_map(aliases), norm_key(issue))
 
 
 def numeric_or_zero(c) -> Column:

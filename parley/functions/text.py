@@ -19,9 +19,14 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every character Python's ``str.isspace`` accepts (``str.strip()`` removes these).
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                 + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip_ws(c) -> Column:
-    """``str.strip()``: remove leading/trailing (Unicode) whitespace."""
-    return F.regexp_replace(col(c), _EDGE_WS, "")
+    """``str.strip()``: remove leading/trailing whitespace (no regex)."""
+    return F.btrim(col(c), F.lit(PY_WHITESPACE))
 
 
 def collapse_ws(c) -> Column:

@@ -66,9 +66,10 @@ def with_duration_deviation(calls: DataFrame, means: DataFrame) -> DataFrame:
 
 def intent_onehot(calls: DataFrame, aliases=K.ISSUE_ALIASES, intents=K.INTENTS) -> DataFrame:
     """M7/M8: fixed ten-column one-hot through the alias table; unknown -> zeros."""
-    intent = R.intent_of("issue_type", aliases)
-    return calls.select("*", *[F.coalesce(intent == i, F.lit(False)).cast("double").alias(f"intent_{i}")
-                               for i in intents])
+    # Normalise and map once, then compare the mapped column per intent.
+    df = calls.withColumn("_intent", R.intent_of("issue_type", aliases))
+    return df.select(*calls.columns, *[F.coalesce(F.col("_intent") == i, F.lit(False)).cast("double")
+                                       .alias(f"intent_{i}") for i in intents])
 
 
 def metadata_features(calls: DataFrame, split: DataFrame | None = None, rule: str = "train",
