@@ -138,3 +138,18 @@ def q_text_leg(spark, sf):
     data = f.join(tx, "call_id")
     model = ML.fit_text_leg(data.where(F.col("split") == "train"))
     return ML.text_leg_predict(model, data.where(F.col("split") != "train"))
+
+
+@query("tree_attribution", columns=["call_id", "ord", "feature", "value"],
+       note="L15: path-dependent TreeSHAP of the forest per test call (mapInPandas)")
+def q_tree_attribution(spark, sf):
+    from ..operators.explain import forest_attributions
+    model, _, _, test = _forest(spark, sf)
+    wide = forest_attributions(spark, model, test)
+    return H.attributions_long(wide, K.FEATURE_COLUMNS)
+
+
+@query("tree_global_importance", columns=["feature", "mean_abs"],
+       note="L17: mean |TreeSHAP| per feature over the test split")
+def q_tree_global_importance(spark, sf):
+    return q_tree_attribution(spark, sf).groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs"))
