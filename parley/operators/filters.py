@@ -63,3 +63,8 @@ def phrase_hits(turns: DataFrame, table: DataFrame) -> DataFrame:
     t = turns.select("call_id", "pos", F.lower(F.col("text")).alias("_lt"))
     p = sized_broadcast(table, MAX_BROADCAST_PHRASES)
     return t.join(p, F.col("_lt").contains(F.col("phrase"))).select("call_id", "pos", "kind", "phrase")
+
+
+def random_row(df: DataFrame, seed: int = 42) -> DataFrame:
+    """K7: one random row (seeded); a top-1 by a random key, no full sort."""
+    return df.orderBy(F.rand(seed)).limit(1)

@@ -126,3 +126,17 @@ def attributions_long(wide: DataFrame, features, key: str = "call_id") -> DataFr
     """Wide attribution columns -> ``(call_id, ord, feature, value)``."""
     stack = ", ".join(f"{i}, '{c}', `{c}`" for i, c in enumerate(features))
     return wide.selectExpr(key, f"stack({len(features)}, {stack}) AS (ord, feature, value)")
+
+
+def display_name(c, labels=K.FEATURE_LABELS):
+    """Display label of a feature name, prettified when not in the table."""
+    lit_map = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
+    return F.coalesce(F.try_element_at(lit_map, F.col(c)), F.initcap(F.translate(F.col(c), "_", " ")))
+
+
+def attribution_chart_feed(attr_long: DataFrame) -> DataFrame:
+    """Per call, attributions with display label and sign, ascending by value."""
+    w = Window.partitionBy("call_id").orderBy("value", "ord")
+    return attr_long.select("call_id", "feature", display_name("feature").alias("label"), "value",
+                            F.when(F.col("value") > 0, "positive").otherwise("negative").alias("sign"),
+                            F.row_number().over(w).alias("bar"))

@@ -162,3 +162,19 @@ def q_call_report(spark, sf):
     mapped = fx_mapped(spark, sf)
     rep = RP.call_report(scores, scored_fx_turns(spark, sf), mapped, H.coaching(mapped))
     return RP.flat_report(rep)
+
+
+LABELS_CASE = "CASE feature " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.FEATURE_LABELS.items()) + \
+    " ELSE array_to_string(list_transform(string_split(replace(feature, '_', ' '), ' '), " \
+    "lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') END"
+
+
+@query("attribution_chart_feed", columns=["call_id", "feature", "label", "value", "sign", "bar"],
+       doubles=["value"],
+       oracle=oracle_with("fx_transcripts", "fx_preds") + f"""
+, attr AS ({' UNION ALL '.join(f"SELECT p.call_id, {i} AS ord, '{f}' AS feature, {e} AS value FROM fx_preds p WHERE p.call_id IN (SELECT call_id FROM fx_transcripts)" for i, (f, e) in enumerate(ATTR_EXPR))})
+SELECT call_id, feature, {LABELS_CASE} AS label, value,
+  CASE WHEN value > 0 THEN 'positive' ELSE 'negative' END AS sign,
+  row_number() OVER (PARTITION BY call_id ORDER BY value, ord) AS bar FROM attr""")
+def q_attribution_chart_feed(spark, sf):
+    return H.attribution_chart_feed(fx_attributions(spark, sf))

@@ -59,3 +59,12 @@ def test_top_attributions(spark):
     long = H.attributions_long(wide, ["a", "b", "c", "d", "e", "f"])
     top = [r.feature for r in H.top_attributions(long, 5).orderBy("rank").collect()]
     assert top == ["b", "c", "e", "f", "a"]
+
+
+def test_display_names_and_random_row(spark):
+    from parley.operators.filters import random_row
+    df = spark.createDataFrame([("repeat_contact",), ("intent_login",)], "feature string")
+    assert [r.l for r in df.select(H.display_name("feature").alias("l")).collect()] == ["Repeat Contact", "Intent Login"]
+    big = spark.range(1000)
+    a, b = random_row(big, 7).collect(), random_row(big, 7).collect()
+    assert len(a) == 1 and a == b
