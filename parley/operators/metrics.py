@@ -60,11 +60,15 @@ def prediction_spread(preds: DataFrame, y: str = "y") -> DataFrame:
 
 
 def _row_pop_std(cols) -> F.Column:
-    """Population std across columns of one row (nulls ignored)."""
-    arr = F.filter(F.array(*[F.col(c).cast("double") for c in cols]), lambda x: x.isNotNull())
-    n = F.size(arr)
-    mean = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x) / n
-    var = F.aggregate(arr, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / n
+    """Population std across columns of one row (nulls ignored).
+
+    Plain arithmetic over the fixed member list (no higher-order functions),
+    so it stays inside whole-stage codegen.
+    """
+    xs = [F.col(c).cast("double") for c in cols]
+    n = sum((x.isNotNull().cast("double") for x in xs), F.lit(0.0))
+    mean = sum((F.coalesce(x, F.lit(0.0)) for x in xs), F.lit(0.0)) / n
+    var = sum((F.coalesce((x - mean) * (x - mean), F.lit(0.0)) for x in xs), F.lit(0.0)) / n
     return F.when(n > 0, F.sqrt(var))
 
 

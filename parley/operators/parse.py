@@ -51,13 +51,17 @@ def parse_transcripts(calls: DataFrame, text_col: str = "transcript_text",
 
 def pipe_turns(calls: DataFrame, text_col: str = "transcript_text",
                key: str = "call_id") -> DataFrame:
-    """``[t.strip() for t in text.split('|') if t.strip()]``."""
-    parts = F.transform(F.split(F.col(text_col), r"\|"), lambda x: strip_ws(x))
-    kept = F.filter(parts, lambda x: x != F.lit(""))
-    arr = F.transform(kept, lambda x, i: F.struct(
-        (i + 1).cast("bigint").alias("turn_number"), F.lit(None).cast("string").alias("speaker"),
-        x.alias("text")))
-    return _explode_turns(calls, key, F.coalesce(arr, F.array()))
+    """``[t.strip() for t in text.split('|') if t.strip()]``.
+
+    One ``filter`` on the split array keeps positions dense; stripping and
+    numbering happen after the explode as plain (codegen) expressions.
+    """
+    kept = F.filter(F.split(F.col(text_col), r"\|"), lambda x: strip_ws(x) != F.lit(""))
+    kept = F.coalesce(kept, F.array().cast("array<string>"))
+    out = calls.select(F.col(key).alias("call_id"), F.size(kept).alias("n_turns"),
+                       F.posexplode(kept).alias("pos", "_t"))
+    return out.select("call_id", "pos", (F.col("pos") + 1).cast("bigint").alias("turn_number"),
+                      F.lit(None).cast("string").alias("speaker"), strip_ws("_t").alias("text"), "n_turns")
 
 
 def line_turns(calls: DataFrame, text_col: str = "transcript_text", key: str = "call_id",
@@ -65,17 +69,20 @@ def line_turns(calls: DataFrame, text_col: str = "transcript_text", key: str = "
     """``text.split('\\n')`` lines in order (blank lines kept unless asked).
 
     With ``alternate_speakers`` lines alternate AGENT / CUSTOMER by kept
-    position (used to derive turn tables from plain documents).
+    position (used to derive turn tables from plain documents).  Only the
+    optional blank-line ``filter`` runs on the array; the rest is computed
+    after the explode.
     """
     lines = F.split(F.col(text_col), "\n")
     if drop_blank:
         lines = F.filter(lines, lambda x: F.trim(x) != F.lit(""))
-    arr = F.transform(lines, lambda x, i: F.struct(
-        (i + 1).cast("bigint").alias("turn_number"),
-        (F.when(i % 2 == 0, "AGENT").otherwise("CUSTOMER") if alternate_speakers
-         else F.lit(None).cast("string")).alias("speaker"),
-        x.alias("text")))
-    return _explode_turns(calls, key, F.coalesce(arr, F.array()))
+    lines = F.coalesce(lines, F.array().cast("array<string>"))
+    out = calls.select(F.col(key).alias("call_id"), F.size(lines).alias("n_turns"),
+                       F.posexplode(lines).alias("pos", "text"))
+    speaker = (F.when(F.col("pos") % 2 == 0, "AGENT").otherwise("CUSTOMER") if alternate_speakers
+               else F.lit(None).cast("string"))
+    return out.select("call_id", "pos", (F.col("pos") + 1).cast("bigint").alias("turn_number"),
+                      speaker.alias("speaker"), "text", "n_turns")
 
 
 def add_synthetic_timestamps(turns: DataFrame, calls: DataFrame | None = None,

@@ -59,21 +59,32 @@ def empathy_phrase(lines: DataFrame, words=K.EVIDENCE_EMPATHY) -> DataFrame:
 
 def evidence_table(lines: DataFrame, rules: DataFrame, repeat=K.EVIDENCE_REPEAT,
                    transfer=K.EVIDENCE_TRANSFER, empathy=K.EVIDENCE_EMPATHY) -> DataFrame:
-    """Long ``(call_id, feature, phrase)`` for the four evidence finders."""
-    parts = [
-        repeat_phrase(lines, repeat).select("call_id", F.lit("repeat_contact").alias("feature"),
-                                            F.col("repeat_phrase").alias("phrase")),
-        transfer_phrase(lines, transfer).select("call_id", F.lit("transfer_count").alias("feature"),
-                                                F.col("transfer_phrase").alias("phrase")),
-        final_sentiment_phrase(lines, rules).select("call_id", F.lit("final_sentiment").alias("feature"),
-                                                    F.col("final_sentiment_phrase").alias("phrase")),
-        empathy_phrase(lines, empathy).select("call_id", F.lit("empathy_density").alias("feature"),
-                                              F.col("empathy_phrase").alias("phrase")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Long ``(call_id, feature, phrase)`` for the four evidence finders.
+
+    One aggregate over the lines: each finder is a ``min_by`` whose ordering
+    key is null outside its candidate lines (nulls are ignored), so the
+    four choices share a single shuffle.  Tail-line sentiment comes from one
+    keyed join with the per-line scores.
+    """
+    low = F.lower(F.col("text"))
+    in_tail = F.col("pos") >= F.floor(F.col("n_lines") * 4 / 5)
+    tail = lines.where(in_tail)
+    scores = score_texts(tail, ["call_id", "pos"], "text", rules, keep_all=False)
+    k = count_present(low, [w.lower() for w in empathy])
+    j = lines.join(scores, ["call_id", "pos"], "left").select(
+        "call_id", "pos", "text",
+        contains_any(low, [p.lower() for p in repeat]).alias("_rep"),
+        contains_any(low, [p.lower() for p in transfer]).alias("_tra"),
+        in_tail.alias("_tail"), F.coalesce("compound", F.lit(0.0)).alias("_c"), k.alias("_k"))
+    agg = j.groupBy("call_id").agg(
+        strip_ws(F.min_by("text", F.when(F.col("_rep"), F.col("pos")))).alias("repeat_contact"),
+        strip_ws(F.min_by("text", F.when(F.col("_tra"), F.col("pos")))).alias("transfer_count"),
+        strip_ws(F.min_by("text", F.when(F.col("_tail"), F.struct("_c", "pos")))).alias("final_sentiment"),
+        F.min_by("text", F.when(F.col("_k") > 0, F.struct(-F.col("_k"), F.col("pos")))).alias("empathy_density"))
+    long = agg.selectExpr("call_id", "stack(4, 'repeat_contact', repeat_contact, 'transfer_count', "
+                          "transfer_count, 'final_sentiment', final_sentiment, 'empathy_density', "
+                          "empathy_density) AS (feature, phrase)")
+    return long.where(F.col("phrase").isNotNull())
 
 
 def map_phrases(attributions: DataFrame, evidence: DataFrame,
