@@ -22,7 +22,7 @@ from ..functions import rules as R
 from ..functions.text import contains_any, word_count
 from .parse import with_turn_counts
 from .sentiment import score_texts
-from .structure import _agent_aggs, _structure_aggs
+from .structure import _agent_aggs, _structure_aggs, with_previous_speaker
 
 MAX_BROADCAST_GROUPS = 1_000_000
 
@@ -93,17 +93,17 @@ def turn_table_features(turns: DataFrame, rules: DataFrame, *, resolution=K.RESO
     agent = F.upper(F.coalesce(F.col("speaker"), F.lit(""))) == "AGENT"
     n = F.col("n_turns")
     tail_k = F.greatest(F.lit(1), F.floor(n / 5).cast("int"))
+    carried = ["prev_speaker"] if "prev_speaker" in t.columns else []
     flags = t.select(
-        "call_id", "pos", "speaker", "n_turns",
+        "call_id", "pos", "speaker", "n_turns", *carried,
         agent.cast("int").alias("is_agent"),
         word_count("text").alias("wc"),
         ((F.col("pos") >= n - tail_k) & contains_any(low, resolution)).cast("int").alias("tail_resolved"),
         (agent & contains_any(low, empathy)).cast("int").alias("agent_empathy"),
         (agent & contains_any(low, apology)).cast("int").alias("agent_apology"),
         (agent & contains_any(low, transfer)).cast("int").alias("agent_transfer"))
-    prev = t.select("call_id", (F.col("pos") + 1).alias("pos"), F.col("speaker").alias("prev_speaker"))
     scores = score_texts(t, ["call_id", "pos"], "text", rules, keep_all=False)
-    j = (flags.join(prev, ["call_id", "pos"], "left")
+    j = (with_previous_speaker(flags, t)
               .join(scores, ["call_id", "pos"], "left")
               .withColumn("compound", F.coalesce("compound", F.lit(0.0)))
               .withColumn("interruption",

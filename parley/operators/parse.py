@@ -18,14 +18,23 @@ from ..functions.text import collapse_ws, strip_ws
 # flags (i: case-insensitive, s: dot-all, U: Unicode classes and case).
 TURN_PATTERN = r"(?isU)Turn\s*(\d+)\s*:\s*(AGENT|CUSTOMER)\s*:\s*(.*?)(?=Turn\s*\d+\s*:|$)"
 
-TURN_COLUMNS = ["call_id", "pos", "turn_number", "speaker", "text", "n_turns"]
+TURN_COLUMNS = ["call_id", "pos", "turn_number", "speaker", "text", "n_turns", "prev_speaker"]
 
 
 def _explode_turns(df: DataFrame, key: str, arr, keep=()) -> DataFrame:
-    out = (df.select(F.col(key).alias("call_id"), *keep, arr.alias("_t"))
-             .select("call_id", *keep, F.size("_t").alias("n_turns"),
-                     F.posexplode("_t").alias("pos", "_turn")))
-    return out.select("call_id", "pos", "_turn.*", "n_turns", *keep)
+    """Explode an array of turn structs; attach the previous kept turn's speaker.
+
+    The array is materialised as a column first (the optimizer does not
+    inline an expensive producer referenced twice), then each element gets
+    ``prev_speaker`` from its neighbour in the same row — no join needed.
+    """
+    staged = df.select(F.col(key).alias("call_id"), *keep, arr.alias("_t"))
+    with_prev = F.transform(F.col("_t"), lambda x, i: x.withField(
+        "prev_speaker", F.when(i > 0, F.col("_t")[i - 1]["speaker"])))
+    out = staged.select("call_id", *keep, F.size("_t").alias("n_turns"),
+                        F.posexplode(with_prev).alias("pos", "_turn"))
+    return out.select("call_id", "pos", "_turn.turn_number", "_turn.speaker", "_turn.text", "n_turns",
+                      "_turn.prev_speaker", *keep)
 
 
 def parse_transcripts(calls: DataFrame, text_col: str = "transcript_text",
@@ -61,7 +70,8 @@ def pipe_turns(calls: DataFrame, text_col: str = "transcript_text",
     out = calls.select(F.col(key).alias("call_id"), F.size(kept).alias("n_turns"),
                        F.posexplode(kept).alias("pos", "_t"))
     return out.select("call_id", "pos", (F.col("pos") + 1).cast("bigint").alias("turn_number"),
-                      F.lit(None).cast("string").alias("speaker"), strip_ws("_t").alias("text"), "n_turns")
+                      F.lit(None).cast("string").alias("speaker"), strip_ws("_t").alias("text"), "n_turns",
+                      F.lit(None).cast("string").alias("prev_speaker"))
 
 
 def line_turns(calls: DataFrame, text_col: str = "transcript_text", key: str = "call_id",
@@ -79,10 +89,14 @@ def line_turns(calls: DataFrame, text_col: str = "transcript_text", key: str = "
     lines = F.coalesce(lines, F.array().cast("array<string>"))
     out = calls.select(F.col(key).alias("call_id"), F.size(lines).alias("n_turns"),
                        F.posexplode(lines).alias("pos", "text"))
-    speaker = (F.when(F.col("pos") % 2 == 0, "AGENT").otherwise("CUSTOMER") if alternate_speakers
-               else F.lit(None).cast("string"))
-    return out.select("call_id", "pos", (F.col("pos") + 1).cast("bigint").alias("turn_number"),
-                      speaker.alias("speaker"), "text", "n_turns")
+    pos = F.col("pos")
+    if alternate_speakers:
+        speaker = F.when(pos % 2 == 0, "AGENT").otherwise("CUSTOMER")
+        prev = F.when(pos > 0, F.when(pos % 2 == 1, "AGENT").otherwise("CUSTOMER"))
+    else:
+        speaker = prev = F.lit(None).cast("string")
+    return out.select("call_id", "pos", (pos + 1).cast("bigint").alias("turn_number"),
+                      speaker.alias("speaker"), "text", "n_turns", prev.alias("prev_speaker"))
 
 
 def add_synthetic_timestamps(turns: DataFrame, calls: DataFrame | None = None,

@@ -1,7 +1,8 @@
 """Conversation-structure and agent-behaviour features.
 
 Plan shape: per-turn flags are computed map-side (no text is shuffled),
-the previous speaker comes from an equi-join on ``(call_id, pos-1)`` — keyed
+the previous speaker is carried from the parser (or, for other turn tables,
+comes from an equi-join on ``(call_id, pos-1)``) — keyed
 by turn, so a call holding a third of all turns still spreads over many
 tasks — and every per-call feature is one ``groupBy('call_id')`` whose
 partial aggregation collapses rows before the shuffle.
@@ -21,9 +22,17 @@ STRUCTURE_COLUMNS = ["talk_time_ratio", "avg_agent_words", "avg_customer_words",
 AGENT_COLUMNS = ["empathy_density", "apology_count", "transfer_count"]
 
 
-def with_previous_speaker(turns: DataFrame) -> DataFrame:
-    """Previous turn's speaker via a keyed self-join (``lag`` equivalent)."""
-    prev = turns.select("call_id", (F.col("pos") + 1).alias("pos"),
+def with_previous_speaker(turns: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """Previous turn's speaker (``lag`` equivalent).
+
+    Parsed turn tables already carry ``prev_speaker`` (taken in-row before
+    the explode).  Otherwise it comes from a keyed self-join on
+    ``(call_id, pos-1)`` — keyed by turn, never a window over a whole call.
+    """
+    if "prev_speaker" in turns.columns:
+        return turns
+    source = turns if source is None else source
+    prev = source.select("call_id", (F.col("pos") + 1).alias("pos"),
                         F.col("speaker").alias("prev_speaker"))
     return turns.join(prev, ["call_id", "pos"], "left")
 
@@ -37,15 +46,16 @@ def turn_flags(turns: DataFrame, *, resolution=K.RESOLUTION_PHRASES, empathy=K.E
     agent = F.upper(F.coalesce(F.col("speaker"), F.lit(""))) == "AGENT"
     n = F.col("n_turns")
     tail_k = F.greatest(F.lit(1), F.floor(n / 5).cast("int"))
+    carried = ["prev_speaker"] if "prev_speaker" in t.columns else []
     flags = t.select(
-        "call_id", "pos", "speaker", "n_turns",
+        "call_id", "pos", "speaker", "n_turns", *carried,
         agent.cast("int").alias("is_agent"),
         word_count("text").alias("wc"),
         ((F.col("pos") >= n - tail_k) & contains_any(low, resolution)).cast("int").alias("tail_resolved"),
         (agent & contains_any(low, empathy)).cast("int").alias("agent_empathy"),
         (agent & contains_any(low, apology)).cast("int").alias("agent_apology"),
         (agent & contains_any(low, transfer)).cast("int").alias("agent_transfer"))
-    flags = with_previous_speaker(flags)
+    flags = with_previous_speaker(flags, t)
     return flags.withColumn(
         "interruption",
         (F.col("prev_speaker").isNotNull() & (F.col("speaker") != F.col("prev_speaker"))
@@ -106,7 +116,8 @@ def avg_word_counts(turns: DataFrame) -> DataFrame:
 
 def interruption_counts(turns: DataFrame, max_words: int = 5) -> DataFrame:
     """Turns that change speaker and have fewer than ``max_words`` words."""
-    t = turns.select("call_id", "pos", "speaker", word_count("text").alias("wc"))
+    carried = ["prev_speaker"] if "prev_speaker" in turns.columns else []
+    t = turns.select("call_id", "pos", "speaker", *carried, word_count("text").alias("wc"))
     t = with_previous_speaker(t)
     hit = (F.col("prev_speaker").isNotNull() & (F.col("speaker") != F.col("prev_speaker"))
            & (F.col("wc") < max_words)).cast("int")

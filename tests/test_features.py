@@ -87,3 +87,12 @@ def test_phrase_semi_anti(spark):
     w = [r.call_id for r in FL.calls_with_phrase(calls, turns, ["transfer you"]).collect()]
     wo = [r.call_id for r in FL.calls_with_phrase(calls, turns, ["transfer you"], negate=True).collect()]
     assert w == [0] and wo == [1]
+
+
+def test_carried_prev_speaker_equals_join(spark):
+    text = ("Turn 1: AGENT: hi there friend\nTurn 2: SYSTEM: x\nTurn 3: AGENT: ok\nTurn 4: CUSTOMER:   \n"
+            "Turn 5: CUSTOMER: no\nTurn 6: AGENT: fine then")
+    turns = P.parse_transcripts(calls_df(spark, [text, FIVE]))
+    a = {r.call_id: r.interruption_count for r in S.interruption_counts(turns).collect()}
+    b = {r.call_id: r.interruption_count for r in S.interruption_counts(turns.drop("prev_speaker")).collect()}
+    assert a == b and a[0] == 2.0
