@@ -152,9 +152,13 @@ def best_ensemble(spark: SparkSession, val: DataFrame, test: DataFrame,
 
 
 def calibration(wide: DataFrame, y: str = "y", models=("ridge", "rf", "ensemble")) -> DataFrame:
-    """Calibration rows with the dataset mean of the truth."""
-    return wide.select("call_id", F.col(y).alias("y_true"), *models,
-                       F.avg(y).over(Window.partitionBy()).alias("dataset_mean"))
+    """Calibration rows with the dataset mean of the truth.
+
+    The mean is a one-row global aggregate (partial sums per task) joined
+    back to every row — never an unpartitioned window over the raw rows.
+    """
+    mean = wide.agg(F.avg(y).alias("dataset_mean"))
+    return wide.select("call_id", F.col(y).alias("y_true"), *models).crossJoin(mean)
 
 
 def density_histogram(df: DataFrame, col: str, lo: float = 1.0, hi: float = 5.0,
@@ -209,5 +213,13 @@ def ablation_pivot(ablation: DataFrame) -> DataFrame:
 
 def delta_vs_baseline(results: DataFrame, order: str = "run_idx", metric: str = "mae") -> DataFrame:
     """Each run's metric minus the first (baseline) run's."""
+    # ``results`` is a small table of runs (one row per configuration).
     base = F.first(metric).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
     return results.withColumn(f"{metric}_delta", F.col(metric) - base)
+
+
+def model_finding(metrics: DataFrame, model: str = "text", baseline: str = "ridge") -> DataFrame:
+    """Is ``model`` worse (higher MAE) than ``baseline``?  One row."""
+    m = F.max(F.when(F.col("model") == model, F.col("mae")))
+    b = F.max(F.when(F.col("model") == baseline, F.col("mae")))
+    return metrics.agg(m.alias("mae_model"), b.alias("mae_baseline"), (m > b).alias("model_worse"))

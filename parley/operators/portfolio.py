@@ -50,6 +50,7 @@ def portfolio_stats(base: DataFrame) -> DataFrame:
     for gid, name in SET_NAMES.items():
         set_name = F.when(F.col("_gid") == gid, name).otherwise(set_name)
     key = F.coalesce("issue_type", "emotional_arc", "call_duration")
+    # Totals below are windows over the aggregated rows (one per group), not raw rows.
     total = F.max(F.when(F.col("_gid") == 7, F.col("n_calls"))).over(Window.partitionBy())
     return agg.select(set_name.alias("set_name"),
                       F.when(F.col("_gid") == 7, F.lit("*")).otherwise(key).alias("group_key"),
@@ -69,6 +70,7 @@ def repeat_rate_by_issue(base: DataFrame) -> DataFrame:
 
 def distribution(base: DataFrame, dim: str) -> DataFrame:
     """Percentage of calls per value of ``dim``."""
+    # Totals below are windows over the aggregated rows (one per group), not raw rows.
     c = base.groupBy(dim).agg(F.count(F.lit(1)).alias("n"))
     return c.select(dim, (F.col("n") / F.sum("n").over(Window.partitionBy()) * 100).alias("pct"))
 
@@ -81,6 +83,7 @@ def csat_distribution(base: DataFrame) -> DataFrame:
 
 def resolution_counts(features: DataFrame, col: str = "resolution_flag") -> DataFrame:
     """Value counts, resolved %, skew warning when |pct - 50| > 15."""
+    # Totals below are windows over the aggregated rows (one per group), not raw rows.
     c = features.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     tot = F.sum("n").over(Window.partitionBy())
     res = F.sum(F.when(F.col(col) == 1, F.col("n")).otherwise(0)).over(Window.partitionBy())

@@ -11,6 +11,7 @@ from ..functions.text import title_label
 from ..operators import features as FE
 from ..operators import filters as FL
 from ..operators.split import stratified_split
+from ..session import cut_lineage
 from ..sources.fixtures import FX_PHRASES, FX_SQL, fx, oracle_with
 from .oracle_parts import contains_any, scored_cte
 from .q_sentiment import fx_rules
@@ -167,8 +168,11 @@ def q_score_band(spark, sf):
 
 def fx_features(spark, sf):
     c = fx(spark, sf, "fx_calls")
+    # The split labels feed both the train-only intent means and the output
+    # column: materialise them once (reliable checkpoint in the shared folder).
+    split = cut_lineage(stratified_split(c))
     return FE.build_features(
-        c, fx(spark, sf, "fx_turns"), fx_rules(spark), split=stratified_split(c),
+        c, fx(spark, sf, "fx_turns"), fx_rules(spark), split=split,
         max_words=10, resolution=FX_PHRASES["resolution"], empathy=FX_PHRASES["empathy"],
         apology=FX_PHRASES["apology"], transfer=FX_PHRASES["transfer"])
 

@@ -249,3 +249,12 @@ def q_scaled_features(spark, sf):
     f = fx_features(spark, sf)
     sc: Scaler = fit_scaler(f.where(F.col("split") == "train"))
     return f.select("call_id", *[col.alias(f"z_{name}") for name, col in zip(sc.features, sc.columns())])
+
+
+@query("text_vs_ridge", columns=["mae_model", "mae_baseline", "model_worse"],
+       doubles=["mae_model", "mae_baseline"],
+       oracle=LONG_TEST + ", mt AS (" + metrics_sql("lt", "model") + """)
+SELECT max(CASE WHEN model = 'text' THEN mae END) AS mae_model, max(CASE WHEN model = 'ridge' THEN mae END) AS mae_baseline,
+  max(CASE WHEN model = 'text' THEN mae END) > max(CASE WHEN model = 'ridge' THEN mae END) AS model_worse FROM mt""")
+def q_text_vs_ridge(spark, sf):
+    return M.model_finding(M.evaluate(long_test(spark, sf), by=["model"]))
