@@ -325,6 +325,20 @@ def fit_text_leg(train: DataFrame, text_col: str = "transcript_text", target: st
     return pipe.fit(data)
 
 
+def fit_text_leg_search(train: DataFrame, val: DataFrame, regs=(0.01, 0.1, 1.0),
+                        text_col: str = "transcript_text", target: str = K.TARGET, **kw):
+    """Keep the text leg with the lowest validation MAE (first wins ties)."""
+    from .metrics import metric_aggs
+    best = None
+    for i, reg in enumerate(regs):
+        m = fit_text_leg(train, text_col, target, reg=reg, **kw)
+        p = text_leg_predict(m, val, text_col, keep=[F.col(target).alias("y")])
+        mae = p.agg(*metric_aggs("y", "pred")).first()["mae"]
+        if mae is not None and (best is None or mae < best[0]):
+            best = (mae, i, m)
+    return best[2] if best else fit_text_leg(train, text_col, target, **kw)
+
+
 def text_leg_predict(model, df: DataFrame, text_col: str = "transcript_text", keep=("call_id",)) -> DataFrame:
     data = df.na.drop(subset=[text_col])
     return model.transform(data).select(*keep, R.clip("pred").alias("pred"))

@@ -131,13 +131,13 @@ def q_rf_importances(spark, sf):
 
 
 @query("text_leg", columns=["call_id", "pred"],
-       note="L13: hashed TF-IDF (first 512 tokens) + linear regression on transcripts")
+       note="L13: hashed TF-IDF (first 512 tokens) + linear regression, regularisation picked on val")
 def q_text_leg(spark, sf):
     f = fx_features(spark, sf).select("call_id", "csat_score", "split")
     tx = fx(spark, sf, "fx_transcripts")
     data = f.join(tx, "call_id")
-    model = ML.fit_text_leg(data.where(F.col("split") == "train"))
-    return ML.text_leg_predict(model, data.where(F.col("split") != "train"))
+    model = ML.fit_text_leg_search(data.where(F.col("split") == "train"), data.where(F.col("split") == "val"))
+    return ML.text_leg_predict(model, data.where(F.col("split") == "test"))
 
 
 @query("tree_attribution", columns=["call_id", "ord", "feature", "value"],

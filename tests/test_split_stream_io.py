@@ -47,3 +47,22 @@ def test_csv_roundtrip_keeps_multiline_and_spaces(spark):
 def test_update_table_refuses_in_place(spark):
     with pytest.raises(ValueError):
         IO.update_table(spark, "/x/y", "/x/y/", lambda d: d)
+
+
+def test_preds_roundtrip_and_json_arrays(spark):
+    preds = spark.createDataFrame([(1, "test", "ridge", 3.5), (2, "test", "rf", 2.0), (3, "val", "ridge", 4.0)],
+                                  IO.PREDS_SCHEMA)
+    path = SJ.scratch_path(spark, "test-preds")
+    IO.write_preds(preds, path)
+    back = IO.read_preds(spark, path)
+    assert sorted(map(tuple, back.select("call_id", "split", "model", "pred").collect())) == \
+        sorted(map(tuple, preds.collect()))
+    assert back.where("split = 'val'").count() == 1          # partition pruning path
+    doc = spark.createDataFrame([([3.0, 4.0], [2.9, 4.2], 3.5)], "y_true array<double>, ridge array<double>, dataset_mean double")
+    jpath = SJ.scratch_path(spark, "test-json")
+    IO.write_json(doc, jpath)
+    rows = IO.explode_arrays(IO.read_json(spark, jpath), ["y_true", "ridge"]).orderBy("i").collect()
+    assert [(r.y_true, r.ridge) for r in rows] == [(3.0, 2.9), (4.0, 4.2)]
+    assert IO.header_columns(spark, path) == ["call_id", "pred", "split", "model"]
+    js = IO.metrics_json(preds.limit(1)).collect()[0].json
+    assert '"model"' in js
