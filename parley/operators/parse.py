@@ -47,15 +47,17 @@ def parse_transcripts(calls: DataFrame, text_col: str = "transcript_text",
     """
     t = F.col(text_col)
     pat = F.lit(TURN_PATTERN)
-    nums = F.regexp_extract_all(t, pat, 1)
-    spk = F.regexp_extract_all(t, pat, 2)
-    txt = F.regexp_extract_all(t, pat, 3)
-    zipped = F.transform(nums, lambda n, i: F.struct(
-        n.try_cast("bigint").alias("turn_number"),
-        F.upper(spk[i]).alias("speaker"),
-        collapse_ws(txt[i]).alias("text")))
+    # Each group's matches are extracted once per transcript (as columns) and
+    # zipped; the per-turn lambda only touches its own element.
+    staged = calls.select(F.col(key), *keep, F.regexp_extract_all(t, pat, 1).alias("_n"),
+                          F.regexp_extract_all(t, pat, 2).alias("_s"),
+                          F.regexp_extract_all(t, pat, 3).alias("_x"))
+    zipped = F.transform(F.arrays_zip("_n", "_s", "_x"), lambda x: F.struct(
+        x["_n"].try_cast("bigint").alias("turn_number"),
+        F.upper(x["_s"]).alias("speaker"),
+        collapse_ws(x["_x"]).alias("text")))
     kept = F.filter(zipped, lambda x: x["text"] != F.lit(""))
-    return _explode_turns(calls, key, F.coalesce(kept, F.array()), keep)
+    return _explode_turns(staged, key, F.coalesce(kept, F.array()), keep)
 
 
 def pipe_turns(calls: DataFrame, text_col: str = "transcript_text",
@@ -66,9 +68,10 @@ def pipe_turns(calls: DataFrame, text_col: str = "transcript_text",
     numbering happen after the explode as plain (codegen) expressions.
     """
     kept = F.filter(F.split(F.col(text_col), r"\|"), lambda x: strip_ws(x) != F.lit(""))
-    kept = F.coalesce(kept, F.array().cast("array<string>"))
-    out = calls.select(F.col(key).alias("call_id"), F.size(kept).alias("n_turns"),
-                       F.posexplode(kept).alias("pos", "_t"))
+    # Stage the array as a column: a size() next to the explode would
+    # otherwise re-evaluate the whole split per exploded row.
+    staged = calls.select(F.col(key).alias("call_id"), F.coalesce(kept, F.array().cast("array<string>")).alias("_a"))
+    out = staged.select("call_id", F.size("_a").alias("n_turns"), F.posexplode("_a").alias("pos", "_t"))
     return out.select("call_id", "pos", (F.col("pos") + 1).cast("bigint").alias("turn_number"),
                       F.lit(None).cast("string").alias("speaker"), strip_ws("_t").alias("text"), "n_turns",
                       F.lit(None).cast("string").alias("prev_speaker"))
@@ -86,9 +89,10 @@ def line_turns(calls: DataFrame, text_col: str = "transcript_text", key: str = "
     lines = F.split(F.col(text_col), "\n")
     if drop_blank:
         lines = F.filter(lines, lambda x: F.trim(x) != F.lit(""))
-    lines = F.coalesce(lines, F.array().cast("array<string>"))
-    out = calls.select(F.col(key).alias("call_id"), F.size(lines).alias("n_turns"),
-                       F.posexplode(lines).alias("pos", "text"))
+    # Stage the array as a column: a size() next to the explode would
+    # otherwise re-evaluate the whole split per exploded row.
+    staged = calls.select(F.col(key).alias("call_id"), F.coalesce(lines, F.array().cast("array<string>")).alias("_a"))
+    out = staged.select("call_id", F.size("_a").alias("n_turns"), F.posexplode("_a").alias("pos", "text"))
     pos = F.col("pos")
     if alternate_speakers:
         speaker = F.when(pos % 2 == 0, "AGENT").otherwise("CUSTOMER")

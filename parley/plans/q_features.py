@@ -6,21 +6,19 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import rules as R
-from ..functions.text import contains_any as contains_any_col
 from ..functions.text import title_label
 from ..operators import features as FE
 from ..operators import filters as FL
 from ..operators.split import stratified_split
 from ..session import cut_lineage
-from ..sources.fixtures import FX_PHRASES, FX_SQL, fx, oracle_with
+from ..sources.fixtures import FX_PHRASES, fx, oracle_with
 from .oracle_parts import contains_any, scored_cte
 from .q_sentiment import fx_rules
 from .registry import query
 
 WC = "CAST(len(regexp_extract_all(text, '\\S+')) AS DOUBLE)"
-DORD = ("CASE WHEN call_duration_seconds IS NULL OR isnan(call_duration_seconds) THEN -9 "
+DORD = ("CASE WHEN call_duration_seconds IS NULL OR isnan(call_duration_seconds) THEN 0 "
         "WHEN call_duration_seconds <= 240 THEN -1 WHEN call_duration_seconds <= 420 THEN 0 ELSE 1 END")
-DORD = DORD.replace("THEN -9", "THEN 0")
 IK = "lower(trim(issue_type))"
 
 
@@ -272,7 +270,3 @@ def q_text_label_rows(spark, sf):
     d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     lab = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
     return FL.drop_missing(d.join(lab, "doc_id"), ["text", "quality"]).select("doc_id", "quality")
-
-
-def _unused():  # keep imports referenced for linters
-    return contains_any_col, FX_SQL
