@@ -59,3 +59,13 @@ SELECT call_id, CASE WHEN l - f > 0.15 THEN 'rise' WHEN l - f < -0.15 THEN 'fall
 def q_doc_sentiment_arcs(spark, sf):
     """Arc A over document lines."""
     return N.arc_a(N.turn_sentiments(fx(spark, sf, "fx_doc_turns"), fx_rules(spark)))
+
+
+@query("doc_parse_roundtrip", columns=["call_id", "pos", "turn_number", "speaker", "text"],
+       oracle=oracle_with("fx_doc_turns") + """
+SELECT call_id, CAST(pos AS BIGINT) AS pos, turn_number, speaker, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text
+FROM fx_doc_turns WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''""")
+def q_doc_parse_roundtrip(spark, sf):
+    """P5 then P1 at document scale: transcripts of up to hundreds of turns."""
+    from ..operators.parse import format_transcripts, parse_transcripts
+    return parse_transcripts(format_transcripts(fx(spark, sf, "fx_doc_turns")))
