@@ -29,13 +29,18 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def _round(c, digits: int):
+    """``round(x * 10^d) / 10^d`` on the binary value (both engines round the
+    same IEEE product half away from zero; ``+ 0.0`` clears negative zero)."""
+    scale = float(10 ** digits)
+    return F.round(c.cast("double") * F.lit(scale), 0) / F.lit(scale) + F.lit(0.0)
+
+
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append((F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name))
-        elif isinstance(f.dataType, T.DecimalType):
-            cols.append((F.round(F.col(f.name).cast("double"), digits) + F.lit(0.0)).alias(f.name))
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+            cols.append(_round(F.col(f.name), digits).alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             cols.append(F.col(f.name).cast("bigint").alias(f.name))
         else:
@@ -45,9 +50,10 @@ def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 def wrap_oracle(sql: str, columns: list[str], doubles: list[str], digits: int = DIGITS) -> str:
     """Project ``columns`` of ``sql``, rounding ``doubles`` (DuckDB side)."""
-    # ``+ 0.0`` turns a rounded negative zero into 0.0 on both engines.
-    sel = ", ".join(f"round(CAST({c} AS DOUBLE), {digits}) + 0.0 AS {c}" if c in doubles else c
-                    for c in columns)
+    # Same rounding as ``_round``: the IEEE product, rounded half away from zero.
+    scale = f"CAST({10 ** digits} AS DOUBLE)"
+    sel = ", ".join(f"round(CAST({c} AS DOUBLE) * {scale}) / {scale} + CAST(0 AS DOUBLE) AS {c}"
+                    if c in doubles else c for c in columns)
     return f"SELECT {sel} FROM (\n{sql}\n) oracle_q"
 
 

@@ -30,7 +30,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
-        return (2, f"{round(v, 5):.5f}")
+        # Both sides already rounded to 6 dp: compare exactly (0.0 == -0.0).
+        return (2, repr(v + 0.0))
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
