@@ -62,3 +62,40 @@ def flat_report(report: DataFrame) -> DataFrame:
         F.size("top_negative_phrases").cast("bigint").alias("n_negative"),
         F.array_join("coaching_summary", " | ").alias("coaching_text"),
         F.size("sentiment_series").cast("bigint").alias("n_series"))
+
+
+def predict_calls(calls: DataFrame, rules: DataFrame, ridge, forest=None, text_model=None,
+                  means: DataFrame | None = None, weights=K.DEFAULT_WEIGHTS, **phrases) -> DataFrame:
+    """E2 / L12 in batch: raw calls (transcript + metadata) -> csat, interval, arc.
+
+    Features use the CRM rules (180/600 duration ordinal, resolution from the
+    recorded status); member predictions are keyed by ``call_id`` and
+    blended with renormalisation over the members that are present; the arc
+    is arc B over ``|``-separated turns.
+    """
+    from .features import build_features
+    from .models import forest_predict, text_leg_predict
+    from .parse import parse_transcripts
+    from .sentiment import arc_b
+    turns = parse_transcripts(calls)
+    no_means = means is None
+    if no_means:
+        means = calls.sparkSession.createDataFrame([], "issue_key string, intent_mean_duration double")
+    feats = build_features(calls, turns, rules, means=means, duration_rule="crm", keep=(), **phrases)
+    if no_means:      # without training means the deviation is 0 at scoring time
+        feats = feats.withColumn("duration_deviation", F.lit(0.0))
+    preds = feats.select("call_id", ridge.predict_column().alias("ridge"))
+    if forest is not None:
+        preds = preds.join(forest_predict(forest, feats).withColumnRenamed("pred", "rf"), "call_id", "left")
+    else:
+        preds = preds.withColumn("rf", F.lit(None).cast("double"))
+    if text_model is not None:
+        preds = preds.join(text_leg_predict(text_model, calls).withColumnRenamed("pred", "text"), "call_id", "left")
+    else:
+        preds = preds.withColumn("text", F.lit(None).cast("double"))
+    members = [m for m in ("ridge", "rf", "text")]
+    scored = score_calls(preds, weights={m: weights.get(m, 0.0) for m in members}, members=members,
+                         renormalise=True)
+    return scored.join(arc_b(calls, rules), "call_id", "left").select(
+        "call_id", F.bround("csat", 3).alias("csat_score"),
+        F.bround("ci_low", 3).alias("ci_low"), F.bround("ci_high", 3).alias("ci_high"), "emotional_arc")
