@@ -19,6 +19,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..session import ensure_checkpoint_dir
@@ -50,14 +51,23 @@ def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 def events_as_calls(events: DataFrame) -> DataFrame:
     """Map the event stream to call-like rows: issue = event type, csat from value.
 
-    Watermarks need ``TIMESTAMP``; a ``TIMESTAMP_NTZ`` column is read in the
-    session time zone.
+    Watermarks need ``TIMESTAMP``.  A ``TIMESTAMP_NTZ`` event time is taken
+    as UTC wall time whatever the session time zone, so windows align to UTC
+    days on every cluster.
     """
+    ts = F.col("ts")
+    if isinstance(events.schema["ts"].dataType, T.TimestampNTZType):
+        ts = F.from_utc_timestamp(ts.cast("timestamp"), F.current_timezone())
     return events.select(
-        F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("issue_type"),
+        ts.alias("ts"), F.col("event_type").alias("issue_type"),
         (F.lit(1.0) + F.lit(4.0) * F.least(F.col("value"), F.lit(500.0)) / F.lit(500.0)).alias("csat_score"))
 
 
+def _utc_wall(c):
+    """A window bound as UTC wall time (``TIMESTAMP_NTZ``), independent of the session zone."""
+    return F.to_utc_timestamp(F.col(c), F.current_timezone()).cast("timestamp_ntz")
+
+
 def windowed_portfolio(calls: DataFrame, window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
     """R2 transformation (batch or stream): per window and issue, A1/A5 statistics."""
     s = F.col("csat_score")
@@ -66,7 +76,7 @@ def windowed_portfolio(calls: DataFrame, window: str = "1 day", watermark: str =
                  .agg(F.count(F.lit(1)).alias("n_calls"), F.avg(s).alias("avg_csat"),
                       F.avg((s < K.BAND_AT_RISK).cast("double") * 100).alias("low_pct"),
                       F.avg((s >= K.BAND_SATISFACTORY).cast("double") * 100).alias("high_pct"))
-                 .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                 .select(_utc_wall("w.start").alias("window_start"), _utc_wall("w.end").alias("window_end"),
                          "issue_type", "n_calls", "avg_csat", "low_pct", "high_pct"))
 
 

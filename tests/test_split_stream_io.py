@@ -66,3 +66,17 @@ def test_preds_roundtrip_and_json_arrays(spark):
     assert IO.header_columns(spark, path) == ["call_id", "pred", "split", "model"]
     js = IO.metrics_json(preds.limit(1)).collect()[0].json
     assert '"model"' in js
+
+
+def test_stream_windows_independent_of_session_zone(spark):
+    path = f"{SF}/events.parquet"
+    base = SJ.windowed_portfolio(SJ.events_as_calls(spark.read.parquet(path)))
+    utc = sorted(map(tuple, base.select("window_start", "issue_type", "n_calls").collect()))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        base2 = SJ.windowed_portfolio(SJ.events_as_calls(spark.read.parquet(path)))
+        ny = sorted(map(tuple, base2.select("window_start", "issue_type", "n_calls").collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert utc == ny
