@@ -29,6 +29,9 @@ def _turns(text):
 def register_parse_udtf(spark: SparkSession, name: str = "parse_transcript") -> None:
     from pyspark.sql.functions import udtf
 
+    from ..session import ship_package
+    ship_package(spark)
+
     @udtf(returnType="pos int, turn_number bigint, speaker string, text string")
     class ParseTranscript:
         def eval(self, text):

@@ -66,6 +66,8 @@ def query(name: str, *, oracle: str | None = None, columns: list[str] | None = N
     """
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from ..session import ship_package
+            ship_package(spark)
             df = fn(spark, sf_dir)
             if columns:
                 df = df.select(*columns)

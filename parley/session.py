@@ -55,3 +55,25 @@ def cut_lineage(df):
     """Materialise ``df`` to the shared checkpoint folder (reliable, not local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``parley`` importable in Python workers (``SparkContext.addPyFile``).
+
+    Operators that run Python on executors (``mapInPandas``, the UDTF) pickle
+    references to package functions; a zip of the package is added once per
+    SparkContext (what ``--py-files`` does at submit time).
+    """
+    import shutil
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="parley-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "parley"), "zip", os.path.dirname(pkg), "parley")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
