@@ -84,3 +84,47 @@ def text_size(df: DataFrame, column: str = "text") -> tuple[int, int]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def window_starts(counts: np.ndarray, window: int) -> np.ndarray:
+    """Word numbers at which a whole window of one text starts."""
+    end = np.repeat(np.cumsum(counts), counts)
+    return np.flatnonzero(np.arange(len(end)) + window <= end)
+
+
+def per_text(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum of ``values`` (one for each word) over each text."""
+    total = np.concatenate(([0], np.cumsum(values)))
+    end = np.cumsum(counts)
+    return total[end] - total[end - counts]
+
+
+def append(docs: DataFrame, make, added: str, keep: list[str]) -> DataFrame:
+    """``keep`` columns of ``docs`` and the columns that ``make(texts)`` gives for its ``text`` column.
+
+    ``added`` is the schema of the new columns; ``make`` returns one array for each.
+    """
+    names = [x.split()[0] for x in added.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            new = make(text_bytes(batch.column(0)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *(pa.array(x) for x in new)], names=keep + names)
+
+    kinds = dict(docs.dtypes)
+    src = docs.select(F.col("text").cast("string").alias("__text"), *(F.col(f"`{c}`") for c in keep))
+    return src.mapInArrow(run, ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [added]))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, where, per_class: int) -> DataFrame:
+    """Up to ``per_class`` rows of each class, ``doc_id, label, text``: those with the smallest hashes of doc_id.
+
+    At most ``2 * per_class`` ids are broadcast to find the texts.
+    """
+    marked = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
+              .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).where(where)
+              .groupBy("doc_id").agg(F.max("label").alias("label")))
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    picked = [marked.where(F.col("label") == k).orderBy(*order).limit(per_class) for k in (0, 1)]
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("doc_id", "label", "text")

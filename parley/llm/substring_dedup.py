@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, steps, text_bytes, word_codes
+from .common import mix, steps, text_bytes, window_starts, word_codes
 
 U = np.uint64
 LAST = np.iinfo(np.int64).max
@@ -222,12 +222,6 @@ def _unpack_text(t: pa.Table):
     return np.concatenate(ids), np.concatenate(null), texts
 
 
-def _starts(counts: np.ndarray, window: int) -> np.ndarray:
-    """Word numbers at which a whole window of one text starts."""
-    end = np.repeat(np.cumsum(counts), counts)
-    return np.flatnonzero(np.arange(len(end)) + window <= end)
-
-
 def _candidates(buckets, window, rounds):
     """A chunk's texts and shared symbols -> (bucket, chunk, windows that another chunk may hold)."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -248,7 +242,7 @@ def _candidates(buckets, window, rounds):
             change = np.zeros(len(a) + 1, np.int32)
             np.add.at(change, np.maximum(last[alone] - window + 1, 0), 1)
             np.add.at(change, first[alone] + 1, -1)
-            start = _starts(counts, window)
+            start = window_starts(counts, window)
             start = start[np.cumsum(change)[start] == 0]
             x, y = _window_names(a, b, window)
             found.append(np.stack((x[start], y[start]), 1))
@@ -306,7 +300,7 @@ def _finish(window):
         xs, ys, counts, outside = [], [], [], []
         for lo, hi in steps(texts):
             a, b, n = _names(texts[lo:hi])
-            start = _starts(n, window)
+            start = window_starts(n, window)
             x, y = (v[start] for v in _window_names(a, b, window))
             hit = _held(earlier[:, 0], x)
             if hit.any():  # the second half too
@@ -317,7 +311,7 @@ def _finish(window):
             outside.append(hit)
             counts.append(n)
         x, y, hit, counts = (np.concatenate(v) for v in (xs, ys, outside, counts))
-        start = _starts(counts, window)
+        start = window_starts(counts, window)
         doc = np.repeat(np.arange(len(counts)), counts)[start]
         order = np.lexsort((ids[doc], y, x))
         x, y, sid = x[order], y[order], ids[doc][order]
