@@ -6,9 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
+from .bpe import bpe_digests
 from .common import table
+from .preference import ORACLE as PREFERENCE_ORACLE, preference_format, reply_pairs
+from .quality_classifier import fit_classifier, held_out, quality_scores
+from .quality_rules import fit_rules, quality_rules
+from .sharding import oracle as shard_oracle, shard_sizes, shards
+from .simhash import near_duplicates
 from .substring_dedup import substring_dedup
 
+
+def bpe_path() -> str:
+    """The vocabulary file that the registered queries use."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -28,3 +41,56 @@ def op1_substring_dedup(spark, sf_dir):
     """Words left of every document once passages of 13 words seen in a smaller doc_id are removed."""
     out = substring_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op2_simhash_near_dedup(spark, sf_dir):
+    """SimHash fingerprint of every document and the smallest doc_id of its near-duplicate component."""
+    out = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op3_bpe(spark, sf_dir):
+    """Every document encoded and decoded; digests of the ids and of the decoded text."""
+    return bpe_digests(table(spark, sf_dir, "documents"), bpe_path())
+
+
+@query
+def op4_preference_format(spark, sf_dir):
+    """Preference pairs from conversations: shared prompt, two completions and their masks."""
+    out = preference_format(*reply_pairs(table(spark, sf_dir, "conversations")))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
+    trained = lambda c: F.aggregate(c + "_mask", F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["start"]).alias(f"{c}_trained")
+    return out.select(F.col("pair_id").alias("conv_id"), "n_prompt_turns", digest("prompt"), digest("chosen"), digest("rejected"),
+                      trained("chosen"), trained("rejected"))
+
+
+ORACLES["op4_preference_format"] = PREFERENCE_ORACLE
+
+
+@query
+def op6_quality_classifier(spark, sf_dir):
+    """Quality score of every document by nearest labelled neighbours in a latent space."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_classifier(docs, table(spark, sf_dir, "labels"), ~held_out(F.col("doc_id")))
+    out = quality_scores(docs, model, keep=("doc_id",))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_sharding(spark, sf_dir):
+    """The extendible-hashing shard of every document, with its shard's rows and bytes."""
+    placed = shards(table(spark, sf_dir, "documents"))
+    return placed.join(shard_sizes(placed), "shard").select("doc_id", "shard", "depth", "bytes", "shard_rows", "shard_bytes")
+
+
+ORACLES["op8_sharding"] = shard_oracle()
+
+
+@query
+def op9_quality_rules(spark, sf_dir):
+    """Rule statistics and the isolation forest's verdict on every document."""
+    docs = table(spark, sf_dir, "documents")
+    out = quality_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
