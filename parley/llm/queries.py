@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from .bpe import bpe_digests
-from .common import table
+from .common import shared_path, table
+from .digest import document_fingerprints
+from .packing import pack
 from .preference import ORACLE as PREFERENCE_ORACLE, preference_format, reply_pairs
 from .quality_classifier import fit_classifier, held_out, quality_scores
 from .quality_rules import fit_rules, quality_rules
 from .sharding import oracle as shard_oracle, shard_sizes, shards
 from .simhash import near_duplicates
 from .substring_dedup import substring_dedup
+from .warc import read_archives, write_archives
 
 
 def bpe_path() -> str:
@@ -94,3 +97,24 @@ def op9_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     out = quality_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
+
+
+@query
+def op5_warc(spark, sf_dir):
+    """Every page written to Zstandard WARC archives and read back from them."""
+    path = shared_path(spark, "archives")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op7_document_fingerprints(spark, sf_dir):
+    """Improbable-feature digest of every document and of its edited text, with likenesses."""
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_packing(spark, sf_dir):
+    """All documents packed into sequences of at most 2048 tokens."""
+    out = pack(table(spark, sf_dir, "documents"), bpe_path(), window=2048)
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from .common import mix, steps, text_bytes, written
 from .components import components
@@ -61,18 +62,23 @@ def fingerprints(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
 
 
 def simhash(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)``: the fingerprint of each row's whole text as a signed 64-bit number.
+    """``(doc_id, text_hash, fp)``: the fingerprint of each row's whole text as a signed 64-bit number.
 
     Lower case for A-Z only; words ``[^\\x20\\x09-\\x0D]+``; a text of fewer words than a
     shingle is one shingle; an empty or null text has fingerprint zero.
     """
     def run(batches):
         for batch in batches:
-            fp = fingerprints(text_bytes(batch.column(1)), shingle)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            fp = fingerprints(text_bytes(batch.column(2)), shingle)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fp.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
-    src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id bigint, fp bigint")
+    text = F.col("text").cast("string")
+    src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash(text).alias("text_hash"), text.alias("text"))
+    return src.mapInArrow(run, "doc_id bigint, text_hash bigint, fp bigint")
+
+
+def text_hash(text):
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _widths(blocks: int) -> list[tuple[int, int]]:
@@ -177,13 +183,13 @@ def links(distinct_fps: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fp, component_id`` for each row: fingerprints link at ``max_bits`` differing bits or fewer.
+    """``doc_id, text_hash, fp, root, component_id`` for each row: fingerprints link at ``max_bits`` differing bits or fewer.
 
     ``component_id`` is the smallest ``doc_id`` reachable over links, the row's own
-    included.  Empty and null texts share fingerprint zero and link like any other.
-    A null ``doc_id`` is kept, and never is a component's id unless all its rows
-    have none.  Repeated rows give repeated rows; other columns are ignored; an
-    empty table gives an empty result.
+    included; ``root`` names the component.  Empty and null texts share fingerprint
+    zero and link like any other.  A null ``doc_id`` is kept, and never is a
+    component's id unless all its rows have none.  Repeated rows give repeated rows;
+    other columns are ignored; an empty table gives an empty result.
     """
     fps = written(simhash(docs, shingle), "simhash")
     distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprints")
@@ -191,5 +197,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     rooted = (distinct.join(stars.withColumnRenamed("u", "fp"), "fp", "left")
               .withColumn("root", F.coalesce("root", "fp")))
     named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return (fps.join(rooted.join(named, "root").select("fp", "component_id"), "fp")
-            .select("doc_id", "fp", "component_id"))
+    return (fps.join(rooted.join(named, "root").select("fp", "root", "component_id"), "fp")
+            .select("doc_id", "text_hash", "fp", "root", "component_id"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each near-duplicate component: the smallest ``doc_id`` (null last), ties by text hash.
+
+    Of rows equal in both one stays.  All columns are kept as they are.
+    """
+    members = near_duplicates(docs, shingle, max_bits)
+    first = members.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_hash")).alias("x"))
+    first = first.select(F.col("x.doc_id").alias("__first"), F.col("x.text_hash").alias("__first_hash")).distinct()
+    rows = docs.withColumn("__id", F.col("doc_id").cast("bigint")).withColumn("__hash", text_hash(F.col("text").cast("string")))
+    same = F.col("__id").eqNullSafe(F.col("__first")) & (F.col("__hash") == F.col("__first_hash"))
+    once = F.row_number().over(Window.partitionBy(F.coalesce("__id", F.lit(0)), F.isnull("__id"), "__hash").orderBy(F.lit(0)))
+    return (rows.join(first, same, "left_semi").withColumn("__n", once).where("__n = 1").select(*docs.columns))

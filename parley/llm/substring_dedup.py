@@ -191,35 +191,43 @@ def _shared_symbols(t: pa.Table) -> pa.Table:
 
 
 def _pack_text(bounds):
-    """Documents -> (chunk, ids, compressed texts), one row for each batch and chunk."""
+    """``(doc_id, text, kept columns)`` -> (chunk, ids, compressed texts, kept columns), a row for each batch and chunk."""
     def run(batches):
         for batch in batches:
             ids, texts = _ids(batch.column(0)), text_bytes(batch.column(1))
-            null = np.array([x is None for x in batch.column(0).to_pylist()], bool)
+            kept = batch.select(batch.schema.names[2:])
             chunks = _chunk_of(ids, bounds)
+            pack = zstandard.ZstdCompressor(level=3)
             out = []
             for c in np.unique(chunks):
                 rows = np.flatnonzero(chunks == c)
-                blob = zstandard.ZstdCompressor(level=3).compress(b"".join(texts[i] for i in rows))
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, kept.schema) as stream:
+                    stream.write_batch(kept.take(pa.array(rows)))
                 sizes = np.array([len(texts[i]) for i in rows], np.int64)
-                out.append((int(c), np.stack((ids[rows], null[rows].astype(np.int64), sizes)).tobytes(), blob))
+                out.append((int(c), np.stack((ids[rows], sizes)).tobytes(), pack.compress(b"".join(texts[i] for i in rows)),
+                            pack.compress(sink.getvalue().to_pybytes())))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary()),
-                 pa.array([o[2] for o in out], pa.binary())], names=["chunk", "rows", "data"])
+                [pa.array([o[0] for o in out], pa.int64()), *(pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3))],
+                names=["chunk", "rows", "data", "kept"])
     return run
 
 
 def _unpack_text(t: pa.Table):
-    """The documents of a chunk: ids, null flags, texts."""
-    ids, null, texts = [], [], []
+    """The documents of a chunk: ids and texts."""
+    ids, texts = [], []
     for head, blob in zip(t.column("rows").to_pylist(), t.column("data").to_pylist()):
-        i, n, sizes = np.frombuffer(head, np.int64).reshape(3, -1)
+        i, sizes = np.frombuffer(head, np.int64).reshape(2, -1)
         data = memoryview(zstandard.ZstdDecompressor().decompress(blob))
         cut = np.concatenate(([0], np.cumsum(sizes)))
         texts += [bytes(data[cut[k]:cut[k + 1]]) for k in range(len(sizes))]
         ids.append(i)
-        null.append(n.astype(bool))
-    return np.concatenate(ids), np.concatenate(null), texts
+    return np.concatenate(ids), texts
+
+
+def _unpack_kept(t: pa.Table) -> pa.Table:
+    unpack = zstandard.ZstdDecompressor()
+    return pa.concat_tables(pa.ipc.open_stream(unpack.decompress(b)).read_all() for b in t.column("kept").to_pylist())
 
 
 def _candidates(buckets, window, rounds):
@@ -231,7 +239,7 @@ def _candidates(buckets, window, rounds):
             return empty
         chunk = left.column("chunk")[0].as_py()
         shared = np.sort(np.concatenate([np.zeros(0, U), *map(_unpack48, right.column("data").to_pylist())]))
-        _, _, texts = _unpack_text(left)
+        _, texts = _unpack_text(left)
         found = []
         for lo, hi in steps(texts):
             a, b, counts = _names(texts[lo:hi])
@@ -278,9 +286,8 @@ def _earlier_windows(t: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array(out_c, pa.int64()), "data": pa.array(out_d, pa.binary())})
 
 
-RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept string, removed array<struct<first:bigint,words:bigint>>"
-_RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()),
-                     ("removed", pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())])))])
+RESULT = "n_words bigint, n_removed bigint, kept string, removed array<struct<first:bigint,words:bigint>>"
+_RUNS = pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))
 
 
 def _runs(mask: np.ndarray) -> list[dict]:
@@ -288,15 +295,13 @@ def _runs(mask: np.ndarray) -> list[dict]:
     return [{"first": int(f), "words": int(e - f)} for f, e in zip(edge[::2], edge[1::2])]
 
 
-def _finish(window):
+def _finish(window, tidy):
     """A chunk's texts and the windows that start in earlier chunks -> the kept text of each document."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return _RESULT.empty_table()
         earlier = np.concatenate([np.zeros((0, 2), U), *(np.frombuffer(b, U).reshape(-1, 2)
                                                          for b in right.column("data").to_pylist())])
         earlier = earlier[np.argsort(earlier[:, 0], kind="stable")]
-        ids, null, texts = _unpack_text(left)
+        ids, texts = _unpack_text(left)
         xs, ys, counts, outside = [], [], [], []
         for lo, hi in steps(texts):
             a, b, n = _names(texts[lo:hi])
@@ -327,36 +332,43 @@ def _finish(window):
         for k, t in enumerate(texts):
             mask, words = gone[cut[k]:cut[k + 1]], t.split()
             n = int(mask.sum())
-            kept.append(b" ".join(words if not n else [w for w, g in zip(words, mask.tolist()) if not g]))
+            if n:
+                words = [w for w, g in zip(words, mask.tolist()) if not g]
+            kept.append(b" ".join(words) if n or tidy else t)
             removed.append(_runs(mask) if n else [])
             n_removed.append(n)
-        return pa.table([pa.array(ids, pa.int64(), mask=null), pa.array(counts, pa.int64()), pa.array(n_removed, pa.int64()),
-                         pa.array(kept, pa.binary()).cast(pa.string()), pa.array(removed, _RESULT.field("removed").type)],
-                        schema=_RESULT)
+        out = _unpack_kept(left)
+        for name, column in (("n_words", pa.array(counts, pa.int64())), ("n_removed", pa.array(n_removed, pa.int64())),
+                             ("kept", pa.array(kept, pa.binary()).cast(pa.string())), ("removed", pa.array(removed, _RUNS))):
+            out = out.append_column(name, column)
+        return out
     return run
 
 
-def substring_dedup(docs: DataFrame, window: int = 13, rounds: int = ROUNDS,
+def substring_dedup(docs: DataFrame, window: int = 13, rounds: int = ROUNDS, keep: tuple[str, ...] = ("doc_id",), tidy: bool = True,
                     chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Remove every word covered by a ``window``-word passage that also starts in a smaller ``doc_id``.
 
-    Returns one row for each input row: ``doc_id, n_words, n_removed, kept`` (kept
-    words joined by one space) and ``removed`` (runs of removed words).  Windows are
-    judged on the input.  Rows that share a ``doc_id`` don't remove each other's
-    words; a null ``doc_id`` counts as larger than every id; a null or empty text has
-    no words; texts of fewer than ``window`` words lose none; other columns are
-    ignored.  An empty table gives an empty result.
+    Returns one row for each input row: ``keep`` columns, ``n_words, n_removed, kept``
+    (kept words joined by one space; without ``tidy`` a text that loses nothing stays
+    as it is) and ``removed`` (runs of removed words).  Windows are judged on the
+    input.  Rows that share a ``doc_id`` don't remove each other's words; a null
+    ``doc_id`` counts as larger than every id; a null or empty text has no words; texts
+    of fewer than ``window`` words lose none; other columns are ignored.  An empty table
+    gives an empty result.
     """
-    src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n, size = src.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
-    chunks, buckets = 1 + (size or 0) // chunk_bytes, 1 + (size or 0) // bucket_bytes
-    cuts = src.where("doc_id is not null").approxQuantile("doc_id", [i / chunks for i in range(1, chunks)], 0.2 / chunks) if chunks > 1 else []
+    src = docs.select(F.col("doc_id").cast("bigint").alias("__id"), F.col("text").cast("string").alias("__text"),
+                      *(F.col(f"`{c}`") for c in keep))
+    size = src.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
+    chunks, buckets = 1 + size // chunk_bytes, 1 + size // bucket_bytes
+    cuts = src.where("__id is not null").approxQuantile("__id", [i / chunks for i in range(1, chunks)], 0.2 / chunks) if chunks > 1 else []
     bounds = np.unique(np.array(cuts, np.int64))
-    packed = src.mapInArrow(_pack_text(bounds), "chunk bigint, rows binary, data binary")
-    texts = packed.groupBy("chunk")
-    shared = (src.mapInArrow(_emit_symbols(bounds, buckets, window, rounds), "bucket bigint, chunk bigint, data binary")
+    texts = src.mapInArrow(_pack_text(bounds), "chunk bigint, rows binary, data binary, kept binary").groupBy("chunk")
+    shared = (src.select("__id", "__text").mapInArrow(_emit_symbols(bounds, buckets, window, rounds), "bucket bigint, chunk bigint, data binary")
               .groupBy("bucket").applyInArrow(_shared_symbols, "chunk bigint, data binary"))
     earlier = (texts.cogroup(shared.groupBy("chunk"))
                .applyInArrow(_candidates(buckets, window, rounds), "bucket bigint, chunk bigint, data binary")
                .groupBy("bucket").applyInArrow(_earlier_windows, "chunk bigint, data binary"))
-    return texts.cogroup(earlier.groupBy("chunk")).applyInArrow(_finish(window), RESULT)
+    kinds = dict(docs.dtypes)
+    return texts.cogroup(earlier.groupBy("chunk")).applyInArrow(
+        _finish(window, tidy), ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), RESULT]))
