@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _BOUNDS: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
-DEFAULT_MAX_ROWS = 1_000_000
+#: Rows of a local table that is broadcast (rules and phrases are a few dozen bytes each, so a few MB).
+DEFAULT_MAX_ROWS = 100_000
 
 
 def local_table(spark: SparkSession, rows, schema) -> DataFrame:
@@ -38,10 +39,6 @@ def carry_bound(src: DataFrame, derived: DataFrame) -> DataFrame:
     return derived
 
 
-def row_bound(df: DataFrame) -> int | None:
-    return _BOUNDS.get(df)
-
-
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """Broadcast hint for tables with a known bound <= ``max_rows``; else unchanged."""
     n = _BOUNDS.get(df)

@@ -130,11 +130,19 @@ ENSEMBLE_CANDIDATES = [
     {"ridge": 0.5, "rf": 0.5, "text": 0.0},
     {"ridge": 0.6, "rf": 0.4, "text": 0.0},
 ]
+INTERVAL_MEMBERS = ("ridge", "rf")   # the report's interval
 DEFAULT_WEIGHTS = {"ridge": 0.5, "rf": 0.5, "text": 0.0}
-TEXT_MAX_TOKENS = 512
 SPLIT_FRACTIONS = (0.70, 0.85)   # cumulative: train <= .70 < val <= .85 < test
 SEED = 42
 
+# Turn segments of a transcript; inline flags as in Java (i: any case, s: dot-all, U: Unicode classes).
+TURN_PATTERN = r"(?isU)Turn\s*(\d+)\s*:\s*(AGENT|CUSTOMER)\s*:\s*(.*?)(?=Turn\s*\d+\s*:|$)"
+
+# Portfolio insight sentences.
+INSIGHT_WORST = "%s scores %d%% below average — consider a dedicated escalation path."
+INSIGHT_REPEAT = "%s has the highest repeat-contact rate (%d%%) — first-call resolution is failing here."
+INSIGHT_ARC = "Calls that end on a positive note score %.1f points higher than declining calls — how a call ends matters most."
+
 # Display names.
 FEATURE_LABELS = {
     "repeat_contact": "Repeat Contact", "transfer_count": "Transfers",

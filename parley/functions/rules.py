@@ -105,8 +105,3 @@ def score_band(c) -> Column:
 
 def satisfied(c) -> Column:
     return col(c) >= K.SATISFIED_THRESHOLD
-
-
-def safe_ratio(num, den) -> Column:
-    """``num/den`` or null when ``den`` is zero (ANSI safe)."""
-    return F.try_divide(col(num), col(den))

@@ -67,15 +67,6 @@ def count_substring(c, needle: str) -> Column:
             F.lit(len(needle))).cast("int")
 
 
-def first_matching(c, phrases) -> Column:
-    """Index (0-based) of the first phrase contained in ``c``, else null."""
-    c = col(c)
-    expr = F.lit(None).cast("int")
-    for i, p in reversed(list(enumerate(phrases))):
-        expr = F.when(c.contains(p), F.lit(i)).otherwise(expr)
-    return expr
-
-
 def title_label(c) -> Column:
     """``s.replace('_',' ').title()`` for snake-case category names."""
     return F.initcap(F.translate(col(c), "_", " "))

@@ -1,40 +1,25 @@
 """SQL table function ``parse_transcript(text)`` for SQL users.
 
-The DataFrame operator ``operators.parse.parse_transcripts`` is the JVM-side
-path used by every job; this UDTF exposes the same rules to ``spark.sql``
-callers (one Python call per transcript, so it is the slow path).
+A SQL function over the parser's expressions: Spark inlines it, so it runs like
+the DataFrame operator ``operators.parse.parse_transcripts``, without Python.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import SparkSession
 
-_PATTERN = re.compile(r"Turn\s*(\d+)\s*:\s*(AGENT|CUSTOMER)\s*:\s*(.*?)(?=Turn\s*\d+\s*:|$)",
-                      re.IGNORECASE | re.DOTALL)
-
-
-def _turns(text):
-    if not isinstance(text, str) or not text:
-        return
-    pos = 0
-    for num, speaker, body in _PATTERN.findall(text):
-        body = re.sub(r"\s+", " ", body.strip())
-        if body:
-            yield pos, int(num), speaker.upper(), body
-            pos += 1
+from .constants import TURN_PATTERN
 
 
 def register_parse_udtf(spark: SparkSession, name: str = "parse_transcript") -> None:
-    from pyspark.sql.functions import udtf
-
-    from ..session import ship_package
-    ship_package(spark)
-
-    @udtf(returnType="pos int, turn_number bigint, speaker string, text string")
-    class ParseTranscript:
-        def eval(self, text):
-            yield from _turns(text)
-
-    spark.udtf.register(name, ParseTranscript)
+    """Create the temporary function: one row ``pos, turn_number, speaker, text`` per kept turn."""
+    group = lambda k: f"regexp_extract_all(txt, r'{TURN_PATTERN}', {k})"
+    spark.sql(f"""
+CREATE OR REPLACE TEMPORARY FUNCTION {name}(txt STRING)
+RETURNS TABLE (pos INT, turn_number BIGINT, speaker STRING, text STRING)
+RETURN SELECT t.pos, t.turn.turn_number, t.turn.speaker, t.turn.text
+FROM (SELECT posexplode(filter(transform(
+        arrays_zip({group(1)}, {group(2)}, {group(3)}),
+        x -> named_struct('turn_number', try_cast(x['0'] AS BIGINT), 'speaker', upper(x['1']),
+                          'text', trim(regexp_replace(x['2'], r'(?U)\\s+', ' ')))),
+        x -> x.text <> '')) AS (pos, turn)) t""")

@@ -9,7 +9,7 @@
   aggregation collapses rows map-side);
 * the per-call result is joined 1:1 to ``calls``;
 * the per-intent duration means are a tiny aggregate (one row per issue
-  type); AQE measures it at run time and broadcasts it when small.
+  type), read first and broadcast when within its bound.
 """
 
 from __future__ import annotations
@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import rules as R
-from ..functions.text import contains_any, word_count
+from ..functions.broadcast import local_table
 from .parse import with_turn_counts
 from .sentiment import score_texts
-from .structure import _agent_aggs, _structure_aggs, with_previous_speaker
+from .structure import _agent_aggs, _structure_aggs, turn_flags
 
-MAX_BROADCAST_GROUPS = 1_000_000
+#: Intent means (a row per issue type) up to this many are broadcast.
+MAX_BROADCAST_GROUPS = 10_000
 
 
 def duration_ordinal(calls: DataFrame, rule: str = "train",
@@ -53,10 +54,17 @@ def intent_duration_means(calls: DataFrame, split: DataFrame | None = None,
 
 
 def with_duration_deviation(calls: DataFrame, means: DataFrame) -> DataFrame:
-    """M6: ordinal minus the train mean of its intent (missing -> 0)."""
-    # One row per issue type, derived from data: AQE broadcasts it at run time
-    # when the measured size is small, else keeps the shuffle join.
-    m = means
+    """M6: ordinal minus the train mean of its intent (missing -> 0).
+
+    The means are one row per issue type.  They are read first, and broadcast if
+    there are ``MAX_BROADCAST_GROUPS`` at most, so the calls aren't shuffled by ten hot
+    keys; a larger table is joined by key.
+    """
+    rows = means.limit(MAX_BROADCAST_GROUPS + 1).collect()
+    if len(rows) <= MAX_BROADCAST_GROUPS:
+        m = F.broadcast(local_table(calls.sparkSession, [tuple(r) for r in rows], means.schema))
+    else:
+        m = means
     return (calls.withColumn("issue_key", R.norm_key("issue_type"))
                  .join(m, "issue_key", "left")
                  .withColumn("duration_deviation",
@@ -89,26 +97,12 @@ def turn_table_features(turns: DataFrame, rules: DataFrame, *, resolution=K.RESO
                         transfer=K.TRANSFER_PHRASES, max_words: int = 5) -> DataFrame:
     """All eleven turn-derived features (groups A, B, C) per call, one aggregate."""
     t = with_turn_counts(turns)
-    low = F.lower(F.col("text"))
-    agent = F.upper(F.coalesce(F.col("speaker"), F.lit(""))) == "AGENT"
-    n = F.col("n_turns")
-    tail_k = F.greatest(F.lit(1), F.floor(n / 5).cast("int"))
-    carried = ["prev_speaker"] if "prev_speaker" in t.columns else []
-    flags = t.select(
-        "call_id", "pos", "speaker", "n_turns", *carried,
-        agent.cast("int").alias("is_agent"),
-        word_count("text").alias("wc"),
-        ((F.col("pos") >= n - tail_k) & contains_any(low, resolution)).cast("int").alias("tail_resolved"),
-        (agent & contains_any(low, empathy)).cast("int").alias("agent_empathy"),
-        (agent & contains_any(low, apology)).cast("int").alias("agent_apology"),
-        (agent & contains_any(low, transfer)).cast("int").alias("agent_transfer"))
+    flags = turn_flags(t, resolution=resolution, empathy=empathy, apology=apology, transfer=transfer,
+                       max_words=max_words)
     scores = score_texts(t, ["call_id", "pos"], "text", rules, keep_all=False)
-    j = (with_previous_speaker(flags, t)
-              .join(scores, ["call_id", "pos"], "left")
-              .withColumn("compound", F.coalesce("compound", F.lit(0.0)))
-              .withColumn("interruption",
-                          (F.col("prev_speaker").isNotNull() & (F.col("speaker") != F.col("prev_speaker"))
-                           & (F.col("wc") < max_words)).cast("int")))
+    j = (flags.join(scores, ["call_id", "pos"], "left")
+              .withColumn("compound", F.coalesce("compound", F.lit(0.0))))
+    n = F.col("n_turns")
     tail20 = F.col("pos") >= F.floor(n * 4 / 5)
     return j.groupBy("call_id").agg(
         F.avg("compound").alias("mean_sentiment"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import rules as R
-from ..functions.broadcast import local_table, sized_broadcast
+from ..functions.broadcast import local_table
 
 METRIC_COLUMNS = ["mae", "rmse", "pearson_r", "f1_binary"]
 
@@ -72,6 +72,16 @@ def _row_pop_std(cols) -> F.Column:
     return F.when(n > 0, F.sqrt(var))
 
 
+def align_predictions(truth: DataFrame, preds: DataFrame, models, y: str = "y") -> DataFrame:
+    """Keyed prediction rows ``(call_id, model, pred)`` joined to the truth, one column for each model.
+
+    Calls without a prediction of every model are left out.
+    """
+    wide = preds.where(F.col("model").isin(*models)).groupBy("call_id").agg(
+        *[F.max(F.when(F.col("model") == m, F.col("pred"))).alias(m) for m in models])
+    return truth.select("call_id", y).join(wide, "call_id").na.drop(subset=list(models))
+
+
 def ci_width(wide: DataFrame, models=("ridge", "rf", "text")) -> DataFrame:
     """Mean over calls of the pop std of member predictions."""
     return wide.agg(F.avg(_row_pop_std(models)).alias("mean_ci_std"))
@@ -121,16 +131,17 @@ def ensemble_search(spark: SparkSession, val: DataFrame, candidates=K.ENSEMBLE_C
                     y: str = "y") -> DataFrame:
     """Metrics of every weight candidate on the validation rows.
 
-    Cross join with the (fixed, 6-row) candidate table, one aggregate.
+    One prediction column for each (fixed, few) candidate and one aggregate over the
+    rows as they are; the one-row result is then made long.
     """
     models = list(candidates[0])
-    w = weight_table(spark, candidates)
-    s = None
-    for m in models:
-        t = F.col(f"w_{m}") * R.clip(m)
-        s = t if s is None else s + t
-    j = val.crossJoin(sized_broadcast(w)).withColumn("pred", R.clip(s))
-    return j.groupBy("config_idx", *[f"w_{m}" for m in models]).agg(*metric_aggs(y, "pred"))
+    wide = val.select(F.col(y).alias("y"), *[blend(c).alias(f"p{i}") for i, c in enumerate(candidates)])
+    names = ["mae", "rmse", "pearson_r", "f1_binary"]
+    one = wide.agg(*[F.struct(*metric_aggs("y", f"p{i}")).alias(f"m{i}") for i in range(len(candidates))])
+    rows = [F.struct(F.lit(i).alias("config_idx"), *[F.lit(float(c[m])).alias(f"w_{m}") for m in models], F.col(f"m{i}").alias("m"))
+            for i, c in enumerate(candidates)]
+    long = one.select(F.explode(F.array(*rows)).alias("r"))
+    return long.select("r.config_idx", *[f"r.w_{m}" for m in models], *[f"r.m.{n}" for n in names])
 
 
 def argmin_config(results: DataFrame, metric: str = "mae", idx: str = "config_idx") -> DataFrame:
@@ -189,7 +200,7 @@ def residual_histogram(df: DataFrame, y: str = "y", pred: str = "pred", bins: in
     """30 equal bins over each model's residual range (last bin closed)."""
     r = df.select(*by, (F.col(y) - F.col(pred)).alias("r"))
     rng = r.groupBy(*by).agg(F.min("r").alias("lo"), F.max("r").alias("hi"))
-    j = r.join(F.broadcast(rng), list(by))      # one row per model: bounded by the model count
+    j = r.join(rng, list(by))      # AQE broadcasts the ranges when they are measured small
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.when(width == 0, 1).otherwise(
         F.least(F.lit(bins), F.floor((F.col("r") - F.col("lo")) / width).cast("int") + 1))

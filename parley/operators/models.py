@@ -26,6 +26,7 @@ from ..functions import rules as R
 # ------------------------------------------------------------------ Gramian
 @dataclass
 class Gramian:
+    """Sums over the complete rows, of values less ``shift`` (features) and ``y_shift`` (target)."""
     features: list[str]
     n: float
     sx: np.ndarray        # (p,)
@@ -33,27 +34,47 @@ class Gramian:
     sxx: np.ndarray       # (p, p)
     sxy: np.ndarray       # (p,)
     syy: float
+    shift: np.ndarray     # (p,)
+    y_shift: float
 
     @property
     def mean(self) -> np.ndarray:
-        return self.sx / self.n
+        return self.shift + self.sx / self.n
 
     @property
     def y_mean(self) -> float:
-        return self.sy / self.n
+        return self.y_shift + self.sy / self.n
 
     def centred(self):
-        m = self.mean
+        m = self.sx / self.n
         cxx = self.sxx - self.n * np.outer(m, m)
-        cxy = self.sxy - self.n * m * self.y_mean
+        cxy = self.sxy - m * self.sy
         return cxx, cxy
 
 
-def gramian(df: DataFrame, features, target: str = K.TARGET) -> Gramian:
-    """One aggregate pass computing the sufficient statistics of least squares."""
+def complete_rows(df: DataFrame, features, target: str = K.TARGET) -> DataFrame:
+    """Rows whose target and features all are numbers (neither null nor NaN)."""
+    keep = F.lit(True)
+    for c in [target, *features]:
+        x = F.col(c).cast("double")
+        keep = keep & x.isNotNull() & ~F.isnan(x)
+    return df.where(keep)
+
+
+def gramian(df: DataFrame, features, target: str = K.TARGET, shifted: bool = True) -> Gramian:
+    """Sufficient statistics of least squares over the complete rows.
+
+    A first pass takes the column means; the sums of the second pass are of
+    values less those means, so a large offset costs no digits.
+    """
     p = len(features)
-    x = [F.col(c).cast("double") for c in features]
-    y = F.col(target).cast("double")
+    df = complete_rows(df, features, target)
+    shift, y_shift = np.zeros(p), 0.0
+    if shifted:
+        mean = df.agg(*[F.avg(F.col(c).cast("double")) for c in [*features, target]]).first()
+        shift, y_shift = np.array([v or 0.0 for v in mean[:p]]), float(mean[p] or 0.0)
+    x = [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip(features, shift)]
+    y = F.col(target).cast("double") - F.lit(y_shift)
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
     aggs += [F.sum(x[i]).alias(f"sx{i}") for i in range(p)]
     aggs += [F.sum(x[i] * y).alias(f"sxy{i}") for i in range(p)]
@@ -66,7 +87,7 @@ def gramian(df: DataFrame, features, target: str = K.TARGET) -> Gramian:
             sxx[i, j] = sxx[j, i] = row[f"sxx{i}_{j}"] or 0.0
     return Gramian(list(features), n,
                    np.array([row[f"sx{i}"] or 0.0 for i in range(p)]), row["sy"] or 0.0, sxx,
-                   np.array([row[f"sxy{i}"] or 0.0 for i in range(p)]), row["syy"] or 0.0)
+                   np.array([row[f"sxy{i}"] or 0.0 for i in range(p)]), row["syy"] or 0.0, shift, y_shift)
 
 
 # ------------------------------------------------------------------- scaler
@@ -90,7 +111,7 @@ class Scaler:
 
 def scaler_from_gramian(g: Gramian) -> Scaler:
     """L1: mean and population std per feature (zero variance -> scale 1)."""
-    var = np.diag(g.sxx) / g.n - g.mean ** 2
+    var = np.diag(g.sxx) / g.n - (g.sx / g.n) ** 2
     std = np.sqrt(np.clip(var, 0.0, None))
     scale = np.where(std > 1e-12 * np.maximum(1.0, np.abs(g.mean)), std, 1.0)
     return Scaler(g.features, g.mean.tolist(), scale.tolist())
@@ -135,7 +156,7 @@ class LinearModel:
                  / F.lit(self.scaler.scale[idx[c]])).alias(c) for c, w in zip(self.features, self.coef)]
 
     def to_json(self) -> str:
-        d = dict(self.__dict__)
+        d = {k: v for k, v in self.__dict__.items() if k != "gramian"}
         d["scaler"] = self.scaler.__dict__
         return json.dumps(d)
 
@@ -197,14 +218,15 @@ def fit_ridge(train: DataFrame, val: DataFrame, features=K.FEATURE_COLUMNS,
     best = res.orderBy("mae", "alpha").first()
     m = models[best["config"]]
     m.meta = {"val_mae": best["mae"], "n_train": g.n}
+    m.gramian = g       # reused by ablations; not persisted
     return m
 
 
 def ablation_retrain(train: DataFrame, val: DataFrame, alpha: float, groups=K.FEATURE_GROUPS,
-                     features=K.FEATURE_COLUMNS, target: str = K.TARGET) -> DataFrame:
+                     features=K.FEATURE_COLUMNS, target: str = K.TARGET, g: Gramian | None = None) -> DataFrame:
     """Baseline + one refit per removed group (same Gramian), 5 rows x 8 columns."""
     from .metrics import metric_aggs
-    g = gramian(train, features, target)
+    g = g or gramian(train, features, target)
     sc = scaler_from_gramian(g)
     runs = {"all_features": list(features)}
     for grp, cols in groups.items():
@@ -256,10 +278,12 @@ def fit_forest(train: DataFrame, params=K.RF_BEST, features=K.FEATURE_COLUMNS,
     """L4: one random forest (unscaled input, all features per split, bootstrap)."""
     from pyspark.ml.regression import RandomForestRegressor
     depth = params.get("maxDepth")
+    if depth is not None and depth > K.RF_UNLIMITED_DEPTH:
+        raise ValueError(f"maxDepth {depth}: trees go to depth {K.RF_UNLIMITED_DEPTH} at most (None asks for that)")
     rf = RandomForestRegressor(
         featuresCol="features", labelCol=target, predictionCol="pred",
         numTrees=int(params["numTrees"]),
-        maxDepth=int(K.RF_UNLIMITED_DEPTH if depth is None else min(depth, K.RF_UNLIMITED_DEPTH)),
+        maxDepth=int(K.RF_UNLIMITED_DEPTH if depth is None else depth),
         minInstancesPerNode=int(params["minInstancesPerNode"]), featureSubsetStrategy="all",
         subsamplingRate=1.0, bootstrap=True, seed=seed)
     return rf.fit(train if assembled else assemble(train, features))
@@ -271,12 +295,16 @@ def forest_predict(model, df: DataFrame, features=K.FEATURE_COLUMNS, keep=("call
 
 
 def forest_search(train: DataFrame, val: DataFrame, grid=K.RF_GRID, features=K.FEATURE_COLUMNS,
-                  target: str = K.TARGET, parallelism: int = 4):
+                  target: str = K.TARGET, parallelism: int = 4, sample_rows: int | None = None):
     """L4 grid: fits run concurrently (Spark jobs from driver threads); val MAE each.
 
-    Returns ``(results_df_rows, best_model)``; first config wins MAE ties.
+    ``sample_rows`` bounds the labelled rows that the forests are fitted on (those
+    with the smallest key hashes); every validation row is scored.  Returns
+    ``(results_df_rows, best_model)``; first config wins MAE ties.
     """
     from .metrics import metric_aggs
+    if sample_rows is not None:
+        train = train.orderBy(F.xxhash64("call_id"), "call_id").limit(sample_rows)
     train_v = assemble(train, features).cache()
     val_v = assemble(val, features).cache()
 
@@ -304,39 +332,59 @@ def importances(spark: SparkSession, model, features=K.FEATURE_COLUMNS, top: int
 
 
 # ----------------------------------------------------------------- text leg
-def fit_text_leg(train: DataFrame, text_col: str = "transcript_text", target: str = K.TARGET,
-                 max_tokens: int = K.TEXT_MAX_TOKENS, num_features: int = 1 << 18,
-                 reg: float = 0.1):
-    """L13 re-aimed: tokens (first 512) -> hashed TF-IDF -> linear regression.
-
-    Rows without text or label are dropped (F1).
-    """
+def _text_features(train: DataFrame, text_col: str, max_tokens: int | None, num_features: int):
+    """Tokens -> hashed TF-IDF, fitted on the rows with a text."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, HashingTF, SQLTransformer
+    tokens = f"regexp_extract_all(lower({text_col}), '[\\\\p{{L}}\\\\p{{N}}\'\']+', 0)"
+    if max_tokens is not None:
+        tokens = f"slice({tokens}, 1, {max_tokens})"
+    tok = SQLTransformer(statement=f"SELECT *, {tokens} AS tokens FROM __THIS__")
+    return Pipeline(stages=[tok, HashingTF(inputCol="tokens", outputCol="tf", numFeatures=num_features),
+                            IDF(inputCol="tf", outputCol="tfidf")]).fit(train)
+
+
+def _text_regression(target: str, reg: float):
     from pyspark.ml.regression import LinearRegression
+    return LinearRegression(featuresCol="tfidf", labelCol=target, predictionCol="pred", regParam=reg,
+                            elasticNetParam=0.0, maxIter=50)
+
+
+def fit_text_leg(train: DataFrame, text_col: str = "transcript_text", target: str = K.TARGET,
+                 max_tokens: int | None = None, num_features: int = 1 << 18, reg: float = 0.1):
+    """L13 re-aimed: tokens of the whole text -> hashed TF-IDF -> linear regression.
+
+    Rows without text or label are dropped (F1); ``max_tokens`` keeps a prefix only.
+    """
+    from pyspark.ml import PipelineModel
     data = train.na.drop(subset=[text_col, target])
-    tok = SQLTransformer(statement=(
-        f"SELECT *, slice(regexp_extract_all(lower({text_col}), '[\\\\p{{L}}\\\\p{{N}}'']+', 0), 1, {max_tokens}) "
-        f"AS tokens FROM __THIS__"))
-    pipe = Pipeline(stages=[tok, HashingTF(inputCol="tokens", outputCol="tf", numFeatures=num_features),
-                            IDF(inputCol="tf", outputCol="tfidf"),
-                            LinearRegression(featuresCol="tfidf", labelCol=target, predictionCol="pred",
-                                             regParam=reg, elasticNetParam=0.0, maxIter=50)])
-    return pipe.fit(data)
+    features = _text_features(data, text_col, max_tokens, num_features)
+    return PipelineModel([*features.stages, _text_regression(target, reg).fit(features.transform(data))])
 
 
 def fit_text_leg_search(train: DataFrame, val: DataFrame, regs=(0.01, 0.1, 1.0),
-                        text_col: str = "transcript_text", target: str = K.TARGET, **kw):
-    """Keep the text leg with the lowest validation MAE (first wins ties)."""
+                        text_col: str = "transcript_text", target: str = K.TARGET,
+                        max_tokens: int | None = None, num_features: int = 1 << 18):
+    """Keep the text leg with the lowest validation MAE (first wins ties).
+
+    Tokens and IDF weights are fitted once; only the regression is repeated.
+    """
+    from pyspark import StorageLevel
+    from pyspark.ml import PipelineModel
+
     from .metrics import metric_aggs
+    data = train.na.drop(subset=[text_col, target])
+    features = _text_features(data, text_col, max_tokens, num_features)
+    rows = features.transform(data).select(target, "tfidf").persist(StorageLevel.MEMORY_AND_DISK)
     best = None
     for i, reg in enumerate(regs):
-        m = fit_text_leg(train, text_col, target, reg=reg, **kw)
+        m = PipelineModel([*features.stages, _text_regression(target, reg).fit(rows)])
         p = text_leg_predict(m, val, text_col, keep=[F.col(target).alias("y")])
         mae = p.agg(*metric_aggs("y", "pred")).first()["mae"]
-        if mae is not None and (best is None or mae < best[0]):
+        if best is None or (mae is not None and (best[0] is None or mae < best[0])):
             best = (mae, i, m)
-    return best[2] if best else fit_text_leg(train, text_col, target, **kw)
+    rows.unpersist()
+    return best[2]
 
 
 def text_leg_predict(model, df: DataFrame, text_col: str = "transcript_text", keep=("call_id",)) -> DataFrame:
@@ -353,3 +401,28 @@ def save_linear(spark: SparkSession, model: LinearModel, path: str) -> None:
 
 def load_linear(spark: SparkSession, path: str) -> LinearModel:
     return LinearModel.from_json(spark.read.json(path).first()["model"])
+
+
+def save_forest(model, path: str, features=K.FEATURE_COLUMNS) -> None:
+    """Persist a forest with the column contract beside it."""
+    from pyspark.sql import SparkSession
+    model.write().overwrite().save(path)
+    (SparkSession.active().createDataFrame([(json.dumps(list(features)),)], "features string").coalesce(1)
+     .write.mode("overwrite").json(path + "-columns"))
+
+
+def load_forest(spark: SparkSession, path: str):
+    """The forest and the feature columns it was fitted on."""
+    from pyspark.ml.regression import RandomForestRegressionModel
+    features = json.loads(spark.read.json(path + "-columns").first()["features"])
+    return RandomForestRegressionModel.load(path), features
+
+
+def save_text_leg(model, path: str) -> None:
+    """Persist the text leg (tokens, weights and regression)."""
+    model.write().overwrite().save(path)
+
+
+def load_text_leg(path: str):
+    from pyspark.ml import PipelineModel
+    return PipelineModel.load(path)

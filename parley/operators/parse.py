@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.text import collapse_ws, strip_ws
 
-# Python ``re`` pattern with IGNORECASE|DOTALL, expressed with Java inline
-# flags (i: case-insensitive, s: dot-all, U: Unicode classes and case).
-TURN_PATTERN = r"(?isU)Turn\s*(\d+)\s*:\s*(AGENT|CUSTOMER)\s*:\s*(.*?)(?=Turn\s*\d+\s*:|$)"
-
 TURN_COLUMNS = ["call_id", "pos", "turn_number", "speaker", "text", "n_turns", "prev_speaker"]
 
 
@@ -46,7 +42,7 @@ def parse_transcripts(calls: DataFrame, text_col: str = "transcript_text",
     Other speakers are dropped but still end the previous turn.
     """
     t = F.col(text_col)
-    pat = F.lit(TURN_PATTERN)
+    pat = F.lit(K.TURN_PATTERN)
     # Each group's matches are extracted once per transcript (as columns) and
     # zipped; the per-turn lambda only touches its own element.
     staged = calls.select(F.col(key), *keep, F.regexp_extract_all(t, pat, 1).alias("_n"),

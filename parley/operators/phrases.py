@@ -43,8 +43,9 @@ def transfer_phrase(lines: DataFrame, patterns=K.EVIDENCE_TRANSFER) -> DataFrame
 def final_sentiment_phrase(lines: DataFrame, rules: DataFrame) -> DataFrame:
     """H3: lowest-compound line among lines from ``int(0.8 n)``; first wins ties."""
     tail = lines.where(F.col("pos") >= F.floor(F.col("n_lines") * 4 / 5))
-    scored = score_texts(tail, ["call_id", "pos"], "text", rules).join(
-        tail.select("call_id", "pos", "text"), ["call_id", "pos"])
+    scores = score_texts(tail, ["call_id", "pos"], "text", rules, keep_all=False)
+    scored = (tail.select("call_id", "pos", "text").join(scores, ["call_id", "pos"], "left")
+              .withColumn("compound", F.coalesce("compound", F.lit(0.0))))
     return scored.groupBy("call_id").agg(
         strip_ws(F.min_by("text", F.struct("compound", "pos"))).alias("final_sentiment_phrase"))
 
@@ -116,13 +117,10 @@ def _template(phrase, rules, default):
 
 def coaching(mapped: DataFrame) -> DataFrame:
     """H6: one sentence per phrase; negatives first, then positives, each in rank order."""
-    neg = mapped.where(F.col("polarity") == "negative")
-    pos = mapped.where(F.col("polarity") == "positive")
-    s = neg.select("call_id", F.lit(0).alias("_side"), "rank",
-                   _template(F.col("phrase"), K.COACH_NEGATIVE, K.COACH_NEGATIVE_DEFAULT).alias("sentence"))
-    s = s.unionByName(pos.select("call_id", F.lit(1).alias("_side"), "rank",
-                                 _template(F.col("phrase"), K.COACH_POSITIVE, K.COACH_POSITIVE_DEFAULT)
-                                 .alias("sentence")))
+    negative = F.col("polarity") == "negative"
+    sentence = (F.when(negative, _template(F.col("phrase"), K.COACH_NEGATIVE, K.COACH_NEGATIVE_DEFAULT))
+                .otherwise(_template(F.col("phrase"), K.COACH_POSITIVE, K.COACH_POSITIVE_DEFAULT)))
+    s = mapped.select("call_id", F.when(negative, 0).otherwise(1).alias("_side"), "rank", sentence.alias("sentence"))
     w = Window.partitionBy("call_id").orderBy("_side", "rank")
     return s.select("call_id", F.row_number().over(w).alias("idx"), "sentence")
 

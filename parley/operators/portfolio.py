@@ -116,14 +116,12 @@ def insights(base: DataFrame) -> DataFrame:
                     - F.max(F.when(F.col("emotional_arc") == "fall", F.col("a")))).alias("gap"))
     j = k.crossJoin(gap)  # both sides are single-row aggregates
     pct = F.bround((1 - F.col("worst_avg_csat") / F.col("macro_avg_csat")) * 100, 0).cast("bigint")
-    s1 = F.format_string("%s scores %d%% below average — consider a dedicated escalation path.",
+    s1 = F.format_string(K.INSIGHT_WORST,
                          title_label("worst_issue"), pct)
-    s2 = F.format_string("%s has the highest repeat-contact rate (%d%%) — first-call resolution is failing here.",
+    s2 = F.format_string(K.INSIGHT_REPEAT,
                          title_label("top_repeat_issue"),
                          F.bround(F.col("top_repeat_rate") * 100, 0).cast("bigint"))
-    s3 = F.when(F.col("gap").isNotNull(), F.format_string(
-        "Calls that end on a positive note score %.1f points higher than declining calls — how a call ends matters most.",
-        F.bround("gap", 1)))
+    s3 = F.when(F.col("gap").isNotNull(), F.format_string(K.INSIGHT_ARC, F.bround("gap", 1)))
     rows = j.select(F.explode(F.array(
         F.struct(F.lit(1).alias("insight_id"), s1.alias("text")),
         F.struct(F.lit(2).alias("insight_id"), s2.alias("text")),

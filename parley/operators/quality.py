@@ -49,11 +49,12 @@ def column_sanity(df: DataFrame, cols=K.FEATURE_COLUMNS) -> DataFrame:
 def schema_report(spark: SparkSession, df: DataFrame, expected=K.FEATURE_COLUMNS,
                   ranges=K.FEATURE_RANGES, target: str = K.TARGET, ignore=("call_id", "split"),
                   leakage=K.LEAKAGE_COLUMNS) -> DataFrame:
-    """One row per finding.
+    """One row per finding, ``ok`` for a column without any.
 
-    ``status`` is ``missing``, ``extra``, ``leakage``, ``nulls``,
-    ``below_min``, ``above_max`` or ``ok``; null counts and min/max come from
-    one aggregate over the present expected columns.
+    ``status`` is ``missing``, ``extra``, ``leakage``, ``nulls``, ``below_min``,
+    ``above_max`` or ``ok``; a column can have several.  NaN counts as null
+    and is left out of min and max; all come from one aggregate over the
+    expected columns that are present.
     """
     present = [c for c in expected if c in df.columns]
     missing = [c for c in expected if c not in df.columns]
@@ -69,18 +70,21 @@ def schema_report(spark: SparkSession, df: DataFrame, expected=K.FEATURE_COLUMNS
     aggs = []
     for c in present:
         x = F.col(c).cast("double")
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"n__{c}"), F.min(x).alias(f"lo__{c}"),
-                 F.max(x).alias(f"hi__{c}")]
+        number = F.when(~F.isnan(x), x)
+        aggs += [F.count_if(number.isNull()).alias(f"n__{c}"), F.min(number).alias(f"lo__{c}"),
+                 F.max(number).alias(f"hi__{c}")]
     one = df.agg(*aggs)
     expr, _ = _stack({c: [f"n__{c}", f"lo__{c}", f"hi__{c}"] for c in present}, present)
     long = one.selectExpr(f"{expr} AS (column_name, nulls, min_value, max_value)")
     lo_map = F.create_map(*[x for c in present for x in (F.lit(c), F.lit(ranges.get(c, (None, None))[0]).cast("double"))])
     hi_map = F.create_map(*[x for c in present for x in (F.lit(c), F.lit(ranges.get(c, (None, None))[1]).cast("double"))])
     lo, hi = lo_map[F.col("column_name")], hi_map[F.col("column_name")]
-    status = (F.when(F.col("nulls") > 0, "nulls")
-              .when(lo.isNotNull() & (F.col("min_value") < lo), "below_min")
-              .when(hi.isNotNull() & (F.col("max_value") > hi), "above_max").otherwise("ok"))
-    checked = long.select("column_name", status.alias("status"), "nulls", "min_value", "max_value")
+    found = F.array_compact(F.array(
+        F.when(F.col("nulls") > 0, "nulls"),
+        F.when(lo.isNotNull() & (F.col("min_value") < lo), "below_min"),
+        F.when(hi.isNotNull() & (F.col("max_value") > hi), "above_max")))
+    status = F.when(F.size(found) == 0, F.array(F.lit("ok"))).otherwise(found)
+    checked = long.select("column_name", F.explode(status).alias("status"), "nulls", "min_value", "max_value")
     return checked.unionByName(fixed)
 
 

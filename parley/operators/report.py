@@ -14,25 +14,29 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from . import metrics as M
-from .sentiment import arc_c, sentiment_series
+from .sentiment import arc_and_series
 
 
-def score_calls(preds_wide: DataFrame, weights=K.DEFAULT_WEIGHTS, members=("ridge", "rf", "text"),
-                renormalise: bool = False) -> DataFrame:
-    """Csat (blend or renormalised blend) and the +/- std interval."""
+def score_calls(preds_wide: DataFrame, weights=K.DEFAULT_WEIGHTS, members=K.INTERVAL_MEMBERS,
+                renormalise: bool = False, digits: int | None = None) -> DataFrame:
+    """Csat (blend or renormalised blend) and the +/- std interval of ``members``, rounded if asked."""
     csat = M.renormalised_blend(weights) if renormalise else M.blend(weights)
     ci = M._row_pop_std(members)
     from ..functions.rules import clip
-    return preds_wide.select("call_id", csat.alias("csat"), ci.alias("_sd")).select(
+    out = preds_wide.select("call_id", csat.alias("csat"), ci.alias("_sd")).select(
         "call_id", "csat", clip(F.col("csat") - F.col("_sd")).alias("ci_low"),
         clip(F.col("csat") + F.col("_sd")).alias("ci_high"))
+    if digits is not None:
+        out = out.select("call_id", *[(F.rint(F.col(c) * 10 ** digits) / 10 ** digits).alias(c) for c in ("csat", "ci_low", "ci_high")])
+    return out
 
 
 def call_report(scores: DataFrame, scored_turns: DataFrame, mapped: DataFrame,
-                sentences: DataFrame) -> DataFrame:
-    """H7: csat, interval, arc, top phrases, coaching and sentiment series per call."""
-    series = sentiment_series(scored_turns)
-    arcs = arc_c(scored_turns)
+                sentences: DataFrame, attributions: DataFrame | None = None) -> DataFrame:
+    """H7: csat, interval, arc, top phrases, coaching, sentiment series and top attributions per call.
+
+    ``attributions`` are K2 rows ``(call_id, rank, feature, value)``.
+    """
     phr = mapped.groupBy("call_id").agg(
         F.array_sort(F.collect_list(F.when(F.col("polarity") == "positive",
                                            F.struct("rank", "phrase")))).alias("_pos"),
@@ -40,28 +44,51 @@ def call_report(scores: DataFrame, scored_turns: DataFrame, mapped: DataFrame,
                                            F.struct("rank", "phrase")))).alias("_neg"))
     coach = sentences.groupBy("call_id").agg(
         F.array_sort(F.collect_list(F.struct("idx", "sentence"))).alias("_c"))
-    r = (scores.join(arcs, "call_id", "left").join(phr, "call_id", "left")
-               .join(coach, "call_id", "left").join(series, "call_id", "left"))
-    return r.select(
-        "call_id", "csat", "ci_low", "ci_high",
-        F.coalesce("emotional_arc", F.lit("flat")).alias("emotional_arc"),
-        F.coalesce(F.transform("_pos", lambda x: x["phrase"]), F.array().cast("array<string>"))
-        .alias("top_positive_phrases"),
-        F.coalesce(F.transform("_neg", lambda x: x["phrase"]), F.array().cast("array<string>"))
-        .alias("top_negative_phrases"),
-        F.coalesce(F.transform("_c", lambda x: x["sentence"]), F.array().cast("array<string>"))
-        .alias("coaching_summary"),
-        F.coalesce("sentiment_series", F.array().cast("array<double>")).alias("sentiment_series"))
+    r = (scores.join(arc_and_series(scored_turns), "call_id", "left").join(phr, "call_id", "left")
+               .join(coach, "call_id", "left"))
+    strings, doubles = F.array().cast("array<string>"), F.array().cast("array<double>")
+    cols = ["call_id", "csat", "ci_low", "ci_high",
+            F.coalesce("emotional_arc", F.lit("flat")).alias("emotional_arc"),
+            F.coalesce(F.transform("_pos", lambda x: x["phrase"]), strings).alias("top_positive_phrases"),
+            F.coalesce(F.transform("_neg", lambda x: x["phrase"]), strings).alias("top_negative_phrases"),
+            F.coalesce(F.transform("_c", lambda x: x["sentence"]), strings).alias("coaching_summary"),
+            F.coalesce("sentiment_series", doubles).alias("sentiment_series")]
+    if attributions is not None:
+        top = attributions.groupBy("call_id").agg(
+            F.array_sort(F.collect_list(F.struct("rank", "feature", "value"))).alias("_a"))
+        r = r.join(top, "call_id", "left")
+        cols.append(F.coalesce(F.transform("_a", lambda x: F.struct(x["feature"].alias("feature"), x["value"].alias("value"))),
+                               F.array().cast("array<struct<feature:string,value:double>>")).alias("top_features"))
+    return r.select(*cols)
 
 
 def flat_report(report: DataFrame) -> DataFrame:
-    """A flat projection of the report (counts and joined text) for tabular sinks."""
+    """A flat projection of the report for tabular sinks: lists as joined text, the series as JSON numbers."""
+    series = F.transform("sentiment_series", lambda x: F.format_string("%.3f", x + F.lit(0.0)))
     return report.select(
         "call_id", "csat", "ci_low", "ci_high", "emotional_arc",
-        F.size("top_positive_phrases").cast("bigint").alias("n_positive"),
-        F.size("top_negative_phrases").cast("bigint").alias("n_negative"),
+        F.array_join("top_positive_phrases", " | ").alias("positive_phrases"),
+        F.array_join("top_negative_phrases", " | ").alias("negative_phrases"),
         F.array_join("coaching_summary", " | ").alias("coaching_text"),
-        F.size("sentiment_series").cast("bigint").alias("n_series"))
+        F.array_join(series, ",").alias("sentiment_series"))
+
+
+#: Fields without which a call is not scored.
+REQUIRED = ("transcript_text", "issue_type", "call_duration_seconds", "repeat_contact", "resolution_status")
+
+
+def scoreable_calls(calls: DataFrame, required=REQUIRED) -> tuple[DataFrame, DataFrame]:
+    """``(accepted, rejects)``: calls with every required field and a non-blank transcript; the rest with reasons."""
+    from .filters import required_metadata_rejects, split_empty_transcripts
+    present = [c for c in required if c in calls.columns]
+    absent = [c for c in required if c not in calls.columns]
+    if absent:
+        raise ValueError(f"calls lack the columns {absent}")
+    complete = calls.na.drop(subset=present)
+    accepted, blank = split_empty_transcripts(complete)
+    rejects = required_metadata_rejects(calls, present).unionByName(
+        blank.select("call_id", F.lit("empty transcript").alias("reason")))
+    return accepted, rejects
 
 
 def predict_calls(calls: DataFrame, rules: DataFrame, ridge, forest=None, text_model=None,
@@ -69,7 +96,8 @@ def predict_calls(calls: DataFrame, rules: DataFrame, ridge, forest=None, text_m
     """E2 / L12 in batch: raw calls (transcript + metadata) -> csat, interval, arc.
 
     Features use the CRM rules (180/600 duration ordinal, resolution from the
-    recorded status); member predictions are keyed by ``call_id`` and
+    recorded status); calls without a required field or with a blank transcript are
+    left out (``scoreable_calls`` lists them with reasons); member predictions are keyed by ``call_id`` and
     blended with renormalisation over the members that are present; the arc
     is arc B over ``|``-separated turns.
     """
@@ -77,6 +105,7 @@ def predict_calls(calls: DataFrame, rules: DataFrame, ridge, forest=None, text_m
     from .models import forest_predict, text_leg_predict
     from .parse import parse_transcripts
     from .sentiment import arc_b
+    calls, _ = scoreable_calls(calls)
     turns = parse_transcripts(calls)
     no_means = means is None
     if no_means:

@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.broadcast import carry_bound, local_table, sized_broadcast
-from ..functions.text import strip_ws, tokens
+from ..functions.text import tokens
 from .parse import pipe_turns, with_turn_counts
 
 RULE_SCHEMA = "token string, valence double, is_neg int, is_boost int"
-MAX_BROADCAST_RULES = 2_000_000
+MAX_BROADCAST_RULES = 200_000
 
 
 def sentiment_rules(spark: SparkSession, lexicon, negators=(), boosters=()) -> DataFrame:
@@ -158,23 +158,39 @@ def arc_b(calls: DataFrame, rules: DataFrame, text_col: str = "transcript_text")
             .fillna("flat", ["emotional_arc"]))
 
 
-def arc_c(scored_turns: DataFrame, digits: int = 3) -> DataFrame:
-    """Arc over the rounded series; n<2 flat; mid = min of [n div 4, 3n div 4)."""
-    t, n, k = _head_tail_stats(scored_turns)
+def _arc_c_aggs(digits: int):
+    """Aggregates behind arc C, over turns with ``n_turns``."""
+    n = F.col("n_turns")
+    k = F.greatest(F.lit(1), F.floor(n / 5).cast("int"))
     c = F.bround("compound", digits)
     in_mid = (F.col("pos") >= F.floor(n / 4)) & (F.col("pos") < F.floor(n * 3 / 4))
-    stats = t.groupBy("call_id").agg(
-        F.first("n_turns").alias("n"),
-        F.avg(F.when(F.col("pos") < k, c)).alias("first"),
-        F.avg(F.when(F.col("pos") >= n - k, c)).alias("last"),
-        F.min(F.when(in_mid, c)).alias("mid_raw"))
+    return [F.first("n_turns").alias("n"),
+            F.avg(F.when(F.col("pos") < k, c)).alias("first"),
+            F.avg(F.when(F.col("pos") >= n - k, c)).alias("last"),
+            F.min(F.when(in_mid, c)).alias("mid_raw")]
+
+
+def _arc_c_label():
     first, last = F.col("first"), F.col("last")
     mid = F.when(F.col("n") > 4, F.col("mid_raw")).otherwise(first)
-    arc = (F.when(F.col("n") < 2, "flat").when(last - first > K.ARC_DIFF, "rise")
-           .when(first - last > K.ARC_DIFF, "fall")
-           .when((first - mid > K.ARC_DIFF) & (last - mid > K.ARC_DIFF), "v_shape")
-           .otherwise("flat"))
-    return stats.select("call_id", arc.alias("emotional_arc"))
+    return (F.when(F.col("n") < 2, "flat").when(last - first > K.ARC_DIFF, "rise")
+            .when(first - last > K.ARC_DIFF, "fall")
+            .when((first - mid > K.ARC_DIFF) & (last - mid > K.ARC_DIFF), "v_shape")
+            .otherwise("flat"))
+
+
+def arc_c(scored_turns: DataFrame, digits: int = 3) -> DataFrame:
+    """Arc over the rounded series; n<2 flat; mid = min of [n div 4, 3n div 4)."""
+    stats = with_turn_counts(scored_turns).groupBy("call_id").agg(*_arc_c_aggs(digits))
+    return stats.select("call_id", _arc_c_label().alias("emotional_arc"))
+
+
+def arc_and_series(scored_turns: DataFrame, digits: int = 3) -> DataFrame:
+    """N3 and N9 in one aggregate: ``call_id, emotional_arc, sentiment_series``."""
+    stats = with_turn_counts(scored_turns).groupBy("call_id").agg(
+        *_arc_c_aggs(digits), F.array_sort(F.collect_list(F.struct("pos", "compound"))).alias("_s"))
+    return stats.select("call_id", _arc_c_label().alias("emotional_arc"),
+                        F.transform("_s", lambda x: F.bround(x["compound"], digits)).alias("sentiment_series"))
 
 
 def arc_keyword(calls: DataFrame, text_col: str = "transcript_text",
@@ -196,7 +212,3 @@ def trajectory(scored_turns: DataFrame) -> DataFrame:
              .select("call_id", "pos",
                      F.bround(F.col("pos") / (n - 1) * 100, 0).cast("int").alias("x"),
                      F.col("compound").alias("y")))
-
-
-def strip_text(c):
-    return strip_ws(c)

@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 
-MAX_BROADCAST_BUCKETS = 2_000_000
-
 
 def stratified_split(df: DataFrame, strata=("csat_range", "issue_type"), key: str = "call_id",
                      fractions=K.SPLIT_FRACTIONS, hex_digits: int = 4) -> DataFrame:

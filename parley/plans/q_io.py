@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions.udtf import register_parse_udtf
 from ..operators import features as FE
+from ..operators import filters as FL
 from ..operators import metrics as M
 from ..operators import models as ML
 from ..operators.split import stratified_split
@@ -14,25 +14,27 @@ from ..sources import io as IO
 from ..sources.fixtures import FX_PHRASES, fx, oracle_with
 from ..streaming import jobs as SJ
 from .q_features import fx_features
-from .q_metrics import LONG_TEST, METRIC_DOUBLES, long_test, metrics_sql
+from .q_metrics import LONG_TEST, METRIC_DOUBLES, MODELS, long_test, metrics_sql
 from .q_sentiment import fx_rules
 from .registry import query
 
-STREAM_COLS = ["window_start", "window_end", "issue_type", "n_calls", "avg_csat", "low_pct", "high_pct"]
+STREAM_COLS = ["window_start", "window_end", "issue_type", "n_calls", "avg_csat", "repeat_rate", "low_pct", "mid_pct", "high_pct"]
 
 
-@query("stream_portfolio", columns=STREAM_COLS, doubles=["avg_csat", "low_pct", "high_pct"],
+@query("stream_portfolio", columns=STREAM_COLS, doubles=["avg_csat", "repeat_rate", "low_pct", "mid_pct", "high_pct"],
        oracle="""
-, e AS (SELECT ts, event_type AS issue_type, 1.0 + 4.0 * least(value, 500.0) / 500.0 AS csat_score FROM events)
+WITH e AS (SELECT ts, event_type AS issue_type, 1.0 + 4.0 * least(value, 500.0) / 500.0 AS csat_score,
+                  CAST(event_id % 2 AS DOUBLE) AS repeat_contact FROM events)
 SELECT CAST(date_trunc('day', ts) AS VARCHAR) AS window_start,
   CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS VARCHAR) AS window_end, issue_type, count(*) AS n_calls,
-  avg(csat_score) AS avg_csat, avg(CASE WHEN csat_score < 2.5 THEN 100.0 ELSE 0.0 END) AS low_pct,
+  avg(csat_score) AS avg_csat, avg(repeat_contact) AS repeat_rate,
+  avg(CASE WHEN csat_score < 2.5 THEN 100.0 ELSE 0.0 END) AS low_pct,
+  avg(CASE WHEN csat_score >= 2.5 AND csat_score < 3.5 THEN 100.0 ELSE 0.0 END) AS mid_pct,
   avg(CASE WHEN csat_score >= 3.5 THEN 100.0 ELSE 0.0 END) AS high_pct
-FROM e GROUP BY ALL""".replace("\n, e AS", "WITH e AS", 1))
+FROM e GROUP BY ALL""")
 def q_stream_portfolio(spark, sf):
-    """R2: the events table read as a file stream, windowed with a watermark."""
-    out = SJ.portfolio_stream(spark, f"{sf}/events.parquet")
-    df = spark.read.parquet(out)
+    """R2: the events table read as a file stream, windowed with a watermark, in update mode."""
+    df = SJ.read_portfolio(spark, SJ.portfolio_stream(spark, sf, glob="events.parquet"))
     return df.withColumn("window_start", F.col("window_start").cast("string")) \
              .withColumn("window_end", F.col("window_end").cast("string"))
 
@@ -42,9 +44,9 @@ def q_stream_portfolio(spark, sf):
 def q_stream_scoring(spark, sf):
     calls = fx(spark, sf, "fx_calls")
     split = stratified_split(calls)
-    feats = fx_features(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    feats = fx_features(spark, sf)
     model = ML.fit_ridge(feats.where(F.col("split") == "train"), feats.where(F.col("split") == "val"))
-    means = FE.intent_duration_means(calls, split).persist(StorageLevel.MEMORY_AND_DISK)
+    means = FE.intent_duration_means(calls, split)
     incoming = calls.join(fx(spark, sf, "fx_transcripts"), "call_id").join(
         split.where(F.col("split") == "test"), "call_id", "left_semi")
     src = SJ.scratch_path(spark, "incoming-calls")
@@ -78,6 +80,46 @@ def q_json_roundtrip(spark, sf):
     return IO.read_json(spark, path, "model string, mae double, rmse double, pearson_r double, f1_binary double")
 
 
+@query("preds_roundtrip", columns=["model"] + METRIC_DOUBLES, doubles=METRIC_DOUBLES,
+       oracle=LONG_TEST + metrics_sql("(SELECT * FROM lt WHERE model <> 'ensemble') l3", "model"))
+def q_preds_roundtrip(spark, sf):
+    """Keyed predictions written by split and model, read back, aligned with the truth, evaluated."""
+    long = long_test(spark, sf).where("model <> 'ensemble'")
+    path = SJ.scratch_path(spark, "preds")
+    IO.write_preds(long.withColumn("split", F.lit("test")), path)
+    truth = fx(spark, sf, "fx_preds").select("call_id", "y")
+    wide = M.align_predictions(truth, IO.read_preds(spark, path), MODELS)
+    return M.evaluate(M.to_long(wide, MODELS), by=["model"])
+
+
+@query("update_table", columns=["call_id", "issue_type", "issue_key"],
+       oracle=oracle_with("fx_calls") + "SELECT call_id, issue_type, upper(issue_type) AS issue_key FROM fx_calls")
+def q_update_table(spark, sf):
+    """S3: a table read, extended and written to a new path."""
+    src, dst = SJ.scratch_path(spark, "table"), SJ.scratch_path(spark, "table")
+    IO.write_table(fx(spark, sf, "fx_calls").select("call_id", "issue_type"), src)
+    return IO.update_table(spark, src, dst, lambda df: df.withColumn("issue_key", F.upper("issue_type")))
+
+
+@query("header_columns", columns=["ord", "column_name"],
+       oracle="SELECT * FROM (VALUES (0, 'o_orderkey'), (1, 'o_custkey'), (2, 'o_orderstatus'), (3, 'o_totalprice'), "
+              "(4, 'o_orderdate'), (5, 'o_orderpriority')) t(ord, column_name)")
+def q_header_columns(spark, sf):
+    """Column names without a data scan."""
+    names = IO.header_columns(spark, f"{sf}/orders.parquet")
+    return spark.createDataFrame(list(enumerate(names)), "ord bigint, column_name string")
+
+
+@query("rejected_transcripts", columns=["call_id", "issue_type"],
+       oracle=oracle_with("fx_calls", "fx_transcripts") + """
+SELECT c.call_id, c.issue_type FROM fx_calls c LEFT JOIN fx_transcripts t USING (call_id)
+WHERE c.issue_type = 'billing' AND (t.transcript_text IS NULL OR length(trim(t.transcript_text)) = 0)""")
+def q_rejected_transcripts(spark, sf):
+    """calls of one picked issue whose transcript is missing or blank."""
+    calls = FL.pick(fx(spark, sf, "fx_calls"), issue_type="billing").join(fx(spark, sf, "fx_transcripts"), "call_id", "left")
+    return FL.split_empty_transcripts(calls)[1].select("call_id", "issue_type")
+
+
 @query("udtf_parse", columns=["call_id", "pos", "turn_number", "speaker", "text"],
        oracle=oracle_with("fx_turns") + """
 SELECT call_id, row_number() OVER (PARTITION BY call_id ORDER BY pos) - 1 AS pos,

@@ -1,8 +1,10 @@
-"""Registered queries, phase 5b/6: fitted models (rows-only checks, no SQL oracle).
+"""Registered queries, phase 5b/6: models.
 
 Fits run on the driver from bounded aggregates (the Gramian) or through
 ``pyspark.ml``; scoring, ablations and attributions are column expressions
-evaluated in one pass each.
+evaluated in one pass each.  Operators on a model that is given (attributions,
+ablation by zeroing, scoring) run on a fixed linear model, so SQL can check them;
+fits are checked by the equations that they solve.
 """
 
 from __future__ import annotations
@@ -15,24 +17,104 @@ from ..operators import metrics as M
 from ..operators import models as ML
 from ..operators import phrases as H
 from ..sources.fixtures import fx
-from .q_features import fx_features
-from .registry import query
-
+from .q_features import FEATURE_SQL, fx_features
+from .q_metrics import clip_sql, metrics_sql
+from .registry import query, round_doubles
 
 # Fitted artefacts and the persisted feature table, per Spark application and
 # data directory: models are fitted once and reused by every query (seeded fits).
 _ARTEFACTS: dict = {}
 
 
+def release() -> None:
+    """Drop the fitted models and the persisted feature tables."""
+    for held in _ARTEFACTS.values():
+        if isinstance(held, dict):
+            held["features"].unpersist()
+    _ARTEFACTS.clear()
+
+
 def _splits(spark, sf):
     # The feature table feeds several passes (Gramian, scoring, metrics):
-    # persist it once (recomputable from lineage if an executor is lost).
+    # persist it once (recomputable from lineage if an executor is lost);
+    # another directory or application releases it.
     key = ("splits", spark.sparkContext.applicationId, sf)
     if key not in _ARTEFACTS:
+        release()
         f = fx_features(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
-        _ARTEFACTS[key] = (f.where(F.col("split") == "train"), f.where(F.col("split") == "val"),
-                           f.where(F.col("split") == "test"))
-    return _ARTEFACTS[key]
+        _ARTEFACTS[key] = {"features": f, **{s: f.where(F.col("split") == s) for s in ("train", "val", "test")}}
+    held = _ARTEFACTS[key]
+    return held["train"], held["val"], held["test"]
+
+
+# ------------------------------------------------- a fixed model, for SQL checks
+FIXED = ML.LinearModel(
+    list(K.FEATURE_COLUMNS), [0.05 * (i % 7 - 3) for i in range(len(K.FEATURE_COLUMNS))], 3.0,
+    ML.Scaler(list(K.FEATURE_COLUMNS), [0.1 * i for i in range(len(K.FEATURE_COLUMNS))],
+              [1.0 + 0.25 * i for i in range(len(K.FEATURE_COLUMNS))]), 1.0, "fixed")
+
+
+def _term_sql(i: int) -> str:
+    """Attribution of feature ``i`` under the fixed model."""
+    c, w, m, s = FIXED.features[i], FIXED.coef[i], FIXED.scaler.mean[i], FIXED.scaler.scale[i]
+    return f"(CAST({w!r} AS DOUBLE) * (CAST({c} AS DOUBLE) - {m!r}) / {s!r})"
+
+
+def _fixed_sql(zeroed=()) -> str:
+    return " + ".join(["CAST(3.0 AS DOUBLE)"] + [_term_sql(i) for i, c in enumerate(FIXED.features) if c not in zeroed])
+
+
+ATTR_SQL = FEATURE_SQL + ", attr AS (" + " UNION ALL ".join(
+    f"SELECT call_id, split, CAST({i} AS BIGINT) AS ord, '{c}' AS feature, {_term_sql(i)} AS value FROM fm"
+    for i, c in enumerate(FIXED.features)) + ")\n"
+
+
+# ------------------------------------------------------------------- fits
+#: Training rows that the forest search fits its 27 forests on (a bound on labelled rows, not on data scored).
+SEARCH_ROWS = 20_000
+
+GRAM_COLS = K.FEATURE_COLUMNS[:8]
+
+
+@query("gramian", columns=["stat", "a", "b", "value"], doubles=["value"],
+       oracle=FEATURE_SQL + ", tr AS (SELECT " + ", ".join(
+           f"round({c}, 6) AS {c}" for c in [*GRAM_COLS, K.TARGET]) + " FROM fm WHERE split = 'train')\n"
+       + " UNION ALL ".join(
+           ["SELECT 'n' AS stat, '' AS a, '' AS b, CAST(count(*) AS DOUBLE) AS value FROM tr",
+            f"SELECT 'sy', '', '', sum({K.TARGET}) FROM tr", f"SELECT 'syy', '', '', sum({K.TARGET} * {K.TARGET}) FROM tr"]
+           + [f"SELECT 'sx', '{c}', '', sum({c}) FROM tr" for c in GRAM_COLS]
+           + [f"SELECT 'sxy', '{c}', '', sum({c} * {K.TARGET}) FROM tr" for c in GRAM_COLS]
+           + [f"SELECT 'sxx', '{c}', '{d}', sum({c} * {d}) FROM tr" for i, c in enumerate(GRAM_COLS) for d in GRAM_COLS[i:]]))
+def q_gramian(spark, sf):
+    """L1/L2: the sufficient statistics of least squares, over the training rows."""
+    train, _, _ = _splits(spark, sf)
+    g = ML.gramian(round_doubles(train), GRAM_COLS, shifted=False)
+    rows = [("n", "", "", g.n), ("sy", "", "", g.sy), ("syy", "", "", g.syy)]
+    rows += [("sx", c, "", float(g.sx[i])) for i, c in enumerate(GRAM_COLS)]
+    rows += [("sxy", c, "", float(g.sxy[i])) for i, c in enumerate(GRAM_COLS)]
+    rows += [("sxx", c, d, float(g.sxx[i, j])) for i, c in enumerate(GRAM_COLS) for j, d in enumerate(GRAM_COLS) if j >= i]
+    return spark.createDataFrame(rows, "stat string, a string, b string, value double")
+
+
+@query("ridge_stationarity", columns=["alpha", "feature", "stationary"], doubles=["alpha"],
+       oracle="SELECT a.alpha, f.feature, TRUE AS stationary FROM (VALUES " + ", ".join(f"(CAST({a} AS DOUBLE))" for a in K.RIDGE_ALPHAS)
+       + ") a(alpha), (VALUES " + ", ".join(f"('{c}')" for c in K.FEATURE_COLUMNS) + ") f(feature)")
+def q_ridge_stationarity(spark, sf):
+    """L2/L3: every fit solves its equations: the scaled feature's product with the residuals is alpha times its weight."""
+    train, val, _ = _splits(spark, sf)
+    _, models, _ = ML.alpha_search(train, val)
+    rows = []
+    for alpha, m in zip(K.RIDGE_ALPHAS, models.values()):
+        left = F.col(K.TARGET) - m.predict_column(clip=False)
+        z = m.scaler.columns()
+        rows.append(train.agg(*[F.sum(left * c).alias(f) for f, c in zip(m.features, z)], F.count(F.lit(1)).alias("n")).select(
+            F.lit(float(alpha)).alias("alpha"), F.explode(F.array(*[
+                F.struct(F.lit(f).alias("feature"), (F.abs(F.col(f) - F.lit(alpha * w)) <= 1e-6 * F.col("n")).alias("stationary"))
+                for f, w in zip(m.features, m.coef)])).alias("r")).select("alpha", "r.*"))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
 
 
 @query("alpha_search", columns=["alpha", "mae", "rmse", "pearson_r", "f1_binary"],
@@ -61,59 +143,83 @@ def q_ridge_metrics(spark, sf):
 def q_ablation_retrain(spark, sf):
     train, val, _ = _splits(spark, sf)
     m = ML.fit_ridge(train, val)
-    return ML.ablation_retrain(train, val, m.alpha)
+    return ML.ablation_retrain(train, val, m.alpha, g=m.gramian)
+
+
+RUNS = {"all_features": (), **{f"remove_{g}": tuple(cols) for g, cols in K.FEATURE_GROUPS.items()}}
 
 
 @query("ablation_zeroed", columns=["run_idx", "run", "features_removed", "n_features", "mae", "mae_delta"],
-       note="L7: fitted ridge with each group's scaled terms zeroed, test split, one pass")
+       doubles=["mae", "mae_delta"],
+       oracle=FEATURE_SQL + ", runs AS (" + " UNION ALL ".join(
+           f"SELECT {i} AS run_idx, '{run}' AS run, '{run.replace('remove_', '') if z else 'none'}' AS features_removed, "
+           f"{len(K.FEATURE_COLUMNS) - len(z)} AS n_features, {K.TARGET} AS y, {clip_sql(_fixed_sql(z))} AS pred FROM fm WHERE split = 'test'"
+           for i, (run, z) in enumerate(RUNS.items())) + """)
+, m AS (SELECT run_idx, run, features_removed, n_features, avg(abs(y - pred)) AS mae FROM runs GROUP BY ALL)
+SELECT run_idx, run, features_removed, n_features, mae, mae - (SELECT mae FROM m WHERE run = 'all_features') AS mae_delta FROM m""")
 def q_ablation_zeroed(spark, sf):
-    train, val, test = _splits(spark, sf)
-    m = ML.fit_ridge(train, val)
-    return ML.ablation_zeroed(m, test)
+    """A linear model with each group's scaled terms zeroed, test split, one pass."""
+    return ML.ablation_zeroed(FIXED, _splits(spark, sf)[2])
 
 
 @query("ablation_pivot", columns=["group", "val", "test"], note="A22: delta MAE by group x split")
 def q_ablation_pivot(spark, sf):
     train, val, test = _splits(spark, sf)
     m = ML.fit_ridge(train, val)
-    a = ML.ablation_retrain(train, val, m.alpha).select(
+    a = ML.ablation_retrain(train, val, m.alpha, g=m.gramian).select(
         F.col("features_removed").alias("group"), F.lit("val").alias("split"), "mae_delta")
     b = ML.ablation_zeroed(m, test).select(
         F.col("features_removed").alias("group"), F.lit("test").alias("split"), "mae_delta")
     return M.ablation_pivot(a.unionByName(b).where(F.col("group") != "none"))
 
 
-def _linear_attr(spark, sf):
-    train, val, test = _splits(spark, sf)
-    m = ML.fit_ridge(train, val)
-    wide = test.select("call_id", *m.attribution_columns())
-    return H.attributions_long(wide, m.features), m, test
+@query("linear_scores", columns=["split", "mae", "rmse", "pearson_r", "f1_binary"], doubles=["mae", "rmse", "pearson_r", "f1_binary"],
+       oracle=FEATURE_SQL + f", sc2 AS (SELECT split, {K.TARGET} AS y, {clip_sql(_fixed_sql())} AS pred FROM fm)\n"
+       + metrics_sql("sc2", "split"))
+def q_linear_scores(spark, sf):
+    """A given linear model's metrics on every split, one pass."""
+    parts = [p.select("split", F.col(K.TARGET).alias("y"), FIXED.predict_column().alias("pred")) for p in _splits(spark, sf)]
+    return M.evaluate(parts[0].unionByName(parts[1]).unionByName(parts[2]), by=["split"])
+
+
+def _linear_attr(spark, sf, part: int):
+    wide = _splits(spark, sf)[part].select("call_id", *FIXED.attribution_columns())
+    return H.attributions_long(wide, FIXED.features)
 
 
-@query("linear_attribution", columns=["call_id", "ord", "feature", "value"],
-       note="L16: exact w_j * z_j attribution of the linear leg, test split")
+@query("linear_attribution", columns=["call_id", "ord", "feature", "value"], doubles=["value"],
+       oracle=ATTR_SQL + "SELECT call_id, ord, feature, value FROM attr WHERE split = 'test'")
 def q_linear_attribution(spark, sf):
-    return _linear_attr(spark, sf)[0]
+    """Exact w_j * z_j attribution of a given linear model, test split."""
+    return _linear_attr(spark, sf, 2)
 
 
-@query("linear_additivity", columns=["call_id", "pred", "base_plus_sum"],
-       note="L16 check: intercept + sum(attributions) equals the unclipped prediction")
+@query("linear_additivity", columns=["call_id", "additive"],
+       oracle=FEATURE_SQL + "SELECT call_id, TRUE AS additive FROM fm WHERE split = 'test'")
 def q_linear_additivity(spark, sf):
-    long, m, test = _linear_attr(spark, sf)
-    s = long.groupBy("call_id").agg(F.sum("value").alias("s"))
+    """Intercept + sum(attributions) equals the fitted model's unclipped prediction."""
+    train, val, test = _splits(spark, sf)
+    m = ML.fit_ridge(train, val)
+    s = H.attributions_long(test.select("call_id", *m.attribution_columns()), m.features).groupBy("call_id").agg(F.sum("value").alias("s"))
     pred = test.select("call_id", m.predict_column(clip=False).alias("pred"))
-    return pred.join(s, "call_id").select("call_id", "pred", (F.lit(m.intercept) + F.col("s")).alias("base_plus_sum"))
+    return pred.join(s, "call_id").select("call_id", (F.abs(F.col("pred") - F.lit(m.intercept) - F.col("s")) < 1e-6).alias("additive"))
 
 
-@query("top5_attributions", columns=["call_id", "rank", "feature", "value"],
-       note="K2: top 5 by |value| per call, feature order breaks ties")
+@query("top5_attributions", columns=["call_id", "rank", "feature", "value"], doubles=["value"],
+       oracle=ATTR_SQL + """SELECT call_id, rank, feature, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY round(abs(value), 9) DESC, ord) AS rank FROM attr WHERE split = 'test')
+WHERE rank <= 5""")
 def q_top5_attributions(spark, sf):
-    return H.top_attributions(_linear_attr(spark, sf)[0], 5)
+    """K2: top 5 by |value| per call, feature order breaks ties."""
+    long = _linear_attr(spark, sf, 2).withColumn("value", F.round("value", 9))
+    return H.top_attributions(long, 5)
 
 
-@query("global_importance", columns=["feature", "mean_abs"], note="L17: mean |attribution| per feature")
+@query("global_importance", columns=["feature", "mean_abs"], doubles=["mean_abs"],
+       oracle=ATTR_SQL + "SELECT feature, avg(abs(value)) AS mean_abs FROM attr WHERE split = 'train' GROUP BY feature")
 def q_global_importance(spark, sf):
-    return _linear_attr(spark, sf)[0].groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs"))
+    """Mean |attribution| per feature over the training rows."""
+    return _linear_attr(spark, sf, 0).groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs"))
 
 
 def _forest(spark, sf):
@@ -141,8 +247,34 @@ def q_rf_importances(spark, sf):
     return ML.importances(spark, model)
 
 
+@query("forest_search", columns=["config_idx", "num_trees", "max_depth", "min_leaf", "mae", "rmse", "pearson_r", "f1_binary"],
+       note="L4: the full 27-point grid, fitted on a bounded sample of the training rows, scored on all validation rows")
+def q_forest_search(spark, sf):
+    train, val, _ = _splits(spark, sf)
+    out, _ = ML.forest_search(train, val, sample_rows=SEARCH_ROWS)
+    rows = [(i, p["numTrees"], p["maxDepth"], p["minInstancesPerNode"], *(float(r[k]) if r[k] is not None else None
+             for k in ("mae", "rmse", "pearson_r", "f1_binary"))) for i, p, _, r in out]
+    return spark.createDataFrame(rows, "config_idx int, num_trees int, max_depth int, min_leaf int, mae double, rmse double, "
+                                       "pearson_r double, f1_binary double")
+
+
+@query("tree_additivity", columns=["call_id", "additive"],
+       oracle=FEATURE_SQL + "SELECT call_id, TRUE AS additive FROM fm WHERE split = 'test'")
+def q_tree_additivity(spark, sf):
+    """Base value + sum of TreeSHAP values equals the forest's prediction."""
+    from ..operators.explain import forest_attributions
+    model, _, _, test = _forest(spark, sf)
+    wide = forest_attributions(spark, model, test)
+    total = F.col("base_value")
+    for c in K.FEATURE_COLUMNS:
+        total = total + F.col(c)
+    raw = model.transform(ML.assemble(test)).select("call_id", "pred")
+    return wide.select("call_id", total.alias("total")).join(raw, "call_id").select(
+        "call_id", (F.abs(F.col("total") - F.col("pred")) < 1e-6).alias("additive"))
+
+
 @query("text_leg", columns=["call_id", "pred"],
-       note="L13: hashed TF-IDF (first 512 tokens) + linear regression, regularisation picked on val")
+       note="L13: hashed TF-IDF of whole texts + linear regression, regularisation picked on val")
 def q_text_leg(spark, sf):
     f = fx_features(spark, sf).select("call_id", "csat_score", "split")
     tx = fx(spark, sf, "fx_transcripts")
@@ -161,9 +293,12 @@ def q_tree_attribution(spark, sf):
 
 
 @query("tree_global_importance", columns=["feature", "mean_abs"],
-       note="L17: mean |TreeSHAP| per feature over the test split")
+       note="L17: mean |TreeSHAP| per feature over the training rows")
 def q_tree_global_importance(spark, sf):
-    return q_tree_attribution(spark, sf).groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs"))
+    from ..operators.explain import forest_attributions
+    model, train, _, _ = _forest(spark, sf)
+    long = H.attributions_long(forest_attributions(spark, model, train), K.FEATURE_COLUMNS)
+    return long.groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs"))
 
 
 @query("batch_predict", columns=["call_id", "csat_score", "ci_low", "ci_high", "emotional_arc"],

@@ -142,23 +142,25 @@ REPORT_SQL = COACH_SQL.replace(oracle_with("fx_transcripts", "fx_preds"),
 , arcc AS (SELECT call_id, n, CASE WHEN n < 2 THEN 'flat' WHEN l - f > 0.15 THEN 'rise' WHEN f - l > 0.15 THEN 'fall'
   WHEN f - (CASE WHEN n > 4 THEN mr ELSE f END) > 0.15 AND l - (CASE WHEN n > 4 THEN mr ELSE f END) > 0.15
   THEN 'v_shape' ELSE 'flat' END AS emotional_arc FROM a)
-, sco AS (SELECT call_id, {BLEND} AS csat, {pop_std_sql(MODELS)} AS sd FROM fx_preds)
-, cnt AS (SELECT call_id, count(*) FILTER (WHERE polarity = 'positive') AS n_positive,
-          count(*) FILTER (WHERE polarity = 'negative') AS n_negative FROM mapped GROUP BY call_id)
+, ser AS (SELECT call_id, string_agg(format('{{:.3f}}', round_even(compound, 3) + 0.0), ',' ORDER BY pos) AS sentiment_series FROM sc GROUP BY call_id)
+, sco AS (SELECT call_id, {BLEND} AS csat, {pop_std_sql(list(K.INTERVAL_MEMBERS))} AS sd FROM fx_preds)
+, cnt AS (SELECT call_id, string_agg(phrase, ' | ' ORDER BY rank) FILTER (WHERE polarity = 'positive') AS positive_phrases,
+          string_agg(phrase, ' | ' ORDER BY rank) FILTER (WHERE polarity = 'negative') AS negative_phrases FROM mapped GROUP BY call_id)
 , ctext AS (SELECT call_id, string_agg(sentence, ' | ' ORDER BY idx) AS coaching_text FROM coach GROUP BY call_id)
-SELECT s.call_id, s.csat, {clip_sql('s.csat - s.sd')} AS ci_low, {clip_sql('s.csat + s.sd')} AS ci_high,
-  coalesce(arcc.emotional_arc, 'flat') AS emotional_arc, coalesce(cnt.n_positive, 0) AS n_positive,
-  coalesce(cnt.n_negative, 0) AS n_negative, coalesce(ctext.coaching_text, '') AS coaching_text,
-  coalesce(arcc.n, 0) AS n_series
-FROM sco s LEFT JOIN arcc USING (call_id) LEFT JOIN cnt USING (call_id) LEFT JOIN ctext USING (call_id)
+SELECT s.call_id, round_even(s.csat, 2) AS csat, round_even({clip_sql('s.csat - s.sd')}, 2) AS ci_low,
+  round_even({clip_sql('s.csat + s.sd')}, 2) AS ci_high,
+  coalesce(arcc.emotional_arc, 'flat') AS emotional_arc, coalesce(cnt.positive_phrases, '') AS positive_phrases,
+  coalesce(cnt.negative_phrases, '') AS negative_phrases, coalesce(ctext.coaching_text, '') AS coaching_text,
+  coalesce(ser.sentiment_series, '') AS sentiment_series
+FROM sco s LEFT JOIN arcc USING (call_id) LEFT JOIN cnt USING (call_id) LEFT JOIN ctext USING (call_id) LEFT JOIN ser USING (call_id)
 """
 
 
-@query("call_report", columns=["call_id", "csat", "ci_low", "ci_high", "emotional_arc", "n_positive",
-                               "n_negative", "coaching_text", "n_series"],
+@query("call_report", columns=["call_id", "csat", "ci_low", "ci_high", "emotional_arc", "positive_phrases",
+                               "negative_phrases", "coaching_text", "sentiment_series"],
        doubles=["csat", "ci_low", "ci_high"], oracle=REPORT_SQL)
 def q_call_report(spark, sf):
-    scores = RP.score_calls(fx(spark, sf, "fx_preds"))
+    scores = RP.score_calls(fx(spark, sf, "fx_preds"), digits=2)
     mapped = fx_mapped(spark, sf)
     rep = RP.call_report(scores, scored_fx_turns(spark, sf), mapped, H.coaching(mapped))
     return RP.flat_report(rep)

@@ -192,21 +192,55 @@ def q_column_sanity(spark, sf):
     return Q.column_sanity(fx_features(spark, sf))
 
 
-def _range_case(c):
+def _findings_sql(c: str, src: str, expr: str | None = None) -> str:
+    """Rows of the schema report for one column: every finding, else ``ok``."""
     lo, hi = K.FEATURE_RANGES[c]
-    s = "CASE WHEN count(*) FILTER (WHERE {c} IS NULL) > 0 THEN 'nulls'".format(c=c)
-    if lo is not None:
-        s += f" WHEN min({c}) < {lo} THEN 'below_min'"
-    if hi is not None:
-        s += f" WHEN max({c}) > {hi} THEN 'above_max'"
-    return s + " ELSE 'ok' END"
+    x = f"CASE WHEN NOT isnan(CAST({expr or c} AS DOUBLE)) THEN CAST({expr or c} AS DOUBLE) END"
+    found = ["CASE WHEN nulls > 0 THEN 'nulls' END"]
+    found += [f"CASE WHEN min_value < {lo} THEN 'below_min' END"] if lo is not None else []
+    found += [f"CASE WHEN max_value > {hi} THEN 'above_max' END"] if hi is not None else []
+    lists = f"list_filter([{', '.join(found)}], lambda z: z IS NOT NULL)"
+    return f"""SELECT '{c}' AS column_name, unnest(CASE WHEN len({lists}) = 0 THEN ['ok'] ELSE {lists} END) AS status,
+  nulls, min_value, max_value FROM (SELECT count(*) FILTER (WHERE v IS NULL) AS nulls, min(v) AS min_value, max(v) AS max_value
+  FROM (SELECT {x} AS v FROM {src}) q1) q2"""
 
 
-@query("schema_violations", columns=["column_name", "status", "nulls", "min_value", "max_value"],
-       doubles=["min_value", "max_value"],
-       oracle=FEATURE_SQL + " " + " UNION ALL ".join(
-           f"SELECT '{c}' AS column_name, {_range_case(c)} AS status, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
-           f"CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value FROM fm"
-           for c in K.FEATURE_COLUMNS))
+REPORT_COLS = ["column_name", "status", "nulls", "min_value", "max_value"]
+
+
+@query("schema_violations", columns=REPORT_COLS, doubles=["min_value", "max_value"],
+       oracle=FEATURE_SQL + " " + " UNION ALL ".join(_findings_sql(c, "fm") for c in K.FEATURE_COLUMNS))
 def q_schema_violations(spark, sf):
     return Q.schema_report(spark, fx_features(spark, sf))
+
+
+# A deliberately broken feature table: one column gone, one renamed, leaks, nulls, NaN, values out of range.
+BROKEN = {"talk_time_ratio": ("CASE WHEN call_id % 7 = 0 THEN NULL WHEN call_id % 7 = 1 THEN CAST('NaN' AS DOUBLE) "
+                              "ELSE talk_time_ratio END"),
+          "duration_ordinal": "duration_ordinal * 3", "std_sentiment": "std_sentiment - 1",
+          "intent_login": "CASE WHEN call_id % 5 = 0 THEN NULL ELSE intent_login + 1 END"}
+
+
+@query("schema_findings", columns=REPORT_COLS, doubles=["min_value", "max_value"],
+       oracle=FEATURE_SQL + " " + " UNION ALL ".join(
+           [_findings_sql(c, "fm", BROKEN.get(c)) for c in K.FEATURE_COLUMNS if c != "mean_sentiment"]
+           + [f"SELECT '{c}', '{s}', NULL, NULL, NULL" for c, s in (
+               ("mean_sentiment", "missing"), ("mood", "extra"), ("csat_range", "leakage"), ("emotional_arc", "leakage"))]))
+def q_schema_findings(spark, sf):
+    """Every kind of finding, on a broken projection of the feature table."""
+    f = fx_features(spark, sf)
+    for c, e in BROKEN.items():
+        f = f.withColumn(c, F.expr(e))
+    f = (f.withColumnRenamed("mean_sentiment", "mood").withColumn("csat_range", F.lit("high"))
+         .withColumn("emotional_arc", F.lit("flat")))
+    return Q.schema_report(spark, f)
+
+
+@query("numeric_pruning", columns=["column_name"],
+       oracle="SELECT unnest(['" + "', '".join(c for c in K.FEATURE_COLUMNS if c != "mean_sentiment") + "', 'mood']) AS column_name")
+def q_numeric_pruning(spark, sf):
+    """Duplicate columns dropped, numeric columns kept without keys, target and leaks."""
+    f = fx_features(spark, sf).withColumnRenamed("mean_sentiment", "mood").withColumn("csat_range", F.lit("high"))
+    f = f.select("*", F.col("mood").alias("mood.1"), "talk_time_ratio")
+    names = Q.numeric_columns(Q.dedupe_columns(f), exclude=("call_id", "split", K.TARGET))
+    return spark.createDataFrame([(c,) for c in names], "column_name string")

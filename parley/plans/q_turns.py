@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..operators import parse as P
 from ..operators import structure as S
-from ..sources.fixtures import FX_PHRASES, fx, oracle_with
+from ..operators.sentiment import sentiment_rules, whole_text_sentiment
+from ..sources.fixtures import FX_BOOSTERS, FX_LEXICON, FX_NEGATORS, FX_PHRASES, fx, oracle_with
+from .oracle_parts import scored_cte
 from .registry import query
 
 WC = "CAST(len(regexp_extract_all(text, '\\S+')) AS DOUBLE)"
@@ -161,15 +163,16 @@ def q_agent_behaviour(spark, sf):
 
 
 @query("transcript_features",
-       columns=["call_id", "tx_repeat_contact", "tx_transfer_count", "tx_empathy_words"],
-       doubles=["tx_repeat_contact", "tx_transfer_count", "tx_empathy_words"],
-       oracle=oracle_with("fx_transcripts") + """
-, t AS (SELECT call_id, lower(transcript_text) AS lt FROM fx_transcripts)
-SELECT call_id, CASE WHEN contains(lt, ' that ') THEN 1.0 ELSE 0.0 END AS tx_repeat_contact,
+       columns=["call_id", "tx_repeat_contact", "tx_transfer_count", "tx_sentiment", "tx_empathy_words"],
+       doubles=["tx_repeat_contact", "tx_transfer_count", "tx_sentiment", "tx_empathy_words"],
+       oracle=oracle_with("fx_transcripts") + scored_cte("fx_transcripts", ["call_id"], "transcript_text", "sc") + """
+, t AS (SELECT call_id, lower(transcript_text) AS lt, sc.compound FROM fx_transcripts JOIN sc USING (call_id))
+SELECT call_id, compound AS tx_sentiment, CASE WHEN contains(lt, ' that ') THEN 1.0 ELSE 0.0 END AS tx_repeat_contact,
   (length(lt) - length(replace(lt, ' with ', ''))) // 6 AS tx_transfer_count,
   CAST(contains(lt, ' the ') AS INT) + CAST(contains(lt, ' is ') AS INT) + CAST(contains(lt, ' of ') AS INT)
     AS tx_empathy_words
 FROM t""")
 def q_transcript_features(spark, sf):
-    return S.transcript_features(fx(spark, sf, "fx_transcripts"), repeat_phrase=" that ",
+    tx = fx(spark, sf, "fx_transcripts")
+    return S.transcript_features(tx, whole_text_sentiment(tx, sentiment_rules(spark, FX_LEXICON, FX_NEGATORS, FX_BOOSTERS)), repeat_phrase=" that ",
                                  transfer_word=" with ", empathy_words=[" the ", " is ", " of "])

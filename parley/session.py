@@ -40,11 +40,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only where it is unset (local tests) do we create a
-    private scratch folder so ``DataFrame.checkpoint()`` works.
+    A cluster names it.  Only a ``local`` master (tests) may leave it unset and
+    gets a private scratch folder; elsewhere that raises, as executors don't
+    share local folders.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         d = tempfile.mkdtemp(prefix="parley-ckpt-", dir=os.environ.get("PARLEY_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

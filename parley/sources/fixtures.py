@@ -9,7 +9,7 @@ separate DuckDB definition for the oracle side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .tables import register_tables
@@ -115,8 +115,12 @@ def fx(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture as a DataFrame (registers the views first)."""
     register_fixtures(spark, sf_dir)
     if name == "fx_turns":
-        # row_number() is INT in Spark, BIGINT in DuckDB: keep INT positions.
-        return spark.table("fx_turns").withColumn("pos", F.col("pos").cast("int"))
+        # Turn count and previous speaker are attached where the table is made (same window
+        # partitioning as its positions); row_number() is INT in Spark, BIGINT in DuckDB.
+        call = Window.partitionBy("call_id")
+        return (spark.table("fx_turns").withColumn("pos", F.col("pos").cast("int"))
+                .withColumn("n_turns", F.count(F.lit(1)).over(call).cast("int"))
+                .withColumn("prev_speaker", F.lag("speaker").over(call.orderBy("pos"))))
     if name == "fx_transcripts":
         from ..operators.parse import format_transcripts
         return format_transcripts(fx(spark, sf_dir, "fx_turns"))
@@ -141,9 +145,3 @@ def oracle_with(*names: str) -> str:
         visit(n)
     parts = [f"{n} AS ({(FX_SQL.get(n) or DUCK_SQL[n]).strip()})" for n in order]
     return "WITH " + ",\n".join(parts) + "\n"
-
-
-def lexicon_values_sql(name: str = "fx_lexicon") -> str:
-    """The fixture lexicon as a DuckDB ``VALUES`` CTE body."""
-    rows = ", ".join(f"('{t}', CAST({v} AS DOUBLE))" for t, v in FX_LEXICON)
-    return f"{name}(token, valence) AS (VALUES {rows})"

@@ -22,12 +22,21 @@ CALLS_SCHEMA = T.StructType([
     T.StructField("csat_range", T.StringType()),
 ])
 
+
+def calls_schema(id_type=None) -> T.StructType:
+    """The call table's schema with another type of ``call_id`` (say ``StringType()`` for ids like ``CALL_0001``)."""
+    return T.StructType([T.StructField("call_id", id_type or T.LongType()), *CALLS_SCHEMA.fields[1:]])
+
+
 PREDS_SCHEMA = "call_id bigint, split string, model string, pred double"
 
 
-def read_csv(spark: SparkSession, path: str, schema=CALLS_SCHEMA) -> DataFrame:
-    """Header CSV with quoted multi-line text fields."""
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
+def read_csv(spark: SparkSession, path: str, schema=CALLS_SCHEMA, mode: str = "FAILFAST") -> DataFrame:
+    """Header CSV with quoted multi-line text fields.
+
+    A value that doesn't fit the schema raises (``mode``), never turns to null.
+    """
+    return (spark.read.schema(schema).option("header", True).option("multiLine", True).option("mode", mode)
                  .option("escape", '"').option("quote", '"').csv(path))
 
 

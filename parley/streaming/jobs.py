@@ -1,13 +1,13 @@
 """Structured Streaming jobs.
 
 * ``portfolio_stream`` (R2): event-time windowed portfolio statistics with a
-  watermark.  Complete mode keeps one small state row per (day, issue), and
-  ``foreachBatch`` overwrites the result table each trigger, so the sink is
-  idempotent under retries and always holds the full picture.
+  watermark, in update mode: a trigger emits only the windows that it changed,
+  each to the epoch's own folder, so a replayed trigger rewrites the same
+  files.  ``read_portfolio`` takes the latest row of each window.
 * ``scoring_stream`` (R1): new calls arriving as files are scored by the
-  batch feature job + linear model inside ``foreachBatch`` (the feature job
-  needs joins and windows, which a stateless stream cannot run); models and
-  the per-intent duration means are computed once, before the stream starts.
+  batch job inside ``foreachBatch`` (the feature job needs joins and windows,
+  which a stateless stream cannot run); models and the per-intent duration
+  means are computed once, before the stream starts.
 
 Sinks and checkpoints live under the session's shared checkpoint folder
 (``spark.checkpoint.dir``), never on a machine-local path.
@@ -31,25 +31,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A parquet file stream over ``path`` (a folder, or one file inside a folder).
+def file_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None,
+                glob: str | None = None) -> DataFrame:
+    """A Parquet file stream over ``folder``; ``glob`` picks files by name.
 
-    File sources watch folders; a single file is read by watching its folder
-    with a glob filter on its name.  The schema comes from the data at start.
+    The schema comes from the data at start.
     """
-    import os
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
+    batch = spark.read
+    reader = spark.readStream
+    if glob:
+        batch, reader = batch.option("pathGlobFilter", glob), reader.option("pathGlobFilter", glob)
+    reader = reader.schema(batch.parquet(folder).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if path.endswith(".parquet") and os.path.isfile(path):
-        folder, name = os.path.split(path)
-        return reader.option("pathGlobFilter", name).parquet(folder)
-    return reader.parquet(path)
+    return reader.parquet(folder)
 
 
 def events_as_calls(events: DataFrame) -> DataFrame:
-    """Map the event stream to call-like rows: issue = event type, csat from value.
+    """Map the event stream to call-like rows: issue = event type, csat from value, repeat = a user's odd event.
 
     Watermarks need ``TIMESTAMP``.  A ``TIMESTAMP_NTZ`` event time is taken
     as UTC wall time whatever the session time zone, so windows align to UTC
@@ -60,7 +59,8 @@ def events_as_calls(events: DataFrame) -> DataFrame:
         ts = F.from_utc_timestamp(ts.cast("timestamp"), F.current_timezone())
     return events.select(
         ts.alias("ts"), F.col("event_type").alias("issue_type"),
-        (F.lit(1.0) + F.lit(4.0) * F.least(F.col("value"), F.lit(500.0)) / F.lit(500.0)).alias("csat_score"))
+        (F.lit(1.0) + F.lit(4.0) * F.least(F.col("value"), F.lit(500.0)) / F.lit(500.0)).alias("csat_score"),
+        (F.col("event_id") % 2).cast("double").alias("repeat_contact"))
 
 
 def _utc_wall(c):
@@ -69,51 +69,67 @@ def _utc_wall(c):
 
 
 def windowed_portfolio(calls: DataFrame, window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
-    """R2 transformation (batch or stream): per window and issue, A1/A5 statistics."""
+    """R2 transformation (batch or stream): per window and issue, A1 mean, A3 repeat rate and A5 buckets."""
     s = F.col("csat_score")
+    share = lambda c: F.avg(c.cast("double") * 100)
     return (calls.withWatermark("ts", watermark)
                  .groupBy(F.window("ts", window).alias("w"), "issue_type")
                  .agg(F.count(F.lit(1)).alias("n_calls"), F.avg(s).alias("avg_csat"),
-                      F.avg((s < K.BAND_AT_RISK).cast("double") * 100).alias("low_pct"),
-                      F.avg((s >= K.BAND_SATISFACTORY).cast("double") * 100).alias("high_pct"))
+                      F.avg("repeat_contact").alias("repeat_rate"),
+                      share(s < K.BAND_AT_RISK).alias("low_pct"),
+                      share((s >= K.BAND_AT_RISK) & (s < K.BAND_SATISFACTORY)).alias("mid_pct"),
+                      share(s >= K.BAND_SATISFACTORY).alias("high_pct"))
                  .select(_utc_wall("w.start").alias("window_start"), _utc_wall("w.end").alias("window_end"),
-                         "issue_type", "n_calls", "avg_csat", "low_pct", "high_pct"))
+                         "issue_type", "n_calls", "avg_csat", "repeat_rate", "low_pct", "mid_pct", "high_pct"))
 
 
 def portfolio_stream(spark: SparkSession, events_dir: str, out_path: str | None = None,
                      window: str = "1 day", watermark: str = "1 hour",
-                     max_files_per_trigger: int | None = None) -> str:
-    """Run R2 over the files in ``events_dir`` until caught up; return the sink path."""
-    stream = file_stream(spark, events_dir, max_files_per_trigger)
+                     max_files_per_trigger: int | None = None, glob: str | None = None) -> str:
+    """Run R2 over the files in ``events_dir`` until caught up; return the sink path (see ``read_portfolio``)."""
+    stream = file_stream(spark, events_dir, max_files_per_trigger, glob)
     agg = windowed_portfolio(events_as_calls(stream), window, watermark)
     out_path = out_path or scratch_path(spark, "portfolio-stream")
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        batch.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(sink)
+    q = (agg.writeStream.outputMode("update").foreachBatch(sink)
             .option("checkpointLocation", out_path + "-ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
     return out_path
 
 
+def read_portfolio(spark: SparkSession, path: str) -> DataFrame:
+    """The latest row of each window and issue that ``portfolio_stream`` wrote."""
+    rows = spark.read.parquet(path)
+    key = ["window_start", "window_end", "issue_type"]
+    value = [c for c in rows.columns if c not in key and c != "epoch"]
+    return (rows.groupBy(*key).agg(F.max_by(F.struct(*value), "epoch").alias("v"))
+                .select(*key, *[f"v.{c}" for c in value]))
+
+
 def scoring_stream(spark: SparkSession, calls_dir: str, model, rules: DataFrame, means: DataFrame,
                    out_path: str | None = None, phrases: dict | None = None,
-                   max_files_per_trigger: int | None = None) -> str:
+                   max_files_per_trigger: int | None = None, glob: str | None = None) -> str:
     """Score every arriving call with the batch feature job and ``model``.
 
     ``calls_dir`` holds call rows with ``transcript_text``; each micro-batch
     is parsed, featurised (same operator as training) and scored, then
     appended to ``out_path`` (keyed by call_id; a replayed batch rewrites the
-    same rows under the same epoch folder).
+    same rows under the same epoch folder).  Calls that can't be scored go to
+    ``out_path-rejects`` with the reason.
     """
     from ..operators.features import build_features
     from ..operators.parse import parse_transcripts
-    stream = file_stream(spark, calls_dir, max_files_per_trigger)
+    from ..operators.report import scoreable_calls
+    stream = file_stream(spark, calls_dir, max_files_per_trigger, glob)
     out_path = out_path or scratch_path(spark, "scoring-stream")
     phrases = phrases or {}
 
     def sink(batch: DataFrame, epoch: int) -> None:
+        batch, rejects = scoreable_calls(batch)
+        rejects.write.mode("overwrite").parquet(f"{out_path}-rejects/epoch={epoch}")
         turns = parse_transcripts(batch)
         feats = build_features(batch, turns, rules, means=means, duration_rule="train", **phrases)
         scored = feats.select("call_id", model.predict_column().alias("csat_pred"))

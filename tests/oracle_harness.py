@@ -54,7 +54,8 @@ def compare(spark, con, name: str, sf_dir: str):
     scols = sdf.columns
     t1 = time.time()
     if sql is None:
-        return {"name": name, "rows": len(srows), "oracle": None, "sec": round(t1 - t0, 2)}
+        nan = [c for i, c in enumerate(scols) if any(isinstance(r[i], float) and not math.isfinite(r[i]) for r in srows)]
+        return {"name": name, "rows": len(srows), "oracle": None, "nan": nan, "sec": round(t1 - t0, 2)}
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()

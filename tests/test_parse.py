@@ -9,17 +9,15 @@ def turns_of(spark, text):
 
 
 def test_newline_and_case_and_padding(spark):
-    assert turns_of(spark, "Turn 1: AGENT: Hello\nTurn 2: CUSTOMER: Hi") == [
-        (0, 1, "AGENT", "Hello"), (1, 2, "CUSTOMER", "Hi")]
-    assert turns_of(spark, "Turn 1: agent: hello\nTurn 2: customer: issue here") == [
-        (0, 1, "AGENT", "hello"), (1, 2, "CUSTOMER", "issue here")]
-    assert turns_of(spark, "Turn 1: AGENT:   Hello   \nTurn 2: CUSTOMER:   Hi   ") == [
-        (0, 1, "AGENT", "Hello"), (1, 2, "CUSTOMER", "Hi")]
+    want = [(0, 4, "AGENT", "who is there"), (1, 5, "CUSTOMER", "a neighbour")]
+    assert turns_of(spark, "Turn 4: AGENT: who is there\nTurn 5: CUSTOMER: a neighbour") == want
+    assert turns_of(spark, "turn 4 : Agent : who is there\nTURN 5:customer:a neighbour") == want
+    assert turns_of(spark, "Turn 4: AGENT: \t who  is there \n Turn 5: CUSTOMER:\ta neighbour ") == want
 
 
 def test_empty_unformatted_null(spark):
     assert turns_of(spark, "") == []
-    assert turns_of(spark, "Random text without format") == []
+    assert turns_of(spark, "no markers in this line") == []
     assert turns_of(spark, None) == []
 
 
@@ -38,8 +36,8 @@ def test_turn_marker_inside_text_splits(spark):
 
 
 def test_pipe_separator_kept_as_word(spark):
-    t = turns_of(spark, "Turn 1: CUSTOMER: my bill is wrong | Turn 2: AGENT: I understand")
-    assert t[0][3] == "my bill is wrong |"
+    t = turns_of(spark, "Turn 1: CUSTOMER: two eggs | Turn 2: AGENT: and toast")
+    assert t[0][3] == "two eggs |"
 
 
 def test_pipe_and_line_split(spark):

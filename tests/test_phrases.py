@@ -4,14 +4,14 @@ from parley.functions import constants as K
 from parley.operators import phrases as H
 
 TRANSCRIPT = """
-Customer: I called before but issue still not fixed
-Agent: Sorry for inconvenience
-Agent: Let me transfer you
-Customer: This is frustrating
+Visitor: it broke again, last time too
+Clerk: sorry about the mess
+Clerk: a colleague takes the transfer
+Visitor: fine
 """
 
 
-def test_map_phrases_reference_case(spark, rules):
+def test_map_phrases_by_sign(spark, rules):
     lines = H.transcript_lines(calls_df(spark, [TRANSCRIPT]))
     ev = H.evidence_table(lines, rules)
     attr = spark.createDataFrame([(0, 0, "repeat_contact", -0.4), (0, 1, "empathy_density", 0.3),
@@ -19,20 +19,20 @@ def test_map_phrases_reference_case(spark, rules):
     m = H.map_phrases(attr, ev).orderBy("polarity", "rank").collect()
     pos = [r.phrase for r in m if r.polarity == "positive"]
     neg = [r.phrase for r in m if r.polarity == "negative"]
-    assert pos == ["Agent: Sorry for inconvenience"]
-    assert neg == ["Customer: I called before but issue still not fixed", "Agent: Let me transfer you"]
+    assert pos == ["Clerk: sorry about the mess"]
+    assert neg == ["Visitor: it broke again, last time too", "Clerk: a colleague takes the transfer"]
 
 
-def test_coaching_reference_case(spark):
+def test_coaching_sentences(spark):
     mapped = spark.createDataFrame(
-        [(0, "positive", 1, "empathy_density", "Sorry for inconvenience"),
-         (0, "negative", 1, "repeat_contact", "I called before but still not fixed"),
-         (0, "negative", 2, "transfer_count", "Let me transfer you")],
+        [(0, "positive", 1, "empathy_density", "sorry about the mess"),
+         (0, "negative", 1, "repeat_contact", "it is still not fixed"),
+         (0, "negative", 2, "transfer_count", "a transfer it is")],
         "call_id bigint, polarity string, rank int, feature string, phrase string")
     got = [r.sentence for r in H.coaching(mapped).orderBy("idx").collect()]
-    assert got == ['Customer frustration detected: "I called before but still not fixed"',
-                   'Multiple transfers may have impacted experience: "Let me transfer you"',
-                   'Agent showed empathy: "Sorry for inconvenience"']
+    assert got == ['Customer frustration detected: "it is still not fixed"',
+                   'Multiple transfers may have impacted experience: "a transfer it is"',
+                   'Agent showed empathy: "sorry about the mess"']
 
 
 def test_evidence_finders(spark, rules):

@@ -11,8 +11,10 @@ from parley.operators import structure as S
 
 
 def _plan(df):
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The final adaptive plan: the frame itself is executed."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("+- == Initial Plan ==")[0]
 
 
 def hot_calls(spark, n_hot=3000, n_cold=50, seed=3):
@@ -36,7 +38,15 @@ def test_turn_features_plan_keyed_by_turn(spark, rules):
     assert windows, plan
     for part in windows:                       # every window partitions by (call_id, pos)
         assert "pos" in part and "call_id" in part, part
-    assert "SortMergeJoin" not in plan or re.search(r"SortMergeJoin \[call_id#\d+L, pos", plan)
+    assert "SortMergeJoin" not in plan or re.search(r"SortMergeJoin(?:\(skew=true\))? \[call_id#\d+L, pos", plan)
+
+
+def test_intent_means_are_broadcast(spark):
+    calls = spark.createDataFrame([(i, f"issue{i % 3}", float(60 * i)) for i in range(30)],
+                                  "call_id bigint, issue_type string, call_duration_seconds double")
+    c = FE.duration_ordinal(calls)
+    plan = _plan(FE.with_duration_deviation(c, FE.intent_duration_means(calls)))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
 def brute(texts):

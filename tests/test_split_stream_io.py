@@ -80,3 +80,42 @@ def test_stream_windows_independent_of_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert utc == ny
+
+
+def test_csv_with_text_ids_raises_or_keeps_them(spark):
+    from pyspark.sql import types as T
+    path = SJ.scratch_path(spark, "test-ids")
+    spark.createDataFrame([("CALL_0001", "hi")], "call_id string, transcript_text string").select(
+        "call_id", "transcript_text", *[F.lit(None).cast("string").alias(f.name) for f in IO.CALLS_SCHEMA.fields[2:]]) \
+        .write.option("header", True).csv(path)
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        IO.read_csv(spark, path).collect()
+    assert IO.read_csv(spark, path, IO.calls_schema(T.StringType())).collect()[0].call_id == "CALL_0001"
+
+
+def test_cluster_needs_a_shared_checkpoint_folder():
+    from parley.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_stream_in_two_triggers_equals_batch(spark):
+    folder = SJ.scratch_path(spark, "test-events")
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    for k in (0, 1):
+        events.where(F.col("event_id") % 2 == k).coalesce(1).write.mode("append").parquet(folder)
+    out = SJ.read_portfolio(spark, SJ.portfolio_stream(spark, folder, watermark="400 days", max_files_per_trigger=1))
+    cols = ["window_start", "issue_type", "n_calls", "repeat_rate"]
+    want = SJ.windowed_portfolio(SJ.events_as_calls(events)).select(*cols)
+    assert sorted(map(tuple, out.select(*cols).collect())) == sorted(map(tuple, want.collect()))
