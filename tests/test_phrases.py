@@ -6,7 +6,7 @@ from parley.operators import phrases as H
 TRANSCRIPT = """
 Visitor: it broke again, last time too
 Clerk: sorry about the mess
-Clerk: a colleague takes the transfer
+Clerk: I connect you to a colleague
 Visitor: fine
 """
 
@@ -20,17 +20,17 @@ def test_map_phrases_by_sign(spark, rules):
     pos = [r.phrase for r in m if r.polarity == "positive"]
     neg = [r.phrase for r in m if r.polarity == "negative"]
     assert pos == ["Clerk: sorry about the mess"]
-    assert neg == ["Visitor: it broke again, last time too", "Clerk: a colleague takes the transfer"]
+    assert neg == ["Visitor: it broke again, last time too", "Clerk: I connect you to a colleague"]
 
 
 def test_coaching_sentences(spark):
     mapped = spark.createDataFrame(
         [(0, "positive", 1, "empathy_density", "sorry about the mess"),
-         (0, "negative", 1, "repeat_contact", "it is still not fixed"),
+         (0, "negative", 1, "repeat_contact", "they called and called"),
          (0, "negative", 2, "transfer_count", "a transfer it is")],
         "call_id bigint, polarity string, rank int, feature string, phrase string")
     got = [r.sentence for r in H.coaching(mapped).orderBy("idx").collect()]
-    assert got == ['Customer frustration detected: "it is still not fixed"',
+    assert got == ['Customer frustration detected: "they called and called"',
                    'Multiple transfers may have impacted experience: "a transfer it is"',
                    'Agent showed empathy: "sorry about the mess"']
 

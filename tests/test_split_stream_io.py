@@ -27,7 +27,7 @@ def test_split_proportions_per_stratum(spark):
 
 def test_stream_equals_batch(spark):
     path = f"{SF}/events.parquet"
-    out = spark.read.parquet(SJ.portfolio_stream(spark, path))
+    out = SJ.read_portfolio(spark, SJ.portfolio_stream(spark, SF, glob="events.parquet"))
     batch = SJ.windowed_portfolio(SJ.events_as_calls(spark.read.parquet(path)))
     cols = ["window_start", "issue_type", "n_calls"]
     assert out.select(*cols).exceptAll(batch.select(*cols)).count() == 0
