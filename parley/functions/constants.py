@@ -113,7 +113,11 @@ ARC_B_DIP, ARC_B_RECOVER = 0.15, 0.05
 # Sentiment scoring constants (rule-based lexicon scorer, Hutto & Gilbert 2014).
 NEGATION_SCALAR = -0.74
 BOOSTER_INCREMENT = 0.293
-NEGATION_WINDOW = 3
+MODIFIER_FADE = (1.0, 0.95, 0.9)     # a booster one, two, three tokens before
+CAPITALS_INCREMENT = 0.733
+CONTRAST_BEFORE, CONTRAST_AFTER = 0.5, 1.5
+EXCLAMATION_INCREMENT, EXCLAMATION_MAX = 0.292, 4
+QUESTION_INCREMENT, QUESTION_MANY = 0.18, 0.96   # two or three; more
 NORMALISATION_ALPHA = 15.0
 
 # Model search spaces.

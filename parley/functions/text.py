@@ -40,8 +40,8 @@ def word_count(c) -> Column:
 
 
 def tokens(c) -> Column:
-    """Lower-cased word tokens of a text, in order."""
-    return F.regexp_extract_all(F.lower(col(c)), F.lit(TOKEN_PATTERN), 0)
+    """Word tokens of a text as they stand, in order."""
+    return F.regexp_extract_all(col(c), F.lit(TOKEN_PATTERN), 0)
 
 
 def contains_any(c, phrases) -> Column:

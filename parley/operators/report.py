@@ -91,28 +91,9 @@ def scoreable_calls(calls: DataFrame, required=REQUIRED) -> tuple[DataFrame, Dat
     return accepted, rejects
 
 
-def predict_calls(calls: DataFrame, rules: DataFrame, ridge, forest=None, text_model=None,
-                  means: DataFrame | None = None, weights=K.DEFAULT_WEIGHTS, **phrases) -> DataFrame:
-    """E2 / L12 in batch: raw calls (transcript + metadata) -> csat, interval, arc.
-
-    Features use the CRM rules (180/600 duration ordinal, resolution from the
-    recorded status); calls without a required field or with a blank transcript are
-    left out (``scoreable_calls`` lists them with reasons); member predictions are keyed by ``call_id`` and
-    blended with renormalisation over the members that are present; the arc
-    is arc B over ``|``-separated turns.
-    """
-    from .features import build_features
+def _member_predictions(feats: DataFrame, calls: DataFrame, ridge, forest=None, text_model=None) -> DataFrame:
+    """Predictions of each member keyed by call, null where a member is absent."""
     from .models import forest_predict, text_leg_predict
-    from .parse import parse_transcripts
-    from .sentiment import arc_b
-    calls, _ = scoreable_calls(calls)
-    turns = parse_transcripts(calls)
-    no_means = means is None
-    if no_means:
-        means = calls.sparkSession.createDataFrame([], "issue_key string, intent_mean_duration double")
-    feats = build_features(calls, turns, rules, means=means, duration_rule="crm", keep=(), **phrases)
-    if no_means:      # without training means the deviation is 0 at scoring time
-        feats = feats.withColumn("duration_deviation", F.lit(0.0))
     preds = feats.select("call_id", ridge.predict_column().alias("ridge"))
     if forest is not None:
         preds = preds.join(forest_predict(forest, feats).withColumnRenamed("pred", "rf"), "call_id", "left")
@@ -122,9 +103,65 @@ def predict_calls(calls: DataFrame, rules: DataFrame, ridge, forest=None, text_m
         preds = preds.join(text_leg_predict(text_model, calls).withColumnRenamed("pred", "text"), "call_id", "left")
     else:
         preds = preds.withColumn("text", F.lit(None).cast("double"))
-    members = [m for m in ("ridge", "rf", "text")]
-    scored = score_calls(preds, weights={m: weights.get(m, 0.0) for m in members}, members=members,
-                         renormalise=True)
+    return preds
+
+
+def _crm_features(calls: DataFrame, turns: DataFrame, rules: DataFrame, means: DataFrame | None, **phrases) -> DataFrame:
+    """Features by the CRM rules; without training means the deviation is 0."""
+    from .features import build_features
+    given = means
+    if given is None:
+        given = calls.sparkSession.createDataFrame([], "issue_key string, intent_mean_duration double")
+    feats = build_features(calls, turns, rules, means=given, duration_rule="crm", keep=(), **phrases)
+    return feats.withColumn("duration_deviation", F.lit(0.0)) if means is None else feats
+
+
+def report_calls(calls: DataFrame, rules: DataFrame, ridge, forest=None, text_model=None, means: DataFrame | None = None,
+                 weights=K.DEFAULT_WEIGHTS, evidence: dict | None = None, top: int = 5, **phrases) -> DataFrame:
+    """H7 end to end: raw calls -> score, interval, arc, phrases, coaching, series and top attributions.
+
+    Transcripts are parsed and featurised with the CRM rules, members scored and
+    blended over those present, the prediction attributed to features (TreeSHAP of
+    the forest; the linear terms without one), the ``top`` attributions mapped to
+    phrases of the transcript and turned to coaching sentences.  Calls that
+    ``scoreable_calls`` rejects are left out.
+    """
+    from .explain import forest_attributions
+    from .parse import parse_transcripts
+    from .phrases import attributions_long, coaching, evidence_table, map_phrases, top_attributions, transcript_lines
+    from .sentiment import turn_sentiments
+    calls, _ = scoreable_calls(calls)
+    turns = parse_transcripts(calls)
+    feats = _crm_features(calls, turns, rules, means, **phrases)
+    preds = _member_predictions(feats, calls, ridge, forest, text_model)
+    scores = score_calls(preds, weights=weights, renormalise=True, digits=2)
+    if forest is not None:
+        wide = forest_attributions(calls.sparkSession, forest, feats)
+    else:
+        wide = feats.select("call_id", *ridge.attribution_columns())
+    best = top_attributions(attributions_long(wide, K.FEATURE_COLUMNS), top)
+    found = evidence_table(transcript_lines(calls), rules, **(evidence or {}))
+    mapped = map_phrases(best.select("call_id", F.col("rank").alias("ord"), "feature", "value"), found)
+    return call_report(scores, turn_sentiments(turns, rules), mapped, coaching(mapped), best)
+
+
+def predict_calls(calls: DataFrame, rules: DataFrame, ridge, forest=None, text_model=None,
+                  means: DataFrame | None = None, weights=K.DEFAULT_WEIGHTS, **phrases) -> DataFrame:
+    """E2 / L12 in batch: raw calls (transcript + metadata) -> csat, interval, arc.
+
+    Features use the CRM rules (180/600 duration ordinal, resolution from the
+    recorded status); calls without a required field or with a blank transcript are
+    left out (``scoreable_calls`` lists them with reasons); member predictions are
+    keyed by ``call_id`` and blended with renormalisation over the members that are
+    present; the arc is arc B over ``|``-separated turns.
+    """
+    from .parse import parse_transcripts
+    from .sentiment import arc_b
+    calls, _ = scoreable_calls(calls)
+    feats = _crm_features(calls, parse_transcripts(calls), rules, means, **phrases)
+    preds = _member_predictions(feats, calls, ridge, forest, text_model)
+    members = ("ridge", "rf", "text")
+    scored = score_calls(preds, weights={m: weights.get(m, 0.0) for m in members}, members=members, renormalise=True)
     return scored.join(arc_b(calls, rules), "call_id", "left").select(
         "call_id", F.bround("csat", 3).alias("csat_score"),
         F.bround("ci_low", 3).alias("ci_low"), F.bround("ci_high", 3).alias("ci_high"), "emotional_arc")

@@ -1,14 +1,15 @@
 """Lexicon sentiment as a Spark job, per-call statistics and arcs.
 
 Scoring (N1) is relational: texts are tokenised in-row, exploded, and
-inner-joined to the rule table (lexicon valences + negators + boosters).
-The rule table is a dictionary whose size does not grow with the data; a
-rule table built from local rows has a known row count and is broadcast when
-within the bound; any other is left to AQE's run-time size check.  Only tokens that hit the table survive the join, so the window that
-applies the negation scope (3 preceding token positions, a RANGE frame on the
-original token index) and the booster scope (previous token) sees a small
-fraction of the tokens.  The window and the per-text sum share one exchange
-keyed by text, never by call alone.
+inner-joined to the rule table (lexicon valences, negators, boosters,
+dampeners, contrast words).  The rule table is a dictionary whose size does
+not grow with the data; a rule table built from local rows has a known row
+count and is broadcast when within the bound; any other is left to AQE's
+run-time size check.  Only tokens that hit the table survive the join, so the
+windows that look at the three tokens before a lexicon token (RANGE frames
+on the original token index) see a small fraction of the tokens.  The windows
+and the per-text sum share one exchange keyed by text, never by call alone; a
+window holds the hits of one text (one turn, line or transcript) at most.
 """
 
 from __future__ import annotations
@@ -21,49 +22,88 @@ from ..functions.broadcast import carry_bound, local_table, sized_broadcast
 from ..functions.text import tokens
 from .parse import pipe_turns, with_turn_counts
 
-RULE_SCHEMA = "token string, valence double, is_neg int, is_boost int"
+RULE_SCHEMA = "token string, valence double, is_lex int, is_neg int, boost double, is_but int"
 MAX_BROADCAST_RULES = 200_000
 
 
-def sentiment_rules(spark: SparkSession, lexicon, negators=(), boosters=()) -> DataFrame:
-    """Rule table ``(token, valence, is_neg, is_boost)``.
+def sentiment_rules(spark: SparkSession, lexicon, negators=(), boosters=(), dampeners=(), contrast=("but",)) -> DataFrame:
+    """Rule table ``(token, valence, is_lex, is_neg, boost, is_but)``.
 
-    ``lexicon`` is a DataFrame ``(token, valence)`` or a list of pairs.
+    ``lexicon`` is a DataFrame ``(token, valence)`` or a list of pairs; boosters
+    raise the valence of a following lexicon token, dampeners lower it.
     """
-    extra = [(t.lower(), 0.0, 1, 0) for t in negators] + [(t.lower(), 0.0, 0, 1) for t in boosters]
+    extra = [(t.lower(), 0.0, 0, 1, 0.0, 0) for t in negators]
+    extra += [(t.lower(), 0.0, 0, 0, K.BOOSTER_INCREMENT, 0) for t in boosters]
+    extra += [(t.lower(), 0.0, 0, 0, -K.BOOSTER_INCREMENT, 0) for t in dampeners]
+    extra += [(t.lower(), 0.0, 0, 0, 0.0, 1) for t in contrast]
     if isinstance(lexicon, DataFrame):
         # A user table: no size is assumed; AQE decides the join at run time.
-        lex = lexicon.select(F.lower("token").alias("token"), F.col("valence").cast("double"),
-                             F.lit(0).alias("is_neg"), F.lit(0).alias("is_boost"))
+        lex = lexicon.select(F.lower("token").alias("token"), F.col("valence").cast("double"), F.lit(1).alias("is_lex"),
+                             F.lit(0).alias("is_neg"), F.lit(0.0).alias("boost"), F.lit(0).alias("is_but"))
         if extra:
             lex = lex.unionByName(spark.createDataFrame(extra, RULE_SCHEMA))
     else:
-        lex = local_table(spark, [(t.lower(), float(v), 0, 0) for t, v in lexicon] + extra, RULE_SCHEMA)
-    return carry_bound(lex, lex.groupBy("token").agg(F.sum("valence").alias("valence"),
-                                                     F.max("is_neg").alias("is_neg"),
-                                                     F.max("is_boost").alias("is_boost")))
+        lex = local_table(spark, [(t.lower(), float(v), 1, 0, 0.0, 0) for t, v in lexicon] + extra, RULE_SCHEMA)
+    return carry_bound(lex, lex.groupBy("token").agg(
+        F.sum("valence").alias("valence"), F.max("is_lex").alias("is_lex"), F.max("is_neg").alias("is_neg"),
+        F.sum("boost").alias("boost"), F.max("is_but").alias("is_but")))
+
+
+def _loud(token):
+    """The token has letters and all of them are capitals."""
+    return (token == F.upper(token)) & (token != F.lower(token))
+
+
+def _emphasis(text):
+    """What exclamation and question marks add to a text's sum, away from zero."""
+    count = lambda c: F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))
+    asked = count("?")
+    return (F.least(count("!"), F.lit(K.EXCLAMATION_MAX)) * F.lit(K.EXCLAMATION_INCREMENT)
+            + F.when(asked > 3, F.lit(K.QUESTION_MANY)).when(asked > 1, asked * F.lit(K.QUESTION_INCREMENT)).otherwise(F.lit(0.0)))
 
 
 def score_texts(df: DataFrame, keys, text_col: str, rules: DataFrame,
                 alpha: float = K.NORMALISATION_ALPHA, keep_all: bool = True) -> DataFrame:
-    """Compound score in [-1, 1] per text row.
-
-    valence v of a lexicon token; +/-0.293 when the previous token is a
-    booster; x(-0.74) when a negator is among the 3 previous tokens; the sum
-    ``s`` is normalised to ``s / sqrt(s^2 + alpha)``.  Empty text -> 0.
+    """Compound score in [-1, 1] per text row (rules of Hutto & Gilbert 2014).
+
+    A lexicon token has its valence, 0.733 more (away from zero) if it is in
+    capitals in a text that isn't.  Each of the three tokens before it, nearest
+    first and if not in the lexicon itself, adds its boost (x 1, 0.95, 0.9; in
+    capitals 0.733 stronger), then multiplies by -0.74 if it is a negator.  Before
+    the first contrast word valences count half, after it one and a half times.
+    Exclamation marks (four at most) and repeated question marks push the sum ``s``
+    away from zero; it is normalised to ``s / sqrt(s^2 + alpha)``.  Empty text -> 0.
+    Idioms and words of several tokens are not rules of this table.
     Returns ``keys + compound`` for every input row (``keep_all``).
     """
     keys = list(keys)
-    toks = df.select(*keys, F.posexplode(tokens(F.col(text_col))).alias("tpos", "token"))
+    text = F.col(text_col)
+    staged = df.select(*keys, tokens(text).alias("_t"), _emphasis(text).alias("_e"))
+    loud = F.size(F.filter("_t", _loud))
+    staged = staged.select(*keys, "_t", "_e", ((loud > 0) & (loud < F.size("_t"))).alias("_mixed"))
+    toks = staged.select(*keys, "_e", "_mixed", F.posexplode("_t").alias("tpos", "_raw")).select(
+        *keys, "_e", "tpos", F.lower("_raw").alias("token"), (F.col("_mixed") & _loud(F.col("_raw"))).alias("_loud"))
     hits = toks.join(sized_broadcast(rules, MAX_BROADCAST_RULES), "token")
-    w = Window.partitionBy(*keys).orderBy("tpos")
-    negated = F.max("is_neg").over(w.rangeBetween(-K.NEGATION_WINDOW, -1))
-    boosted = F.max("is_boost").over(w.rangeBetween(-1, -1))
-    v = F.col("valence")
-    v_boost = v + F.signum(v) * F.lit(K.BOOSTER_INCREMENT) * F.coalesce(boosted, F.lit(0))
-    adj = F.when(F.coalesce(negated, F.lit(0)) == 1, v_boost * F.lit(K.NEGATION_SCALAR)).otherwise(v_boost)
-    sums = (hits.withColumn("_adj", adj).groupBy(*keys).agg(F.sum("_adj").alias("_s")))
-    s = F.col("_s")
+    text_rows = Window.partitionBy(*keys)
+    w = text_rows.orderBy("tpos")
+    here = F.struct("is_lex", "is_neg", "boost", "_loud")
+    hits = hits.select(*keys, "_e", "tpos", "is_lex", "valence", "_loud",
+                       F.min(F.when(F.col("is_but") == 1, F.col("tpos"))).over(text_rows).alias("_but"),
+                       *[F.max(here).over(w.rangeBetween(-k, -k)).alias(f"_b{k}") for k in (1, 2, 3)])
+    v = F.col("_v")
+    hits = hits.where("is_lex = 1").withColumn("_v", F.col("valence") + F.when(
+        F.col("_loud"), F.signum("valence") * F.lit(K.CAPITALS_INCREMENT)).otherwise(F.lit(0.0)))
+    for k, fade in enumerate(K.MODIFIER_FADE, 1):
+        b = F.col(f"_b{k}")
+        applies = F.coalesce(b["is_lex"] == 0, F.lit(False))
+        step = F.when(v < 0, -b["boost"]).otherwise(b["boost"]) + F.when(
+            b["_loud"], F.when(v > 0, F.lit(K.CAPITALS_INCREMENT)).otherwise(F.lit(-K.CAPITALS_INCREMENT))).otherwise(F.lit(0.0))
+        hits = hits.withColumn("_v", v + F.when(applies & (b["boost"] != 0), step * F.lit(fade)).otherwise(F.lit(0.0)))
+        hits = hits.withColumn("_v", v * F.when(applies & (b["is_neg"] == 1), F.lit(K.NEGATION_SCALAR)).otherwise(F.lit(1.0)))
+    part = F.when(F.col("tpos") < F.col("_but"), F.lit(K.CONTRAST_BEFORE)).when(
+        F.col("tpos") > F.col("_but"), F.lit(K.CONTRAST_AFTER)).otherwise(F.lit(1.0))
+    sums = hits.withColumn("_v", v * part).groupBy(*keys).agg(F.sum("_v").alias("_s"), F.max("_e").alias("_e"))
+    s = F.col("_s") + F.signum("_s") * F.col("_e")
     compound = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), s / F.sqrt(s * s + F.lit(alpha))))
     scored = sums.select(*keys, compound.alias("compound"))
     if not keep_all:

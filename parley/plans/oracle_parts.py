@@ -3,38 +3,58 @@
 from __future__ import annotations
 
 from ..functions import constants as K
-from ..sources.fixtures import FX_BOOSTERS, FX_LEXICON, FX_NEGATORS
+from ..sources.fixtures import FX_BOOSTERS, FX_CONTRAST, FX_DAMPENERS, FX_LEXICON, FX_NEGATORS
 
 TOKEN_RE = "[\\p{L}\\p{N}'']+"
 
 
 def lexicon_cte(name: str = "lex") -> str:
-    rows = [f"('{t}', CAST({v} AS DOUBLE), 0, 0)" for t, v in FX_LEXICON]
-    rows += [f"('{t}', CAST(0 AS DOUBLE), 1, 0)" for t in FX_NEGATORS]
-    rows += [f"('{t}', CAST(0 AS DOUBLE), 0, 1)" for t in FX_BOOSTERS]
-    return f"{name}(token, valence, is_neg, is_boost) AS (VALUES {', '.join(rows)})"
+    rows = [f"('{t}', CAST({v} AS DOUBLE), 1, 0, CAST(0 AS DOUBLE), 0)" for t, v in FX_LEXICON]
+    rows += [f"('{t}', CAST(0 AS DOUBLE), 0, 1, CAST(0 AS DOUBLE), 0)" for t in FX_NEGATORS]
+    rows += [f"('{t}', CAST(0 AS DOUBLE), 0, 0, CAST(0.293 AS DOUBLE), 0)" for t in FX_BOOSTERS]
+    rows += [f"('{t}', CAST(0 AS DOUBLE), 0, 0, CAST(-0.293 AS DOUBLE), 0)" for t in FX_DAMPENERS]
+    rows += [f"('{t}', CAST(0 AS DOUBLE), 0, 0, CAST(0 AS DOUBLE), 1)" for t in FX_CONTRAST]
+    return f"{name}(token, valence, is_lex, is_neg, boost, is_but) AS (VALUES {', '.join(rows)})"
 
 
 def scored_cte(src: str, keys: list[str], text: str, out: str) -> str:
-    """CTEs ending in ``out(keys..., compound)`` for every row of ``src``."""
+    """CTEs ending in ``out(keys..., compound)`` for every row of ``src``.
+
+    The published rules as numbers of their own, a chain of three correlated
+    look-backs by position instead of windows.
+    """
     k = ", ".join(keys)
-    on = " AND ".join(f"f.{c} = s.{c}" for c in keys)
-    fk = ", ".join(f"f.{c}" for c in keys)
+    same = lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in keys)
+    steps, last = "", f"{out}_v0"
+    for n, fade in ((1, 1.0), (2, 0.95), (3, 0.9)):
+        now = f"{out}_v{n}"
+        steps += f"""
+, {now} AS (SELECT {', '.join(f'p.{c}' for c in keys)}, p.tpos, p.e,
+    (p.v + CASE WHEN m.is_lex = 0 AND m.boost <> 0 THEN {fade} * (
+        CASE WHEN p.v < 0 THEN -m.boost ELSE m.boost END
+        + CASE WHEN NOT m.loud THEN 0.0 WHEN p.v > 0 THEN 0.733 ELSE -0.733 END) ELSE 0.0 END)
+    * CASE WHEN m.is_lex = 0 AND m.is_neg = 1 THEN CAST(-0.74 AS DOUBLE) ELSE 1.0 END AS v
+    FROM {last} p LEFT JOIN {out}_hit m ON {same('p', 'm')} AND m.tpos = p.tpos - {n})"""
+        last = now
     return f""", {lexicon_cte(out + '_lex')}
-, {out}_tok AS (SELECT {k}, unnest(regexp_extract_all(lower({text}), '{TOKEN_RE}')) AS token,
-    unnest(generate_series(0, len(regexp_extract_all(lower({text}), '{TOKEN_RE}')) - 1)) AS tpos FROM {src})
-, {out}_hit AS (SELECT t.*, l.valence, l.is_neg, l.is_boost FROM {out}_tok t JOIN {out}_lex l USING (token))
-, {out}_adj AS (SELECT {k}, valence,
-    max(is_neg) OVER (PARTITION BY {k} ORDER BY tpos RANGE BETWEEN {K.NEGATION_WINDOW} PRECEDING AND 1 PRECEDING) AS ng,
-    max(is_boost) OVER (PARTITION BY {k} ORDER BY tpos RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS bs
-    FROM {out}_hit)
-, {out}_sum AS (SELECT {k}, sum(CASE WHEN coalesce(ng, 0) = 1
-      THEN (valence + sign(valence) * {K.BOOSTER_INCREMENT} * coalesce(bs, 0)) * ({K.NEGATION_SCALAR})
-      ELSE valence + sign(valence) * {K.BOOSTER_INCREMENT} * coalesce(bs, 0) END) AS s
-    FROM {out}_adj GROUP BY {k})
-, {out} AS (SELECT {fk}, CASE WHEN s.s IS NULL THEN CAST(0 AS DOUBLE)
+, {out}_raw AS (SELECT {k}, regexp_extract_all({text}, '{TOKEN_RE}') AS tk,
+    0.292 * least(4, length({text}) - length(replace({text}, '!', '')))
+    + CASE WHEN length({text}) - length(replace({text}, '?', '')) > 3 THEN 0.96
+           WHEN length({text}) - length(replace({text}, '?', '')) > 1
+           THEN 0.18 * (length({text}) - length(replace({text}, '?', ''))) ELSE 0.0 END AS e FROM {src})
+, {out}_mix AS (SELECT *, len(list_filter(tk, lambda x: x = upper(x) AND x <> lower(x))) BETWEEN 1 AND len(tk) - 1 AS mixed FROM {out}_raw)
+, {out}_tok AS (SELECT {k}, CAST(e AS DOUBLE) AS e, mixed, unnest(tk) AS raw, unnest(generate_series(0, len(tk) - 1)) AS tpos FROM {out}_mix)
+, {out}_hit AS (SELECT t.*, l.*, mixed AND raw = upper(raw) AND raw <> lower(raw) AS loud
+    FROM {out}_tok t JOIN {out}_lex l ON lower(t.raw) = l.token)
+, {out}_but AS (SELECT {k}, min(tpos) AS b FROM {out}_hit WHERE is_but = 1 GROUP BY {k})
+, {out}_v0 AS (SELECT {k}, tpos, e, valence + CASE WHEN loud THEN sign(valence) * 0.733 ELSE 0.0 END AS v FROM {out}_hit WHERE is_lex = 1){steps}
+, {out}_sum AS (SELECT {', '.join(f'p.{c}' for c in keys)}, max(p.e) AS e,
+    sum(p.v * CASE WHEN p.tpos < b.b THEN 0.5 WHEN p.tpos > b.b THEN 1.5 ELSE 1.0 END) AS s0
+    FROM {last} p LEFT JOIN {out}_but b ON {same('p', 'b')} GROUP BY {', '.join(f'p.{c}' for c in keys)})
+, {out}_tot AS (SELECT {k}, s0 + sign(s0) * e AS s FROM {out}_sum)
+, {out} AS (SELECT {', '.join(f'f.{c}' for c in keys)}, CASE WHEN s.s IS NULL THEN CAST(0 AS DOUBLE)
     ELSE greatest(CAST(-1 AS DOUBLE), least(CAST(1 AS DOUBLE), s.s / sqrt(s.s * s.s + {K.NORMALISATION_ALPHA}))) END
-    AS compound FROM {src} f LEFT JOIN {out}_sum s ON {on})
+    AS compound FROM {src} f LEFT JOIN {out}_tot s ON {same('f', 's')})
 """
 
 

@@ -57,6 +57,17 @@ def q_stream_scoring(spark, sf):
     return spark.read.parquet(out).select("call_id", "csat_pred")
 
 
+@query("stream_report", columns=["call_id", "csat", "emotional_arc", "coaching_text"],
+       note="R1: the whole call report of calls arriving as files, per micro-batch; equal to the batch report (tests)")
+def q_stream_report(spark, sf):
+    from ..operators.report import flat_report
+    from .q_models import FIXED, report_inputs
+    calls, rules, words = report_inputs(spark, sf)
+    src = SJ.scratch_path(spark, "incoming-calls")
+    IO.write_table(calls, src)
+    return flat_report(spark.read.parquet(SJ.report_stream(spark, src, rules, FIXED, **words)))
+
+
 @query("csv_roundtrip", columns=["call_id", "issue_type", "resolution_status", "csat_score", "transcript_text"],
        doubles=["csat_score"],
        oracle=oracle_with("fx_calls", "fx_transcripts") + """

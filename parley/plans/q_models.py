@@ -314,3 +314,24 @@ def q_batch_predict(spark, sf):
     return predict_calls(calls, fx_rules(spark), ridge, model, max_words=10,
                          resolution=FX_PHRASES["resolution"], empathy=FX_PHRASES["empathy"],
                          apology=FX_PHRASES["apology"], transfer=FX_PHRASES["transfer"])
+
+
+def report_inputs(spark, sf):
+    """Calls with transcripts and the fixture words, as ``report_calls`` takes them."""
+    from ..sources.fixtures import FX_PHRASES
+    from .q_sentiment import fx_rules
+    calls = fx(spark, sf, "fx_calls").join(fx(spark, sf, "fx_transcripts"), "call_id")
+    words = {k: FX_PHRASES[k] for k in ("resolution", "empathy", "apology", "transfer")}
+    evidence = dict(repeat=FX_PHRASES["repeat"], transfer=FX_PHRASES["transfer"], empathy=FX_PHRASES["empathy"] + FX_PHRASES["apology"])
+    return calls, fx_rules(spark), dict(words, max_words=10, evidence=evidence)
+
+
+@query("full_report", columns=["call_id", "csat", "ci_low", "ci_high", "emotional_arc", "positive_phrases",
+                               "negative_phrases", "coaching_text", "sentiment_series", "top_features"],
+       note="H7 end to end: transcripts -> features -> models -> attributions -> phrases -> coaching, every call with a transcript")
+def q_full_report(spark, sf):
+    from ..operators.report import flat_report, report_calls
+    calls, rules, words = report_inputs(spark, sf)
+    report = report_calls(calls, rules, FIXED, **words)
+    top = F.array_join(F.transform("top_features", lambda x: F.format_string("%s %.3f", x["feature"], x["value"] + F.lit(0.0))), ", ")
+    return flat_report(report).join(report.select("call_id", top.alias("top_features")), "call_id")

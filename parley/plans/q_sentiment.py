@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import sentiment as N
-from ..sources.fixtures import FX_BOOSTERS, FX_LEXICON, FX_NEGATORS, FX_PHRASES, fx, oracle_with
+from ..sources.fixtures import FX_BOOSTERS, FX_CONTRAST, FX_DAMPENERS, FX_LEXICON, FX_NEGATORS, FX_PHRASES, fx, oracle_with
 from .oracle_parts import contains_any, pipe_transcripts_cte, pipe_turns_cte, scored_cte
 from .q_turns import _pipe_transcripts
 from .registry import query
 
 
 def fx_rules(spark):
-    return N.sentiment_rules(spark, FX_LEXICON, FX_NEGATORS, FX_BOOSTERS)
+    return N.sentiment_rules(spark, FX_LEXICON, FX_NEGATORS, FX_BOOSTERS, FX_DAMPENERS, FX_CONTRAST)
 
 
 def scored_fx_turns(spark, sf):

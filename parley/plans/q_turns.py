@@ -8,7 +8,7 @@ from ..functions import rules as R
 from ..operators import parse as P
 from ..operators import structure as S
 from ..operators.sentiment import sentiment_rules, whole_text_sentiment
-from ..sources.fixtures import FX_BOOSTERS, FX_LEXICON, FX_NEGATORS, FX_PHRASES, fx, oracle_with
+from ..sources.fixtures import FX_BOOSTERS, FX_CONTRAST, FX_DAMPENERS, FX_LEXICON, FX_NEGATORS, FX_PHRASES, fx, oracle_with
 from .oracle_parts import scored_cte
 from .registry import query
 
@@ -174,5 +174,5 @@ SELECT call_id, compound AS tx_sentiment, CASE WHEN contains(lt, ' that ') THEN
 FROM t""")
 def q_transcript_features(spark, sf):
     tx = fx(spark, sf, "fx_transcripts")
-    return S.transcript_features(tx, whole_text_sentiment(tx, sentiment_rules(spark, FX_LEXICON, FX_NEGATORS, FX_BOOSTERS)), repeat_phrase=" that ",
+    return S.transcript_features(tx, whole_text_sentiment(tx, sentiment_rules(spark, FX_LEXICON, FX_NEGATORS, FX_BOOSTERS, FX_DAMPENERS, FX_CONTRAST)), repeat_phrase=" that ",
                                  transfer_word=" with ", empathy_words=[" the ", " is ", " of "])

@@ -84,6 +84,8 @@ FX_LEXICON = [("of", 1.2), ("and", 0.8), ("in", -0.9), ("is", 1.5), ("that", -1.
               ("be", 1.9), ("with", 1.1)]
 FX_NEGATORS = ["to"]
 FX_BOOSTERS = ["a"]
+FX_DAMPENERS = ["by"]
+FX_CONTRAST = ["from"]
 FX_PHRASES = {
     "empathy": [" the ", " is "],
     "apology": [" of "],

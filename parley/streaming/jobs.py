@@ -109,33 +109,50 @@ def read_portfolio(spark: SparkSession, path: str) -> DataFrame:
                 .select(*key, *[f"v.{c}" for c in value]))
 
 
+def _call_stream(spark: SparkSession, calls_dir: str, job, out_path: str | None, name: str,
+                 max_files_per_trigger: int | None, glob: str | None) -> str:
+    """Run ``job(batch)`` over arriving call files, each epoch to its own folder; rejects beside it.
+
+    A replayed epoch rewrites its folders.
+    """
+    from ..operators.report import scoreable_calls
+    stream = file_stream(spark, calls_dir, max_files_per_trigger, glob)
+    out_path = out_path or scratch_path(spark, name)
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        scoreable_calls(batch)[1].write.mode("overwrite").parquet(f"{out_path}-rejects/epoch={epoch}")
+        job(batch).write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
+
+    q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", out_path + "-ckpt")
+               .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return out_path
+
+
 def scoring_stream(spark: SparkSession, calls_dir: str, model, rules: DataFrame, means: DataFrame,
                    out_path: str | None = None, phrases: dict | None = None,
                    max_files_per_trigger: int | None = None, glob: str | None = None) -> str:
     """Score every arriving call with the batch feature job and ``model``.
 
     ``calls_dir`` holds call rows with ``transcript_text``; each micro-batch
-    is parsed, featurised (same operator as training) and scored, then
-    appended to ``out_path`` (keyed by call_id; a replayed batch rewrites the
-    same rows under the same epoch folder).  Calls that can't be scored go to
-    ``out_path-rejects`` with the reason.
+    is parsed, featurised (same operator as training) and scored.  Calls that
+    can't be scored go to ``out_path-rejects`` with the reason.
     """
     from ..operators.features import build_features
     from ..operators.parse import parse_transcripts
     from ..operators.report import scoreable_calls
-    stream = file_stream(spark, calls_dir, max_files_per_trigger, glob)
-    out_path = out_path or scratch_path(spark, "scoring-stream")
-    phrases = phrases or {}
 
-    def sink(batch: DataFrame, epoch: int) -> None:
-        batch, rejects = scoreable_calls(batch)
-        rejects.write.mode("overwrite").parquet(f"{out_path}-rejects/epoch={epoch}")
-        turns = parse_transcripts(batch)
-        feats = build_features(batch, turns, rules, means=means, duration_rule="train", **phrases)
-        scored = feats.select("call_id", model.predict_column().alias("csat_pred"))
-        scored.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
+    def job(batch: DataFrame) -> DataFrame:
+        calls, _ = scoreable_calls(batch)
+        feats = build_features(calls, parse_transcripts(calls), rules, means=means, duration_rule="train", **(phrases or {}))
+        return feats.select("call_id", model.predict_column().alias("csat_pred"))
 
-    q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", out_path + "-ckpt")
-               .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return out_path
+    return _call_stream(spark, calls_dir, job, out_path, "scoring-stream", max_files_per_trigger, glob)
+
+
+def report_stream(spark: SparkSession, calls_dir: str, rules: DataFrame, ridge, forest=None,
+                  out_path: str | None = None, max_files_per_trigger: int | None = None, glob: str | None = None, **report) -> str:
+    """The whole call report (``report.report_calls``) of every arriving call."""
+    from ..operators.report import report_calls
+    job = lambda batch: report_calls(batch, rules, ridge, forest, **report)
+    return _call_stream(spark, calls_dir, job, out_path, "report-stream", max_files_per_trigger, glob)
