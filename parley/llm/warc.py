@@ -22,8 +22,8 @@ from .common import text_bytes
 
 #: Frames that decoders skip: the dictionary's and the separator's (fixed values of the formats).
 DICTIONARY_MAGIC, SEPARATOR = 0x184D2A5D, b"P*M\x18\x00\x00\x00\x00"
-#: Pages and bytes of each that the dictionary is trained on, its size, and a task's payload bytes.
-SAMPLE_PAGES, SAMPLE_BYTES, DICTIONARY_BYTES, ARCHIVE_BYTES = 500, 16 << 10, 32 << 10, 32 << 20
+#: Pages and bytes of each that the dictionary is trained on, and its size.
+SAMPLE_PAGES, SAMPLE_BYTES, DICTIONARY_BYTES = 500, 16 << 10, 32 << 10
 DATE = "1970-01-01T00:00:00Z"
 LEAST = 0
 
@@ -56,8 +56,11 @@ def record(page_id, url: str, payload: bytes, refers_to) -> bytes:
 
 def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded sample of payloads (raw bytes of the fixed heads where there is too little)."""
-    rows = (pages.where("html is not null").select(F.substring(F.col("html"), 1, SAMPLE_BYTES).alias("html"), F.xxhash64("page_id", "url").alias("h"))
-            .orderBy("h", "html").limit(SAMPLE_PAGES).select("html").collect())
+    # Pages are picked by the hashes of their keys; only the picked pages' texts are sent.
+    keyed = pages.where("html is not null").withColumn("__h", F.xxhash64("page_id", "url"))
+    picked = keyed.select("__h").orderBy("__h").limit(SAMPLE_PAGES).distinct()
+    rows = (keyed.join(F.broadcast(picked), "__h").select("__h", F.substring(F.col("html"), 1, SAMPLE_BYTES).alias("html"))
+            .orderBy("__h", "html").limit(SAMPLE_PAGES).select("html").collect())
     samples = [record(i, "http://example.org/", r["html"].encode(), None) for i, r in enumerate(rows)]
     if len(samples) >= 100:
         try:
@@ -101,7 +104,10 @@ def revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, least: int = LEAST) -> None:
-    """Write a record for each page under ``path``, a file for each task.
+    """Write a record for each page under ``path``, a file for each task of the join that finds revisits.
+
+    Adaptive execution sizes those tasks (``advisoryPartitionSizeInBytes``), which
+    bounds the files, and splits a key that holds very many rows.
 
     Columns ``page_id, url, html``; null html is an empty payload, a null url leaves the
     target out, a null page_id never is what others refer to unless all equal pages
@@ -109,9 +115,7 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST) -> None:
     Other columns are ignored; an empty table writes no records.
     """
     dictionary = train_dictionary(pages)
-    size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    dealt = revisits(pages, least).repartition(1 + size // ARCHIVE_BYTES, F.xxhash64("page_id", "url", F.octet_length("html")))
-    frames = dealt.mapInArrow(_frames(dictionary), "frame binary").select(F.col("frame").cast("string").alias("value"))
+    frames = revisits(pages, least).mapInArrow(_frames(dictionary), "frame binary").select(F.col("frame").cast("string").alias("value"))
     frames.write.option("lineSep", SEPARATOR.decode()).option("compression", "none").text(path)
 
 
