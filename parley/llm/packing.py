@@ -151,15 +151,16 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> Slots:
 def _ranked(remainders: DataFrame) -> DataFrame:
     """Rank (from 0) among the pieces of the same length, by bucket and then in order.
 
-    A length that a third of all pieces have is spread over ``RANK_BUCKETS`` tasks.
+    A length that a third of all pieces have is spread over ``RANK_BUCKETS`` tasks; the
+    join finds the pieces dealt out by its keys already.
     """
     bucket = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(RANK_BUCKETS)).cast("int")
     rows = remainders.withColumn("bucket", bucket)
     sizes = rows.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")
-    sizes = sizes.select("length", "bucket", before.alias("before"))  # window * RANK_BUCKETS rows at most
+    sizes = sizes.select("length", "bucket", before.alias("before"))
     order = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
-    return (rows.withColumn("n", F.row_number().over(order)).join(F.broadcast(sizes), ["length", "bucket"])
+    return (rows.withColumn("n", F.row_number().over(order)).join(sizes, ["length", "bucket"])
             .withColumn("rank", F.col("before") + F.col("n") - 1).drop("bucket", "n", "before"))
 
 
