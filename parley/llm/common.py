@@ -76,12 +76,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def text_size(df: DataFrame, column: str = "text") -> tuple[int, int]:
-    """Rows and bytes of a text column, in one aggregate."""
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(column)).alias("b")).first()
-    return int(r["n"]), int(r["b"] or 0)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

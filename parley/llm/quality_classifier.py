@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Codes, append, labelled_sample, mix, steps, text_bytes, word_codes
+from .common import Codes, append, labelled_sample, mix, steps, word_codes
 
 U = np.uint64
 #: Hashed terms: words, shapes, pairs of shapes.

@@ -6,7 +6,6 @@ import random
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from llm.cases import ODD
 from parley.llm import simhash as SH

@@ -7,7 +7,6 @@ import struct
 import duckdb
 import pytest
 import zstandard
-from pyspark.sql import functions as F
 
 from llm.cases import ODD
 from parley.llm import sharding as S
