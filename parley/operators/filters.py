@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.text import contains_any
 from ..functions.broadcast import local_table, sized_broadcast
 
-MAX_BROADCAST_PHRASES = 100_000
+#: Phrases that are broadcast (a few dozen bytes each), and characters of the key beyond that.
+MAX_BROADCAST_PHRASES, GRAM = 100_000, 4
 
 
 def drop_missing(df: DataFrame, cols) -> DataFrame:
@@ -57,12 +58,31 @@ def phrase_table(spark: SparkSession, phrases: dict) -> DataFrame:
 def phrase_hits(turns: DataFrame, table: DataFrame) -> DataFrame:
     """J7 theta join: every (turn, phrase) with ``contains(lower(text), phrase)``.
 
-    A phrase table with a known bound is broadcast (nested-loop join against a
-    small dictionary); any other is planned by Spark/AQE from measured sizes.
+    A phrase table of ``MAX_BROADCAST_PHRASES`` rows at most (known, or counted first) is
+    broadcast.  A larger one meets the turns by a key: the first ``GRAM`` characters of
+    a phrase against the distinct runs of that length in a text; matches are then
+    verified.  Phrases shorter than that are few and broadcast beside it.
     """
     t = turns.select("call_id", "pos", F.lower(F.col("text")).alias("_lt"))
-    p = sized_broadcast(table, MAX_BROADCAST_PHRASES)
-    return t.join(p, F.col("_lt").contains(F.col("phrase"))).select("call_id", "pos", "kind", "phrase")
+    hit = F.col("_lt").contains(F.col("phrase"))
+    small = sized_broadcast(table, MAX_BROADCAST_PHRASES)
+    if small is table and table.limit(MAX_BROADCAST_PHRASES + 1).count() <= MAX_BROADCAST_PHRASES:
+        small = F.broadcast(table)
+    if small is not table:
+        return t.join(small, hit).select("call_id", "pos", "kind", "phrase")
+    return _keyed_phrase_hits(t, table, hit)
+
+
+def _keyed_phrase_hits(t: DataFrame, table: DataFrame, hit) -> DataFrame:
+    short = table.where(F.length("phrase") < GRAM)
+    if short.limit(MAX_BROADCAST_PHRASES + 1).count() > MAX_BROADCAST_PHRASES:
+        raise ValueError(f"more than {MAX_BROADCAST_PHRASES} phrases of fewer than {GRAM} characters")
+    long = table.where(F.length("phrase") >= GRAM).withColumn("_g", F.substring("phrase", 1, GRAM))
+    last = F.length("_lt") - (GRAM - 1)
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(F.col("_lt"), i, F.lit(GRAM))))
+    keyed = t.where(last >= 1).withColumn("_g", F.explode(grams))
+    found = keyed.join(long, "_g").where(hit).select("call_id", "pos", "kind", "phrase")
+    return found.unionByName(t.join(F.broadcast(short), hit).select("call_id", "pos", "kind", "phrase"))
 
 
 def random_row(df: DataFrame, seed: int = 42) -> DataFrame:

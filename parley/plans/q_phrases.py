@@ -9,7 +9,7 @@ from ..operators import phrases as H
 from ..operators import report as RP
 from ..sources.fixtures import FX_PHRASES, fx, oracle_with
 from .oracle_parts import contains_any, scored_cte
-from .q_metrics import BLEND, MODELS, clip_sql, pop_std_sql
+from .q_metrics import BLEND, clip_sql, pop_std_sql
 from .q_sentiment import fx_rules, scored_fx_turns
 from .registry import query
 

@@ -9,7 +9,7 @@ separate DuckDB definition for the oracle side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import register_tables
@@ -95,6 +95,14 @@ FX_PHRASES = {
 }
 
 
+# Spark's turn table also has the turn count and the previous speaker, from the same
+# window partitioning as the positions (the parser attaches both in-row).
+_SPARK_TURNS = FX_SQL["fx_turns"].replace("AS pos\n", """AS pos,
+  CAST(count(*) OVER (PARTITION BY conv_id) AS INT) AS n_turns,
+  lag(CASE role WHEN 'assistant' THEN 'AGENT' ELSE 'CUSTOMER' END) OVER (PARTITION BY conv_id ORDER BY turn) AS prev_speaker
+""")
+assert "n_turns" in _SPARK_TURNS
+
 _REGISTERED: dict[str, str] = {}
 _BASE_TABLES = ("orders", "conversations", "documents")
 
@@ -109,7 +117,7 @@ def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
         return
     register_tables(spark, sf_dir, _BASE_TABLES)
     for name in ("fx_calls0", "fx_calls", "fx_preds", "fx_turns", "fx_split"):
-        spark.sql(FX_SQL[name]).createOrReplaceTempView(name)
+        spark.sql(FX_SQL[name] if name != "fx_turns" else _SPARK_TURNS).createOrReplaceTempView(name)
     _REGISTERED[key] = sf_dir
 
 
@@ -117,12 +125,8 @@ def fx(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture as a DataFrame (registers the views first)."""
     register_fixtures(spark, sf_dir)
     if name == "fx_turns":
-        # Turn count and previous speaker are attached where the table is made (same window
-        # partitioning as its positions); row_number() is INT in Spark, BIGINT in DuckDB.
-        call = Window.partitionBy("call_id")
-        return (spark.table("fx_turns").withColumn("pos", F.col("pos").cast("int"))
-                .withColumn("n_turns", F.count(F.lit(1)).over(call).cast("int"))
-                .withColumn("prev_speaker", F.lag("speaker").over(call.orderBy("pos"))))
+        # row_number() is INT in Spark, BIGINT in DuckDB: keep INT positions.
+        return spark.table("fx_turns").withColumn("pos", F.col("pos").cast("int"))
     if name == "fx_transcripts":
         from ..operators.parse import format_transcripts
         return format_transcripts(fx(spark, sf_dir, "fx_turns"))

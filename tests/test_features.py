@@ -96,3 +96,13 @@ def test_carried_prev_speaker_equals_join(spark):
     a = {r.call_id: r.interruption_count for r in S.interruption_counts(turns).collect()}
     b = {r.call_id: r.interruption_count for r in S.interruption_counts(turns.drop("prev_speaker")).collect()}
     assert a == b and a[0] == 2.0
+
+
+def test_phrase_hits_by_key_equal_the_broadcast_join(spark, monkeypatch):
+    from parley.operators import filters as FL
+    turns = spark.createDataFrame([(0, 0, "Tell you WHAT"), (0, 1, "xyz"), (1, 0, ""), (1, 1, None), (2, 0, "ab abc abcd abcde")],
+                                  "call_id bigint, pos int, text string")
+    table = spark.createDataFrame([("k", p) for p in ("ell you", "what", "abcd", "ab", "z", "zzzz", "abc abcd")], "kind string, phrase string")
+    want = sorted(map(tuple, FL.phrase_hits(turns, table).collect()))
+    monkeypatch.setattr(FL, "MAX_BROADCAST_PHRASES", 3)
+    assert sorted(map(tuple, FL.phrase_hits(turns, table).collect())) == want and len(want) == 6
