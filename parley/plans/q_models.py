@@ -71,7 +71,7 @@ ATTR_SQL = FEATURE_SQL + ", attr AS (" + " UNION ALL ".join(
 
 # ------------------------------------------------------------------- fits
 #: Training rows that the forest search fits its 27 forests on (a bound on labelled rows, not on data scored).
-SEARCH_ROWS = 20_000
+SEARCH_ROWS = 500
 
 GRAM_COLS = K.FEATURE_COLUMNS[:8]
 
