@@ -13,8 +13,8 @@ from ..operators.split import stratified_split
 from ..sources import io as IO
 from ..sources.fixtures import FX_PHRASES, fx, oracle_with
 from ..streaming import jobs as SJ
-from .q_features import fx_features
 from .q_metrics import LONG_TEST, METRIC_DOUBLES, MODELS, long_test, metrics_sql
+from .q_models import _splits
 from .q_sentiment import fx_rules
 from .registry import query
 
@@ -44,8 +44,7 @@ def q_stream_portfolio(spark, sf):
 def q_stream_scoring(spark, sf):
     calls = fx(spark, sf, "fx_calls")
     split = stratified_split(calls)
-    feats = fx_features(spark, sf)
-    model = ML.fit_ridge(feats.where(F.col("split") == "train"), feats.where(F.col("split") == "val"))
+    model = ML.fit_ridge(*_splits(spark, sf)[:2])
     means = FE.intent_duration_means(calls, split)
     incoming = calls.join(fx(spark, sf, "fx_transcripts"), "call_id").join(
         split.where(F.col("split") == "test"), "call_id", "left_semi")

@@ -16,6 +16,8 @@ from ..functions import constants as K
 from ..operators import metrics as M
 from ..operators import models as ML
 from ..operators import phrases as H
+from ..operators.split import stratified_split
+from ..session import cut_lineage
 from ..sources.fixtures import fx
 from .q_features import FEATURE_SQL, fx_features
 from .q_metrics import clip_sql, metrics_sql
@@ -276,9 +278,9 @@ def q_tree_additivity(spark, sf):
 @query("text_leg", columns=["call_id", "pred"],
        note="L13: hashed TF-IDF of whole texts + linear regression, regularisation picked on val")
 def q_text_leg(spark, sf):
-    f = fx_features(spark, sf).select("call_id", "csat_score", "split")
-    tx = fx(spark, sf, "fx_transcripts")
-    data = f.join(tx, "call_id")
+    calls = fx(spark, sf, "fx_calls")
+    labelled = calls.select("call_id", K.TARGET).join(stratified_split(calls), "call_id")
+    data = cut_lineage(labelled.join(fx(spark, sf, "fx_transcripts"), "call_id"))
     model = ML.fit_text_leg_search(data.where(F.col("split") == "train"), data.where(F.col("split") == "val"))
     return ML.text_leg_predict(model, data.where(F.col("split") == "test"))
 
