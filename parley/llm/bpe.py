@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 #: Pre-split of byte-level vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pre-split words, and texts between two spaces, that a worker keeps encoded in each of two generations.
-KEPT_WORDS, KEPT_CHUNKS = 200_000, 300_000
+KEPT_WORDS, KEPT_CHUNKS = 120_000, 200_000
 NEVER = 1 << 60
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 #: Bytes of text that one vectorised step holds at once (a longer text is a step of its own).
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -30,7 +30,7 @@ WINDOW, END_ID = 2048, 1
 #: Buckets that the remainders of one length are ranked in.
 RANK_BUCKETS = 64
 #: Texts between two spaces that a worker keeps encoded in each of two generations.
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 200_000
 
 
 class FastEncoder(Automaton):

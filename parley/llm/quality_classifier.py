@@ -28,7 +28,7 @@ DIMENSIONS, NEIGHBOURS, SEED = 48, 25, 11
 #: Labelled documents of each class that the space and the votes use (bounds what is broadcast).
 SAMPLE = 2000
 #: Documents in one dense block, and words whose terms a worker keeps.
-BLOCK, KEPT_WORDS = 512, 300_000
+BLOCK, KEPT_WORDS = 512, 150_000
 
 _CLASS = bytes(ord("A") if chr(b).isupper() and b < 128 else ord("a") if b >= 128 or chr(b).isalpha()
                else ord("0") if chr(b).isdigit() else b for b in range(256))

@@ -40,7 +40,7 @@ ODD = (U(0x9E3779B97F4A7C13), U(0xD1342543DE82EF95))
 SALT = mix(np.arange(1, 33, dtype=U) * ODD[1])  # of the rounds' halves of the alphabet
 
 #: Text bytes of a chunk (one task's documents) and of the symbols of one bucket.
-CHUNK_BYTES, BUCKET_BYTES = 16 << 20, 64 << 20
+CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 64 << 20
 ROUNDS = 3
 
 
