@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 
 import numpy as np
@@ -44,6 +46,13 @@ def steps(texts: list[bytes], limit: int = STEP_BYTES):
         yield lo, len(texts)
 
 
+def release() -> None:
+    """Give memory that is free back to the machine; Python workers live on after a task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Codes(dict):
     """Numbers words in order of first use: ``codes[word]``."""
 
@@ -93,10 +102,11 @@ def per_text(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[end] - total[end - counts]
 
 
-def append(docs: DataFrame, make, added: str, keep: list[str]) -> DataFrame:
+def append(docs: DataFrame, make, added: str, keep: list[str], done=release) -> DataFrame:
     """``keep`` columns of ``docs`` and the columns that ``make(texts)`` gives for its ``text`` column.
 
-    ``added`` is the schema of the new columns; ``make`` returns one array for each.
+    ``added`` is the schema of the new columns; ``make`` returns one array for each;
+    ``done`` runs when a task ends.
     """
     names = [x.split()[0] for x in added.split(", ")]
 
@@ -104,6 +114,7 @@ def append(docs: DataFrame, make, added: str, keep: list[str]) -> DataFrame:
         for batch in batches:
             new = make(text_bytes(batch.column(0)))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *(pa.array(x) for x in new)], names=keep + names)
+        done()
 
     kinds = dict(docs.dtypes)
     src = docs.select(F.col("text").cast("string").alias("__text"), *(F.col(f"`{c}`") for c in keep))

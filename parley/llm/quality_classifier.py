@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Codes, append, labelled_sample, mix, steps, word_codes
+from .common import Codes, append, labelled_sample, mix, release, steps, word_codes
 
 U = np.uint64
 #: Hashed terms: words, shapes, pairs of shapes.
@@ -151,19 +151,24 @@ def quality_scores(docs: DataFrame, model: Neighbours | None, keep: tuple[str, .
         score = np.full(len(texts), 0.5) if model is None else model.value.scores(texts, _terms())
         return [score, (score >= 0.5).astype(np.int32)]
 
-    return append(docs, make, "score double, predicted int", list(keep))
+    return append(docs, make, "score double, predicted int", list(keep), _forget)
 
 
 _TERMS: list[Terms] = []
 
 
 def _terms() -> Terms:
-    """This worker's kept terms."""
+    """The running task's kept terms."""
     if not _TERMS:
         _TERMS.append(Terms())
     return _TERMS[0]
 
 
+def _forget() -> None:
+    _TERMS.clear()
+    release()
+
+
 def held_out(doc_id):
     """Rows kept from fitting: crc32 of doc_id as text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

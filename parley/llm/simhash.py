@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import mix, steps, text_bytes, written
+from .common import mix, release, steps, text_bytes, written
 from .components import components
 
 U = np.uint64
@@ -71,6 +71,7 @@ def simhash(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for batch in batches:
             fp = fingerprints(text_bytes(batch.column(2)), shingle)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fp.view(np.int64))], names=["doc_id", "text_hash", "fp"])
+        release()
 
     text = F.col("text").cast("string")
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash(text).alias("text_hash"), text.alias("text"))

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, steps, text_bytes, window_starts, word_codes
+from .common import mix, release, steps, text_bytes, window_starts, word_codes
 
 U = np.uint64
 LAST = np.iinfo(np.int64).max
@@ -256,7 +256,8 @@ def _candidates(buckets, window, rounds):
             found.append(np.stack((x[start], y[start]), 1))
         if not found:
             return empty
-        names = np.unique(np.concatenate(found), axis=0) if len(found) else np.zeros((0, 2), U)
+        names = np.unique(np.concatenate(found), axis=0)
+        release()
         bucket = (names[:, 1] % U(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -341,6 +342,7 @@ def _finish(window, tidy):
         for name, column in (("n_words", pa.array(counts, pa.int64())), ("n_removed", pa.array(n_removed, pa.int64())),
                              ("kept", pa.array(kept, pa.binary()).cast(pa.string())), ("removed", pa.array(removed, _RUNS))):
             out = out.append_column(name, column)
+        release()
         return out
     return run
 
