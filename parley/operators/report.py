@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..session import cut_lineage
 from . import metrics as M
 from .sentiment import arc_and_series
 
@@ -132,14 +133,15 @@ def report_calls(calls: DataFrame, rules: DataFrame, ridge, forest=None, text_mo
     from .sentiment import turn_sentiments
     calls, _ = scoreable_calls(calls)
     turns = parse_transcripts(calls)
-    feats = _crm_features(calls, turns, rules, means, **phrases)
+    # Read by the members and the attributions: computed once, and the plan stays small.
+    feats = cut_lineage(_crm_features(calls, turns, rules, means, **phrases))
     preds = _member_predictions(feats, calls, ridge, forest, text_model)
     scores = score_calls(preds, weights=weights, renormalise=True, digits=2)
     if forest is not None:
         wide = forest_attributions(calls.sparkSession, forest, feats)
     else:
         wide = feats.select("call_id", *ridge.attribution_columns())
-    best = top_attributions(attributions_long(wide, K.FEATURE_COLUMNS), top)
+    best = cut_lineage(top_attributions(attributions_long(wide, K.FEATURE_COLUMNS), top))
     found = evidence_table(transcript_lines(calls), rules, **(evidence or {}))
     mapped = map_phrases(best.select("call_id", F.col("rank").alias("ord"), "feature", "value"), found)
     return call_report(scores, turn_sentiments(turns, rules), mapped, coaching(mapped), best)

@@ -60,11 +60,11 @@ def q_stream_scoring(spark, sf):
        note="R1: the whole call report of calls arriving as files, per micro-batch; equal to the batch report (tests)")
 def q_stream_report(spark, sf):
     from ..operators.report import flat_report
-    from .q_models import FIXED, report_inputs
+    from .q_models import report_inputs, report_models
     calls, rules, words = report_inputs(spark, sf)
     src = SJ.scratch_path(spark, "incoming-calls")
     IO.write_table(calls, src)
-    return flat_report(spark.read.parquet(SJ.report_stream(spark, src, rules, FIXED, **words)))
+    return flat_report(spark.read.parquet(SJ.report_stream(spark, src, rules, **report_models(spark, sf), **words)))
 
 
 @query("csv_roundtrip", columns=["call_id", "issue_type", "resolution_status", "csat_score", "transcript_text"],

@@ -13,6 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators import models as ML
 from ..operators import phrases as H
@@ -328,12 +329,24 @@ def report_inputs(spark, sf):
     return calls, fx_rules(spark), dict(words, max_words=10, evidence=evidence)
 
 
+def report_models(spark, sf):
+    """The fitted members and the training means, as ``report_calls`` and ``report_stream`` take them.
+
+    The text leg is left out: the deployed weights (``K.DEFAULT_WEIGHTS``) give it 0 and the
+    interval is of ridge and forest, so it changes no column of the report.
+    """
+    forest, train, val, _ = _forest(spark, sf)
+    calls = fx(spark, sf, "fx_calls")
+    means = FE.intent_duration_means(calls, stratified_split(calls))
+    return dict(ridge=ML.fit_ridge(train, val), forest=forest, means=means)
+
+
 @query("full_report", columns=["call_id", "csat", "ci_low", "ci_high", "emotional_arc", "positive_phrases",
                                "negative_phrases", "coaching_text", "sentiment_series", "top_features"],
        note="H7 end to end: transcripts -> features -> models -> attributions -> phrases -> coaching, every call with a transcript")
 def q_full_report(spark, sf):
     from ..operators.report import flat_report, report_calls
     calls, rules, words = report_inputs(spark, sf)
-    report = report_calls(calls, rules, FIXED, **words)
+    report = cut_lineage(report_calls(calls, rules, **report_models(spark, sf), **words))
     top = F.array_join(F.transform("top_features", lambda x: F.format_string("%s %.3f", x["feature"], x["value"] + F.lit(0.0))), ", ")
     return flat_report(report).join(report.select("call_id", top.alias("top_features")), "call_id")
