@@ -73,9 +73,6 @@ ATTR_SQL = FEATURE_SQL + ", attr AS (" + " UNION ALL ".join(
 
 
 # ------------------------------------------------------------------- fits
-#: Training rows that the forest search fits its 27 forests on (a bound on labelled rows, not on data scored).
-SEARCH_ROWS = 500
-
 GRAM_COLS = K.FEATURE_COLUMNS[:8]
 
 
@@ -251,10 +248,10 @@ def q_rf_importances(spark, sf):
 
 
 @query("forest_search", columns=["config_idx", "num_trees", "max_depth", "min_leaf", "mae", "rmse", "pearson_r", "f1_binary"],
-       note="L4: the full 27-point grid, fitted on a bounded sample of the training rows, scored on all validation rows")
+       note="L4: the full 27-point grid, fitted on all training rows, scored on all validation rows")
 def q_forest_search(spark, sf):
     train, val, _ = _splits(spark, sf)
-    out, _ = ML.forest_search(train, val, sample_rows=SEARCH_ROWS)
+    out, _ = ML.forest_search(train, val)
     rows = [(i, p["numTrees"], p["maxDepth"], p["minInstancesPerNode"], *(float(r[k]) if r[k] is not None else None
              for k in ("mae", "rmse", "pearson_r", "f1_binary"))) for i, p, _, r in out]
     return spark.createDataFrame(rows, "config_idx int, num_trees int, max_depth int, min_leaf int, mae double, rmse double, "
