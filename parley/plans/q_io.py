@@ -46,8 +46,7 @@ def q_stream_scoring(spark, sf):
     split = stratified_split(calls)
     model = ML.fit_ridge(*_splits(spark, sf)[:2])
     means = FE.intent_duration_means(calls, split)
-    incoming = calls.join(fx(spark, sf, "fx_transcripts"), "call_id").join(
-        split.where(F.col("split") == "test"), "call_id", "left_semi")
+    incoming = calls.join(fx(spark, sf, "fx_transcripts"), "call_id")
     src = SJ.scratch_path(spark, "incoming-calls")
     IO.write_table(incoming, src)
     phrases = dict(resolution=FX_PHRASES["resolution"], empathy=FX_PHRASES["empathy"],

@@ -302,15 +302,14 @@ def q_tree_global_importance(spark, sf):
 
 
 @query("batch_predict", columns=["call_id", "csat_score", "ci_low", "ci_high", "emotional_arc"],
-       note="E2/L12: raw test calls with transcripts -> CRM features -> ridge + forest -> blend, interval, arc")
+       note="E2/L12: all raw calls with transcripts -> CRM features -> ridge + forest -> blend, interval, arc")
 def q_batch_predict(spark, sf):
     from ..operators.report import predict_calls
     from ..sources.fixtures import FX_PHRASES
     from .q_sentiment import fx_rules
-    model, train, val, test = _forest(spark, sf)
+    model, train, val, _ = _forest(spark, sf)
     ridge = ML.fit_ridge(train, val)
-    calls = fx(spark, sf, "fx_calls").join(test.select("call_id"), "call_id", "left_semi") \
-        .join(fx(spark, sf, "fx_transcripts"), "call_id")
+    calls = fx(spark, sf, "fx_calls").join(fx(spark, sf, "fx_transcripts"), "call_id")
     return predict_calls(calls, fx_rules(spark), ridge, model, max_words=10,
                          resolution=FX_PHRASES["resolution"], empathy=FX_PHRASES["empathy"],
                          apology=FX_PHRASES["apology"], transfer=FX_PHRASES["transfer"])
