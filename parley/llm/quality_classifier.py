@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -114,9 +115,13 @@ class Neighbours:
 
 
 def fit_vectors(texts: list[bytes], label: np.ndarray, dimensions: int = DIMENSIONS) -> Neighbours:
-    """Latent space by randomised SVD of the labelled texts' weighted terms."""
+    """Latent space of the labelled texts (see ``fit_shares``)."""
     terms = Terms()
-    x = np.concatenate([term_shares(texts[lo:hi], terms) for lo, hi in _blocks(texts)])
+    return fit_shares(np.concatenate([term_shares(texts[lo:hi], terms) for lo, hi in _blocks(texts)]), label, dimensions)
+
+
+def fit_shares(x: np.ndarray, label: np.ndarray, dimensions: int = DIMENSIONS) -> Neighbours:
+    """Latent space by randomised SVD of the labelled texts' weighted terms; ``x`` is overwritten."""
     weight = np.log((1 + len(x)) / (1 + (x > 0).sum(0))).astype(np.float32) + 1
     x *= weight
     rng = np.random.default_rng(SEED)
@@ -130,11 +135,26 @@ def fit_vectors(texts: list[bytes], label: np.ndarray, dimensions: int = DIMENSI
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, train, sample: int = SAMPLE) -> Neighbours | None:
     """Neighbours from up to ``sample`` rows of each class among labels where ``train`` holds; None without any."""
-    rows = labelled_sample(docs, labels, "quality", train, sample)
-    got = rows.orderBy("label", F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(2 * sample).select("label", "text").toPandas()
+    rows = labelled_sample(docs, labels, "quality", train, sample).withColumn("text_hash", F.xxhash64("text"))
+    rows = append(rows, _packed_shares, "terms binary, shares binary", ["doc_id", "label", "text_hash"], _forget)
+    got = rows.orderBy("label", F.xxhash64("doc_id"), "doc_id", "text_hash").limit(2 * sample).select("label", "terms", "shares").toPandas()
     if not len(got):
         return None
-    return fit_vectors([(t or "").encode() for t in got["text"]], got["label"].to_numpy())
+    x = np.zeros((len(got), TERMS), np.float32)
+    for row, terms, shares in zip(x, got["terms"], got["shares"]):
+        row[np.frombuffer(terms, np.uint16)] = np.frombuffer(shares, np.float32)
+    return fit_shares(x, got["label"].to_numpy())
+
+
+def _packed_shares(texts: list[bytes]) -> list[list[bytes]]:
+    """Numbers and shares of each text's terms (at most TERMS of 6 bytes): what the driver gets instead of texts."""
+    numbers, shares = [], []
+    for lo, hi in _blocks(texts):
+        for row in term_shares(texts[lo:hi], _terms()):
+            at = np.flatnonzero(row).astype(np.uint16)
+            numbers.append(at.tobytes())
+            shares.append(row[at].tobytes())
+    return [pa.array(numbers, pa.binary()), pa.array(shares, pa.binary())]
 
 
 def quality_scores(docs: DataFrame, model: Neighbours | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -188,3 +188,22 @@ def test_digests_of_odd_rows(odd, frame):
     assert sorted(((*r[:5], round(r[5], 9), round(r[6], 9)) for r in got), key=str) == brute_digest(ODD, ranks)
     assert D.document_fingerprints(odd.where("false")).count() == 0
     assert D.document_fingerprints(frame([(3, "alone " * 30)])).collect()[0].near_next == 1.0
+
+
+def test_classifier_fit_brings_no_texts_to_the_driver(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    seen, collect = [], type(docs).toPandas
+
+    def to_pandas(df):
+        seen.append(df.columns)
+        return collect(df)
+
+    monkeypatch.setattr(type(docs), "toPandas", to_pandas)
+    model = QC.fit_classifier(docs, labels, F.lit(True))
+    monkeypatch.undo()
+    assert seen == [["label", "terms", "shares"]]
+    rows = (QC.labelled_sample(docs, labels, "quality", F.lit(True), QC.SAMPLE)
+            .orderBy("label", F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).toPandas())
+    want = QC.fit_vectors([t.encode() for t in rows["text"]], rows["label"].to_numpy())
+    assert np.array_equal(model.label, want.label) and model.prior == want.prior
+    assert np.allclose(model.vectors @ model.vectors.T, want.vectors @ want.vectors.T, atol=1e-3)
