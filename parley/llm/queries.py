@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from .bpe import bpe_digests
+from .clustering import cluster_report, oracle as clustering_oracle
 from .common import shared_path, table
 from .digest import document_fingerprints
+from .embedding_dedup import ORACLE as EMBEDDING_ORACLE, near_duplicate_vectors
+from .hard_negatives import ORACLE as HARD_NEGATIVES_ORACLE, hard_negatives
 from .packing import pack
 from .preference import ORACLE as PREFERENCE_ORACLE, preference_format, reply_pairs
 from .quality_classifier import fit_classifier, held_out, quality_scores
@@ -118,3 +121,32 @@ def op10_packing(spark, sf_dir):
     """All documents packed into sequences of at most 2048 tokens."""
     out = pack(table(spark, sf_dir, "documents"), bpe_path(), window=2048)
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    """Five hard negatives for each of the five positives of every hundredth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(moved, F.col("vec_id") % 100 == 0, positives=5, negatives=5, low_pct=80, high_pct=100, scale=256)
+
+
+ORACLES["op11_hard_negatives"] = HARD_NEGATIVES_ORACLE
+
+
+@query
+def op12_embedding_near_dedup(spark, sf_dir):
+    """Links, component and survivor of every vector among near-duplicates of its label."""
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+ORACLES["op12_embedding_near_dedup"] = EMBEDDING_ORACLE
+
+
+@query
+def op13_centroid_clustering(spark, sf_dir):
+    """Cluster, distance and inertia of every vector after three rounds of 16 centroids."""
+    return cluster_report(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed=1)
+
+
+ORACLES["op13_centroid_clustering"] = clustering_oracle()
