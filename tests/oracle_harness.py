@@ -87,7 +87,7 @@ def main(argv):
         try:
             r = compare(spark, con, n, sf_dir)
         except Exception as e:  # report and continue
-            r = {"name": n, "error": repr(e)[:400]}
+            r = {"name": n, "error": f"{e!r} {e}"[:600]}
         if r.get("error") or (r.get("oracle", True) is not None and not r.get("values", True)):
             bad += 1
         print(r, flush=True)
