@@ -12,7 +12,6 @@ all candidate models are scored in one job (one column each, stacked).
 from __future__ import annotations
 
 import json
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -274,8 +273,12 @@ def assemble(df: DataFrame, features=K.FEATURE_COLUMNS, out: str = "features") -
 
 
 def fit_forest(train: DataFrame, params=K.RF_BEST, features=K.FEATURE_COLUMNS,
-               target: str = K.TARGET, seed: int = K.SEED, assembled: bool = False):
-    """L4: one random forest (unscaled input, all features per split, bootstrap)."""
+               target: str = K.TARGET, seed: int = K.SEED, assembled: bool = False, memory_mb: int = 256):
+    """L4: one random forest (unscaled input, all features per split, bootstrap).
+
+    ``memory_mb`` bounds the histograms that a task gathers in one pass; deep forests
+    need fewer passes with more.
+    """
     from pyspark.ml.regression import RandomForestRegressor
     depth = params.get("maxDepth")
     if depth is not None and depth > K.RF_UNLIMITED_DEPTH:
@@ -285,7 +288,7 @@ def fit_forest(train: DataFrame, params=K.RF_BEST, features=K.FEATURE_COLUMNS,
         numTrees=int(params["numTrees"]),
         maxDepth=int(K.RF_UNLIMITED_DEPTH if depth is None else depth),
         minInstancesPerNode=int(params["minInstancesPerNode"]), featureSubsetStrategy="all",
-        subsamplingRate=1.0, bootstrap=True, seed=seed)
+        subsamplingRate=1.0, bootstrap=True, seed=seed, maxMemoryInMB=memory_mb)
     return rf.fit(train if assembled else assemble(train, features))
 
 
@@ -294,33 +297,118 @@ def forest_predict(model, df: DataFrame, features=K.FEATURE_COLUMNS, keep=("call
     return out.select(*keep, R.clip("pred").alias("pred"))
 
 
-def forest_search(train: DataFrame, val: DataFrame, grid=K.RF_GRID, features=K.FEATURE_COLUMNS,
-                  target: str = K.TARGET, parallelism: int = 4, sample_rows: int | None = None):
-    """L4 grid: fits run concurrently (Spark jobs from driver threads); val MAE each.
-
-    ``sample_rows`` bounds the labelled rows that the forests are fitted on (those
-    with the smallest key hashes); every validation row is scored.  Returns
-    ``(results_df_rows, best_model)``; first config wins MAE ties.
+#: Trees of one task of ``cut_forest_scores``, and rows x trees.
+TREES_PER_TASK, TREE_PAIRS = 10, 2_000_000
+
+
+def _walk(trees: list[dict], x: np.ndarray, depths) -> np.ndarray:
+    """Sum over the trees of the value at each cut depth (None: at the leaf) for every row of ``x``."""
+    out, at = np.zeros((len(depths), len(x))), np.arange(len(x))
+    for t in trees:
+        node = np.zeros(len(x), np.int64)
+        last = max((d for d in depths if d is not None), default=0) if None not in depths else None
+        level = 0
+        while True:
+            inner = t["left"][node] >= 0
+            ended = not inner.any()
+            for i, d in enumerate(depths):
+                if d == level or ended and (d is None or d > level):
+                    out[i] += t["value"][node]
+            if ended or level == last:
+                break
+            low = x[at, t["feature"][node]] <= t["thr"][node]
+            node = np.where(inner, np.where(low, t["left"][node], t["right"][node]), node)
+            level += 1
+    return out
+
+
+def cut_forest_scores(nodes: DataFrame, df: DataFrame, counts, depths, features=K.FEATURE_COLUMNS, keep=("call_id",)) -> DataFrame:
+    """Predictions of every sub-forest of a grown one: its first ``counts`` trees, cut at ``depths``.
+
+    ``nodes`` is ``explain.forest_nodes`` of a forest grown without a depth limit.  With
+    all features tried at every split a tree of less depth is the deep one cut off
+    there, inner nodes predicting their mean.  Returns ``keep`` and one column
+    ``p_<count>_<depth>`` each (depth 0 for no cut).  Rows and blocks of trees meet in
+    tasks; sums are added up by row, so no task holds the forest.
     """
+    from .explain import matrix, numbered_rows, tree_arrays
+    counts = sorted(counts)
+    xs = [f"x{i}" for i in range(len(features))]
+    held = df.select(F.struct(*keep).alias("kept"), *features)
+    rows, n = numbered_rows(held, "kept", features)
+    chunks = max(1, -(-n * TREES_PER_TASK // TREE_PAIRS))
+    sums = [f"s{i}" for i in range(len(depths))]
+
+    def run(left, right):
+        import pyarrow as pa
+        x = matrix(left, xs)
+        right = right.sort_by("tree")
+        tree = right.column("tree").to_numpy()
+        cut = np.concatenate(([0], np.flatnonzero(tree[1:] != tree[:-1]) + 1, [len(tree)])) if len(tree) else [0]
+        total = _walk([tree_arrays(right.slice(a, b - a)) for a, b in zip(cut[:-1], cut[1:])], x, depths)
+        first = int(tree[0]) if len(tree) else 0
+        band = sum(first >= c for c in counts)
+        return pa.table([left.column("rid"), pa.array(np.full(len(x), band, np.int32)), *(pa.array(v, pa.float64()) for v in total)],
+                        names=["rid", "band", *sums])
+
+    band = sum((F.col("tree") >= c).cast("int") for c in counts)
+    used = nodes.where(F.col("tree") < counts[-1]).withColumn("group", band * 1_000_000 + F.floor(F.col("tree") / TREES_PER_TASK).cast("int"))
+    groups = sorted({sum(t >= c for c in counts) * 1_000_000 + t // TREES_PER_TASK for t in range(counts[-1])})
+    upto = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
+    rows_ = rows.withColumn("chunk", F.pmod(F.xxhash64("rid"), F.lit(chunks)).cast("int"))
+    dealt = rows_.drop("key").withColumn("group", F.explode(F.array(*map(F.lit, groups))))
+    used = used.withColumn("chunk", upto).select(*(F.col(c).alias(c) for c in [*nodes.columns, "group", "chunk"]))
+    parts = dealt.groupBy("chunk", "group").cogroup(used.groupBy("chunk", "group")).applyInArrow(
+        run, "rid bigint, band int, " + ", ".join(f"{s} double" for s in sums))
+    columns = [(F.sum(F.when(F.col("band") <= b, F.col(s))) / F.lit(float(c))).alias(f"p_{c}_{d or 0}")
+               for b, c in enumerate(counts) for s, d in zip(sums, depths)]
+    return rows.select("rid", "key.*").join(parts.groupBy("rid").agg(*columns), "rid").drop("rid")
+
+
+def forest_search(train: DataFrame, val: DataFrame, grid=K.RF_GRID, features=K.FEATURE_COLUMNS, target: str = K.TARGET,
+                  others: dict | None = None, memory_mb: int = 512):
+    """L4 grid: all forests of the grid from one grown forest for each leaf size.
+
+    Each leaf size gets one forest of the grid's most trees at its greatest depth, on
+    all training rows; the other points are its first trees, cut at their depth
+    (``cut_forest_scores``).  A point of fewer trees so shares its trees with the larger
+    one instead of drawing a bootstrap of its own.  Returns ``(rows, forests)``: for
+    each point its index, parameters and metrics of ``val`` and of each split in
+    ``others``, and the grown forest by leaf size.  The best point is the first with
+    the least ``val`` MAE.
+    """
+    from ..session import cut_lineage, ship_package
+    from .explain import forest_nodes
     from .metrics import metric_aggs
-    if sample_rows is not None:
-        train = train.orderBy(F.xxhash64("call_id"), "call_id").limit(sample_rows)
-    train_v = assemble(train, features).cache()
-    val_v = assemble(val, features).cache()
-
-    def run(i_p):
-        i, p = i_p
-        m = fit_forest(train_v, p, features, target, assembled=True)
-        pred = m.transform(val_v).select(F.col(target).alias("y"), R.clip("pred").alias("pred"))
-        r = pred.agg(*metric_aggs("y", "pred")).first().asDict()
-        return i, p, m, r
-
-    with ThreadPoolExecutor(max_workers=parallelism) as ex:
-        out = list(ex.map(run, list(enumerate(grid))))
+    spark = train.sparkSession
+    ship_package(spark)
+    train_v = assemble(train, features).select(target, "features").cache()
+    scored = None
+    for name, part in {"val": val, **(others or {})}.items():
+        part = part.select(F.lit(name).alias("part"), F.col(target).alias("y"), *features)
+        scored = part if scored is None else scored.unionByName(part)
+    scored = scored.cache()
+    forests, out = {}, []
+    for leaf in dict.fromkeys(p["minInstancesPerNode"] for p in grid):
+        points = [(i, p) for i, p in enumerate(grid) if p["minInstancesPerNode"] == leaf]
+        depths = list(dict.fromkeys(p["maxDepth"] for _, p in points))
+        counts = list(dict.fromkeys(p["numTrees"] for _, p in points))
+        deepest = {"numTrees": max(counts), "maxDepth": None if None in depths else max(depths), "minInstancesPerNode": leaf}
+        forests[leaf] = fit_forest(train_v, deepest, features, target, assembled=True, memory_mb=memory_mb)
+        wide = cut_forest_scores(cut_lineage(forest_nodes(spark, forests[leaf])), scored, counts, depths, features, keep=("part", "y"))
+        names = [f"p_{p['numTrees']}_{p['maxDepth'] or 0}" for _, p in points]
+        stack = ", ".join(f"{i}, {n}" for (i, _), n in zip(points, names))
+        long = wide.selectExpr("part", "y", f"stack({len(points)}, {stack}) AS (idx, raw)").select("part", "y", "idx", R.clip("raw").alias("pred"))
+        found = {(r["idx"], r["part"]): r.asDict() for r in long.groupBy("idx", "part").agg(*metric_aggs("y", "pred")).collect()}
+        out += [(i, p, {part: found.get((i, part), {}) for part in ("val", *(others or {}))}) for i, p in points]
     train_v.unpersist()
-    val_v.unpersist()
-    best = min(out, key=lambda t: (t[3]["mae"], t[0]))
-    return out, best[2]
+    scored.unpersist()
+    return sorted(out, key=lambda t: t[0]), forests
+
+
+def best_point(rows):
+    """The first grid point with the least validation MAE."""
+    return min((r for r in rows if r[2]["val"].get("mae") is not None), key=lambda r: (r[2]["val"]["mae"], r[0]))
 
 
 def importances(spark: SparkSession, model, features=K.FEATURE_COLUMNS, top: int | None = 10) -> DataFrame:
