@@ -191,7 +191,7 @@ def _signed(classes: DataFrame, tables: int, bits: int, kind: str) -> DataFrame:
                 sig = signatures(unit_rows(x), tables, bits)
                 yield pa.RecordBatch.from_arrays([*batch.take(pa.array(rows)).columns, packed(sig, "<u2")], names=[*batch.schema.names, "sig"])
         release()
-    return classes.mapInArrow(run, "node string, label bigint, vec binary, w bigint, rep bigint, sig binary")
+    return classes.mapInArrow(run, "node string, label bigint, vec binary, w bigint, sig binary")
 
 
 def bucket_links(classes: DataFrame, tables: int, threshold: float, kind: str, group: int = GROUP) -> DataFrame:
@@ -215,6 +215,21 @@ def bucket_links(classes: DataFrame, tables: int, threshold: float, kind: str, g
     return dealt.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_links(threshold, kind), "node string, n bigint, root string")
 
 
+#: Flips the sign bit, so that hexadecimal digits sort as signed numbers do.
+_SIGN = -(1 << 63)
+
+
+def _name(rep: str, key: str):
+    """A class's name: 16 digits that sort as its smallest id (none last), then its key.  A component's smallest name so tells its smallest id."""
+    digits = F.lpad(F.hex(F.col(rep).bitwiseXOR(F.lit(_SIGN))), 16, "0")
+    return F.concat(F.coalesce(digits, F.lit("~" * 16)), F.col(key))
+
+
+def _named(name):
+    """The id that a name starts with (null for none)."""
+    return F.conv(F.when(~name.startswith("~"), F.substring(name, 1, 16)), 16, -10).cast("bigint").bitwiseXOR(F.lit(_SIGN))
+
+
 def near_duplicate_vectors(df: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES, bits: int = BITS,
                            id_col: str = "vec_id", label_col: str = "label", vector_col: str = "embedding") -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row: vectors of one label link at cosine ``threshold`` or more.
@@ -231,16 +246,16 @@ def near_duplicate_vectors(df: DataFrame, threshold: float = THRESHOLD, tables:
     vectors, kind = _vectors(df, id_col, label_col, vector_col)
     members = vectors.withColumn("node", F.when(F.col("label").isNotNull(), F.md5(F.concat(F.col("label").cast("binary"), F.lit(b"\0"), F.col("vec")))))
     merged = (members.where("node is not null").groupBy("node").agg(
-        F.first(F.xxhash64(F.lit(1), "label")).alias("label"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("w"), F.min("vec_id").alias("rep")))
+        F.first(F.xxhash64(F.lit(1), "label")).alias("label"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("w"), F.min("vec_id").alias("rep"))
+        .select(_name("rep", "node").alias("node"), "label", "vec", "w"))
     classes = written(_signed(merged, tables, bits, kind), "vectors")
     links = written(bucket_links(classes, tables, threshold, kind), "vector-links")
     stars = components(links.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
     counts = links.groupBy("node").agg(F.sum("n").alias("n"))
-    rooted = (classes.select("node", "w", "rep").join(counts, "node", "left").join(stars.withColumnRenamed("u", "node"), "node", "left")
-              .select("node", "rep", (F.col("w") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("root")))
-    named = rooted.groupBy("root").agg(F.min("rep").alias("smallest"))
-    rooted = rooted.join(named, "root").select("node", "n_links", "smallest")
-    return (members.select("vec_id", "node").join(rooted, "node", "left")
+    found = (classes.select("node", "w").join(counts, "node", "left").join(stars.withColumnRenamed("u", "node"), "node", "left")
+             .select(F.substring("node", 17, 32).alias("node"), (F.col("w") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
+                     _named(F.coalesce("root", "node")).alias("smallest")))
+    return (members.select("vec_id", "node").join(found, "node", "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
                     F.coalesce("smallest", "vec_id").alias("component_id"))
             .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
