@@ -219,9 +219,9 @@ def _dealt(rows: DataFrame, anchors: DataFrame, by: list[str]):
     sizes = (rows.groupBy(*by).agg(F.greatest(parts, F.lit(1)).alias("parts"))
              .join(anchors.groupBy(*by).agg(F.greatest(blocks, F.lit(1)).alias("blocks")), by))
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = (rows.join(sizes, by).withColumn("part", F.pmod(F.xxhash64("vec_id", "slot"), "parts"))
+    left = (rows.join(sizes, by).withColumn("part", F.pmod(F.xxhash64("vec_id", "slot"), "parts").cast("int"))
             .withColumn("block", numbers("blocks")).drop("parts", "blocks"))
-    right = (anchors.join(sizes, by).withColumn("block", F.pmod(F.xxhash64("vec_id", "key"), "blocks"))
+    right = (anchors.join(sizes, by).withColumn("block", F.pmod(F.xxhash64("vec_id", "key"), "blocks").cast("int"))
              .withColumn("part", numbers("parts")).drop("parts", "blocks"))
     right = right.select(*(F.col(c).alias(c) for c in right.columns))  # columns of their own beside the rows'
     keys = [*by, "block", "part"]
