@@ -138,7 +138,7 @@ def first_centroids(vectors: DataFrame, k: int, seed: int) -> np.ndarray:
     """The ``k`` vectors with the smallest SHA-256 of ``<seed>:<vec_id>`` (a null id reads ``null``; ties by the vector)."""
     order = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit("null"))).cast("binary"), 256)
     rows = vectors.orderBy(order, "q").limit(k).collect()
-    return np.array([np.frombuffer(r["q"], "<i4") for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([np.frombuffer(r["q"], "<i4") for r in rows], np.int64)
 
 
 def updated(vectors: DataFrame, centroids: np.ndarray) -> np.ndarray:
