@@ -12,14 +12,16 @@ Spark round 1 gathers the high-level symbols (with their contexts) of all
 documents and tells each chunk of documents which of its symbols other chunks
 hold too.  A window that contains a symbol nobody shares can't be repeated; the
 windows left are the candidates.  Spark round 2 verifies candidates by the
-128-bit name of the whole window and tells every chunk which of its windows
-start in an earlier chunk.  Chunks are ranges of ``doc_id``, so "an earlier
-chunk" means a smaller ``doc_id``; repeats inside one chunk are settled there.
-
-Shuffled data are packed arrays: 6 bytes for each symbol, 16 for each candidate
-window (one per chunk, however often it occurs there), and the compressed text
-of each chunk.  A passage that a third of the corpus shares costs one entry per
-chunk, never a pair.
+128-bit name of the whole window: a chunk sends each candidate once, with the
+smallest ``doc_id`` it starts in there, and is told which of its windows start in a
+smaller ``doc_id`` elsewhere.  Repeats inside one chunk are settled there.
+
+A chunk is a run of rows as they are read, of bounded bytes (a longer text is a
+chunk of its own), so neither long texts, nor equal or null ids gather in one
+task.  Chunks are written once to the shared folder.  Shuffled data are packed
+arrays: 6 bytes for each symbol, 24 for each candidate window (one per chunk,
+however often it occurs there), and the compressed text of each chunk.  A passage
+that a third of the corpus shares costs one entry per chunk, never a pair.
 """
 
 from __future__ import annotations
@@ -28,10 +30,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, release, steps, text_bytes, window_starts, word_codes
+from .common import mix, release, steps, text_bytes, window_starts, written
 
 U = np.uint64
 LAST = np.iinfo(np.int64).max
@@ -39,16 +42,46 @@ FAR = np.int64(1) << 40
 ODD = (U(0x9E3779B97F4A7C13), U(0xD1342543DE82EF95))
 SALT = mix(np.arange(1, 33, dtype=U) * ODD[1])  # of the rounds' halves of the alphabet
 
-#: Text bytes of a chunk (one task's documents) and of the symbols of one bucket.
-CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 64 << 20
+#: Text bytes of a chunk (what one task holds at once) and of the symbols of one bucket.
+CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
 ROUNDS = 3
 
+#: White space, as ``bytes.split`` has it; words longer than this many bytes are named by XXH3.
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+LONG_WORD, PLACES = 4096, 64
+#: Random numbers for every place in a word and byte there, for both halves of a name; bytes named at once.
+PLACE_NAMES = [mix(np.arange(k << 32, (k << 32) + PLACES * 256, dtype=U) * ODD[0]) for k in (1, 2)]
+NAMED_BYTES = 1 << 18
+
 
 def _names(texts: list[bytes]):
-    """128-bit names of all words (two arrays) and the words in each text."""
-    codes, ids, counts = word_codes(texts)
-    raw = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, codes)), U).reshape(-1, 2)
-    return raw[ids, 0], raw[ids, 1], counts
+    """128-bit names of all words (two arrays) and the words in each text.
+
+    A name adds up the random numbers of the word's bytes at their places.
+    """
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    edge = np.flatnonzero(np.diff(np.concatenate(([1], SPACE[data].view(np.int8)))))  # starts and ends of words in turn
+    start, size = edge[::2], edge[1::2] - edge[::2]
+    counts = np.diff(np.searchsorted(start, np.cumsum([0] + [len(t) + 1 for t in texts])))
+    long = size > LONG_WORD
+    part = np.where(long, 1, size)
+    total = np.concatenate(([0], np.cumsum(part)))
+    out, lo = [np.empty(len(start), U) for _ in PLACE_NAMES], 0
+    while lo < len(start):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + NAMED_BYTES, side="right")) - 1)
+        n, begin = part[lo:hi], total[lo:hi] - total[lo]
+        place = np.arange(total[hi] - total[lo], dtype=np.int32) - np.repeat(begin.astype(np.int32), n)
+        entry = ((place & (PLACES - 1)) << 8) + data[np.repeat(start[lo:hi], n) + place]
+        far = np.flatnonzero(place >= PLACES)
+        for half, random in zip(out, PLACE_NAMES):
+            value = random[entry]
+            value[far] = mix(value[far] + (place[far] >> 6).astype(U) * ODD[1])
+            half[lo:hi] = np.add.reduceat(value, begin)
+        lo = hi
+    for i in np.flatnonzero(long):
+        name = xxhash.xxh3_128_intdigest(data[start[i]:start[i] + size[i]].tobytes())
+        out[0][i], out[1][i] = name >> 64, name & (1 << 64) - 1
+    return mix(out[0]), mix(out[1]), counts
 
 
 def _window_names(a: np.ndarray, b: np.ndarray, window: int):
@@ -134,26 +167,56 @@ def _held(sorted_keys: np.ndarray, x: np.ndarray) -> np.ndarray:
     return sorted_keys[at] == x
 
 
-def _chunk_of(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    return np.searchsorted(bounds, ids, side="right")
-
-
 def _ids(column) -> np.ndarray:
     """doc_id as int64; null sorts after every id."""
-    return np.array([LAST if x is None else x for x in column.to_pylist()], np.int64)
-
+    return column.fill_null(LAST).to_numpy(zero_copy_only=False)
+
+
+def _pack_text(chunk_bytes: int):
+    """``(doc_id, text, kept columns)`` -> (chunk, ids, compressed texts, kept columns), one row a chunk."""
+    def pack(chunk, batches, held):
+        z, sink = zstandard.ZstdCompressor(level=3), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batches[0].schema) as stream:
+            for b in batches:
+                stream.write_batch(b)
+        ids = np.concatenate([i for i, _ in held])
+        texts = [t for _, ts in held for t in ts]
+        rows = np.stack((ids, np.array([len(t) for t in texts], np.int64))).tobytes()
+        return pa.RecordBatch.from_arrays(
+            [pa.array([chunk], pa.int64()), *(pa.array([x], pa.binary()) for x in (rows, z.compress(b"".join(texts)),
+                                                                                 z.compress(sink.getvalue().to_pybytes())))],
+            names=["chunk", "rows", "data", "kept"])
 
-def _emit_symbols(bounds, buckets, window, rounds):
-    """Documents -> (bucket, chunk, packed symbols), each symbol once for each batch and chunk."""
     def run(batches):
+        part, number = TaskContext.get().partitionId(), 0
+        kept, held, size = [], [], 0
         for batch in batches:
             ids, texts = _ids(batch.column(0)), text_bytes(batch.column(1))
-            chunks = _chunk_of(ids, bounds)
-            for c in np.unique(chunks):
-                rows = np.flatnonzero(chunks == c)
-                mine, parts = [texts[i] for i in rows], []
-                for lo, hi in steps(mine):
-                    a, _, counts = _names(mine[lo:hi])
+            rest = batch.select(batch.schema.names[2:])
+            for lo, hi in steps(texts, chunk_bytes):
+                more = sum(map(len, texts[lo:hi]))
+                if held and size + more > chunk_bytes:
+                    yield pack((part << 32) + number, kept, held)
+                    kept, held, size, number = [], [], 0, number + 1
+                kept.append(rest.slice(lo, hi - lo))
+                held.append((ids[lo:hi], texts[lo:hi]))
+                size += more
+        if held:
+            yield pack((part << 32) + number, kept, held)
+        release()
+    return run
+
+
+def _emit_symbols(buckets, window, rounds):
+    """Chunks -> (bucket, chunk, packed symbols), each symbol once for each chunk."""
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                _, texts = _unpack_text(row)
+                parts = [np.zeros(0, U)]
+                for lo, hi in steps(texts):
+                    a, _, counts = _names(texts[lo:hi])
                     parts.append(np.unique(_keys(a, counts, window, rounds)[0]))
                 keys = np.unique(np.concatenate(parts))
                 bucket = (mix(keys) % U(buckets)).astype(np.int64)
@@ -161,9 +224,10 @@ def _emit_symbols(bounds, buckets, window, rounds):
                 cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 full = np.flatnonzero(np.diff(cut))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(full, pa.int64()), pa.array(np.full(len(full), c), pa.int64()),
+                    [pa.array(full, pa.int64()), pa.array(np.full(len(full), row.column(0)[0].as_py()), pa.int64()),
                      pa.array([_pack48(keys[order[cut[j]:cut[j + 1]]]) for j in full], pa.binary())],
                     names=["bucket", "chunk", "data"])
+        release()
     return run
 
 
@@ -190,30 +254,7 @@ def _shared_symbols(t: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array(out_c, pa.int64()), "data": pa.array(out_d, pa.binary())})
 
 
-def _pack_text(bounds):
-    """``(doc_id, text, kept columns)`` -> (chunk, ids, compressed texts, kept columns), a row for each batch and chunk."""
-    def run(batches):
-        for batch in batches:
-            ids, texts = _ids(batch.column(0)), text_bytes(batch.column(1))
-            kept = batch.select(batch.schema.names[2:])
-            chunks = _chunk_of(ids, bounds)
-            pack = zstandard.ZstdCompressor(level=3)
-            out = []
-            for c in np.unique(chunks):
-                rows = np.flatnonzero(chunks == c)
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, kept.schema) as stream:
-                    stream.write_batch(kept.take(pa.array(rows)))
-                sizes = np.array([len(texts[i]) for i in rows], np.int64)
-                out.append((int(c), np.stack((ids[rows], sizes)).tobytes(), pack.compress(b"".join(texts[i] for i in rows)),
-                            pack.compress(sink.getvalue().to_pybytes())))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), *(pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3))],
-                names=["chunk", "rows", "data", "kept"])
-    return run
-
-
-def _unpack_text(t: pa.Table):
+def _unpack_text(t):
     """The documents of a chunk: ids and texts."""
     ids, texts = [], []
     for head, blob in zip(t.column("rows").to_pylist(), t.column("data").to_pylist()):
@@ -230,8 +271,17 @@ def _unpack_kept(t: pa.Table) -> pa.Table:
     return pa.concat_tables(pa.ipc.open_stream(unpack.decompress(b)).read_all() for b in t.column("kept").to_pylist())
 
 
+def _first_of(order: np.ndarray, *names: np.ndarray) -> np.ndarray:
+    """Which sorted entries differ from the one before."""
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for n in names:
+        new[1:] |= n[order[1:]] != n[order[:-1]]
+    return new
+
+
 def _candidates(buckets, window, rounds):
-    """A chunk's texts and shared symbols -> (bucket, chunk, windows that another chunk may hold)."""
+    """A chunk's texts and shared symbols -> (bucket, chunk, windows that another chunk may hold, their smallest doc_id)."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         empty = pa.table({"bucket": pa.array([], pa.int64()), "chunk": pa.array([], pa.int64()),
                           "data": pa.array([], pa.binary())})
@@ -239,8 +289,8 @@ def _candidates(buckets, window, rounds):
             return empty
         chunk = left.column("chunk")[0].as_py()
         shared = np.sort(np.concatenate([np.zeros(0, U), *map(_unpack48, right.column("data").to_pylist())]))
-        _, texts = _unpack_text(left)
-        found = []
+        ids, texts = _unpack_text(left)
+        found = [(np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int64))]
         for lo, hi in steps(texts):
             a, b, counts = _names(texts[lo:hi])
             if len(a) < window:
@@ -253,10 +303,11 @@ def _candidates(buckets, window, rounds):
             start = window_starts(counts, window)
             start = start[np.cumsum(change)[start] == 0]
             x, y = _window_names(a, b, window)
-            found.append(np.stack((x[start], y[start]), 1))
-        if not found:
-            return empty
-        names = np.unique(np.concatenate(found), axis=0)
+            found.append((x[start], y[start], np.repeat(ids[lo:hi], counts)[start]))
+        x, y, least = (np.concatenate(v) for v in zip(*found))
+        order = np.lexsort((least, y, x))
+        order = order[_first_of(order, x, y)]
+        names = np.stack((x[order], y[order], least[order].view(U)), axis=1)
         release()
         bucket = (names[:, 1] % U(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -269,14 +320,16 @@ def _candidates(buckets, window, rounds):
 
 
 def _earlier_windows(t: pa.Table) -> pa.Table:
-    """All candidates of a bucket -> for each chunk its windows that an earlier chunk holds."""
-    parts = [np.frombuffer(b, U).reshape(-1, 2) for b in t.column("data").to_pylist()]
+    """All candidates of a bucket -> for each chunk its windows that start in a smaller doc_id of another chunk."""
+    parts = [np.frombuffer(b, U).reshape(-1, 3) for b in t.column("data").to_pylist()]
     names = np.concatenate(parts)
+    least = names[:, 2].view(np.int64)
     chunk = np.repeat(np.array(t.column("chunk").to_pylist(), np.int64), [len(p) for p in parts])
-    order = np.lexsort((chunk, names[:, 1], names[:, 0]))
-    names, chunk = names[order], chunk[order]
-    again = np.concatenate(([False], (names[1:] == names[:-1]).all(1)))
-    names, chunk = names[again], chunk[again]
+    order = np.lexsort((least, names[:, 1], names[:, 0]))
+    new = _first_of(order, names[:, 0], names[:, 1])
+    smallest = least[order[np.flatnonzero(new)]][np.cumsum(new) - 1]
+    order = order[smallest < least[order]]
+    names, chunk = names[order, :2], chunk[order]
     order = np.argsort(chunk, kind="stable")
     names, chunk = names[order], chunk[order]
     out_c, out_d = [], []
@@ -318,12 +371,14 @@ def _finish(window, tidy):
             counts.append(n)
         x, y, hit, counts = (np.concatenate(v) for v in (xs, ys, outside, counts))
         start = window_starts(counts, window)
-        doc = np.repeat(np.arange(len(counts)), counts)[start]
-        order = np.lexsort((ids[doc], y, x))
-        x, y, sid = x[order], y[order], ids[doc][order]
-        new = np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])))[:len(x)]
-        smallest = sid[np.flatnonzero(new)][np.cumsum(new) - 1] if len(x) else sid
-        hit[order] |= sid > smallest
+        if len(x):  # windows that occur again in the chunk
+            values = np.sort(x)
+            again = np.flatnonzero(_held(np.unique(values[1:][values[1:] == values[:-1]]), x))
+            sid = ids[np.repeat(np.arange(len(counts)), counts)[start[again]]]
+            order = np.lexsort((sid, y[again], x[again]))
+            new = _first_of(order, x[again], y[again])
+            smallest = sid[order[np.flatnonzero(new)]][np.cumsum(new) - 1]
+            hit[again[order]] |= sid[order] > smallest
         change = np.zeros(int(counts.sum()) + 1, np.int32)
         change[start[hit]] += 1
         np.add.at(change, start[hit] + window, -1)
@@ -359,18 +414,21 @@ def substring_dedup(docs: DataFrame, window: int = 13, rounds: int = ROUNDS, kee
     of fewer than ``window`` words lose none; other columns are ignored.  An empty table
     gives an empty result.
     """
+    keep = tuple(dict.fromkeys(keep))
+    clash = {"n_words", "n_removed", "kept", "removed"} & set(keep)
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} to be kept have names of the result")
     src = docs.select(F.col("doc_id").cast("bigint").alias("__id"), F.col("text").cast("string").alias("__text"),
                       *(F.col(f"`{c}`") for c in keep))
-    size = src.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
-    chunks, buckets = 1 + size // chunk_bytes, 1 + size // bucket_bytes
-    cuts = src.where("__id is not null").approxQuantile("__id", [i / chunks for i in range(1, chunks)], 0.2 / chunks) if chunks > 1 else []
-    bounds = np.unique(np.array(cuts, np.int64))
-    texts = src.mapInArrow(_pack_text(bounds), "chunk bigint, rows binary, data binary, kept binary").groupBy("chunk")
-    shared = (src.select("__id", "__text").mapInArrow(_emit_symbols(bounds, buckets, window, rounds), "bucket bigint, chunk bigint, data binary")
+    texts = written(src.mapInArrow(_pack_text(chunk_bytes), "chunk bigint, rows binary, data binary, kept binary"), "chunks")
+    size = texts.agg(F.count(F.lit(1))).first()[0] * chunk_bytes
+    buckets = 1 + size // bucket_bytes
+    shared = (texts.select("chunk", "rows", "data").mapInArrow(_emit_symbols(buckets, window, rounds), "bucket bigint, chunk bigint, data binary")
               .groupBy("bucket").applyInArrow(_shared_symbols, "chunk bigint, data binary"))
-    earlier = (texts.cogroup(shared.groupBy("chunk"))
+    earlier = (texts.select("chunk", "rows", "data").groupBy("chunk").cogroup(shared.groupBy("chunk"))
                .applyInArrow(_candidates(buckets, window, rounds), "bucket bigint, chunk bigint, data binary")
                .groupBy("bucket").applyInArrow(_earlier_windows, "chunk bigint, data binary"))
     kinds = dict(docs.dtypes)
-    return texts.cogroup(earlier.groupBy("chunk")).applyInArrow(
+    texts = texts.select(*(F.col(c).alias(c) for c in texts.columns))
+    return texts.groupBy("chunk").cogroup(earlier.groupBy("chunk")).applyInArrow(
         _finish(window, tidy), ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), RESULT]))
