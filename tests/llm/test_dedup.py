@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from llm.cases import ODD
 from parley.llm import simhash as SH
@@ -76,6 +77,42 @@ def test_substring_spans_and_untidy_texts(frame):
     assert got[3].kept == "left \n as it is" and got[1].kept == rows[0][1] and got[1].source == "s"
 
 
+@pytest.mark.parametrize("far", [1 << 53, (1 << 63) - 200, -(1 << 63)])
+def test_substring_large_ids(frame, far):
+    rows = [(far + i, t) for i, t in passages(7, 60)]
+    assert rows_of(SD.substring_dedup(frame(rows), chunk_bytes=900, bucket_bytes=2000)) == sorted(brute_substring(rows), key=str)
+
+
+def test_substring_chunks_hold_few_bytes_whatever_the_ids(frame):
+    """Null and equal ids and long texts are spread over chunks of bounded bytes."""
+    long = " ".join(f"v{k % 700}" for k in range(4000))
+    rows = [(None, f"{long} {i}") for i in range(6)] + [(7, f"seven {i} " * 40) for i in range(30)] + [(i, f"{long} x{i}") for i in range(4)]
+    packed = frame(rows).coalesce(1).selectExpr("doc_id", "text").mapInArrow(SD._pack_text(5000), "chunk bigint, rows binary, data binary, kept binary")
+    sizes = [[int(v) for v in np.frombuffer(r["rows"], np.int64).reshape(2, -1)[1]] for r in packed.collect()]
+    assert len(sizes) > 12 and all(len(s) == 1 or sum(s) <= 5000 for s in sizes) and sum(map(len, sizes)) == len(rows)
+    assert rows_of(SD.substring_dedup(frame(rows), chunk_bytes=5000)) == sorted(brute_substring(rows), key=str)
+
+
+def test_substring_kept_columns(frame):
+    rows = [(1, "a b"), (2, "c")]
+    got = SD.substring_dedup(frame(rows), keep=("doc_id", "doc_id", "bucket", "score"))
+    assert got.columns == ["doc_id", "bucket", "score", "n_words", "n_removed", "kept", "removed"] and got.count() == 2
+    with pytest.raises(ValueError, match="kept"):
+        SD.substring_dedup(frame(rows).withColumn("kept", F.lit(1)), keep=("doc_id", "kept"))
+
+
+def test_word_names():
+    """One name a word wherever it stands; words apart by one byte, by length or by order have names of their own."""
+    words = [b"ab", b"ba", b"a", b"aa", b"a" * 64, b"a" * 65, b"a" * 128 + b"b", b"a" * 129, b"b" + b"a" * 128, b"x" * 4096, b"x" * 4097, b"x" * 5000,
+             "é".encode(), b"\x85", b"\x00", b"\x00\x00"]
+    texts = [b" ".join(words), b"", b" \n\t", *(b"  " + w + b"\x0b" for w in words)]
+    a, b, counts = SD._names(texts)
+    assert counts.tolist() == [len(t.split()) for t in texts]
+    n = len(words)
+    assert (a[:n] == a[n:]).all() and (b[:n] == b[n:]).all() and len(set(a.tolist())) == n == len(set(b.tolist()))
+    assert [len(x) for x in SD._names([])] == [0, 0, 0]
+
+
 def test_equal_contexts_give_equal_symbols():
     rnd = np.random.default_rng(0)
     core = rnd.integers(0, 9, 60).astype(np.uint64)
