@@ -13,6 +13,8 @@ _EDGE_WS = r"(?U)^\s+|\s+$"
 _NON_WS_RUN = r"(?U)\S+"
 # A token is a run of letters, digits and apostrophes.
 TOKEN_PATTERN = r"[\p{L}\p{N}']+"
+# What stands between the tokens of an entry of several.
+ENTRY_GAP = r"[^\p{L}\p{N}']+"
 
 
 def col(c) -> Column:
@@ -39,9 +41,44 @@ def word_count(c) -> Column:
     return F.coalesce(F.regexp_count(col(c), F.lit(_NON_WS_RUN)), F.lit(0)).cast("int")
 
 
-def tokens(c) -> Column:
-    """Word tokens of a text as they stand, in order."""
-    return F.regexp_extract_all(col(c), F.lit(TOKEN_PATTERN), 0)
+def tokens(c, pattern: str | None = None) -> Column:
+    """Word tokens of a text as they stand, in order; ``pattern`` of ``entry_pattern`` keeps its entries together."""
+    return F.regexp_extract_all(col(c), F.lit(pattern or TOKEN_PATTERN), 0)
+
+
+def normal_token(t: str) -> str:
+    """An entry in lower case with one space between its tokens."""
+    t = t.lower()
+    return " ".join("".join(c if c.isalnum() or c == "'" else " " for c in t).split()) or t
+
+
+def entry_pattern(entries) -> str:
+    """A token pattern that returns the longest of ``entries`` (of several tokens each) where one starts.
+
+    The entries are a trie of tokens, written as nested alternatives: after a token the
+    longer entries are tried before an entry that ends there, and any other token last.
+    A match starts where the one before ended, so it always starts at a whole token.
+    """
+    trie: dict = {}
+    for e in entries:
+        node = trie
+        for t in e.lower().split(" "):
+            node = node.setdefault(t, {})
+        node[None] = {}
+
+    def written(node: dict) -> str:
+        longer = [re_escape(t) + "(?![\\p{L}\\p{N}'])" + written(child) for t, child in sorted((t, c) for t, c in node.items() if t is not None)]
+        if not longer:
+            return ""
+        return f"(?:{ENTRY_GAP}(?:{'|'.join(longer)}))" + ("?" if None in node else "")
+
+    heads = "|".join(re_escape(t) + "(?![\\p{L}\\p{N}'])" + written(child) for t, child in sorted(trie.items()))
+    return f"(?iu)(?:{heads})|{TOKEN_PATTERN}"
+
+
+def re_escape(t: str) -> str:
+    """A token as a literal of a Java pattern (tokens are letters, digits and apostrophes)."""
+    return "".join(c if c.isalnum() or c == "'" else "\\" + c for c in t)
 
 
 def contains_any(c, phrases) -> Column:

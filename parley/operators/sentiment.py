@@ -1,36 +1,54 @@
 """Lexicon sentiment as a Spark job, per-call statistics and arcs.
 
-Scoring (N1) is relational: texts are tokenised in-row, exploded, and
-inner-joined to the rule table (lexicon valences, negators, boosters,
-dampeners, contrast words).  The rule table is a dictionary whose size does
-not grow with the data; a rule table built from local rows has a known row
-count and is broadcast when within the bound; any other is left to AQE's
-run-time size check.  Only tokens that hit the table survive the join, so the
-windows that look at the three tokens before a lexicon token (RANGE frames
-on the original token index) see a small fraction of the tokens.  The windows
-and the per-text sum share one exchange keyed by text, never by call alone; a
-window holds the hits of one text (one turn, line or transcript) at most.
+Scoring (N1) keeps a text's tokens in its row.  They are exploded inside one code
+stage that keeps lexicon tokens only (a set of literals, for a lexicon given as a
+list), joins those to the broadcast rules and looks at the three tokens before each
+in the same array: no window, and one exchange for the sum by text.  Entries of
+several tokens are a trie written as a regular expression, so that the tokeniser
+itself returns the longest entry at each place.  A lexicon table of unknown size
+can't be a set of literals; its tokens are joined and the tokens before come from
+RANGE frames over the hits of one text.
 """
 
 from __future__ import annotations
 
+import re
+import weakref
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.broadcast import carry_bound, local_table, sized_broadcast
-from ..functions.text import tokens
+from ..functions.broadcast import local_table, sized_broadcast
+from ..functions.text import ENTRY_GAP, contains_any, entry_pattern, normal_token, tokens
 from .parse import pipe_turns, with_turn_counts
 
 RULE_SCHEMA = "token string, valence double, is_lex int, is_neg int, boost double, is_but int"
 MAX_BROADCAST_RULES = 200_000
+#: Lexicon tokens that a plan holds as a set of literals.
+MAX_LITERALS = 50_000
+
+
+@dataclass(frozen=True)
+class KnownRules:
+    """What a rule table made from lists holds."""
+    lexicon: tuple[str, ...]
+    contrast: tuple[str, ...]
+    pattern: str | None        # of the tokens, with entries of several tokens
+
+
+_KNOWN: "weakref.WeakKeyDictionary[DataFrame, KnownRules]" = weakref.WeakKeyDictionary()
 
 
 def sentiment_rules(spark: SparkSession, lexicon, negators=(), boosters=(), dampeners=(), contrast=("but",)) -> DataFrame:
     """Rule table ``(token, valence, is_lex, is_neg, boost, is_but)``.
 
     ``lexicon`` is a DataFrame ``(token, valence)`` or a list of pairs; boosters
-    raise the valence of a following lexicon token, dampeners lower it.
+    raise the valence of a following lexicon token, dampeners lower it.  Entries of a
+    list may be several tokens ("kiss of death"): where one stands in a text, whatever
+    separates its tokens, it is one token, the longest entry first, and its parts
+    count no more.  A token that is listed twice adds its valences up.
     """
     extra = [(t.lower(), 0.0, 0, 1, 0.0, 0) for t in negators]
     extra += [(t.lower(), 0.0, 0, 0, K.BOOSTER_INCREMENT, 0) for t in boosters]
@@ -42,11 +60,19 @@ def sentiment_rules(spark: SparkSession, lexicon, negators=(), boosters=(), damp
                              F.lit(0).alias("is_neg"), F.lit(0.0).alias("boost"), F.lit(0).alias("is_but"))
         if extra:
             lex = lex.unionByName(spark.createDataFrame(extra, RULE_SCHEMA))
-    else:
-        lex = local_table(spark, [(t.lower(), float(v), 1, 0, 0.0, 0) for t, v in lexicon] + extra, RULE_SCHEMA)
-    return carry_bound(lex, lex.groupBy("token").agg(
-        F.sum("valence").alias("valence"), F.max("is_lex").alias("is_lex"), F.max("is_neg").alias("is_neg"),
-        F.sum("boost").alias("boost"), F.max("is_but").alias("is_but")))
+        return lex.groupBy("token").agg(
+            F.sum("valence").alias("valence"), F.max("is_lex").alias("is_lex"), F.max("is_neg").alias("is_neg"),
+            F.sum("boost").alias("boost"), F.max("is_but").alias("is_but"))
+    merged: dict[str, tuple] = {}
+    for t, v, is_lex, is_neg, boost, is_but in [(t.lower(), float(v), 1, 0, 0.0, 0) for t, v in lexicon] + extra:
+        t = normal_token(t)
+        old = merged.get(t, (0.0, 0, 0, 0.0, 0))
+        merged[t] = (old[0] + v, max(old[1], is_lex), max(old[2], is_neg), old[3] + boost, max(old[4], is_but))
+    rules = local_table(spark, [(t, *r) for t, r in merged.items()], RULE_SCHEMA)
+    several = [t for t in merged if " " in t]
+    _KNOWN[rules] = KnownRules(tuple(t for t, r in merged.items() if r[1]), tuple(t for t, r in merged.items() if r[4]),
+                               entry_pattern(several) if several else None)
+    return rules
 
 
 def _loud(token):
@@ -62,6 +88,63 @@ def _emphasis(text):
             + F.when(asked > 3, F.lit(K.QUESTION_MANY)).when(asked > 1, asked * F.lit(K.QUESTION_INCREMENT)).otherwise(F.lit(0.0)))
 
 
+def _token(raw, known: KnownRules):
+    """A raw token as the rules have it."""
+    if known.pattern is None:
+        return F.lower(raw)
+    return F.when(raw.rlike(ENTRY_GAP), F.regexp_replace(F.lower(raw), ENTRY_GAP, " ")).otherwise(F.lower(raw))
+
+
+def _literals(tokens_) -> str:
+    quote = lambda t: "'" + re.sub(r"(['\\\\])", r"\\\1", t) + "'"
+    return ", ".join(map(quote, tokens_))
+
+
+def _listed_hits(df: DataFrame, keys, text, rules: DataFrame, known: KnownRules) -> DataFrame:
+    """Lexicon tokens of each text with their rule and the modifiers before them; rules of known bound."""
+    lower = F.lower(text)
+    places = F.transform("_t", lambda x, i: F.when(_token(x, known).isin(*known.contrast), i))
+    staged = df.select(*keys, tokens(text, known.pattern).alias("_t"), _emphasis(text).alias("_e"),
+                       contains_any(lower, [c.split(" ")[0] for c in known.contrast]).alias("_turns"))
+    staged = staged.select(*keys, "_t", "_e", F.when(F.col("_turns"), F.array_min(places)).alias("_but"))
+    raw = F.col("_raw")
+    hits = staged.select(*keys, "_t", "_e", "_but", F.posexplode("_t").alias("tpos", "_raw")).withColumn("token", _token(raw, known))
+    hits = hits.where(f"token IN ({_literals(known.lexicon)})").join(
+        F.broadcast(rules.where("is_lex = 1").select("token", "valence")), "token")
+    modifiers = rules.where("is_lex = 0 AND (boost <> 0 OR is_neg = 1)")
+    louds = _loud(raw)
+    for k in range(1, len(K.MODIFIER_FADE) + 1):
+        before = F.get("_t", F.col("tpos") - k)
+        hits = hits.withColumn(f"_k{k}", _token(before, known)).withColumn(f"_l{k}", F.coalesce(_loud(before), F.lit(False)))
+        hits = hits.join(F.broadcast(modifiers.select(F.col("token").alias(f"_k{k}"), F.struct(
+            F.lit(0).alias("is_lex"), "is_neg", "boost").alias(f"_m{k}"))), f"_k{k}", "left")
+        louds = louds | (F.col(f"_l{k}") & F.col(f"_m{k}").isNotNull())
+    # Capitals count in texts that aren't all capitals; looked at only where a token that matters is in capitals.
+    count = F.size(F.filter("_t", _loud))
+    hits = hits.withColumn("_mixed", F.when(louds, count < F.size("_t")).otherwise(F.lit(False)))
+    return hits.select(*keys, "_e", "tpos", "_but", "valence", (F.col("_mixed") & _loud(raw)).alias("_loud"),
+                       *[F.when(F.col(f"_m{k}").isNotNull(), F.struct(
+                           F.col(f"_m{k}.is_lex").alias("is_lex"), F.col(f"_m{k}.is_neg").alias("is_neg"), F.col(f"_m{k}.boost").alias("boost"),
+                           (F.col("_mixed") & F.col(f"_l{k}")).alias("_loud"))).alias(f"_b{k}") for k in range(1, len(K.MODIFIER_FADE) + 1)])
+
+
+def _joined_hits(df: DataFrame, keys, text, rules: DataFrame, known: KnownRules | None) -> DataFrame:
+    """The same for a rule table of unknown or large size: tokens are joined, the tokens before come from windows of one text."""
+    known = known or KnownRules((), (), None)
+    staged = df.select(*keys, tokens(text, known.pattern).alias("_t"), _emphasis(text).alias("_e"))
+    loud = F.size(F.filter("_t", _loud))
+    staged = staged.select(*keys, "_t", "_e", ((loud > 0) & (loud < F.size("_t"))).alias("_mixed"))
+    toks = staged.select(*keys, "_e", "_mixed", F.posexplode("_t").alias("tpos", "_raw")).select(
+        *keys, "_e", "tpos", _token(F.col("_raw"), known).alias("token"), (F.col("_mixed") & _loud(F.col("_raw"))).alias("_loud"))
+    hits = toks.join(sized_broadcast(rules, MAX_BROADCAST_RULES), "token")
+    text_rows = Window.partitionBy(*keys)
+    w = text_rows.orderBy("tpos")
+    here = F.struct("is_lex", "is_neg", "boost", "_loud")
+    return hits.select(*keys, "_e", "tpos", "is_lex", "valence", "_loud",
+                       F.min(F.when(F.col("is_but") == 1, F.col("tpos"))).over(text_rows).alias("_but"),
+                       *[F.max(here).over(w.rangeBetween(-k, -k)).alias(f"_b{k}") for k in (1, 2, 3)]).where("is_lex = 1")
+
+
 def score_texts(df: DataFrame, keys, text_col: str, rules: DataFrame,
                 alpha: float = K.NORMALISATION_ALPHA, keep_all: bool = True) -> DataFrame:
     """Compound score in [-1, 1] per text row (rules of Hutto & Gilbert 2014).
@@ -73,25 +156,15 @@ def score_texts(df: DataFrame, keys, text_col: str, rules: DataFrame,
     the first contrast word valences count half, after it one and a half times.
     Exclamation marks (four at most) and repeated question marks push the sum ``s``
     away from zero; it is normalised to ``s / sqrt(s^2 + alpha)``.  Empty text -> 0.
-    Idioms and words of several tokens are not rules of this table.
+    An entry of several tokens is one token throughout.
     Returns ``keys + compound`` for every input row (``keep_all``).
     """
     keys = list(keys)
-    text = F.col(text_col)
-    staged = df.select(*keys, tokens(text).alias("_t"), _emphasis(text).alias("_e"))
-    loud = F.size(F.filter("_t", _loud))
-    staged = staged.select(*keys, "_t", "_e", ((loud > 0) & (loud < F.size("_t"))).alias("_mixed"))
-    toks = staged.select(*keys, "_e", "_mixed", F.posexplode("_t").alias("tpos", "_raw")).select(
-        *keys, "_e", "tpos", F.lower("_raw").alias("token"), (F.col("_mixed") & _loud(F.col("_raw"))).alias("_loud"))
-    hits = toks.join(sized_broadcast(rules, MAX_BROADCAST_RULES), "token")
-    text_rows = Window.partitionBy(*keys)
-    w = text_rows.orderBy("tpos")
-    here = F.struct("is_lex", "is_neg", "boost", "_loud")
-    hits = hits.select(*keys, "_e", "tpos", "is_lex", "valence", "_loud",
-                       F.min(F.when(F.col("is_but") == 1, F.col("tpos"))).over(text_rows).alias("_but"),
-                       *[F.max(here).over(w.rangeBetween(-k, -k)).alias(f"_b{k}") for k in (1, 2, 3)])
+    known = _KNOWN.get(rules)
+    listed = known is not None and 0 < len(known.lexicon) <= MAX_LITERALS
+    hits = _listed_hits(df, keys, F.col(text_col), rules, known) if listed else _joined_hits(df, keys, F.col(text_col), rules, known)
     v = F.col("_v")
-    hits = hits.where("is_lex = 1").withColumn("_v", F.col("valence") + F.when(
+    hits = hits.withColumn("_v", F.col("valence") + F.when(
         F.col("_loud"), F.signum("valence") * F.lit(K.CAPITALS_INCREMENT)).otherwise(F.lit(0.0)))
     for k, fade in enumerate(K.MODIFIER_FADE, 1):
         b = F.col(f"_b{k}")

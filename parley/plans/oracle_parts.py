@@ -8,8 +8,8 @@ from ..sources.fixtures import FX_BOOSTERS, FX_CONTRAST, FX_DAMPENERS, FX_LEXICO
 TOKEN_RE = "[\\p{L}\\p{N}'']+"
 
 
-def lexicon_cte(name: str = "lex") -> str:
-    rows = [f"('{t}', CAST({v} AS DOUBLE), 1, 0, CAST(0 AS DOUBLE), 0)" for t, v in FX_LEXICON]
+def lexicon_cte(name: str = "lex", entries=()) -> str:
+    rows = [f"('{t}', CAST({v} AS DOUBLE), 1, 0, CAST(0 AS DOUBLE), 0)" for t, v in [*FX_LEXICON, *entries]]
     rows += [f"('{t}', CAST(0 AS DOUBLE), 0, 1, CAST(0 AS DOUBLE), 0)" for t in FX_NEGATORS]
     rows += [f"('{t}', CAST(0 AS DOUBLE), 0, 0, CAST(0.293 AS DOUBLE), 0)" for t in FX_BOOSTERS]
     rows += [f"('{t}', CAST(0 AS DOUBLE), 0, 0, CAST(-0.293 AS DOUBLE), 0)" for t in FX_DAMPENERS]
@@ -17,7 +17,17 @@ def lexicon_cte(name: str = "lex") -> str:
     return f"{name}(token, valence, is_lex, is_neg, boost, is_but) AS (VALUES {', '.join(rows)})"
 
 
-def scored_cte(src: str, keys: list[str], text: str, out: str) -> str:
+def merged_tokens(text: str, entries) -> str:
+    """Tokens of ``text`` in DuckDB, entries of several joined by a line feed (longest first; entries that don't overlap)."""
+    sql = f"' ' || array_to_string(regexp_extract_all({text}, '{TOKEN_RE}'), '  ') || ' '"
+    for words in sorted((e.split(" ") for e, _ in entries), key=len, reverse=True):
+        find = "  ".join(f"({w})" for w in words)
+        put = "' || chr(10) || '".join(f"\\{i}" for i in range(1, len(words) + 1))
+        sql = f"regexp_replace({sql}, '(?i) {find} ', ' {put} ', 'g')"
+    return f"list_filter(string_split(trim({sql}, ' '), '  '), lambda x: x <> '')"
+
+
+def scored_cte(src: str, keys: list[str], text: str, out: str, entries=()) -> str:
     """CTEs ending in ``out(keys..., compound)`` for every row of ``src``.
 
     The published rules as numbers of their own, a chain of three correlated
@@ -36,8 +46,9 @@ def scored_cte(src: str, keys: list[str], text: str, out: str) -> str:
     * CASE WHEN m.is_lex = 0 AND m.is_neg = 1 THEN CAST(-0.74 AS DOUBLE) ELSE 1.0 END AS v
     FROM {last} p LEFT JOIN {out}_hit m ON {same('p', 'm')} AND m.tpos = p.tpos - {n})"""
         last = now
-    return f""", {lexicon_cte(out + '_lex')}
-, {out}_raw AS (SELECT {k}, regexp_extract_all({text}, '{TOKEN_RE}') AS tk,
+    found = merged_tokens(text, entries) if entries else f"regexp_extract_all({text}, '{TOKEN_RE}')"
+    return f""", {lexicon_cte(out + '_lex', entries)}
+, {out}_raw AS (SELECT {k}, {found} AS tk,
     0.292 * least(4, length({text}) - length(replace({text}, '!', '')))
     + CASE WHEN length({text}) - length(replace({text}, '?', '')) > 3 THEN 0.96
            WHEN length({text}) - length(replace({text}, '?', '')) > 1
@@ -45,7 +56,7 @@ def scored_cte(src: str, keys: list[str], text: str, out: str) -> str:
 , {out}_mix AS (SELECT *, len(list_filter(tk, lambda x: x = upper(x) AND x <> lower(x))) BETWEEN 1 AND len(tk) - 1 AS mixed FROM {out}_raw)
 , {out}_tok AS (SELECT {k}, CAST(e AS DOUBLE) AS e, mixed, unnest(tk) AS raw, unnest(generate_series(0, len(tk) - 1)) AS tpos FROM {out}_mix)
 , {out}_hit AS (SELECT t.*, l.*, mixed AND raw = upper(raw) AND raw <> lower(raw) AS loud
-    FROM {out}_tok t JOIN {out}_lex l ON lower(t.raw) = l.token)
+    FROM {out}_tok t JOIN {out}_lex l ON replace(lower(t.raw), chr(10), ' ') = l.token)
 , {out}_but AS (SELECT {k}, min(tpos) AS b FROM {out}_hit WHERE is_but = 1 GROUP BY {k})
 , {out}_v0 AS (SELECT {k}, tpos, e, valence + CASE WHEN loud THEN sign(valence) * 0.733 ELSE 0.0 END AS v FROM {out}_hit WHERE is_lex = 1){steps}
 , {out}_sum AS (SELECT {', '.join(f'p.{c}' for c in keys)}, max(p.e) AS e,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import sentiment as N
-from ..sources.fixtures import FX_BOOSTERS, FX_CONTRAST, FX_DAMPENERS, FX_LEXICON, FX_NEGATORS, FX_PHRASES, fx, oracle_with
+from ..sources.fixtures import FX_BOOSTERS, FX_CONTRAST, FX_DAMPENERS, FX_ENTRIES, FX_LEXICON, FX_NEGATORS, FX_PHRASES, fx, oracle_with
 from .oracle_parts import contains_any, pipe_transcripts_cte, pipe_turns_cte, scored_cte
 from .q_turns import _pipe_transcripts
 from .registry import query
@@ -20,6 +20,17 @@ def scored_fx_turns(spark, sf):
 
 
 TURN_SCORED = oracle_with("fx_turns") + scored_cte("fx_turns", ["call_id", "pos"], "text", "sc")
+ENTRY_SCORED = oracle_with("fx_doc_turns") + scored_cte("fx_doc_turns", ["call_id", "pos"], "text", "esc", FX_ENTRIES)
+
+
+@query("entry_sentiment", columns=["call_id", "pos", "compound"], doubles=["compound"],
+       oracle=ENTRY_SCORED + "SELECT call_id, pos, compound FROM esc")
+def q_entry_sentiment(spark, sf):
+    """N1 with entries of several tokens, over all document lines."""
+    rules = N.sentiment_rules(spark, FX_LEXICON + FX_ENTRIES, FX_NEGATORS, FX_BOOSTERS, FX_DAMPENERS, FX_CONTRAST)
+    return N.score_texts(fx(spark, sf, "fx_doc_turns"), ["call_id", "pos"], "text", rules)
+
+
 TURN_SCORED_N = TURN_SCORED + """
 , st AS (SELECT sc.*, count(*) OVER (PARTITION BY call_id) AS n, greatest(1, count(*) OVER (PARTITION BY call_id) // 5) AS k
          FROM sc)

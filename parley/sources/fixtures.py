@@ -82,6 +82,7 @@ _DEPS = {
 FX_LEXICON = [("of", 1.2), ("and", 0.8), ("in", -0.9), ("is", 1.5), ("that", -1.1),
               ("it", 0.6), ("for", -1.4), ("was", -1.8), ("on", 0.5), ("as", -0.7),
               ("be", 1.9), ("with", 1.1)]
+FX_ENTRIES = [("of the", 2.6), ("in the", -1.7), ("and that is", 2.1), ("is a", -2.3)]  # of several tokens
 FX_NEGATORS = ["to"]
 FX_BOOSTERS = ["a"]
 FX_DAMPENERS = ["by"]
