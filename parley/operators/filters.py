@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_any
-from ..functions.broadcast import local_table, sized_broadcast
+from ..functions.broadcast import local_table
 
-#: Phrases that are broadcast (a few dozen bytes each), and characters of the key beyond that.
-MAX_BROADCAST_PHRASES, GRAM = 100_000, 4
+#: Phrases of a list that are looked for in the row, and characters of an index run.
+LITERAL_PHRASES, GRAM = 64, 4
+#: The rows of tables that ``phrase_table`` made.
+_LISTED: "weakref.WeakKeyDictionary[DataFrame, list]" = weakref.WeakKeyDictionary()
 
 
 def drop_missing(df: DataFrame, cols) -> DataFrame:
@@ -51,38 +55,66 @@ def calls_with_phrase(calls: DataFrame, turns: DataFrame, phrases, speaker: str
 
 def phrase_table(spark: SparkSession, phrases: dict) -> DataFrame:
     """``(kind, phrase)`` rows from a mapping kind -> list of phrases."""
-    rows = [(k, p.lower()) for k, ps in phrases.items() for p in ps]
-    return local_table(spark, rows, "kind string, phrase string")
+    rows = list(dict.fromkeys((k, p.lower()) for k, ps in phrases.items() for p in ps))
+    table = local_table(spark, rows, "kind string, phrase string")
+    _LISTED[table] = rows
+    return table
 
 
 def phrase_hits(turns: DataFrame, table: DataFrame) -> DataFrame:
     """J7 theta join: every (turn, phrase) with ``contains(lower(text), phrase)``.
 
-    A phrase table of ``MAX_BROADCAST_PHRASES`` rows at most (known, or counted first) is
-    broadcast.  A larger one meets the turns by a key: the first ``GRAM`` characters of
-    a phrase against the distinct runs of that length in a text; matches are then
-    verified.  Phrases shorter than that are few and broadcast beside it.
+    A table that ``phrase_table`` made of ``LITERAL_PHRASES`` rows at most is looked for
+    in the row.  Any other goes by an index of character runs (``indexed_phrase_hits``).
+    Repeated rows of the table count once; null texts and phrases hit nothing.
     """
     t = turns.select("call_id", "pos", F.lower(F.col("text")).alias("_lt"))
-    hit = F.col("_lt").contains(F.col("phrase"))
-    small = sized_broadcast(table, MAX_BROADCAST_PHRASES)
-    if small is table and table.limit(MAX_BROADCAST_PHRASES + 1).count() <= MAX_BROADCAST_PHRASES:
-        small = F.broadcast(table)
-    if small is not table:
-        return t.join(small, hit).select("call_id", "pos", "kind", "phrase")
-    return _keyed_phrase_hits(t, table, hit)
-
-
-def _keyed_phrase_hits(t: DataFrame, table: DataFrame, hit) -> DataFrame:
-    short = table.where(F.length("phrase") < GRAM)
-    if short.limit(MAX_BROADCAST_PHRASES + 1).count() > MAX_BROADCAST_PHRASES:
-        raise ValueError(f"more than {MAX_BROADCAST_PHRASES} phrases of fewer than {GRAM} characters")
-    long = table.where(F.length("phrase") >= GRAM).withColumn("_g", F.substring("phrase", 1, GRAM))
-    last = F.length("_lt") - (GRAM - 1)
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(F.col("_lt"), i, F.lit(GRAM))))
-    keyed = t.where(last >= 1).withColumn("_g", F.explode(grams))
-    found = keyed.join(long, "_g").where(hit).select("call_id", "pos", "kind", "phrase")
-    return found.unionByName(t.join(F.broadcast(short), hit).select("call_id", "pos", "kind", "phrase"))
+    rows = _LISTED.get(table)
+    if rows is None or len(rows) > LITERAL_PHRASES:
+        return indexed_phrase_hits(t, table)
+    found = [F.when(F.col("_lt").contains(p), F.struct(F.lit(k).alias("kind"), F.lit(p).alias("phrase"))) for k, p in rows]
+    return t.select("call_id", "pos", F.explode(F.array_compact(F.array(*found))).alias("hit")).select("call_id", "pos", "hit.*")
+
+
+def _runs(text, n: int):
+    """The distinct runs of ``n`` characters of a text, hashed (one pass over it; ``n`` 0: the empty run)."""
+    if n == 0:
+        return F.array(F.xxhash64(F.lit("")))
+    return F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))), lambda x: F.xxhash64(x))
+
+
+def phrase_keys(runs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``(kind, phrase, run)``: each phrase's rarest run of ``GRAM`` characters in the corpus, or all of a shorter phrase.
+
+    ``runs`` has a row for each text and distinct run.  A phrase of which a run occurs
+    nowhere has no key and no hit.
+    """
+    size = F.length("phrase")
+    own = phrases.withColumn("run", F.explode(F.when(size < GRAM, F.array(F.xxhash64("phrase"))).otherwise(_runs(F.col("phrase"), GRAM))))
+    counts = runs.join(own.select("run").distinct(), "run", "left_semi").groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    rarest = own.join(counts, "run", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return (rarest.groupBy("kind", "phrase").agg(F.min(F.struct("n", "run")).alias("least"))
+            .where("least.n > 0").select("kind", "phrase", "least.run"))
+
+
+def indexed_phrase_hits(t: DataFrame, table: DataFrame) -> DataFrame:
+    """``phrase_hits`` for a table of any size; ``t`` has ``call_id, pos, _lt``.
+
+    Every phrase is keyed by the run of ``GRAM`` characters that fewest texts hold, so a
+    head that many phrases share ("the ") is no key.  Texts meet phrases on equal runs,
+    and what meets is verified in the text.  Phrases shorter than ``GRAM`` are runs of
+    their own length.  Plans with one small job: the phrase lengths up to ``GRAM``.
+    """
+    phrases = table.where("phrase is not null").select("kind", "phrase").distinct()
+    lengths = phrases.agg(F.array_sort(F.collect_set(F.least(F.length("phrase"), F.lit(GRAM))))).first()[0]
+    if not lengths:
+        return t.join(phrases, F.lit(False)).select("call_id", "pos", "kind", "phrase")
+    t = t.where("_lt is not null")
+    runs = t.select("call_id", "pos", F.explode(F.array_distinct(F.concat(*(_runs(F.col("_lt"), n) for n in lengths)))).alias("run"))
+    keys = phrase_keys(runs, phrases)
+    met = runs.join(keys, "run").select(F.col("call_id").alias("_c"), F.col("pos").alias("_p"), "kind", "phrase").distinct()
+    same = t["call_id"].eqNullSafe(F.col("_c")) & t["pos"].eqNullSafe(F.col("_p"))
+    return t.join(met, same).where(F.col("_lt").contains(F.col("phrase"))).select("call_id", "pos", "kind", "phrase")
 
 
 def random_row(df: DataFrame, seed: int = 42) -> DataFrame:

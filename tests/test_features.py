@@ -98,11 +98,56 @@ def test_carried_prev_speaker_equals_join(spark):
     assert a == b and a[0] == 2.0
 
 
-def test_phrase_hits_by_key_equal_the_broadcast_join(spark, monkeypatch):
+ODD_TURNS = [(0, 0, "Tell you WHAT"), (0, 1, "xyz"), (1, 0, ""), (1, 1, None), (2, 0, "ab abc abcd abcde"), (2, 1, "a😀b 漢字漢字 \n é"), (None, 5, "tell you"),
+             (0, 0, "tell you what"), (3, 0, "the the the"), (3, 1, "aaaaaaa")]
+ODD_PHRASES = ["ell you", "what", "abcd", "ab", "z", "zzzz", "abc abcd", "", "😀b", "漢字漢", "字漢字 ", "b 漢字漢字 \n é", "the t", "aaaa", "aaaaaaaa", "a", "é", "\n", "d a", "%a", ".b"]
+
+
+def brute_hits(turns, phrases, kind="k"):
+    return sorted({((c, p), kind, ph) for c, p, t in turns if t is not None for ph in phrases if ph in t.lower()}, key=str)
+
+
+def hits(df):
+    return sorted({((r.call_id, r.pos), r.kind, r.phrase) for r in df.collect()}, key=str)
+
+
+def test_phrase_hits_in_the_row_and_by_index(spark, monkeypatch):
+    from parley.operators import filters as FL
+    turns = spark.createDataFrame(ODD_TURNS, "call_id bigint, pos int, text string")
+    want = brute_hits(ODD_TURNS, ODD_PHRASES)
+    table = FL.phrase_table(spark, {"k": ODD_PHRASES + ODD_PHRASES[:3]})
+    assert hits(FL.phrase_hits(turns, table)) == want
+    rows = spark.createDataFrame([("k", p) for p in ODD_PHRASES] + [("k", "ab"), ("k", None), (None, "zz")], "kind string, phrase string")
+    got = FL.phrase_hits(turns, rows)
+    assert hits(got) == want and got.where("phrase = 'ab'").count() == 1
+    assert got.where("phrase = 'what'").count() == 2          # two rows of one key: one hit each
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert FL.phrase_hits(turns, rows.where("false")).count() == 0 and FL.phrase_hits(turns.where("false"), rows).count() == 0
+
+
+def test_200_000_phrases_with_one_head(spark):
+    """Far more phrases than were broadcast, all starting "the ": each is keyed by another run."""
+    import random
+
     from parley.operators import filters as FL
-    turns = spark.createDataFrame([(0, 0, "Tell you WHAT"), (0, 1, "xyz"), (1, 0, ""), (1, 1, None), (2, 0, "ab abc abcd abcde")],
-                                  "call_id bigint, pos int, text string")
-    table = spark.createDataFrame([("k", p) for p in ("ell you", "what", "abcd", "ab", "z", "zzzz", "abc abcd")], "kind string, phrase string")
-    want = sorted(map(tuple, FL.phrase_hits(turns, table).collect()))
-    monkeypatch.setattr(FL, "MAX_BROADCAST_PHRASES", 3)
-    assert sorted(map(tuple, FL.phrase_hits(turns, table).collect())) == want and len(want) == 6
+    rnd = random.Random(2)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 7)))
+    phrases = {f"the {word()} {word()}" for _ in range(200_000)} | {"the", "e", "th"}
+    some = sorted(phrases)
+    texts = [" ".join(rnd.choice([rnd.choice(some), word(), "the", "The " + word()]) for _ in range(60)) for _ in range(120)]
+    want = set()
+    for i, t in enumerate(texts):
+        low = t.lower()
+        want |= {(i, p) for p in ("the", "e", "th") if p in low}
+        at = low.find("the ")
+        while at >= 0:
+            want |= {(i, low[at:at + n]) for n in range(5, 22) if low[at:at + n] in phrases}
+            at = low.find("the ", at + 1)
+    turns = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "call_id bigint, pos int, text string")
+    table = spark.createDataFrame([("k", p) for p in phrases], "kind string, phrase string")
+    runs = turns.select("call_id", "pos", F.explode(FL._runs(F.lower("text"), FL.GRAM)).alias("run"))
+    keys = FL.phrase_keys(runs, table.where("length(phrase) >= 4"))
+    common = spark.sql("SELECT xxhash64('the ') AS run")
+    assert keys.join(common, "run").count() == 0 and keys.count() < len(phrases)
+    assert {(r.call_id, r.phrase) for r in FL.phrase_hits(turns, table).collect()} == want and len(want) > 2000
