@@ -19,8 +19,9 @@ smaller ``doc_id`` elsewhere.  Repeats inside one chunk are settled there.
 A chunk is a run of rows as they are read, of bounded bytes (a longer text is a
 chunk of its own), so neither long texts, nor equal or null ids gather in one
 task.  Chunks are written once to the shared folder.  Shuffled data are packed
-arrays: 6 bytes for each symbol, 24 for each candidate window (one per chunk,
-however often it occurs there), and the compressed text of each chunk.  A passage
+arrays (sorted, as steps, in planes of bytes): 6 bytes for each symbol, 24 for each
+candidate window (one per chunk, however often it occurs there) before compression,
+and the compressed text of each chunk.  A passage
 that a third of the corpus shares costs one entry per chunk, never a pair.
 """
 
@@ -149,14 +150,44 @@ def _keys(a: np.ndarray, counts: np.ndarray, window: int, rounds: int):
     return name >> U(16), lo, hi
 
 
+def _planes(x: np.ndarray, width: int = 8) -> bytes:
+    """The lowest ``width`` bytes of numbers, all first bytes, then all second bytes: the shuffle's compression drops planes of zeros."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _from_planes(b: bytes, width: int = 8) -> np.ndarray:
+    out = np.zeros((len(b) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(b, np.uint8).reshape(width, -1).T
+    return out.view("<u8").ravel()
+
+
 def _pack48(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+    """Sorted 48-bit numbers as the steps between them."""
+    return _planes(np.diff(x, prepend=U(0)), 6)
 
 
 def _unpack48(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
+    return np.cumsum(_from_planes(b, 6), dtype=U)
+
+
+def _pack_names(x: np.ndarray, y: np.ndarray, least: np.ndarray | None = None) -> bytes:
+    """Window names sorted by their first half (whole, with the smallest doc_id; or 96 bits of each without one)."""
+    steps_ = _planes(np.diff(x, prepend=U(0)))
+    return steps_ + _planes(y) + _planes(least.view(U)) if least is not None else steps_ + _planes(y, 4)
+
+
+def _unpack_names(b: bytes, ids: bool):
+    n = len(b) // (24 if ids else 12)
+    x = np.cumsum(_from_planes(b[:8 * n]), dtype=U)
+    if not ids:
+        return x, _from_planes(b[8 * n:], 4)
+    return x, _from_planes(b[8 * n:16 * n]), _from_planes(b[16 * n:]).view(np.int64)
+
+
+def _bucket_cuts(sorted_names: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """Where each bucket starts: buckets are ranges of the names' highest 32 of ``bits`` bits."""
+    bucket = ((sorted_names >> U(bits - 32)) * U(buckets)) >> U(32)
+    return np.searchsorted(bucket, np.arange(buckets + 1, dtype=U))
 
 
 def _held(sorted_keys: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -219,13 +250,11 @@ def _emit_symbols(buckets, window, rounds):
                     a, _, counts = _names(texts[lo:hi])
                     parts.append(np.unique(_keys(a, counts, window, rounds)[0]))
                 keys = np.unique(np.concatenate(parts))
-                bucket = (mix(keys) % U(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                cut = _bucket_cuts(keys, 48, buckets)
                 full = np.flatnonzero(np.diff(cut))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(full, pa.int64()), pa.array(np.full(len(full), row.column(0)[0].as_py()), pa.int64()),
-                     pa.array([_pack48(keys[order[cut[j]:cut[j + 1]]]) for j in full], pa.binary())],
+                     pa.array([_pack48(keys[cut[j]:cut[j + 1]]) for j in full], pa.binary())],
                     names=["bucket", "chunk", "data"])
         release()
     return run
@@ -307,36 +336,32 @@ def _candidates(buckets, window, rounds):
         x, y, least = (np.concatenate(v) for v in zip(*found))
         order = np.lexsort((least, y, x))
         order = order[_first_of(order, x, y)]
-        names = np.stack((x[order], y[order], least[order].view(U)), axis=1)
+        x, y, least = x[order], y[order], least[order]
         release()
-        bucket = (names[:, 1] % U(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        cut = _bucket_cuts(x, 64, buckets)
         full = np.flatnonzero(np.diff(cut))
         return pa.table({"bucket": pa.array(full, pa.int64()),
                          "chunk": pa.array(np.full(len(full), chunk), pa.int64()),
-                         "data": pa.array([names[order[cut[j]:cut[j + 1]]].tobytes() for j in full], pa.binary())})
+                         "data": pa.array([_pack_names(*(v[cut[j]:cut[j + 1]] for v in (x, y, least))) for j in full], pa.binary())})
     return run
 
 
 def _earlier_windows(t: pa.Table) -> pa.Table:
     """All candidates of a bucket -> for each chunk its windows that start in a smaller doc_id of another chunk."""
-    parts = [np.frombuffer(b, U).reshape(-1, 3) for b in t.column("data").to_pylist()]
-    names = np.concatenate(parts)
-    least = names[:, 2].view(np.int64)
-    chunk = np.repeat(np.array(t.column("chunk").to_pylist(), np.int64), [len(p) for p in parts])
-    order = np.lexsort((least, names[:, 1], names[:, 0]))
-    new = _first_of(order, names[:, 0], names[:, 1])
+    parts = [_unpack_names(b, True) for b in t.column("data").to_pylist()]
+    x, y, least = (np.concatenate(v) for v in zip(*parts))
+    chunk = np.repeat(np.array(t.column("chunk").to_pylist(), np.int64), [len(p[0]) for p in parts])
+    order = np.lexsort((least, y, x))
+    new = _first_of(order, x, y)
     smallest = least[order[np.flatnonzero(new)]][np.cumsum(new) - 1]
     order = order[smallest < least[order]]
-    names, chunk = names[order, :2], chunk[order]
-    order = np.argsort(chunk, kind="stable")
-    names, chunk = names[order], chunk[order]
+    order = order[np.argsort(chunk[order], kind="stable")]
+    x, y, chunk = x[order], y[order], chunk[order]
     out_c, out_d = [], []
     for c in np.unique(chunk):
         lo, hi = np.searchsorted(chunk, [c, c + 1])
         out_c.append(c)
-        out_d.append(names[lo:hi].tobytes())
+        out_d.append(_pack_names(x[lo:hi], y[lo:hi]))
     return pa.table({"chunk": pa.array(out_c, pa.int64()), "data": pa.array(out_d, pa.binary())})
 
 
@@ -352,19 +377,19 @@ def _runs(mask: np.ndarray) -> list[dict]:
 def _finish(window, tidy):
     """A chunk's texts and the windows that start in earlier chunks -> the kept text of each document."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        earlier = np.concatenate([np.zeros((0, 2), U), *(np.frombuffer(b, U).reshape(-1, 2)
-                                                         for b in right.column("data").to_pylist())])
-        earlier = earlier[np.argsort(earlier[:, 0], kind="stable")]
+        told = [(np.zeros(0, U),) * 2, *(_unpack_names(b, False) for b in right.column("data").to_pylist())]
+        told_x, told_y = (np.concatenate(v) for v in zip(*told))
+        order = np.argsort(told_x, kind="stable")
+        told_x, told_y = told_x[order], told_y[order]
         ids, texts = _unpack_text(left)
         xs, ys, counts, outside = [], [], [], []
         for lo, hi in steps(texts):
             a, b, n = _names(texts[lo:hi])
             start = window_starts(n, window)
             x, y = (v[start] for v in _window_names(a, b, window))
-            hit = _held(earlier[:, 0], x)
-            if hit.any():  # the second half too
-                at = np.searchsorted(earlier[:, 0], x[hit])
-                hit[hit] = earlier[at, 1] == y[hit]
+            hit = _held(told_x, x)
+            if hit.any():  # of the second half too
+                hit[hit] = told_y[np.searchsorted(told_x, x[hit])] == y[hit] & U(0xFFFFFFFF)
             xs.append(x)
             ys.append(y)
             outside.append(hit)
@@ -425,10 +450,10 @@ def substring_dedup(docs: DataFrame, window: int = 13, rounds: int = ROUNDS, kee
     buckets = 1 + size // bucket_bytes
     shared = (texts.select("chunk", "rows", "data").mapInArrow(_emit_symbols(buckets, window, rounds), "bucket bigint, chunk bigint, data binary")
               .groupBy("bucket").applyInArrow(_shared_symbols, "chunk bigint, data binary"))
-    earlier = (texts.select("chunk", "rows", "data").groupBy("chunk").cogroup(shared.groupBy("chunk"))
+    chunks = texts.groupBy("chunk")  # both cogroups read one exchange
+    earlier = (chunks.cogroup(shared.groupBy("chunk"))
                .applyInArrow(_candidates(buckets, window, rounds), "bucket bigint, chunk bigint, data binary")
                .groupBy("bucket").applyInArrow(_earlier_windows, "chunk bigint, data binary"))
     kinds = dict(docs.dtypes)
-    texts = texts.select(*(F.col(c).alias(c) for c in texts.columns))
-    return texts.groupBy("chunk").cogroup(earlier.groupBy("chunk")).applyInArrow(
+    return chunks.cogroup(earlier.groupBy("chunk")).applyInArrow(
         _finish(window, tidy), ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), RESULT]))
