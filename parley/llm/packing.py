@@ -7,8 +7,10 @@ window has tokens, however many documents there are.  The driver fills windows f
 it: the longest length left, then the multiset of other lengths that comes closest
 to the capacity, found by a subset-sum over a bitset and traced back to counts.
 Each such pattern is used as often as the counts allow, so there are few patterns.
-Spark then ranks the remainders of each length, and each finds its window in the
-patterns' table by length and rank.
+Pieces are counted as they are written, by task and length; a piece's rank among
+those of its length is what earlier tasks have of it and its number in its own task,
+so no rows are sorted or gathered to rank them, and each remainder finds its window
+in the patterns' table by length and rank.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -27,8 +30,6 @@ from .bpe import PATTERN, Automaton, Kept, _parts, _source, load_spec
 from .common import written
 
 WINDOW, END_ID = 2048, 1
-#: Buckets that the remainders of one length are ranked in.
-RANK_BUCKETS = 64
 #: Texts between two spaces that a worker keeps encoded in each of two generations.
 KEPT_CHUNKS = 200_000
 
@@ -59,30 +60,36 @@ def _encoder(spec) -> FastEncoder:
 
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
+PIECE_NAMES = [x.split()[0] for x in PIECES.split(", ")]
 
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
-    """Whole windows and the remainder of each document's ids with the end id; ``ids`` too if asked for."""
+    """Whole windows and the remainder of each document's ids with the end id; ``ids`` too if asked for.
+
+    ``task`` and ``nth`` number the pieces of one length in each task from 0.
+    """
     spec = load_spec(docs.sparkSession, path)
 
     def run(batches):
         encoder, end = _encoder(spec), np.array([END_ID], "<u4")
+        task, seen = TaskContext.get().partitionId(), np.zeros(window + 1, np.int64)
         for batch in _parts(batches):
             rows, ids = [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 all_ids = np.concatenate((encoder.encode(text or ""), end))
                 for at in range(0, len(all_ids), window):
                     piece = all_ids[at:at + window]
-                    rows.append((i, at, len(piece), zlib.crc32(piece.tobytes()), len(all_ids)))
+                    rows.append((i, at, len(piece), zlib.crc32(piece.tobytes()), len(all_ids), task, int(seen[len(piece)])))
+                    seen[len(piece)] += 1
                     if with_ids:
                         ids.append(piece.astype(np.int32))
-            cols = [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+            cols = [pa.array([r[k] for r in rows], pa.int64()) for k in range(7)]
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "nth"]
             if with_ids:
                 cols.append(pa.array(ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(cols, names=names + ["ids"] * with_ids)
 
-    return _source(docs).mapInArrow(run, PIECES + ", ids array<int>" * with_ids)
+    return _source(docs).mapInArrow(run, PIECES + ", task bigint, nth bigint" + ", ids array<int>" * with_ids)
 
 
 def closest_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -148,20 +155,16 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> Slots:
     return Slots(*np.array(sorted(rows), np.int64).reshape(-1, 4).T, windows=windows)
 
 
-def _ranked(remainders: DataFrame) -> DataFrame:
-    """Rank (from 0) among the pieces of the same length, by bucket and then in order.
+def _ranked(cut: DataFrame, counts: DataFrame) -> DataFrame:
+    """Rank (from 0) among the pieces of the same length: by task, then by number in the task.
 
-    A length that a third of all pieces have is spread over ``RANK_BUCKETS`` tasks; the
-    join finds the pieces dealt out by its keys already.
+    ``counts`` has a row for each task and length; a task's pieces of one length are what
+    it cut from its own input.
     """
-    bucket = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(RANK_BUCKETS)).cast("int")
-    rows = remainders.withColumn("bucket", bucket)
-    sizes = rows.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")
-    sizes = sizes.select("length", "bucket", before.alias("before"))
-    order = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
-    return (rows.withColumn("n", F.row_number().over(order)).join(sizes, ["length", "bucket"])
-            .withColumn("rank", F.col("before") + F.col("n") - 1).drop("bucket", "n", "before"))
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("task")) - F.col("n")
+    earlier = counts.select("task", "length", before.alias("before"))
+    return (cut.join(earlier, ["task", "length"]).withColumn("rank", F.col("before") + F.col("nth"))
+            .drop("task", "nth", "before"))
 
 
 def _place(slots: Slots, window: int):
@@ -192,8 +195,9 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, with_ids: bool = Fals
     columns are ignored; an empty table gives an empty result.
     """
     cut = written(pieces(docs, path, window, with_ids), "pieces")
+    counts = cut.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     histogram.pop(window, None)  # fewer entries than a window has tokens
-    ranked = _ranked(cut)
+    ranked = _ranked(cut, counts).select(*PIECE_NAMES, *["ids"] * with_ids, "rank")
     kinds = ", ".join(f"{c} {k}" for c, k in ranked.dtypes if c != "rank")
     return ranked.mapInArrow(_place(plan(histogram, window), window), kinds + ", sequence_id bigint, offset bigint")
