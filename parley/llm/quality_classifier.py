@@ -38,7 +38,7 @@ _RUN = regex.compile(rb"(.)\1+", regex.DOTALL)
 
 def shape(word: bytes) -> bytes:
     """Letters, digits and signs of a word with runs collapsed: ``Ab12!!`` is ``Aa0!``."""
-    return _RUN.sub(rb"\1", word.translate(_CLASS))[:8]
+    return _RUN.sub(rb"\1", word.translate(_CLASS))
 
 
 class Terms:
