@@ -124,7 +124,8 @@ def append(docs: DataFrame, make, added: str, keep: list[str], done=release) ->
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, where, per_class: int) -> DataFrame:
     """Up to ``per_class`` rows of each class, ``doc_id, label, text``: those with the smallest hashes of doc_id.
 
-    At most ``2 * per_class`` ids are broadcast to find the texts.
+    Of conflicting labels of one doc_id the larger counts.  At most ``2 * per_class`` ids
+    are broadcast to find the texts.
     """
     marked = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
               .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).where(where)

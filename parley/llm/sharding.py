@@ -53,7 +53,7 @@ def shards(docs: DataFrame, key: str = "doc_id", limit: int = SHARD_BYTES) -> Da
     repeated rows of one key); no other bucket does.  Null keys hash as the empty
     text; an empty table gives an empty result; other columns are ignored.
     """
-    rows = docs.select(F.col(f"`{key}`").alias(key), key_hash(F.col(f"`{key}`")).alias("h"),
+    rows = docs.select(F.struct(F.col(f"`{key}`").alias("key")).alias("of"), key_hash(F.col(f"`{key}`")).alias("h"),
                        F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("bigint").alias("bytes"))
     rows = written(rows, "keys")
     total = rows.agg(F.sum("bytes")).first()[0] or 0
@@ -70,7 +70,7 @@ def shards(docs: DataFrame, key: str = "doc_id", limit: int = SHARD_BYTES) -> Da
             break
         todo, low, high = rest, high + 1, min(BITS, high + EXTRA)
     bits = F.lpad(F.conv(_prefix("h", "depth").cast("string"), 10, 2), F.col("depth"), "0")
-    return done.select(key, F.when(F.col("depth") == 0, F.lit("")).otherwise(bits).alias("shard"),
+    return done.select(F.col("of.key").alias(key), F.when(F.col("depth") == 0, F.lit("")).otherwise(bits).alias("shard"),
                        F.col("depth").cast("bigint").alias("depth"), "bytes")
 
 

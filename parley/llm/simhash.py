@@ -210,7 +210,9 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     members = near_duplicates(docs, shingle, max_bits)
     first = members.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_hash")).alias("x"))
     first = first.select(F.col("x.doc_id").alias("__first"), F.col("x.text_hash").alias("__first_hash")).distinct()
-    rows = docs.withColumn("__id", F.col("doc_id").cast("bigint")).withColumn("__hash", text_hash(F.col("text").cast("string")))
-    same = F.col("__id").eqNullSafe(F.col("__first")) & (F.col("__hash") == F.col("__first_hash"))
-    once = F.row_number().over(Window.partitionBy(F.coalesce("__id", F.lit(0)), F.isnull("__id"), "__hash").orderBy(F.lit(0)))
-    return (rows.join(first, same, "left_semi").withColumn("__n", once).where("__n = 1").select(*docs.columns))
+    # The row travels as one column, so none of its names can meet those used here.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("bigint").alias("id"),
+                       text_hash(F.col("text").cast("string")).alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("__first")) & (F.col("hash") == F.col("__first_hash"))
+    once = F.row_number().over(Window.partitionBy(F.coalesce("id", F.lit(0)), F.isnull("id"), "hash").orderBy(F.lit(0)))
+    return rows.join(first, same, "left_semi").withColumn("n", once).where("n = 1").select("row.*")

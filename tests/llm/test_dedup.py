@@ -243,3 +243,12 @@ def test_query_digest(spark):
     got = QUERIES["op2_simhash_near_dedup"](spark, sf)
     assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in got.collect()) == sorted(
         (i, f"{f:016x}", c) for i, f, c in brute_components(rows))
+
+
+def test_one_of_each_keeps_columns_of_any_name(frame):
+    rows = [(1, "a b c d e"), (2, "a b c d e"), (3, "x"), (3, "x"), (None, "x")]
+    names = ["__id", "__hash", "__n", "__first", "__first_hash", "id", "hash", "n", "row", "fp", "root", "component_id"]
+    docs = frame(rows).selectExpr("*", *(f"{77 + k} AS `{c}`" for k, c in enumerate(names)))
+    got = SH.one_of_each(docs)
+    assert got.columns == docs.columns and got.count() == 2
+    assert all([r[c] for c in names] == list(range(77, 77 + len(names))) for r in got.collect())

@@ -125,3 +125,11 @@ def test_oracle_of_small_shards(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{sf}/documents.parquet'")
     assert sorted(map(tuple, got)) == sorted(con.execute(S.oracle(5000)).fetchall())
+
+
+@pytest.mark.parametrize("key", ["h", "cell", "prefix", "of", "key", "fits"])
+def test_shards_by_a_key_of_any_name(frame, key):
+    docs = frame([(i, "t" * (i % 9)) for i in range(60)] + [(None, None)])
+    got = S.shards(docs.withColumnRenamed("doc_id", key), key=key, limit=40).collect()
+    want = {r["doc_id"]: (r["shard"], r["bytes"]) for r in S.shards(docs, limit=40).collect()}
+    assert {r[key]: (r["shard"], r["bytes"]) for r in got} == want and len({r["shard"] for r in got}) > 3
