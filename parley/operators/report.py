@@ -95,13 +95,15 @@ def scoreable_calls(calls: DataFrame, required=REQUIRED) -> tuple[DataFrame, Dat
 def _member_predictions(feats: DataFrame, calls: DataFrame, ridge, forest=None, text_model=None) -> DataFrame:
     """Predictions of each member keyed by call, null where a member is absent."""
     from .models import forest_predict, text_leg_predict
+    from .text_model import TextRegressor, predict_texts
     preds = feats.select("call_id", ridge.predict_column().alias("ridge"))
     if forest is not None:
         preds = preds.join(forest_predict(forest, feats).withColumnRenamed("pred", "rf"), "call_id", "left")
     else:
         preds = preds.withColumn("rf", F.lit(None).cast("double"))
     if text_model is not None:
-        preds = preds.join(text_leg_predict(text_model, calls).withColumnRenamed("pred", "text"), "call_id", "left")
+        predict = predict_texts if isinstance(text_model, TextRegressor) else text_leg_predict
+        preds = preds.join(predict(text_model, calls).withColumnRenamed("pred", "text"), "call_id", "left")
     else:
         preds = preds.withColumn("text", F.lit(None).cast("double"))
     return preds

@@ -170,7 +170,7 @@ def fx_features(spark, sf):
     # column: materialise them once (reliable checkpoint in the shared folder).
     split = cut_lineage(stratified_split(c))
     return FE.build_features(
-        c, fx(spark, sf, "fx_turns"), fx_rules(spark), split=split,
+        c, fx(spark, sf, "fx_call_turns"), fx_rules(spark), split=split,
         max_words=10, resolution=FX_PHRASES["resolution"], empathy=FX_PHRASES["empathy"],
         apology=FX_PHRASES["apology"], transfer=FX_PHRASES["transfer"])
 
@@ -179,7 +179,7 @@ TURN_AGG = f"""
 , tt AS (SELECT f.call_id, f.pos, f.speaker, sc.compound, {WC} AS wc, lower(f.text) AS lt,
          count(*) OVER (PARTITION BY f.call_id) AS n,
          lag(f.speaker) OVER (PARTITION BY f.call_id ORDER BY f.pos) AS prev
-         FROM fx_turns f JOIN sc USING (call_id, pos))
+         FROM fx_call_turns f JOIN sc USING (call_id, pos))
 , tf AS (SELECT call_id, avg(compound) AS mean_sentiment,
     avg(CASE WHEN pos >= (4 * n) // 5 THEN compound END) AS last_20_sentiment,
     stddev_pop(compound) AS std_sentiment,
@@ -196,7 +196,7 @@ TURN_AGG = f"""
 TURN_FEATS = ["mean_sentiment", "last_20_sentiment", "std_sentiment", "talk_time_ratio",
               "avg_agent_words", "avg_customer_words", "interruption_count",
               "empathy_density", "apology_count", "transfer_count"]
-FEATURE_SQL = (oracle_with("fx_turns", "fx_split") + scored_cte("fx_turns", ["call_id", "pos"], "text", "sc")
+FEATURE_SQL = (oracle_with("fx_call_turns", "fx_split") + scored_cte("fx_call_turns", ["call_id", "pos"], "text", "sc")
                + TURN_AGG + CM + """
 , fm AS (SELECT cm.call_id, """
                + ", ".join(f"coalesce(tf.{c}, 0) AS {c}" for c in TURN_FEATS) + """,

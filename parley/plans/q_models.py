@@ -17,6 +17,8 @@ from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators import models as ML
 from ..operators import phrases as H
+from ..operators import text_model as TM
+from ..operators.parse import format_transcripts
 from ..operators.split import stratified_split
 from ..session import cut_lineage
 from ..sources.fixtures import fx
@@ -283,14 +285,41 @@ def q_tree_additivity(spark, sf):
         "call_id", (F.abs(F.col("total") - F.col("pred")) < 1e-6).alias("additive"))
 
 
+def _text_leg(spark, sf):
+    """The text regressor, and the labelled calls with a transcript and their split."""
+    key = ("text", spark.sparkContext.applicationId, sf)
+    if key not in _ARTEFACTS:
+        calls = fx(spark, sf, "fx_calls")
+        labelled = calls.select("call_id", K.TARGET).join(stratified_split(calls), "call_id")
+        data = cut_lineage(labelled.join(format_transcripts(fx(spark, sf, "fx_call_turns")), "call_id"))
+        _ARTEFACTS[key] = (TM.fit_text_regressor(data.where(F.col("split") == "train"), data.where(F.col("split") == "val"), epochs=5), data)
+    return _ARTEFACTS[key]
+
+
 @query("text_leg", columns=["call_id", "pred"],
-       note="L13: hashed TF-IDF of whole texts + linear regression, regularisation picked on val")
+       note="L13: embedding bag and regression head over whole texts, mini-batch gradient descent, best epoch by validation loss")
 def q_text_leg(spark, sf):
-    calls = fx(spark, sf, "fx_calls")
-    labelled = calls.select("call_id", K.TARGET).join(stratified_split(calls), "call_id")
-    data = cut_lineage(labelled.join(fx(spark, sf, "fx_transcripts"), "call_id"))
-    model = ML.fit_text_leg_search(data.where(F.col("split") == "train"), data.where(F.col("split") == "val"))
-    return ML.text_leg_predict(model, data.where(F.col("split") == "test"))
+    model, data = _text_leg(spark, sf)
+    return TM.predict_texts(model, data)
+
+
+@query("text_epochs", columns=["epoch", "train_loss", "val_loss", "val_mae", "best"],
+       note="L13: losses of each epoch, and the one that is kept")
+def q_text_epochs(spark, sf):
+    model, _ = _text_leg(spark, sf)
+    rows = [(e, t, v, m, e == model.best_epoch) for e, t, v, m in model.history]
+    return spark.createDataFrame(rows, "epoch int, train_loss double, val_loss double, val_mae double, best boolean")
+
+
+@query("text_metrics", columns=["model", "mae", "rmse", "pearson_r", "f1_binary"],
+       note="L13/A14: the text regressor beside the ridge, test calls with a transcript")
+def q_text_metrics(spark, sf):
+    model, data = _text_leg(spark, sf)
+    train, val, test = _splits(spark, sf)
+    text = TM.predict_texts(model, data.where(F.col("split") == "test"), keep=["call_id", K.TARGET])
+    ridge = test.select("call_id", F.col(K.TARGET), ML.fit_ridge(train, val).predict_column().alias("pred")).join(text.select("call_id"), "call_id", "left_semi")
+    both = text.withColumn("model", F.lit("text")).unionByName(ridge.withColumn("model", F.lit("ridge")))
+    return M.evaluate(both.withColumnRenamed(K.TARGET, "y"), by=["model"])
 
 
 @query("tree_attribution", columns=["call_id", "ord", "feature", "value"],

@@ -13,7 +13,7 @@ from ..sources.fixtures import fx, oracle_with
 from .oracle_parts import scored_cte
 from .q_features import FEATURE_SQL, fx_features
 from .q_sentiment import scored_fx_turns
-from .registry import query
+from .registry import query, round_doubles
 
 ST = """
 , st AS (SELECT sc.*, count(*) OVER (PARTITION BY call_id) AS n,
@@ -185,11 +185,12 @@ def q_feature_correlations(spark, sf):
 
 
 @query("column_sanity", columns=["feature", "mean", "std", "nonzero"], doubles=["mean", "std"],
-       oracle=FEATURE_SQL + " " + " UNION ALL ".join(
+       oracle=FEATURE_SQL + ", rf AS (SELECT " + ", ".join(f"round({c}, 6) AS {c}" for c in K.FEATURE_COLUMNS) + " FROM fm) " + " UNION ALL ".join(
            f"SELECT '{c}' AS feature, avg({c}) AS mean, stddev_samp({c}) AS std, "
-           f"count(*) FILTER (WHERE {c} <> 0) AS nonzero FROM fm" for c in K.FEATURE_COLUMNS))
+           f"count(*) FILTER (WHERE {c} <> 0) AS nonzero FROM rf" for c in K.FEATURE_COLUMNS))
 def q_column_sanity(spark, sf):
-    return Q.column_sanity(fx_features(spark, sf))
+    """A10: of features rounded to 6 digits, so that sums that cancel count as 0."""
+    return Q.column_sanity(round_doubles(fx_features(spark, sf)))
 
 
 def _findings_sql(c: str, src: str, expr: str | None = None) -> str:

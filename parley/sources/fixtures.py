@@ -65,6 +65,16 @@ FROM (SELECT doc_id AS call_id, line AS text,
                    unnest(generate_series(1, len(string_split(text, chr(10))))) AS i
             FROM documents) s
       WHERE trim(line) <> '') q""",
+    "fx_call_turns": """
+SELECT call_id, pos, turn_number, speaker, text FROM fx_turns
+UNION ALL
+SELECT call_id, pos, pos + 1, CASE WHEN pos % 2 = 0 THEN 'AGENT' ELSE 'CUSTOMER' END, text
+FROM (SELECT c.call_id, CAST((d.pos - c.skipped) // 3 AS BIGINT) AS pos, d.text
+      FROM (SELECT call_id, call_id % n AS doc_id, (3 - (call_id // n) % 3) % 3 AS skipped
+            FROM fx_calls, (SELECT max(doc_id) + 1 AS n FROM documents) k
+            WHERE call_id NOT IN (SELECT conv_id FROM conversations)) c
+      JOIN fx_doc_turns d ON d.call_id = c.doc_id
+      WHERE d.pos >= c.skipped AND (d.pos - c.skipped) % 3 = 0) q""",
 }
 
 _DEPS = {
@@ -75,6 +85,7 @@ _DEPS = {
     "fx_split": ["fx_calls0", "fx_calls"],
     "fx_transcripts": ["fx_turns"],
     "fx_doc_turns": [],
+    "fx_call_turns": ["fx_turns", "fx_calls", "fx_doc_turns"],
 }
 
 # Fixed test parameters (FIXTURES.md "Other inputs"): the driver text contains
@@ -135,9 +146,33 @@ def fx(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         from ..operators.parse import line_turns
         docs = spark.table("documents").select(F.col("doc_id").alias("call_id"), "text")
         return line_turns(docs, "text", drop_blank=True, alternate_speakers=True)
+    if name == "fx_call_turns":
+        return call_turns(spark, sf_dir)
     return spark.table(name)
 
 
+def call_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of most calls: the conversations', and for calls without one every third line of a document.
+
+    Call ``c`` takes document ``c mod n`` and starts at its first, third or second line
+    by turns; speakers alternate.
+    """
+    lines = fx(spark, sf_dir, "fx_doc_turns").select(F.col("call_id").alias("doc_id"), F.col("pos").alias("line"), F.col("n_turns").alias("lines"), "text")
+    others = spark.sql("""
+SELECT call_id, call_id % n AS doc_id, CAST((3 - (call_id div n) % 3) % 3 AS INT) AS skipped
+FROM (SELECT call_id, (SELECT max(doc_id) + 1 FROM documents) AS n FROM fx_calls
+      WHERE call_id NOT IN (SELECT conv_id FROM conversations WHERE conv_id IS NOT NULL)) c""")
+    at = F.col("line") - F.col("skipped")
+    pos = F.expr("CAST((line - skipped) div 3 AS INT)")
+    speaker = lambda p: F.when(p % 2 == 0, "AGENT").otherwise("CUSTOMER")
+    taken = (others.join(lines, "doc_id").where((at >= 0) & (at % 3 == 0))
+             .select("call_id", pos.alias("pos"), "text", F.expr("CAST((lines - 1 - skipped) div 3 + 1 AS INT)").alias("n_turns")))
+    pos = F.col("pos")
+    taken = taken.select("call_id", (pos + 1).cast("bigint").alias("turn_number"), speaker(pos).alias("speaker"), "text", "pos", "n_turns",
+                         F.when(pos > 0, speaker(pos + 1)).alias("prev_speaker"))
+    return fx(spark, sf_dir, "fx_turns").unionByName(taken)
+
+
 def oracle_with(*names: str) -> str:
     """DuckDB ``WITH`` prefix defining ``names`` and their dependencies."""
     order: list[str] = []
