@@ -1,12 +1,13 @@
 """Scaler, ridge, random forest, text leg and persistence.
 
-Ridge is solved in closed form from ONE aggregate pass over the training
-rows: the Gramian ``sum(x_i x_j)``, ``sum(x_i y)``, ``sum(x_i)``, ``sum(y)``
-and ``n``.  Standardisation is linear, so the scaled, centred system is
-derived from the raw Gramian on the driver (a 24x24 matrix): the scaler,
-every alpha of the search and every ablation subset reuse the same pass.
-Scoring is a column expression ``b + sum(w_j * z_j)`` inside codegen, and
-all candidate models are scored in one job (one column each, stacked).
+Ridge is solved from ONE pass over the training rows: a tall-skinny QR.  Tasks reduce
+their rows ``[1, x, y]`` to a triangular factor, block by block, and factors are merged
+in a tree; the driver gets one (p+2) x (p+2) triangle.  Below its first row stands the
+factor of the centred columns, so means, deviations, the scaler, every alpha of the
+search and every ablation subset come from it by least squares on at most p rows,
+without squaring the condition number as sums of products do.  Scoring is a column
+expression ``b + sum(w_j * z_j)`` inside codegen, and all candidate models are scored
+in one job (one column each, stacked).
 """
 
 from __future__ import annotations
@@ -44,6 +45,15 @@ class Gramian:
     def y_mean(self) -> float:
         return self.y_shift + self.sy / self.n
 
+    @property
+    def std(self) -> np.ndarray:
+        return np.sqrt(np.clip(np.diag(self.sxx) / self.n - (self.sx / self.n) ** 2, 0.0, None))
+
+    def ridge(self, idx, scale: np.ndarray, alpha: float) -> np.ndarray:
+        """Weights of the centred columns ``idx`` over ``scale``, by the normal equations."""
+        cxx, cxy = self.centred()
+        return np.linalg.solve(cxx[np.ix_(idx, idx)] / np.outer(scale, scale) + alpha * np.eye(len(idx)), cxy[idx] / scale)
+
     def centred(self):
         m = self.sx / self.n
         cxx = self.sxx - self.n * np.outer(m, m)
@@ -89,6 +99,76 @@ def gramian(df: DataFrame, features, target: str = K.TARGET, shifted: bool = Tru
                    np.array([row[f"sxy{i}"] or 0.0 for i in range(p)]), row["syy"] or 0.0, shift, y_shift)
 
 
+# ----------------------------------------------------------- triangular factor
+@dataclass
+class Factor:
+    """The triangle ``r`` of the QR of the complete rows ``[1, x, y]``; ``r`` has no negative diagonal."""
+    features: list[str]
+    n: float
+    r: np.ndarray         # (p + 2, p + 2)
+
+    @property
+    def mean(self) -> np.ndarray:
+        return self.r[0, 1:-1] / self.r[0, 0]
+
+    @property
+    def y_mean(self) -> float:
+        return float(self.r[0, -1] / self.r[0, 0])
+
+    @property
+    def std(self) -> np.ndarray:
+        return np.sqrt((self.r[1:, 1:-1] ** 2).sum(axis=0) / self.n)
+
+    def ridge(self, idx, scale: np.ndarray, alpha: float) -> np.ndarray:
+        """Weights of the centred columns ``idx`` over ``scale``: least squares of the triangle above ``sqrt(alpha)`` rows."""
+        x = np.vstack((self.r[1:, 1:-1][:, idx] / scale, np.sqrt(alpha) * np.eye(len(idx))))
+        y = np.concatenate((self.r[1:, -1], np.zeros(len(idx))))
+        return np.linalg.lstsq(x, y, rcond=None)[0]
+
+
+#: Rows that a task turns into one triangle at once.
+QR_ROWS = 4096
+
+
+def _triangle(rows: np.ndarray) -> np.ndarray:
+    """The square triangle of some rows (fewer rows than columns: filled up with zeros)."""
+    width = rows.shape[1]
+    r = np.linalg.qr(np.vstack((rows, np.zeros((max(0, width - len(rows)), width)))), mode="r")
+    return r * np.where(np.diag(r) < 0, -1.0, 1.0)[:, None]
+
+
+def factor(df: DataFrame, features, target: str = K.TARGET) -> Factor:
+    """One pass over the complete rows: triangles of the tasks' rows, merged in a tree."""
+    import pyarrow as pa
+
+    from ..session import ship_package
+    ship_package(df.sparkSession)
+    width = len(features) + 2
+    rows = complete_rows(df, features, target).select(*(F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate([*features, target])))
+
+    def run(batches):
+        r, n = np.zeros((width, width)), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, QR_ROWS):
+                part = batch.slice(at, QR_ROWS)
+                x = np.column_stack([np.ones(part.num_rows), *(c.to_numpy(zero_copy_only=False) for c in part.columns)])
+                r, n = _triangle(np.vstack((r, x))), n + part.num_rows
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["r", "n"])
+
+    def merge(a, b):
+        if not a or not b:
+            return a or b
+        x, y = (np.frombuffer(v[0]).reshape(width, width) for v in (a, b))
+        return _triangle(np.vstack((x, y))).tobytes(), a[1] + b[1]
+
+    parts = rows.mapInArrow(run, "r binary, n bigint").rdd.map(lambda v: (bytes(v["r"]), v["n"]))
+    got = parts.treeAggregate((), merge, merge, depth=2)
+    if not got:
+        return Factor(list(features), 0.0, np.zeros((width, width)))
+    return Factor(list(features), float(got[1]), np.frombuffer(got[0]).reshape(width, width))
+
+
 # ------------------------------------------------------------------- scaler
 @dataclass
 class Scaler:
@@ -108,10 +188,9 @@ class Scaler:
         return json.dumps(self.__dict__)
 
 
-def scaler_from_gramian(g: Gramian) -> Scaler:
+def scaler_from(g: Gramian | Factor) -> Scaler:
     """L1: mean and population std per feature (zero variance -> scale 1)."""
-    var = np.diag(g.sxx) / g.n - (g.sx / g.n) ** 2
-    std = np.sqrt(np.clip(var, 0.0, None))
+    std = g.std
     scale = np.where(std > 1e-12 * np.maximum(1.0, np.abs(g.mean)), std, 1.0)
     return Scaler(g.features, g.mean.tolist(), scale.tolist())
 
@@ -155,7 +234,7 @@ class LinearModel:
                  / F.lit(self.scaler.scale[idx[c]])).alias(c) for c, w in zip(self.features, self.coef)]
 
     def to_json(self) -> str:
-        d = {k: v for k, v in self.__dict__.items() if k != "gramian"}
+        d = {k: v for k, v in self.__dict__.items() if k != "factor"}
         d["scaler"] = self.scaler.__dict__
         return json.dumps(d)
 
@@ -166,20 +245,17 @@ class LinearModel:
         return LinearModel(**d)
 
 
-def solve_ridge(g: Gramian, alpha: float, features=None, scaler: Scaler | None = None) -> LinearModel:
+def solve_ridge(g: Gramian | Factor, alpha: float, features=None, scaler: Scaler | None = None) -> LinearModel:
     """L2: closed-form ridge on standardised, centred features.
 
     ``features`` restricts the fit to a subset (ablation by retraining, L6)
-    using the same Gramian.
+    using the same factor.
     """
-    scaler = scaler or scaler_from_gramian(g)
+    scaler = scaler or scaler_from(g)
     features = list(features or g.features)
     idx = [g.features.index(c) for c in features]
-    cxx, cxy = g.centred()
     s = np.array(scaler.scale)[idx]
-    A = cxx[np.ix_(idx, idx)] / np.outer(s, s) + alpha * np.eye(len(idx))
-    b = cxy[idx] / s
-    w = np.linalg.solve(A, b) if len(idx) else np.zeros(0)
+    w = g.ridge(idx, s, alpha) if len(idx) else np.zeros(0)
     zmean = (g.mean[idx] - np.array(scaler.mean)[idx]) / s
     intercept = g.y_mean - float(zmean @ w) if len(idx) else g.y_mean
     return LinearModel(features, w.tolist(), float(intercept), scaler, alpha)
@@ -196,13 +272,13 @@ def score_models(df: DataFrame, models: dict, keep=("call_id", "y"), zeroed: dic
 
 def alpha_search(train: DataFrame, val: DataFrame, features=K.FEATURE_COLUMNS,
                  alphas=K.RIDGE_ALPHAS, target: str = K.TARGET):
-    """L3: fit every alpha from one Gramian; val metrics in one job.
+    """L3: fit every alpha from one factor; val metrics in one job.
 
     Returns ``(metrics_df, models)``; the best alpha is the argmin of MAE
     (first wins ties).
     """
     from .metrics import metric_aggs
-    g = gramian(train, features, target)
+    g = factor(train, features, target)
     models = {f"alpha_{a:g}": solve_ridge(g, a) for a in alphas}
     long = score_models(val.withColumnRenamed(target, "y"), models)
     res = long.groupBy("config").agg(*metric_aggs("y", "pred"))
@@ -217,16 +293,16 @@ def fit_ridge(train: DataFrame, val: DataFrame, features=K.FEATURE_COLUMNS,
     best = res.orderBy("mae", "alpha").first()
     m = models[best["config"]]
     m.meta = {"val_mae": best["mae"], "n_train": g.n}
-    m.gramian = g       # reused by ablations; not persisted
+    m.factor = g        # reused by ablations; not persisted
     return m
 
 
 def ablation_retrain(train: DataFrame, val: DataFrame, alpha: float, groups=K.FEATURE_GROUPS,
-                     features=K.FEATURE_COLUMNS, target: str = K.TARGET, g: Gramian | None = None) -> DataFrame:
-    """Baseline + one refit per removed group (same Gramian), 5 rows x 8 columns."""
+                     features=K.FEATURE_COLUMNS, target: str = K.TARGET, g: Gramian | Factor | None = None) -> DataFrame:
+    """Baseline + one refit per removed group (same factor), 5 rows x 8 columns."""
     from .metrics import metric_aggs
-    g = g or gramian(train, features, target)
-    sc = scaler_from_gramian(g)
+    g = g or factor(train, features, target)
+    sc = scaler_from(g)
     runs = {"all_features": list(features)}
     for grp, cols in groups.items():
         runs[f"remove_{grp}"] = [c for c in features if c not in set(cols)]

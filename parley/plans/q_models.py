@@ -1,6 +1,6 @@
 """Registered queries, phase 5b/6: models.
 
-Fits run on the driver from bounded aggregates (the Gramian) or through
+Fits run on the driver from bounded aggregates (a triangular factor) or through
 ``pyspark.ml``; scoring, ablations and attributions are column expressions
 evaluated in one pass each.  Operators on a model that is given (attributions,
 ablation by zeroing, scoring) run on a fixed linear model, so SQL can check them;
@@ -120,7 +120,7 @@ def q_ridge_stationarity(spark, sf):
 
 
 @query("alpha_search", columns=["alpha", "mae", "rmse", "pearson_r", "f1_binary"],
-       note="L3: five alphas from one Gramian pass; val metrics in one job")
+       note="L3: five alphas from one QR pass; val metrics in one job")
 def q_alpha_search(spark, sf):
     train, val, _ = _splits(spark, sf)
     res, _, _ = ML.alpha_search(train, val)
@@ -141,11 +141,11 @@ def q_ridge_metrics(spark, sf):
 
 @query("ablation_retrain", columns=["run_idx", "run", "features_removed", "n_features", "mae", "rmse",
                                     "pearson_r", "f1_binary", "mae_delta"],
-       note="L6: 5 refits from the same Gramian, 5 rows x 8 columns")
+       note="L6: 5 refits from the same factor, 5 rows x 8 columns")
 def q_ablation_retrain(spark, sf):
     train, val, _ = _splits(spark, sf)
     m = ML.fit_ridge(train, val)
-    return ML.ablation_retrain(train, val, m.alpha, g=m.gramian)
+    return ML.ablation_retrain(train, val, m.alpha, g=m.factor)
 
 
 RUNS = {"all_features": (), **{f"remove_{g}": tuple(cols) for g, cols in K.FEATURE_GROUPS.items()}}
@@ -168,7 +168,7 @@ def q_ablation_zeroed(spark, sf):
 def q_ablation_pivot(spark, sf):
     train, val, test = _splits(spark, sf)
     m = ML.fit_ridge(train, val)
-    a = ML.ablation_retrain(train, val, m.alpha, g=m.gramian).select(
+    a = ML.ablation_retrain(train, val, m.alpha, g=m.factor).select(
         F.col("features_removed").alias("group"), F.lit("val").alias("split"), "mae_delta")
     b = ML.ablation_zeroed(m, test).select(
         F.col("features_removed").alias("group"), F.lit("test").alias("split"), "mae_delta")
