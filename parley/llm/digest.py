@@ -260,7 +260,9 @@ def document_fingerprints(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> Da
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = 1 + size // chunk_bytes
-    cuts = src.where("doc_id is not null").approxQuantile("doc_id", [i / chunks for i in range(1, chunks)], 0.2 / chunks) if chunks > 1 else []
+    # Quantiles as the ids' own type: a double would round large ids to bounds that no document has.
+    part = F.percentile_approx("doc_id", [i / chunks for i in range(1, chunks)] or [0.5], min(10_000_000, max(10_000, 5 * chunks)))
+    cuts = (src.agg(part.alias("q")).first()["q"] or []) if chunks > 1 else []
     bounds = np.unique(np.array(cuts, np.int64))
     ranks = rarity_ranks(src.select("text"))
     return (src.mapInArrow(_deal(bounds), "chunk bigint, head boolean, rows binary, data binary")

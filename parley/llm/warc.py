@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
+import re
 import struct
 
 import pyarrow as pa
@@ -26,6 +28,9 @@ DICTIONARY_MAGIC, SEPARATOR = 0x184D2A5D, b"P*M\x18\x00\x00\x00\x00"
 SAMPLE_PAGES, SAMPLE_BYTES, DICTIONARY_BYTES = 500, 16 << 10, 32 << 10
 DATE = "1970-01-01T00:00:00Z"
 LEAST = 0
+#: How a Zstandard frame starts, labelled digests that are checked (fixed values of the formats); bytes read at once.
+ZSTANDARD_MAGIC, DIGESTS = b"\x28\xb5\x2f\xfd", ("sha1", "sha256", "md5")
+BLOCK = 256 << 10
 
 
 def payload_digest(payload: bytes) -> str:
@@ -119,69 +124,134 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST) -> None:
     frames.write.option("lineSep", SEPARATOR.decode()).option("compression", "none").text(path)
 
 
-def split_frames(data: bytes):
-    """Decoded frames of an archive, one at a time; the leading skippable frame gives the dictionary."""
-    at, view, unpack = 0, memoryview(data), zstandard.ZstdDecompressor()
-    while at < len(data):
-        magic, size = struct.unpack_from("<II", data, at) if at + 8 <= len(data) else (0, 0)
-        if magic >> 4 == 0x184D2A5:
-            if at + 8 + size > len(data):
+def _dictionary(content: bytes) -> zstandard.ZstdCompressionDict:
+    """A dictionary as the leading frame holds it: as it is, or as a Zstandard frame of its own."""
+    if content[:4] == ZSTANDARD_MAGIC:
+        content = zstandard.ZstdDecompressor().decompressobj().decompress(content)
+    return zstandard.ZstdCompressionDict(content)
+
+
+def split_frames(data):
+    """Decoded frames of an archive (bytes or a binary file), one at a time; the leading skippable frame gives the dictionary.
+
+    A file is read in blocks, so no more than a block and one frame is held.
+    """
+    source = io.BytesIO(data) if isinstance(data, (bytes, bytearray, memoryview)) else data
+    unpack, held, first = zstandard.ZstdDecompressor(), b"", True
+
+    def upto(n):
+        nonlocal held
+        while len(held) < n:
+            more = source.read(max(BLOCK, n - len(held)))
+            if not more:
+                return False
+            held += more
+        return True
+
+    while upto(1):
+        if upto(8) and struct.unpack_from("<I", held)[0] >> 4 == 0x184D2A5:
+            magic, size = struct.unpack_from("<II", held)
+            if not upto(8 + size):
                 raise ValueError("a skippable frame is cut off")
-            if at == 0 and magic == DICTIONARY_MAGIC:
-                unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(bytes(view[8:8 + size])))
-            at += 8 + size
+            if first and magic == DICTIONARY_MAGIC:
+                unpack = zstandard.ZstdDecompressor(dict_data=_dictionary(held[8:8 + size]))
+            held, first = held[8 + size:], False
             continue
+        first = False
         one, out = unpack.decompressobj(), []
         while not one.eof:
-            if at >= len(data):
+            if not upto(1):
                 raise ValueError("a frame is cut off")
-            part = view[at:at + (64 << 10)]
-            out.append(one.decompress(part))
-            at += len(part) - len(one.unused_data)
+            out.append(one.decompress(held))
+            held = one.unused_data if one.eof else b""
         yield b"".join(out)
 
 
+def _page(urn: str) -> int | None:
+    """The page_id in a record id that ``write_archives`` made; null for any other id."""
+    found = re.fullmatch(r"<?urn:page:(-?[0-9]+):[A-Z2-7]*>?", urn)
+    return int(found[1]) if found else None
+
+
+def _fields(lines) -> dict[str, str]:
+    """Named fields of a header by lower-case name; a line that starts with white space goes on with the one before."""
+    out, last = {}, None
+    for line in lines:
+        if line[:1] in (" ", "\t") and last:
+            out[last] += " " + line.strip()
+            continue
+        name, colon, value = line.partition(":")
+        if not colon:
+            raise ValueError(f"bad header line {line!r}")
+        last = name.strip().lower()
+        out[last] = value.strip()
+    return out
+
+
+def _checked(digest: str, data: bytes, what: str) -> None:
+    """Raise if a labelled digest isn't that of ``data``; labels that aren't known say nothing."""
+    label, _, value = digest.partition(":")
+    if label.lower() not in DIGESTS or not value:
+        return
+    raw = hashlib.new(label.lower(), data).digest()
+    if value.upper().rstrip("=") not in (base64.b32encode(raw).decode().rstrip("="), raw.hex().upper()):
+        raise ValueError(f"wrong {what} digest")
+
+
 def parse_record(raw: bytes) -> dict:
-    """Headers and payload of one record, checked; a ValueError says what is wrong."""
+    """Headers and payload of one record of any type, checked; a ValueError says what is wrong.
+
+    The payload of an HTTP message is what follows its head, that of any other block the
+    block.  A revisit has the digest and the length that its head names.
+    """
     head, found, rest = raw.partition(b"\r\n\r\n")
-    lines = head.decode("utf-8").split("\r\n")
+    lines = head.decode("utf-8", "replace").split("\r\n")
     if not found or lines[0] not in ("WARC/1.0", "WARC/1.1"):
         raise ValueError("not a WARC record")
-    fields = {}
-    for line in lines[1:]:
-        name, colon, value = line.partition(":")
-        if not colon:
-            raise ValueError(f"bad header line {line!r}")
-        fields[name.strip().lower()] = value.strip()
+    fields = _fields(lines[1:])
     for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if name not in fields:
             raise ValueError(f"no {name}")
+    if not fields["content-length"].isdecimal():
+        raise ValueError("Content-Length isn't a number")
     size = int(fields["content-length"])
     if rest[size:] != b"\r\n\r\n":
         raise ValueError("the block's length differs from Content-Length")
-    block = rest[:size]
-    if "warc-block-digest" in fields and fields["warc-block-digest"] != "sha1:" + payload_digest(block):
-        raise ValueError("wrong block digest")
-    http, _, payload = block.partition(b"\r\n\r\n")
-    length = next((int(x.split(b":")[1]) for x in http.split(b"\r\n")[1:] if x.lower().startswith(b"content-length:")), len(payload))
-    digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
-    if fields["warc-type"] == "response" and (len(payload) != length or payload_digest(payload) != digest):
-        raise ValueError("the payload differs from its digest or length")
-    page = lambda urn: (lambda x: int(x) if x else None)(urn.strip("<>").split(":")[2]) if urn else None
-    return {"page_id": page(fields["warc-record-id"]), "url": fields.get("warc-target-uri"), "record_type": fields["warc-type"],
-            "payload_bytes": length, "payload_digest": digest, "refers_to": page(fields.get("warc-refers-to", "")),
-            "payload": payload if fields["warc-type"] == "response" else None}
-
-
-RECORDS = "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint"
+    block, kind = rest[:size], fields["warc-type"]
+    _checked(fields.get("warc-block-digest", ""), block, "block")
+    payload, length = block, size
+    if fields.get("content-type", "").replace(" ", "").startswith("application/http"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+        message = _fields(line.decode("utf-8", "replace") for line in http.split(b"\r\n")[1:] if b":" in line)
+        told = message.get("content-length", "")
+        length = int(told) if told.isdecimal() and "transfer-encoding" not in message else len(payload)
+    digest = fields.get("warc-payload-digest", "")
+    if kind != "revisit":
+        if len(payload) != length:
+            raise ValueError("the payload's length differs from that of its message")
+        _checked(digest, payload, "payload")
+        digest = digest or "sha1:" + payload_digest(payload)
+    return {"page_id": _page(fields["warc-record-id"]), "url": fields.get("warc-target-uri"), "record_type": kind,
+            "payload_bytes": length, "payload_digest": digest.removeprefix("sha1:"), "refers_to": _page(fields.get("warc-refers-to", "")),
+            "record_id": fields["warc-record-id"].strip("<>"),
+            "refers_to_record": fields["warc-refers-to"].strip("<>") if "warc-refers-to" in fields else None,
+            "payload": payload if kind != "revisit" else None}
+
+
+RECORDS = ("page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, "
+           "record_id string, refers_to_record string")
 _KINDS = {"page_id": pa.int64(), "url": pa.string(), "record_type": pa.string(), "payload_bytes": pa.int64(),
-          "payload_digest": pa.string(), "refers_to": pa.int64(), "payload": pa.binary()}
+          "payload_digest": pa.string(), "refers_to": pa.int64(), "record_id": pa.string(), "refers_to_record": pa.string(), "payload": pa.binary()}
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
     """A row for each record of the archives under ``path`` (``payload`` too if asked for).
 
-    A file that is cut off, or a record with a wrong header, length or digest, raises.
+    Archives may be of any writer: ``page_id`` and ``refers_to`` are null for record ids that
+    ``write_archives`` didn't make (``record_id, refers_to_record`` have the ids as they
+    stand), and records that hold no page (``warcinfo`` and others) are rows too.  A file that
+    is cut off, or a record with a wrong header, length or digest, raises.  A file is one
+    value of Spark's ``binaryFile`` source, so it must be below 2 GB.
     """
     names = [x.split()[0] for x in RECORDS.split(", ")] + ["payload"] * payloads
 
