@@ -182,6 +182,16 @@ def test_digests_with_the_next_document(spark, frame, chunk):
     assert sorted(((*r[:5], round(r[5], 9), round(r[6], 9)) for r in got), key=str) == brute_digest(rows, ranks)
 
 
+@pytest.mark.parametrize("far", [(1 << 53) + 1, (1 << 63) - 500, -(1 << 63)])
+def test_digests_of_large_ids(frame, far):
+    rnd = random.Random(3)
+    rows = [(far + 3 * i, " ".join(rnd.choice(["one", "two", "three"]) for _ in range(rnd.randint(0, 40)))) for i in range(40)] + [(None, "no id")]
+    df = frame(rows).repartition(4)
+    ranks = D.rarity_ranks(df.select("text"))
+    got = D.document_fingerprints(df, chunk_bytes=300).collect()
+    assert sorted(((*r[:5], round(r[5], 9), round(r[6], 9)) for r in got), key=str) == brute_digest(rows, ranks)
+
+
 def test_digests_of_odd_rows(odd, frame):
     ranks = D.rarity_ranks(odd.select("text"))
     got = D.document_fingerprints(odd, chunk_bytes=60_000).collect()

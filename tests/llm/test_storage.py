@@ -127,6 +127,58 @@ def test_oracle_of_small_shards(spark):
     assert sorted(map(tuple, got)) == sorted(con.execute(S.oracle(5000)).fetchall())
 
 
+def foreign(kind, record_id, block, *more, content="application/http;msgtype=response"):
+    head = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id}", "WARC-Date: 2020-02-02T02:02:02Z", f"Content-Type: {content}",
+            f"content-length:{len(block)}", *more]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def hand_made(compressed_dictionary):
+    """An archive as other tools write it: ids of their own, other record types, other digests, folded lines."""
+    page = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Length: 5\r\n\r\nhello"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\nContent-Length: 99\r\n\r\n5\r\nhello\r\n0\r\n\r\n"
+    sha1 = base64.b32encode(hashlib.sha1(b"hello").digest()).decode()
+    records = [foreign("warcinfo", "<urn:uuid:1>", b"software: x\r\n", content="application/warc-fields"),
+               foreign("response", "<urn:uuid:2>", page, "WARC-Target-URI: http://a/", f"WARC-Payload-Digest: sha1:{sha1}"),
+               foreign("response", "<urn:uuid:3>", page, "X-Folded: one", "  two", f"WARC-Payload-Digest: sha256:{hashlib.sha256(b'hello').hexdigest()}"),
+               foreign("response", "<urn:uuid:4>", chunked, "WARC-Payload-Digest: blake9:zzz"),
+               foreign("revisit", "<urn:uuid:5>", b"HTTP/1.1 200 OK\r\nContent-Length: 5\r\n\r\n", "WARC-Refers-To: <urn:uuid:2>", f"WARC-Payload-Digest: sha1:{sha1}"),
+               foreign("resource", "<urn:page:x>", b"\x00\xff" * 3, content="image/png"), foreign("metadata", "<urn:uuid:7>", b"")]
+    words = b"".join(records) * 20
+    dictionary = zstandard.train_dictionary(2048, [words[i:i + 200] for i in range(0, len(words) - 200, 50)]).as_bytes()
+    content = zstandard.ZstdCompressor().compress(dictionary) if compressed_dictionary else dictionary
+    pack = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary))
+    skip = struct.pack("<II", 0x184D2A53, 4) + b"skip"
+    return struct.pack("<II", W.DICTIONARY_MAGIC, len(content)) + content + skip.join(pack.compress(r) for r in records) + skip
+
+
+@pytest.mark.parametrize("compressed_dictionary", [False, True])
+def test_archives_of_other_writers(spark, tmp_path, monkeypatch, compressed_dictionary):
+    (tmp_path / "a.warc.zst").write_bytes(hand_made(compressed_dictionary))
+    got = {r.record_id: r for r in W.read_archives(spark, str(tmp_path), payloads=True).collect()}
+    assert [got[f"urn:uuid:{i}"].record_type for i in (1, 2, 3, 4, 5, 7)] == ["warcinfo", "response", "response", "response", "revisit", "metadata"]
+    assert all(r.page_id is None and r.refers_to is None for r in got.values()) and len(got) == 7
+    assert got["urn:uuid:2"].payload == got["urn:uuid:3"].payload == b"hello" and got["urn:uuid:4"].payload == b"5\r\nhello\r\n0\r\n\r\n"
+    r = got["urn:uuid:5"]
+    assert (r.payload, r.payload_bytes, r.refers_to_record, r.payload_digest) == (None, 5, "urn:uuid:2", got["urn:uuid:2"].payload_digest)
+    assert got["urn:page:x"].payload == b"\x00\xff" * 3 and got["urn:uuid:7"].payload == b"" and got["urn:uuid:1"].payload_bytes == 13
+    monkeypatch.setattr(W, "BLOCK", 7)                        # frames and heads that cross blocks
+    with open(tmp_path / "a.warc.zst", "rb") as f:
+        assert [W.parse_record(x)["record_id"] for x in W.split_frames(f)] == list(got)
+    for cut in (5, 700, len(hand_made(False)) - 6):
+        with pytest.raises((ValueError, zstandard.ZstdError)):
+            list(W.split_frames(hand_made(False)[:cut]))
+
+
+def test_foreign_records_that_are_wrong():
+    page = b"HTTP/1.1 200 OK\r\nContent-Length: 5\r\n\r\nhello"
+    for record, what in ((foreign("response", "<a>", page[:-1]), "length"), (foreign("response", "<a>", page, "WARC-Payload-Digest: md5:00"), "payload digest"),
+                         (foreign("response", "<a>", page, "WARC-Block-Digest: sha1:AAAA"), "block digest"), (foreign("x", "<a>", b"", "no colon"), "header"),
+                         (foreign("x", "<a>", b"ab").replace(b"content-length:2", b"content-length:-2"), "number")):
+        with pytest.raises(ValueError, match=what):
+            W.parse_record(record)
+
+
 @pytest.mark.parametrize("key", ["h", "cell", "prefix", "of", "key", "fits"])
 def test_shards_by_a_key_of_any_name(frame, key):
     docs = frame([(i, "t" * (i % 9)) for i in range(60)] + [(None, None)])
