@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,8 +121,12 @@ def _call_stream(spark: SparkSession, calls_dir: str, job, out_path: str | None,
     out_path = out_path or scratch_path(spark, name)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        scoreable_calls(batch)[1].write.mode("overwrite").parquet(f"{out_path}-rejects/epoch={epoch}")
-        job(batch).write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # rejects and job read the epoch's files once
+        try:
+            scoreable_calls(batch)[1].write.mode("overwrite").parquet(f"{out_path}-rejects/epoch={epoch}")
+            job(batch).write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
+        finally:
+            batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", out_path + "-ckpt")
                .trigger(availableNow=True).start())
