@@ -101,6 +101,21 @@ def q_preds_roundtrip(spark, sf):
     return M.evaluate(M.to_long(wide, MODELS), by=["model"])
 
 
+def bucketed_predictions(spark, sf):
+    """Truth and keyed predictions as tables bucketed by call, aligned: no exchange between them."""
+    long = long_test(spark, sf).where("model <> 'ensemble'")
+    truth = IO.write_bucketed(fx(spark, sf, "fx_preds").select("call_id", "y"), SJ.scratch_path(spark, "truth"))
+    preds = IO.write_bucketed(long.select("call_id", "model", "pred"), SJ.scratch_path(spark, "preds"))
+    return M.align_predictions(truth, preds, MODELS)
+
+
+@query("preds_bucketed", columns=["model"] + METRIC_DOUBLES, doubles=METRIC_DOUBLES,
+       oracle=LONG_TEST + metrics_sql("(SELECT * FROM lt WHERE model <> 'ensemble') l3", "model"))
+def q_preds_bucketed(spark, sf):
+    """Predictions aligned with the truth by co-located buckets, evaluated."""
+    return M.evaluate(M.to_long(bucketed_predictions(spark, sf), MODELS), by=["model"])
+
+
 @query("update_table", columns=["call_id", "issue_type", "issue_key"],
        oracle=oracle_with("fx_calls") + "SELECT call_id, issue_type, upper(issue_type) AS issue_key FROM fx_calls")
 def q_update_table(spark, sf):

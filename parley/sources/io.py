@@ -7,6 +7,8 @@ path (S3).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,6 +107,19 @@ def read_preds(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PREDS_SCHEMA).parquet(path)
 
 
+def write_bucketed(df: DataFrame, path: str, key: str = "call_id", buckets: int = 32) -> DataFrame:
+    """``df`` under ``path`` as a table bucketed and sorted by ``key``; returns the table.
+
+    The rows are shuffled by the key once, here, into one file a bucket (choose ``buckets``
+    so that one is 128 to 256 MB).  Tables of equal ``buckets`` then join and group on the
+    key without an exchange, however often they are read in the session.
+    """
+    name = f"bucketed_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+       .option("path", path).format("parquet").mode("overwrite").saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def synthetic_features(spark: SparkSession, n_rows: int, features, seed: int = 42) -> DataFrame:
     """X ~ U[0,1) per feature, y ~ U[1,5) — for wiring tests only."""
     cols = [F.rand(seed + i).alias(c) for i, c in enumerate(features)]

@@ -71,3 +71,16 @@ def test_hot_call_matches_brute_force(spark):
         assert got[cid].talk_time_ratio == pytest.approx(ratio)
         assert got[cid].interruption_count == inter
         assert got[cid].avg_agent_words == pytest.approx(aw)
+
+
+def test_aligned_predictions_need_no_exchange(spark):
+    """Tables bucketed by call join and group where they lie; a broadcast isn't what saves the shuffle."""
+    from parley.plans.q_io import bucketed_predictions
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = bucketed_predictions(spark, "/root/testdata/sf0.001")
+        assert wide.count() > 0
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
