@@ -1,9 +1,11 @@
 """Structured Streaming jobs.
 
 * ``portfolio_stream`` (R2): event-time windowed portfolio statistics with a
-  watermark, in update mode: a trigger emits only the windows that it changed,
-  each to the epoch's own folder, so a replayed trigger rewrites the same
-  files.  ``read_portfolio`` takes the latest row of each window.
+  watermark, in update mode.  Spark's state of a window lives until the watermark
+  passes its end; then no row can change it, and the sink writes it, once, to
+  ``closed``.  Windows that are still open are a snapshot of their own for each epoch,
+  carried on from the last one.  ``read_portfolio`` so reads closed windows and one
+  snapshot, never earlier epochs; a replayed trigger rewrites the same folders.
 * ``scoring_stream`` (R1): new calls arriving as files are scored by the
   batch job inside ``foreachBatch`` (the feature job needs joins and windows,
   which a stateless stream cannot run); models and the per-intent duration
@@ -69,19 +71,31 @@ def _utc_wall(c):
     return F.to_utc_timestamp(F.col(c), F.current_timezone()).cast("timestamp_ntz")
 
 
-def windowed_portfolio(calls: DataFrame, window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
-    """R2 transformation (batch or stream): per window and issue, A1 mean, A3 repeat rate and A5 buckets."""
+PORTFOLIO = ["window_start", "window_end", "issue_type", "n_calls", "avg_csat", "repeat_rate", "low_pct", "mid_pct", "high_pct"]
+_KEY = ["window_start", "window_end", "issue_type"]
+
+
+def windowed_portfolio(calls: DataFrame, window: str = "1 day", watermark: str = "1 hour", last: bool = False) -> DataFrame:
+    """R2 transformation (batch or stream): per window and issue, A1 mean, A3 repeat rate and A5 buckets.
+
+    ``last`` adds the latest event time ``last_ts`` as UTC wall time.
+    """
     s = F.col("csat_score")
     share = lambda c: F.avg(c.cast("double") * 100)
-    return (calls.withWatermark("ts", watermark)
+    rows = (calls.withWatermark("ts", watermark)
                  .groupBy(F.window("ts", window).alias("w"), "issue_type")
                  .agg(F.count(F.lit(1)).alias("n_calls"), F.avg(s).alias("avg_csat"),
                       F.avg("repeat_contact").alias("repeat_rate"),
                       share(s < K.BAND_AT_RISK).alias("low_pct"),
                       share((s >= K.BAND_AT_RISK) & (s < K.BAND_SATISFACTORY)).alias("mid_pct"),
-                      share(s >= K.BAND_SATISFACTORY).alias("high_pct"))
-                 .select(_utc_wall("w.start").alias("window_start"), _utc_wall("w.end").alias("window_end"),
-                         "issue_type", "n_calls", "avg_csat", "repeat_rate", "low_pct", "mid_pct", "high_pct"))
+                      share(s >= K.BAND_SATISFACTORY).alias("high_pct"), F.max("ts").alias("last_ts")))
+    return rows.select(_utc_wall("w.start").alias("window_start"), _utc_wall("w.end").alias("window_end"), *PORTFOLIO[2:],
+                       *[_utc_wall("last_ts").alias("last_ts")] * last)
+
+
+def _epochs(spark: SparkSession, path: str) -> DataFrame:
+    """``epoch, last_ts``: a row for each epoch that was written whole."""
+    return spark.read.schema("last_ts timestamp_ntz, epoch bigint").parquet(f"{path}/epochs")
 
 
 def portfolio_stream(spark: SparkSession, events_dir: str, out_path: str | None = None,
@@ -89,11 +103,27 @@ def portfolio_stream(spark: SparkSession, events_dir: str, out_path: str | None
                      max_files_per_trigger: int | None = None, glob: str | None = None) -> str:
     """Run R2 over the files in ``events_dir`` until caught up; return the sink path (see ``read_portfolio``)."""
     stream = file_stream(spark, events_dir, max_files_per_trigger, glob)
-    agg = windowed_portfolio(events_as_calls(stream), window, watermark)
+    agg = windowed_portfolio(events_as_calls(stream), window, watermark, last=True)
     out_path = out_path or scratch_path(spark, "portfolio-stream")
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
+        spark = batch.sparkSession
+        changed = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        before = None
+        if epoch:
+            before = _epochs(spark, out_path).where(F.col("epoch") < epoch).orderBy(F.desc("epoch")).first()
+        top, rows = changed.agg(F.max("last_ts")).first()[0], changed.drop("last_ts")
+        if before is not None:
+            top = max((t for t in (top, before["last_ts"]) if t is not None), default=None)
+            kept = spark.read.schema(rows.schema).parquet(f"{out_path}/open/epoch={before['epoch']}")
+            same = [kept[c].eqNullSafe(rows[c]) for c in _KEY]
+            rows = kept.join(rows, same, "left_anti").unionByName(rows)
+        # The next epoch drops rows of windows that end by the watermark (a second's room for its rounding).
+        done = (F.col("window_end") <= F.lit(str(top)).cast("timestamp_ntz") - F.expr(f"INTERVAL {watermark}") - F.expr("INTERVAL 1 second")) if top else F.lit(False)
+        for name, part in (("closed", rows.where(done)), ("open", rows.where(~done))):
+            part.coalesce(1).write.mode("overwrite").parquet(f"{out_path}/{name}/epoch={epoch}")
+        spark.createDataFrame([(top,)], "last_ts timestamp_ntz").coalesce(1).write.mode("overwrite").parquet(f"{out_path}/epochs/epoch={epoch}")
+        changed.unpersist()
 
     q = (agg.writeStream.outputMode("update").foreachBatch(sink)
             .option("checkpointLocation", out_path + "-ckpt").trigger(availableNow=True).start())
@@ -102,12 +132,11 @@ def portfolio_stream(spark: SparkSession, events_dir: str, out_path: str | None
 
 
 def read_portfolio(spark: SparkSession, path: str) -> DataFrame:
-    """The latest row of each window and issue that ``portfolio_stream`` wrote."""
-    rows = spark.read.parquet(path)
-    key = ["window_start", "window_end", "issue_type"]
-    value = [c for c in rows.columns if c not in key and c != "epoch"]
-    return (rows.groupBy(*key).agg(F.max_by(F.struct(*value), "epoch").alias("v"))
-                .select(*key, *[f"v.{c}" for c in value]))
+    """All windows that ``portfolio_stream`` wrote: closed ones, each written once, and the newest snapshot of open ones."""
+    newest = _epochs(spark, path).agg(F.max("epoch")).first()[0]
+    kinds = ", ".join(f"{c} timestamp_ntz" for c in PORTFOLIO[:2]) + ", issue_type string, n_calls bigint, " + ", ".join(f"{c} double" for c in PORTFOLIO[4:])
+    read = lambda p: spark.read.schema(kinds).parquet(p).select(*PORTFOLIO)
+    return read(f"{path}/closed").unionByName(read(f"{path}/open/epoch={newest}"))
 
 
 def _call_stream(spark: SparkSession, calls_dir: str, job, out_path: str | None, name: str,

@@ -119,3 +119,30 @@ def test_stream_in_two_triggers_equals_batch(spark):
     cols = ["window_start", "issue_type", "n_calls", "repeat_rate"]
     want = SJ.windowed_portfolio(SJ.events_as_calls(events)).select(*cols)
     assert sorted(map(tuple, out.select(*cols).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_stream_of_out_of_order_files_closes_each_window_once(spark):
+    """Eight triggers, neighbouring slices of time swapped: windows close as the watermark passes, the rest is one snapshot."""
+    events = spark.read.parquet(f"{SF}/events.parquet").orderBy("ts", "event_id").toPandas()
+    edge = [events.ts.iloc[min(len(events) * k // 8, len(events) - 1)] for k in range(9)]
+    delay = max(int((b - a).total_seconds()) for a, b in zip(edge, edge[2:])) + 3600
+    folder = SJ.scratch_path(spark, "test-disorder")
+    for k in (1, 0, 3, 2, 5, 4, 7, 6):
+        part = events.iloc[len(events) * k // 8:len(events) * (k + 1) // 8].sample(frac=1, random_state=k)
+        spark.createDataFrame(part, spark.read.parquet(f"{SF}/events.parquet").schema).coalesce(1).write.mode("append").parquet(folder)
+    path = SJ.portfolio_stream(spark, folder, watermark=f"{delay} seconds", max_files_per_trigger=1)
+    cols = ["window_start", "issue_type", "n_calls", "repeat_rate", "avg_csat"]
+    rows = lambda df: sorted((r[0], r[1], r[2], round(r[3], 9), round(r[4], 9)) for r in df.select(*cols).collect())
+    want = rows(SJ.windowed_portfolio(SJ.events_as_calls(spark.read.parquet(f"{SF}/events.parquet"))))
+    assert rows(SJ.read_portfolio(spark, path)) == want
+    closed = spark.read.parquet(f"{path}/closed")
+    key = ["window_start", "issue_type"]
+    assert closed.select("epoch").distinct().count() > 2 and closed.count() == closed.select(*key).distinct().count() > 0
+    newest = spark.read.parquet(f"{path}/epochs").agg(F.max("epoch")).first()[0]
+    still = spark.read.parquet(f"{path}/open/epoch={newest}")
+    assert 0 < still.count() < len(want) and still.join(closed, key).count() == 0
+    # A reader takes no earlier snapshot, and starting again finds nothing new.
+    files = SJ.read_portfolio(spark, path).inputFiles()
+    assert files and all("/closed/" in f or f"/open/epoch={newest}/" in f for f in files)
+    SJ.portfolio_stream(spark, folder, out_path=path, watermark=f"{delay} seconds", max_files_per_trigger=1)
+    assert rows(SJ.read_portfolio(spark, path)) == want
