@@ -12,6 +12,7 @@ from ..operators import models as ML
 from ..operators.split import stratified_split
 from ..sources import io as IO
 from ..sources.fixtures import FX_PHRASES, fx, oracle_with
+from ..streaming import assembly as AS
 from ..streaming import jobs as SJ
 from .q_metrics import LONG_TEST, METRIC_DOUBLES, MODELS, long_test, metrics_sql
 from .q_models import _splits
@@ -55,6 +56,23 @@ def q_stream_scoring(spark, sf):
     return spark.read.parquet(out).select("call_id", "csat_pred")
 
 
+@query("stream_turns", columns=["call_id", "transcript_text"],
+       oracle=oracle_with("fx_turns") + """
+SELECT call_id, string_agg('Turn ' || CAST(pos + 1 AS VARCHAR) || ': ' || speaker || ': '
+    || trim(regexp_replace(text, '\\s+', ' ', 'g')), chr(10) ORDER BY pos) AS transcript_text
+FROM fx_turns GROUP BY call_id""")
+def q_stream_turns(spark, sf):
+    """All turns arriving as files in no order; each call comes out once, when its last missing turn is there."""
+    turns = fx(spark, sf, "fx_turns").select(
+        "call_id", (F.col("pos") + 1).cast("bigint").alias("turn_number"), "speaker", "text",
+        F.expr("timestamp '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, pos)").alias("ts"), (F.col("pos") + 1 == F.col("n_turns")).alias("last"))
+    src = SJ.scratch_path(spark, "incoming-turns")
+    for k in range(3):
+        IO.write_table(turns.where(F.pmod(F.xxhash64("call_id", "turn_number"), F.lit(3)) == k), f"{src}/part={k}")
+    out = AS.assembled_stream(spark, src, lambda texts: texts, gap="30 days")
+    return spark.read.parquet(out).select("call_id", "transcript_text")
+
+
 @query("stream_report", columns=["call_id", "csat", "emotional_arc", "coaching_text"],
        note="R1: the whole call report of calls arriving as files, per micro-batch; equal to the batch report (tests)")
 def q_stream_report(spark, sf):
