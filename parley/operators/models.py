@@ -13,6 +13,7 @@ in one job (one column each, stacked).
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -349,12 +350,8 @@ def assemble(df: DataFrame, features=K.FEATURE_COLUMNS, out: str = "features") -
 
 
 def fit_forest(train: DataFrame, params=K.RF_BEST, features=K.FEATURE_COLUMNS,
-               target: str = K.TARGET, seed: int = K.SEED, assembled: bool = False, memory_mb: int = 256):
-    """L4: one random forest (unscaled input, all features per split, bootstrap).
-
-    ``memory_mb`` bounds the histograms that a task gathers in one pass; deep forests
-    need fewer passes with more.
-    """
+               target: str = K.TARGET, seed: int = K.SEED, assembled: bool = False):
+    """L4: one random forest (unscaled input, all features per split, bootstrap)."""
     from pyspark.ml.regression import RandomForestRegressor
     depth = params.get("maxDepth")
     if depth is not None and depth > K.RF_UNLIMITED_DEPTH:
@@ -364,7 +361,7 @@ def fit_forest(train: DataFrame, params=K.RF_BEST, features=K.FEATURE_COLUMNS,
         numTrees=int(params["numTrees"]),
         maxDepth=int(K.RF_UNLIMITED_DEPTH if depth is None else depth),
         minInstancesPerNode=int(params["minInstancesPerNode"]), featureSubsetStrategy="all",
-        subsamplingRate=1.0, bootstrap=True, seed=seed, maxMemoryInMB=memory_mb)
+        subsamplingRate=1.0, bootstrap=True, seed=seed)
     return rf.fit(train if assembled else assemble(train, features))
 
 
@@ -441,45 +438,151 @@ def cut_forest_scores(nodes: DataFrame, df: DataFrame, counts, depths, features=
     return rows.select("rid", "key.*").join(parts.groupBy("rid").agg(*columns), "rid").drop("rid")
 
 
+#: Rows that one tree draws at most (below that: a full bootstrap of all rows), and bins of a feature.
+TREE_ROWS, BINS = 200_000, 32
+GROWN = "leaf int, tree int, weight double, id int, left int, right int, feature int, thr double, value double, cover double"
+
+
+def _thresholds(train: DataFrame, features, bins: int) -> list[np.ndarray]:
+    """Up to ``bins - 1`` quantiles of each feature (null and NaN -> 0): where splits may be."""
+    row = train.agg(*[F.percentile_approx(R.nan_to_zero(c), [i / bins for i in range(1, bins)], 10_000).alias(f"q{i}")
+                      for i, c in enumerate(features)]).first()
+    return [np.unique(np.array(row[f"q{i}"] or [0.0], float)) for i in range(len(features))]
+
+
+def grow_tree(bins: np.ndarray, y: np.ndarray, w: np.ndarray, thresholds, leaf: int, depth: int) -> dict[str, np.ndarray]:
+    """One regression tree, level by level: for all nodes of a level the split of least squared error.
+
+    ``bins[i, f]`` says how many thresholds of feature ``f`` are below the value; a split
+    at threshold ``b`` sends bins up to ``b`` left.  ``w`` counts how often a row was drawn; a
+    child has ``leaf`` drawn rows at least.
+    """
+    width = max(len(t) for t in thresholds) + 1
+    out = {k: [] for k in ("left", "right", "feature", "thr", "value", "cover")}
+    rows, slot, ids = np.arange(len(y)), np.zeros(len(y), np.int64), np.zeros(1, np.int64)
+
+    def add(value, cover):
+        n, first = len(value), len(out["value"])
+        for k, v in (("left", [-1] * n), ("right", [-1] * n), ("feature", [0] * n), ("thr", [0.0] * n), ("value", value.tolist()), ("cover", cover.tolist())):
+            out[k] += v
+        return np.arange(first, first + n)
+
+    total = np.array([w.sum()], float)
+    ids = add(np.array([w @ y / total[0]]), total)
+    for _ in range(depth):
+        m, wr, yr = len(ids), w[rows], y[rows]
+        n, s = np.bincount(slot, wr, m), np.bincount(slot, wr * yr, m)
+        error = np.bincount(slot, wr * yr * yr, m) - s * s / n
+        best, at_f, at_b = np.zeros(m), np.full(m, -1), np.zeros(m, np.int64)
+        for f, t in enumerate(thresholds):
+            key = slot * width + bins[rows, f]
+            nl = np.bincount(key, wr, m * width).reshape(m, width)[:, :len(t)].cumsum(1)
+            sl = np.bincount(key, wr * yr, m * width).reshape(m, width)[:, :len(t)].cumsum(1)
+            nr, sr = n[:, None] - nl, s[:, None] - sl
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = np.where((nl >= leaf) & (nr >= leaf), sl * sl / nl + sr * sr / nr - (s * s / n)[:, None], -1.0)
+            b = gain.argmax(1)
+            g = gain[np.arange(m), b]
+            better = g > best
+            best[better], at_f[better], at_b[better] = g[better], f, b[better]
+        split = (at_f >= 0) & (best > 1e-9 * np.maximum(error, 1e-12)) & (error > 1e-12 * n)
+        if not split.any():
+            break
+        keep = split[slot]
+        rows, slot = rows[keep], (np.cumsum(split) - 1)[slot[keep]]
+        ids, at_f, at_b = ids[split], at_f[split], at_b[split]
+        slot = 2 * slot + (bins[rows, at_f[slot]] > at_b[slot])
+        cover = np.bincount(slot, w[rows], 2 * len(ids))
+        child = add(np.bincount(slot, w[rows] * y[rows], 2 * len(ids)) / cover, cover)
+        for i, f, b, left, right in zip(ids.tolist(), at_f.tolist(), at_b.tolist(), child[::2].tolist(), child[1::2].tolist()):
+            out["left"][i], out["right"][i], out["feature"][i], out["thr"][i] = left, right, f, float(thresholds[f][b])
+        ids = child
+    return {k: np.array(v) for k, v in out.items()}
+
+
+def grow_forest(train: DataFrame, trees: int, leaves, depth: int | None = None, features=K.FEATURE_COLUMNS, target: str = K.TARGET,
+                seed: int = K.SEED, tree_rows: int = TREE_ROWS, bins: int = BINS) -> DataFrame:
+    """``GROWN`` nodes of a bagged forest for each leaf size in ``leaves``, all from the same draws.
+
+    Every tree draws the rows with replacement (Poisson weights from a hash of row and
+    tree, so a lost task draws the same); from more than ``tree_rows`` rows it draws so many
+    on average, so a task holds one tree's rows, whatever the table's size, and all rows
+    take part over the trees.  All features are tried at every split.  Rows are binned once
+    into the shared folder; drawn rows meet at their tree by one shuffle.
+    """
+    import pyarrow as pa
+
+    from ..session import cut_lineage, ship_package
+    ship_package(train.sparkSession)
+    if depth is not None and depth > K.RF_UNLIMITED_DEPTH:
+        raise ValueError(f"maxDepth {depth}: trees go to depth {K.RF_UNLIMITED_DEPTH} at most (None asks for that)")
+    train = train.where(F.col(target).isNotNull() & ~F.isnan(F.col(target).cast("double")))
+    thresholds, p = _thresholds(train, features, bins), len(features)
+
+    def binned(batches):
+        for batch in batches:
+            x = np.column_stack([np.searchsorted(t, batch.column(i).to_numpy(zero_copy_only=False), side="left") for i, t in enumerate(thresholds)]).astype(np.uint8)
+            data = x.tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column(p), pa.array([data[i * p:(i + 1) * p] for i in range(len(x))], pa.binary())], names=["y", "bins"])
+
+    plain = train.select(*(R.nan_to_zero(c).alias(f"x{i}") for i, c in enumerate(features)), F.col(target).cast("double").alias("y"))
+    rows = cut_lineage(plain.mapInArrow(binned, "y double, bins binary").withColumn("rid", F.monotonically_increasing_id()))
+    rate = min(1.0, tree_rows / max(1, rows.count()))
+    even = F.shiftrightunsigned(F.xxhash64("rid", "tree", F.lit(seed)), 11) * F.lit(2.0 ** -53)
+    chances = np.cumsum([math.exp(-rate) * rate ** k / math.factorial(k) for k in range(12)])
+    drawn = sum((even >= float(c)).cast("int") for c in chances)
+    dealt = (rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("w", drawn).where("w > 0"))
+
+    def grow(t: pa.Table) -> pa.Table:
+        x = np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint8).reshape(-1, p)
+        order = np.argsort(t.column("rid").to_numpy())
+        x, y, w, tree = x[order], t.column("y").to_numpy()[order], t.column("w").to_numpy()[order].astype(float), t.column("tree")[0].as_py()
+        out = []
+        for leaf in leaves:
+            g = grow_tree(x, y, w, thresholds, leaf, K.RF_UNLIMITED_DEPTH if depth is None else depth)
+            n = len(g["value"])
+            whole = lambda v: pa.array(v, pa.int32())
+            out.append(pa.table([whole(np.full(n, leaf)), whole(np.full(n, tree)), pa.array(np.full(n, 1.0 / trees)), whole(np.arange(n)),
+                                 whole(g["left"]), whole(g["right"]), whole(g["feature"]), *(pa.array(g[k].astype(float)) for k in ("thr", "value", "cover"))],
+                                names=[c.split()[0] for c in GROWN.split(", ")]))
+        return pa.concat_tables(out)
+
+    return cut_lineage(dealt.repartition(trees, "tree").groupBy("tree").applyInArrow(grow, GROWN))
+
+
 def forest_search(train: DataFrame, val: DataFrame, grid=K.RF_GRID, features=K.FEATURE_COLUMNS, target: str = K.TARGET,
-                  others: dict | None = None, memory_mb: int = 512):
+                  others: dict | None = None, tree_rows: int = TREE_ROWS):
     """L4 grid: all forests of the grid from one grown forest for each leaf size.
 
-    Each leaf size gets one forest of the grid's most trees at its greatest depth, on
-    all training rows; the other points are its first trees, cut at their depth
-    (``cut_forest_scores``).  A point of fewer trees so shares its trees with the larger
-    one instead of drawing a bootstrap of its own.  Returns ``(rows, forests)``: for
-    each point its index, parameters and metrics of ``val`` and of each split in
-    ``others``, and the grown forest by leaf size.  The best point is the first with
-    the least ``val`` MAE.
+    Each leaf size gets one forest of the grid's most trees at its greatest depth
+    (``grow_forest``, on the training rows); the other points are its first trees, cut at
+    their depth (``cut_forest_scores``).  A point of fewer trees so shares its trees with
+    the larger one instead of drawing a bootstrap of its own.  Returns ``(rows, nodes)``:
+    for each point its index, parameters and metrics of ``val`` and of each split in
+    ``others``, and the grown nodes.  The best point is the first with the least ``val`` MAE.
     """
-    from ..session import cut_lineage, ship_package
-    from .explain import forest_nodes
     from .metrics import metric_aggs
-    spark = train.sparkSession
-    ship_package(spark)
-    train_v = assemble(train, features).select(target, "features").cache()
+    leaves = list(dict.fromkeys(p["minInstancesPerNode"] for p in grid))
+    depths = [p["maxDepth"] for p in grid]
+    nodes = grow_forest(train, max(p["numTrees"] for p in grid), leaves, None if None in depths else max(depths), features, target, tree_rows=tree_rows)
     scored = None
     for name, part in {"val": val, **(others or {})}.items():
         part = part.select(F.lit(name).alias("part"), F.col(target).alias("y"), *features)
         scored = part if scored is None else scored.unionByName(part)
     scored = scored.cache()
-    forests, out = {}, []
-    for leaf in dict.fromkeys(p["minInstancesPerNode"] for p in grid):
+    out = []
+    for leaf in leaves:
         points = [(i, p) for i, p in enumerate(grid) if p["minInstancesPerNode"] == leaf]
-        depths = list(dict.fromkeys(p["maxDepth"] for _, p in points))
+        cuts = list(dict.fromkeys(p["maxDepth"] for _, p in points))
         counts = list(dict.fromkeys(p["numTrees"] for _, p in points))
-        deepest = {"numTrees": max(counts), "maxDepth": None if None in depths else max(depths), "minInstancesPerNode": leaf}
-        forests[leaf] = fit_forest(train_v, deepest, features, target, assembled=True, memory_mb=memory_mb)
-        wide = cut_forest_scores(cut_lineage(forest_nodes(spark, forests[leaf])), scored, counts, depths, features, keep=("part", "y"))
+        wide = cut_forest_scores(nodes.where(F.col("leaf") == leaf).drop("leaf"), scored, counts, cuts, features, keep=("part", "y"))
         names = [f"p_{p['numTrees']}_{p['maxDepth'] or 0}" for _, p in points]
         stack = ", ".join(f"{i}, {n}" for (i, _), n in zip(points, names))
         long = wide.selectExpr("part", "y", f"stack({len(points)}, {stack}) AS (idx, raw)").select("part", "y", "idx", R.clip("raw").alias("pred"))
         found = {(r["idx"], r["part"]): r.asDict() for r in long.groupBy("idx", "part").agg(*metric_aggs("y", "pred")).collect()}
         out += [(i, p, {part: found.get((i, part), {}) for part in ("val", *(others or {}))}) for i, p in points]
-    train_v.unpersist()
     scored.unpersist()
-    return sorted(out, key=lambda t: t[0]), forests
+    return sorted(out, key=lambda t: t[0]), nodes
 
 
 def best_point(rows):
