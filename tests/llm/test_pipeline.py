@@ -63,7 +63,7 @@ def test_empty_tables_run_through(spark, odd_tables, odd):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got, want = QUERIES[name](spark, SF), con.execute(ORACLES[name])
     columns = [d[0] for d in want.description]
@@ -72,7 +72,7 @@ def test_oracles(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_queries_return_one_row_each(spark):
