@@ -121,15 +121,26 @@ def append(docs: DataFrame, make, added: str, keep: list[str], done=release) ->
     return src.mapInArrow(run, ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [added]))
 
 
+def marked_rows(labels: DataFrame, label: str, where) -> DataFrame:
+    """``doc_id, label`` of every id labelled 0 or 1; of conflicting labels of one doc_id the larger counts."""
+    return (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
+            .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).where(where)
+            .groupBy("doc_id").agg(F.max("label").alias("label")))
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, where) -> DataFrame:
+    """All labelled rows: ``doc_id, label, text``."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.join(marked_rows(labels, label, where), "doc_id").select("doc_id", "label", "text")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, where, per_class: int) -> DataFrame:
     """Up to ``per_class`` rows of each class, ``doc_id, label, text``: those with the smallest hashes of doc_id.
 
     Of conflicting labels of one doc_id the larger counts.  At most ``2 * per_class`` ids
     are broadcast to find the texts.
     """
-    marked = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label"))
-              .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).where(where)
-              .groupBy("doc_id").agg(F.max("label").alias("label")))
+    marked = marked_rows(labels, label, where)
     order = [F.xxhash64("doc_id"), "doc_id"]
     picked = [marked.where(F.col("label") == k).orderBy(*order).limit(per_class) for k in (0, 1)]
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -14,17 +14,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import append, labelled_sample, mix, per_text, steps, window_starts, word_codes
+from .common import append, labelled_rows, mix, per_text, steps, window_starts, word_codes, written
 
 U = np.uint64
 SYMBOLS = b"#*$%&|<>"
 IS_SYMBOL = np.isin(np.arange(256), np.frombuffer(SYMBOLS, np.uint8))
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: Labelled rows of each class that the forest and its threshold are fitted on (a bound on what the driver holds).
-SAMPLE = 10_000
+#: Trees of a forest, and rows that each draws among all labelled ones.
 TREES, TREE_ROWS, SEED = 64, 256, 7
 CLEAN_LOSS = 0.0002
 #: Ratios that each forest sees.
@@ -133,23 +133,59 @@ def _tree(x: np.ndarray, depth: int, rng) -> list[tuple]:
     return nodes
 
 
-def fit_forest(x: np.ndarray, view: tuple[int, ...], trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED) -> Forest:
-    rng, x = np.random.default_rng(seed), x[:, view]
-    rows = min(rows, len(x))
+def grown(samples: list[np.ndarray], view: tuple[int, ...], rng) -> Forest:
+    """A forest of one tree for each sample of rows."""
+    rows = max(map(len, samples))
     depth = int(np.ceil(np.log2(max(rows, 2)))) + 2
-    grown = [_tree(x[rng.choice(len(x), rows, replace=False)], depth, rng) for _ in range(trees)]
-    width = max(map(len, grown))
-    padded = [t + [(-1, 0.0, 0, 0.0)] * (width - len(t)) for t in grown]
+    trees = [_tree(x[:, view], depth, rng) for x in samples]
+    width = max(map(len, trees))
+    padded = [t + [(-1, 0.0, 0, 0.0)] * (width - len(t)) for t in trees]
     cols = [np.array([[n[k] for n in t] for t in padded]) for k in range(4)]
     return Forest(*cols, norm=max(_average_path(rows), 1e-9), view=view)
 
 
-def calibrated(forest: Forest, x: np.ndarray, label: np.ndarray, clean_loss: float = CLEAN_LOSS) -> Forest:
-    """Set the threshold: scores above it are rejected; at most ``clean_loss`` of label 1 lie above."""
-    clean = forest.scores(x[label == 1])
-    if len(clean):
-        forest.threshold = float(np.quantile(clean, 1 - clean_loss, method="higher"))
-    return forest
+def fit_forest(x: np.ndarray, view: tuple[int, ...], trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED) -> Forest:
+    rng = np.random.default_rng(seed)
+    return grown([x[rng.choice(len(x), min(rows, len(x)), replace=False)] for _ in range(trees)], view, rng)
+
+
+def tree_samples(rows: DataFrame, clean: int, other: int, trees: int = TREES, size: int = TREE_ROWS, seed: int = SEED) -> list[np.ndarray]:
+    """The ratios of ``size`` rows a tree (all, if fewer), drawn without replacement by hash among all of ``rows``.
+
+    Anomalies are rare where a forest grows: label 0 is drawn less often, so that it makes
+    up a tenth of a tree's rows at most.  A fixed number of rows comes to the driver.
+    """
+    thin = min(1.0, clean / 9 / other) if clean and other else 1.0
+    rate = min(1.0, 2 * size / (clean + thin * other))
+    names = [c for c in rows.columns if c != "label"]
+    even = F.shiftrightunsigned(F.xxhash64(*names, "tree", F.lit(seed)), 11) * F.lit(2.0 ** -53)
+    place = even / F.when(F.col("label") == 0, F.lit(rate * thin)).otherwise(F.lit(rate))
+    drawn = (rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("place", place).where("place < 1")
+             .withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy("place", *names))).where(F.col("rank") <= size))
+    got = drawn.orderBy("tree", "rank").toPandas()
+    x, tree = features(got[[c.split()[0] for c in STATISTICS.split(", ")]].to_numpy(np.int64)), got["tree"].to_numpy()
+    return [x[tree == t] for t in np.unique(tree)]
+
+
+def calibrated(forests: list[Forest], clean: DataFrame, n: int, clean_loss: float = CLEAN_LOSS) -> list[Forest]:
+    """Set the thresholds: scores above are rejected; at most ``clean_loss`` of the ``n`` rows ``clean`` lie above each.
+
+    Every row is scored in tasks; a threshold is the score of its exact rank.
+    """
+    if not n:
+        return forests
+    names = [f"s{i}" for i in range(len(forests))]
+
+    def run(batches):
+        for batch in batches:
+            x = features(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(f.scores(x)) for f in forests], names=names)
+
+    scores = written(clean.select(*(c.split()[0] for c in STATISTICS.split(", "))).mapInArrow(run, ", ".join(f"{c} double" for c in names)), "rule-scores")
+    rank = n - int(np.ceil((n - 1) * (1 - clean_loss)))
+    for f, c in zip(forests, names):
+        f.threshold = float(scores.select(c).orderBy(F.col(c).desc()).limit(rank).agg(F.min(c)).first()[0])
+    return forests
 
 
 def margins(forests: list[Forest], x: np.ndarray) -> np.ndarray:
@@ -157,20 +193,22 @@ def margins(forests: list[Forest], x: np.ndarray) -> np.ndarray:
     return np.max([f.scores(x) - f.threshold for f in forests], axis=0)
 
 
-def fit_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Forest] | None:
-    """Forests and thresholds from up to ``sample`` labelled rows of each class; None without labelled rows."""
-    rows = append_statistics(labelled_sample(docs, labels, "quality", F.lit(True), sample), ["doc_id", "label"])
-    names = [c.split()[0] for c in STATISTICS.split(", ")]
-    got = rows.orderBy("doc_id", "label", *names).limit(2 * sample).select("label", *names).toPandas()
-    if not len(got):
+def fit_rules(docs: DataFrame, labels: DataFrame) -> list[Forest] | None:
+    """Forests and thresholds from all labelled rows; None without labelled rows.
+
+    Rows that fail the base rules are left out, unless all do.
+    """
+    rows = written(append_statistics(labelled_rows(docs, labels, "quality", F.lit(True)), ["doc_id", "label"]), "rule-statistics")
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    counts = {(r["label"], r["failed"]): r["count"] for r in rows.groupBy("label", failed.alias("failed")).count().collect()}
+    if not counts:
         return None
-    x, y = features(got[names].to_numpy(np.int64)), got["label"].to_numpy()
-    use = ~base_failed(got[names].to_numpy(np.int64))
-    x, y = (x[use], y[use]) if use.any() else (x, y)
-    # Anomalies are rare where the forest grows: label 0 makes up a tenth of its rows at most.
-    few = np.flatnonzero(y == 0)[:max(1, int((y == 1).sum()) // 9)]
-    grow = np.sort(np.concatenate((np.flatnonzero(y == 1), few))) if (y == 1).any() else np.arange(len(y))
-    return [calibrated(fit_forest(x[grow], view), x, y) for view in VIEWS]
+    some = any(not f for _, f in counts)
+    if some:
+        rows = rows.where(~failed)
+    clean, other = (sum(n for (k, f), n in counts.items() if k == label and not (some and f)) for label in (1, 0))
+    samples = tree_samples(rows, clean, other)
+    return calibrated([grown(samples, view, np.random.default_rng(SEED)) for view in VIEWS], rows.where("label = 1"), clean)
 
 
 def append_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:

@@ -83,6 +83,23 @@ def test_rules_on_odd_rows(spark, odd, frame):
     assert QR.quality_rules(odd.where("false"), forests).count() == 0
 
 
+def test_rules_are_fitted_on_all_labelled_rows(spark, frame):
+    """Thresholds are exact quantiles over every clean row, and trees draw among all of them."""
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice(["ab", "abc", "d#", "efgh", f"w{rnd.randint(0, 999)}"]) for _ in range(60)) for _ in range(400)]
+    n = 24_000
+    docs = spark.range(n).withColumn("text", F.element_at(F.array(*map(F.lit, texts)), (F.col("id") % len(texts) + 1).cast("int"))).withColumnRenamed("id", "doc_id")
+    labels = docs.select("doc_id", (F.col("doc_id") % 50 != 0).cast("int").alias("quality"))
+    x = QR.features(QR.rule_statistics([t.encode() for t in texts]))
+    forests = QR.fit_rules(docs, labels)
+    clean = np.array([i % len(texts) for i in range(n) if i % 50])
+    for f in forests:
+        assert f.threshold == np.quantile(f.scores(x)[clean], 1 - QR.CLEAN_LOSS, method="higher")
+    rows = docs.join(labels.withColumnRenamed("quality", "label"), "doc_id")
+    samples = QR.tree_samples(QR.append_statistics(rows, ["doc_id", "label"]), len(clean), n - len(clean), trees=8)
+    assert [len(s) for s in samples] == [QR.TREE_ROWS] * 8 and len({s.tobytes() for s in samples}) == 8
+
+
 # ----------------------------------------------------------------- classifier
 def test_votes_equal_brute_force():
     rng = np.random.default_rng(3)
