@@ -151,3 +151,22 @@ def test_200_000_phrases_with_one_head(spark):
     common = spark.sql("SELECT xxhash64('the ') AS run")
     assert keys.join(common, "run").count() == 0 and keys.count() < len(phrases)
     assert {(r.call_id, r.phrase) for r in FL.phrase_hits(turns, table).collect()} == want and len(want) > 2000
+
+
+def test_call_turns_of_one_small_file_are_made_by_many_tasks(spark, tmp_path):
+    """Each line goes to many calls: the tasks of the join mustn't be as few as its input is small."""
+    from parley.sources.fixtures import fx
+    sf = str(tmp_path)
+    (spark.range(600).selectExpr("id AS o_orderkey", "id AS o_custkey", "'F' AS o_orderstatus", "250000D AS o_totalprice", "TIMESTAMP'2020-01-01' AS o_orderdate")
+     .coalesce(1).write.parquet(f"{sf}/orders.parquet"))
+    spark.range(40).selectExpr("id AS doc_id", r"concat('a ', id, '\nb\nc\nd') AS text").coalesce(1).write.parquet(f"{sf}/documents.parquet")
+    (spark.createDataFrame([(3, 0, "user", "hello"), (3, 1, "assistant", "well")], "conv_id bigint, turn int, role string, text string")
+     .coalesce(1).write.parquet(f"{sf}/conversations.parquet"))
+    turns = fx(spark, sf, "fx_call_turns").withColumn("part", F.spark_partition_id())
+    rows = turns.collect()
+    assert len({r.part for r in rows if r.call_id != 3}) > 1
+    lines = {i: [f"a {i}", "b", "c", "d"] for i in range(40)}
+    skipped = lambda c: (3 - c // 40 % 3) % 3
+    want = sorted((c, k, x) for c in range(600) if c != 3 for k, x in enumerate(lines[c % 40][skipped(c)::3]))
+    assert sorted((r.call_id, r.pos, r.text) for r in rows if r.call_id != 3) == want
+    assert [r.text for r in sorted(rows, key=lambda r: r.pos) if r.call_id == 3] == ["hello", "well"]
