@@ -128,12 +128,6 @@ def marked_rows(labels: DataFrame, label: str, where) -> DataFrame:
             .groupBy("doc_id").agg(F.max("label").alias("label")))
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, where) -> DataFrame:
-    """All labelled rows: ``doc_id, label, text``."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(marked_rows(labels, label, where), "doc_id").select("doc_id", "label", "text")
-
-
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, where, per_class: int) -> DataFrame:
     """Up to ``per_class`` rows of each class, ``doc_id, label, text``: those with the smallest hashes of doc_id.
 

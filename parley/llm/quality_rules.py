@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import append, labelled_rows, mix, per_text, steps, window_starts, word_codes, written
+from .common import append, marked_rows, mix, per_text, steps, window_starts, word_codes, written
 
 U = np.uint64
 SYMBOLS = b"#*$%&|<>"
@@ -196,9 +196,11 @@ def margins(forests: list[Forest], x: np.ndarray) -> np.ndarray:
 def fit_rules(docs: DataFrame, labels: DataFrame) -> list[Forest] | None:
     """Forests and thresholds from all labelled rows; None without labelled rows.
 
-    Rows that fail the base rules are left out, unless all do.
+    Rows that fail the base rules are left out, unless all do.  Statistics are taken where
+    the texts lie and then joined to the labels, so no text is shuffled.
     """
-    rows = written(append_statistics(labelled_rows(docs, labels, "quality", F.lit(True)), ["doc_id", "label"]), "rule-statistics")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    rows = written(append_statistics(texts, ["doc_id"]).join(marked_rows(labels, "quality", F.lit(True)), "doc_id"), "rule-statistics")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     counts = {(r["label"], r["failed"]): r["count"] for r in rows.groupBy("label", failed.alias("failed")).count().collect()}
     if not counts:
