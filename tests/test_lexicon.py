@@ -68,3 +68,20 @@ def test_turn_features_read_texts_once_and_shuffle_no_tokens(spark, rules, texts
 
 def test_entries_of_several_tokens_keep_the_pattern(spark):
     assert N.text_sums(spark, N.sentiment_rules(spark, [("kiss of death", -2.0), ("good", 1.0)])) is None
+
+
+def test_texts_of_single_bytes_go_apart_and_score_the_same(spark, monkeypatch):
+    rows = [("good", 2.0, 1, 0, 0.0, 0), ("élan", 1.5, 1, 0, 0.0, 0), ("οδός", -0.5, 1, 0, 0.0, 0), ("µ", 0.3, 1, 0, 0.0, 0),
+            ("not", 0.0, 0, 1, 0.0, 0), ("very", 0.0, 0, 0, 0.293, 0), ("but", 0.0, 0, 0, 0.0, 1)]
+    rnd, rules = random.Random(3), L.Rules(rows)
+    words = [*WORDS, "µ", "²", "\x85", "\xa0", "ÿ", "goodness"]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 9))) for _ in range(500)] + [None, "", "good", "x" * 400]
+    sizes, whole = [], L._sums
+    monkeypatch.setattr(L, "_sums", lambda part, r: (sizes.append(L._bytes("".join(part)) is not None), whole(part, r))[1])
+    got = L.text_sums(texts, rules)
+    assert set(sizes) == {True, False}
+    monkeypatch.setattr(L, "_bytes", lambda text: None)
+    want = L.text_sums(texts, rules)
+    assert got[2].sum() > 100 and (got[2] == want[2]).all() and (got[3] == want[3]).all()
+    for a, b in zip(got[:2], want[:2]):
+        assert a[got[2]] == pytest.approx(b[got[2]], abs=1e-12)

@@ -84,3 +84,20 @@ def test_aligned_predictions_need_no_exchange(spark):
         assert "SortMergeJoin" in plan and "Exchange" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_phrase_flags_lower_a_text_once(spark):
+    """Each phrase list would lower-case the text again if the optimizer inlined it."""
+    turns = P.parse_transcripts(hot_calls(spark, 5, 2)[0])
+    plan = S.turn_flags(turns, resolution=["a", "b"], empathy=["c"], apology=["d"], transfer=["e"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Contains(") >= 5 and plan.count("lower(") == 1
+
+
+def test_calls_and_lines_are_dealt_by_document(spark):
+    """Whichever side is broadcast, the join's output comes from as many tasks as the other was dealt to."""
+    from parley.sources.fixtures import fx
+    df = fx(spark, "/root/testdata/sf0.001", "fx_call_turns")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2
+    rows = df.groupBy("call_id", "pos").count()
+    assert rows.where("count > 1").count() == 0 and rows.select("call_id").distinct().count() > 500
