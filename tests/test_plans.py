@@ -93,11 +93,19 @@ def test_phrase_flags_lower_a_text_once(spark):
     assert plan.count("Contains(") >= 5 and plan.count("lower(") == 1
 
 
-def test_calls_and_lines_are_dealt_by_document(spark):
+def test_calls_and_lines_are_dealt_by_document(spark, tmp_path):
     """Whichever side is broadcast, the join's output comes from as many tasks as the other was dealt to."""
-    from parley.sources.fixtures import fx
-    df = fx(spark, "/root/testdata/sf0.001", "fx_call_turns")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("REPARTITION_BY_NUM") == 2
-    rows = df.groupBy("call_id", "pos").count()
-    assert rows.where("count > 1").count() == 0 and rows.select("call_id").distinct().count() > 500
+    from parley.sources import fixtures as X
+    tables = {"orders": ([(i, i % 7, "F", 1000.0 * i, None) for i in range(1, 41)],
+                         "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp"),
+              "conversations": ([(5, t, ("user", "assistant")[t % 2], f"turn {t}") for t in range(4)], "conv_id bigint, turn bigint, role string, text string"),
+              "documents": ([(d, "\n".join(f"line {i}" for i in range(d))) for d in range(6)], "doc_id bigint, text string")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    df = X.fx(spark, str(tmp_path), "fx_call_turns")
+    assert df._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") == 2
+    want = {(5, t): f"turn {t}" for t in range(4)}
+    for c in [c for c in range(1, 41) if c != 5]:
+        doc, skipped = c % 6, (3 - c // 6 % 3) % 3
+        want |= {(c, k): f"line {i}" for k, i in enumerate(range(skipped, doc, 3))}
+    assert {(r.call_id, r.pos): r.text for r in df.collect()} == want
